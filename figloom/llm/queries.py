@@ -2,7 +2,8 @@
 
 import public_tokenizers
 
-from figloom.llm import bpe
+from figloom.llm import bpe, langid, urlfilter
+from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
@@ -11,9 +12,36 @@ def table(spark, sf_dir: str, name: str):
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: host/path and what becomes of the URLs that it fits.
+URL_RULES = [("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block")]
+
+
+def op1_url_filter(spark, sf_dir):
+    listed = spark.createDataFrame(URL_RULES, "rule string, verdict string")
+    return urlfilter.judge(table(spark, sf_dir, "pages").select("page_id", "url"), listed).select("page_id", "host", "path", "rule", "verdict")
+
+
+_OP1_SQL = """
+with u as (select page_id, case when contains(url, '://') then substr(url, instr(url, '://') + 3) else '' end as rest from pages),
+h as (select page_id, regexp_extract(rest, '^[^/?#]*') as raw, regexp_replace(regexp_extract(rest, '^[^?#]*'), '^[^/?#]*', '') as path from u),
+j as (select page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as host, path from h),
+r(host_end, path_start, rule, verdict) as (values ('org', '/', 'org/', 'allow'), ('example.org', '/es/', 'example.org/es/', 'block'),
+  ('example.org', '/en/1', 'example.org/en/1', 'block'), ('com', '/fr/', 'com/fr/', 'allow'), ('com', '/de/', 'com/de/', 'block')),
+f as (select page_id, host, path, rule, verdict, row_number() over (partition by page_id order by length(rule) desc nulls last) as n
+  from j left join r on starts_with(path, path_start) and (host = host_end or ends_with(host, '.' || host_end)))
+select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from f where n = 1
+"""
+
+
+def op5_language(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = langid.fit(docs.where(fold(4) != 2))
+    return langid.predict(docs, models).select("doc_id", (fold(4) == 2).alias("held_out"), "lang_pred", "score", "rejected")
+
+
 def op6_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
-QUERIES = {"op6_byte_bpe": op6_byte_bpe}
-ORACLES: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op5_language, op6_byte_bpe)}
+ORACLES = {"op1_url_filter": _OP1_SQL}
