@@ -1,8 +1,9 @@
 """The registered queries of the ten operators, each over its whole table with production parameters."""
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
-from figloom.llm import bpe, langid, urlfilter
+from figloom.llm import bpe, chat, langid, rules, toxicity, urlfilter
 from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -43,5 +44,39 @@ def op6_byte_bpe(spark, sf_dir):
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER), public_tokenizers.PATTERN)
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_language, op6_byte_bpe)}
-ORACLES = {"op1_url_filter": _OP1_SQL}
+def op7_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    _, scored = toxicity.fit_and_score(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+def op9_chat(spark, sf_dir):
+    said = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    back = chat.read_back(chat.format_chats(turns.unionByName(extra)))
+    digest = F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "").cast("binary"), 256)
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), digest.alias("turns_sha256"), F.length("loss_text").cast("long").alias("loss_chars"), F.sha2(F.col("loss_text").cast("binary"), 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+_OP9_SQL = r"""
+with t as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -1, 0, 'user', '</s>[INST] ok [/INST]' union all select -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+o as (select *, row_number() over w as i, lag(role) over w as before, regexp_replace(text, '<(\\*)\|', '<\1\\|', 'g') as e,
+  regexp_replace(role, '<(\\*)\|', '<\1\\|', 'g') as er from t window w as (partition by conv_id order by turn, role, text))
+select conv_id, count(*) as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by i)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by i) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(length(e) + case when before is distinct from role then length(er) + length('<|turn|><|says|><|end|>') else length('<|more|>') end) as bigint) as formatted_chars
+from o group by conv_id
+"""
+
+
+def op10_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = rules.fit_and_judge(docs, table(spark, sf_dir, "labels"))
+    return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
+ORACLES = {"op1_url_filter": _OP1_SQL, "op9_chat": _OP9_SQL}
