@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from figloom.llm import bpe, chat, langid, rules, toxicity, urlfilter
+from figloom.llm import bpe, chat, langid, rules, substrings, toxicity, urlfilter
 from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -34,6 +34,23 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from f w
 """
 
 
+def op3_substrings(spark, sf_dir):
+    found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
+_OP3_SQL = r"""
+with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+s as (select doc_id, unnest(generate_series(1, len(w) - 34)) as i, w from w where len(w) >= 35),
+g as (select doc_id, i, list_aggregate(w[i:i + 34], 'string_agg', ' ') as g from s),
+r as (select doc_id, i from g where g in (select g from g group by g having count(*) > 1)),
+c as (select doc_id, list_distinct(flatten(list(generate_series(i, i + 34)))) as c from r group by doc_id)
+select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(c), 0) as bigint) as n_removed,
+  sha256(coalesce(list_aggregate(list_filter(w, (x, k) -> c is null or not list_contains(c, k)), 'string_agg', ' '), '')) as kept_sha256
+from w left join c using (doc_id)
+"""
+
+
 def op5_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     models = langid.fit(docs.where(fold(4) != 2))
@@ -78,5 +95,5 @@ def op10_quality_rules(spark, sf_dir):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
-ORACLES = {"op1_url_filter": _OP1_SQL, "op9_chat": _OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op3_substrings, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
+ORACLES = {"op1_url_filter": _OP1_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL}

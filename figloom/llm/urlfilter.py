@@ -17,8 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WORDS = 8
-
+from figloom.llm import bloom
 
 def with_host_and_path(df: DataFrame, url_col: str = "url") -> DataFrame:
     """Adds host (A-Z lower-cased) and path; both empty for a null or one without `://`."""
@@ -29,36 +28,6 @@ def with_host_and_path(df: DataFrame, url_col: str = "url") -> DataFrame:
     return df.withColumn("host", F.translate(F.coalesce(host, F.lit("")), upper, lower)).withColumn("path", F.coalesce(path, F.lit("")))
 
 
-def _bits(h: np.ndarray, blocks: int):
-    """Block of each hash, and the mask of each of the block's eight words."""
-    h = h.view(np.uint64)
-    block = ((h >> np.uint64(40)) * np.uint64(blocks)) >> np.uint64(24)
-    masks = np.stack([np.uint64(1) << (((h & np.uint64(0xFFFFFFFF)) * np.uint64(2 * k + 0x5BD1E995)) >> np.uint64(9) & np.uint64(63)) for k in range(WORDS)], 1)
-    return block.astype(np.int64), masks
-
-
-def bloom_filter(keys: DataFrame, key_col: str, filter_bytes: int) -> np.ndarray:
-    """Blocks of eight 64-bit words over all keys; built from partial filters of each partition, filter_bytes at most."""
-    blocks = max(1, filter_bytes // (8 * WORDS))
-    schema = "block long, " + ", ".join(f"w{k} long" for k in range(WORDS))
-
-    def partial(batches):
-        for batch in batches:
-            block, masks = _bits(batch.column(0).to_numpy(zero_copy_only=False), blocks)
-            order = np.argsort(block, kind="stable")
-            block, masks = block[order], masks[order]
-            first = np.flatnonzero(np.diff(block, prepend=-1))
-            if len(first):
-                words = np.bitwise_or.reduceat(masks, first, axis=0).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(block[first]), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(WORDS))], ["block", *(f"w{k}" for k in range(WORDS))])
-
-    some = keys.select(F.xxhash64(key_col).alias("h")).mapInArrow(partial, schema)
-    table = some.groupBy("block").agg(*(F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS))).toPandas()
-    out = np.zeros((blocks, WORDS), np.uint64)
-    out[table["block"].to_numpy(np.int64)] = table[[f"w{k}" for k in range(WORDS)]].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
 def _possible(keyed: DataFrame, words: np.ndarray) -> DataFrame:
     """Rows of (host, path, candidate) that may be listed; keyed has host, path, keys array<string>, hashes array<long>."""
     shared = keyed.sparkSession.sparkContext.broadcast(words)
@@ -67,8 +36,7 @@ def _possible(keyed: DataFrame, words: np.ndarray) -> DataFrame:
         table = shared.value
         for batch in batches:
             hashes = batch.column(3)
-            block, masks = _bits(hashes.flatten().to_numpy(zero_copy_only=False), len(table))
-            hit = np.flatnonzero(((table[block] & masks) == masks).all(1))
+            hit = np.flatnonzero(bloom.may_hold(table, hashes.flatten().to_numpy(zero_copy_only=False)))
             if len(hit):
                 row = pa.array(np.searchsorted(hashes.offsets.to_numpy() - hashes.offsets[0].as_py(), hit, "right") - 1)
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(row), batch.column(1).take(row), batch.column(2).flatten().take(pa.array(hit))], ["host", "path", "candidate"])
@@ -85,7 +53,7 @@ def judge(urls: DataFrame, listed: DataFrame, default: str = "allow", url_col: s
     judged = with_host_and_path(urls, url_col)
     if not n:
         return judged.withColumn("rule", F.lit(None).cast("string")).withColumn("verdict", F.lit(default))
-    words = bloom_filter(entries, "rule", min(filter_bytes, max(64, 1 << (4 * n).bit_length())))
+    words = bloom.build(entries, F.xxhash64("rule"), min(filter_bytes, max(64, 1 << (4 * n).bit_length())))
     labels = F.split("host", r"\.")
     suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
     paths = F.transform(F.filter(F.array(*map(F.lit, lengths)), lambda x: x <= F.length("path")), lambda x: F.substring("path", F.lit(1), x))
