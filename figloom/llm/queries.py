@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from figloom.llm import bpe, chat, langid, rules, substrings, toxicity, urlfilter
+from figloom.llm import bpe, chat, jaccard, langid, rules, substrings, toxicity, urlfilter
 from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -34,19 +34,42 @@ select page_id, host, path, rule, coalesce(verdict, 'allow') as verdict from f w
 """
 
 
+def op2_ngram_jaccard(spark, sf_dir):
+    return jaccard.link(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
+_OP2_SQL = r"""
+with recursive w as (select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
+s as (select distinct doc_id, list_aggregate(w[i:i + 2], 'string_agg', ' ') as g
+  from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+k as (select g from s group by g having count(*) > 1),
+i as (select a.doc_id as a, b.doc_id as b, count(*) as i from s a join k using (g) join s b using (g) where a.doc_id < b.doc_id group by all),
+l as (select a, b from i join n x on x.doc_id = a join n y on y.doc_id = b where 100 * i >= 90 * (x.n + y.n - i)),
+e as (select a, b from l union all select b, a from l),
+r as (select a, b from e union select r.a, e.b from r join e on r.b = e.a),
+m as (select a, min(b) as b from r group by a),
+c as (select min(w.doc_id) as class_id, sets.g from (select doc_id, list(g order by g) as g from s group by doc_id) sets join w using (doc_id) group by sets.g)
+select w.doc_id, coalesce(n.n, 0) as n_shingles, coalesce(c.class_id, w.doc_id) as class_id, least(w.doc_id, coalesce(m.b, w.doc_id)) as component_id
+from w left join n using (doc_id) left join (select doc_id, list(g order by g) as g from s group by doc_id) x using (doc_id) left join c on c.g = x.g
+left join m on m.a = w.doc_id
+"""
+
+
 def op3_substrings(spark, sf_dir):
     found = substrings.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
 _OP3_SQL = r"""
-with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '') as w from documents),
+with w as (select doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') as w from documents),
 s as (select doc_id, unnest(generate_series(1, len(w) - 34)) as i, w from w where len(w) >= 35),
 g as (select doc_id, i, list_aggregate(w[i:i + 34], 'string_agg', ' ') as g from s),
 r as (select doc_id, i from g where g in (select g from g group by g having count(*) > 1)),
 c as (select doc_id, list_distinct(flatten(list(generate_series(i, i + 34)))) as c from r group by doc_id)
 select doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(c), 0) as bigint) as n_removed,
-  sha256(coalesce(list_aggregate(list_filter(w, (x, k) -> c is null or not list_contains(c, k)), 'string_agg', ' '), '')) as kept_sha256
+  sha256(coalesce(list_aggregate(list_filter(w, lambda x, k: c is null or not list_contains(c, k)), 'string_agg', ' '), '')) as kept_sha256
 from w left join c using (doc_id)
 """
 
@@ -95,5 +118,5 @@ def op10_quality_rules(spark, sf_dir):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op3_substrings, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
-ORACLES = {"op1_url_filter": _OP1_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
+ORACLES = {"op1_url_filter": _OP1_SQL, "op2_ngram_jaccard": _OP2_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL}
