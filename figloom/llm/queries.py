@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from figloom.llm import bpe, chat, jaccard, langid, rules, substrings, toxicity, urlfilter
+from figloom.llm import bpe, chat, decontaminate, jaccard, langid, rules, substrings, toxicity, urlfilter
 from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -74,6 +74,10 @@ from w left join c using (doc_id)
 """
 
 
+def op4_decontaminate(spark, sf_dir):
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_language(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     models = langid.fit(docs.where(fold(4) != 2))
@@ -118,5 +122,5 @@ def op10_quality_rules(spark, sf_dir):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op4_decontaminate, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
 ORACLES = {"op1_url_filter": _OP1_SQL, "op2_ngram_jaccard": _OP2_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL}
