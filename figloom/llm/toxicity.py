@@ -6,8 +6,7 @@ scoring segments are found in one pass, and extreme-value statistics of the clea
 segment's sum into the logarithm of how often a clean text of that length reaches it. Adding what the other
 significant segments give, a logistic curve over all labelled texts makes a score of it.
 
-The model holds at most `max_terms` terms, whatever the corpus, so it is collected and broadcast; every count that it
-is made from covers all labelled rows. Null and empty texts have no segment and get the score of one. Labels other
+The model holds at most `max_terms` terms, whatever the corpus, so it is collected and broadcast. Null and empty texts have no segment and get the score of one. Labels other
 than 0 and 1, null labels and labels of unknown documents are left out; a row is scored once for each time it occurs;
 with no labels at all every score is 0; other columns are not read.
 """
@@ -185,9 +184,14 @@ def _logistic(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, flo
     return max(float(at[0]), 0.0), float(at[1])
 
 
-def fit_and_score(docs: DataFrame, labels: DataFrame, learnable, prior: float = 500.0, least_z: float = 2.0, least_odds: float = 1.0, max_terms: int = 100_000) -> tuple[Model, DataFrame]:
-    """(model, doc_id, n_terms, evidence, score of every row of docs); labels has doc_id and toxic, used where learnable."""
+def fit_and_score(docs: DataFrame, labels: DataFrame, learnable, prior: float = 500.0, least_z: float = 2.0, least_odds: float = 1.0, max_terms: int = 100_000, max_labels: int = 250_000) -> tuple[Model, DataFrame]:
+    """(model, doc_id, n_terms, evidence, score of every row of docs); labels has doc_id and toxic, used where learnable.
+
+    The model is fitted on max_labels labelled texts at most, chosen by a hash of the id. So few are broadcast, and the
+    texts stay where they are."""
     known = labels.where(learnable).where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
+    share = max_labels / max(known.count(), max_labels)
+    known = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 0.99 * share * 1_000_003).limit(max_labels) if share < 1 else known)
     texts = docs.where("text is not null").select("doc_id", "text").join(known, "doc_id")
     model = Model()
     found = log_odds(term_counts(texts), prior, least_z, least_odds, max_terms)
