@@ -3,7 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
-from figloom.llm import bpe, chat, decontaminate, jaccard, langid, rules, substrings, toxicity, urlfilter
+from figloom.llm import bpe, chat, decontaminate, jaccard, langid, lm, rules, substrings, toxicity, urlfilter
 from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -90,8 +90,14 @@ def op6_byte_bpe(spark, sf_dir):
 
 def op7_toxicity(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    _, scored = toxicity.fit_and_score(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
-    return scored.select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), fold(5) != 0)
+    return toxicity.score(docs, model, ["doc_id"]).select("doc_id", (fold(5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "evidence")
+
+
+def op8_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    words = lm.vocabulary(docs)
+    return lm.score(docs, words, lm.train(docs, words))
 
 
 def op9_chat(spark, sf_dir):
@@ -122,5 +128,5 @@ def op10_quality_rules(spark, sf_dir):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op4_decontaminate, op5_language, op6_byte_bpe, op7_toxicity, op9_chat, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op4_decontaminate, op5_language, op6_byte_bpe, op7_toxicity, op8_lm, op9_chat, op10_quality_rules)}
 ORACLES = {"op1_url_filter": _OP1_SQL, "op2_ngram_jaccard": _OP2_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL}

@@ -217,19 +217,22 @@ def count_windows(travelled: DataFrame, width: int, partitions: int | None = Non
     return dealt.sortWithinPartitions("mini").mapInArrow(run, "doc_id long, h long, first int, windows int")
 
 
-def remove_repeats(docs: DataFrame, width: int = 35, filter_bytes: int = 1 << 25, late_count: int = 1000, most_late: int = 4096) -> DataFrame:
-    """doc_id, kept (the words left, joined by one space), n_words, n_removed of every row of docs.
+def remove_repeats(docs: DataFrame, width: int = 35, carry: tuple[str, ...] = (), filter_bytes: int = 1 << 25, late_count: int = 1000, most_late: int = 4096) -> DataFrame:
+    """doc_id, the carried columns, kept (the words left, joined by one space), n_words, n_removed of every row of docs.
 
     filter_bytes bounds the Bloom filter; minimisers of late_count occurrences and more (most_late of them) rank last."""
-    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    repeated = materialise(repeated_minimisers(keyed, width))
+    keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("h"), "text", *(F.col(c).alias(f"_{c}") for c in carry))
+    plain = keyed.select("doc_id", "h", "text")
+    repeated = materialise(repeated_minimisers(plain, width))
     n = repeated.count()
     table = _filter(repeated, min(filter_bytes, max(4096, 4 << n.bit_length())))
     late = np.array([r["mini"] for r in repeated.where(F.col("n") >= late_count).orderBy(F.desc("n"), "mini").limit(most_late).collect()], np.int64).view(np.uint64)
-    runs = count_windows(super_kmers(keyed, width, table, late), width)
+    runs = count_windows(super_kmers(plain, width, table, late), width)
     cuts = runs.groupBy("doc_id", "h").agg(F.collect_list(F.struct("first", "windows")).alias("runs"))
     both = keyed.alias("d").join(cuts.alias("c"), F.col("d.doc_id").eqNullSafe(F.col("c.doc_id")) & (F.col("d.h") == F.col("c.h")), "left")
 
+    names = ["doc_id", *carry, "kept", "n_words", "n_removed"]
+
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
@@ -245,9 +248,10 @@ def remove_repeats(docs: DataFrame, width: int = 35, filter_bytes: int = 1 << 25
                         words = [words[i] for i in np.flatnonzero(np.cumsum(step[:-1]) == 0)]
                     removed.append(words_of[-1] - len(words))
                     kept.append(b" ".join(words).decode("utf-8", "replace"))
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(kept, pa.string()), pa.array(words_of, pa.int64()), pa.array(removed, pa.int64())], ["doc_id", "kept", "n_words", "n_removed"])
+                yield pa.RecordBatch.from_arrays([part.column(0), *part.columns[3:], pa.array(kept, pa.string()), pa.array(words_of, pa.int64()), pa.array(removed, pa.int64())], names)
 
-    return both.select("d.doc_id", "d.text", "c.runs").mapInArrow(run, "doc_id long, kept string, n_words long, n_removed long")
+    kinds = "".join(f", `{c}` {docs.schema[c].dataType.simpleString()}" for c in carry)
+    return both.select("d.doc_id", "d.text", "c.runs", *(f"d._{c}" for c in carry)).mapInArrow(run, f"doc_id long{kinds}, kept string, n_words long, n_removed long")
 
 
 def _filter(repeated: DataFrame, filter_bytes: int) -> np.ndarray:

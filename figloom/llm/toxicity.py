@@ -8,7 +8,7 @@ significant segments give, a logistic curve over all labelled texts makes a scor
 
 The model holds at most `max_terms` terms, whatever the corpus, so it is collected and broadcast. Null and empty texts have no segment and get the score of one. Labels other
 than 0 and 1, null labels and labels of unknown documents are left out; a row is scored once for each time it occurs;
-with no labels at all every score is 0; other columns are not read.
+with no labels of both kinds every score is next to 0; other columns are not read.
 """
 
 import math
@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from figloom.functions.session import materialise
 from figloom.llm.textblocks import LOWER, NOT_TERM, text_blocks, word_hashes, word_spans
 
 #: The weight of terms outside the model: what a passage loses for each of them.
@@ -64,7 +63,7 @@ def term_counts(labelled: DataFrame) -> DataFrame:
                 n, t = np.bincount(inverse, minlength=len(unique)), np.bincount(inverse, toxic, len(unique)).astype(np.int64)
                 yield pa.RecordBatch.from_arrays([pa.array(unique.view(np.int64)), pa.array(t), pa.array(n - t)], ["term", "toxic", "clean"])
 
-    some = labelled.select("text", F.col("toxic").cast("int")).mapInArrow(partial, "term long, toxic long, clean long")
+    some = labelled.select("text", F.col("toxic").cast("int").alias("label")).mapInArrow(partial, "term long, toxic long, clean long")
     return some.groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
 
 
@@ -128,14 +127,36 @@ def _passages(docs: DataFrame, model: Model, columns: list, schema: str, rows):
     return docs.select(*columns).mapInArrow(run, schema)
 
 
-def segment_sums(docs: DataFrame, model: Model) -> DataFrame:
-    """doc_id, n_terms, sums array<double>: every maximal segment's sum, largest first."""
+def best_sums(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """columns, n_terms, best: the sum of the best segment of every row's text, 0 where there is none."""
 
     def rows(part, found, n, *_):
-        sums = [sorted((s for s, _, _ in x), reverse=True) for x in found]
-        return pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(sums, pa.list_(pa.float64()))], ["doc_id", "n_terms", "sums"])
+        best = [max([s for s, _, _ in x], default=0.0) for x in found]
+        return pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(best, pa.float64())], [*columns, "n_terms", "best"])
 
-    return _passages(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), "text"], "doc_id long, n_terms long, sums array<double>", rows)
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    return _passages(docs, model, [*columns, "text"], f"{kinds}, n_terms long, best double", rows)
+
+
+def evidence(model: Model, sums: list[float], n_terms: int) -> float:
+    """The best segment's log significance and what the others add beyond 0, between -8 and 30."""
+    if not sums:
+        return -8.0
+    floor = model.log_k + math.log(max(n_terms, 1))
+    found = sorted((model.decay * s - floor for s in sums), reverse=True)
+    return min(max(found[0] + sum(x for x in found[1:] if x > 0), -8.0), 30.0)
+
+
+def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
+    """columns, n_terms, evidence, score of every row; the columns pass through, nothing is shuffled."""
+
+    def rows(part, found, n, *_):
+        e = np.array([evidence(model, [s for s, _, _ in x], k) for x, k in zip(found, n, strict=True)])
+        p = 1 / (1 + np.exp(-(model.slope * e + model.shift)))
+        return pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(e), pa.array(p)], [*columns, "n_terms", "evidence", "score"])
+
+    kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
+    return _passages(docs, model, [*columns, "text"], f"{kinds}, n_terms long, evidence double, score double", rows)
 
 
 def passages(docs: DataFrame, model: Model, least: float = 3.0) -> DataFrame:
@@ -154,14 +175,6 @@ def passages(docs: DataFrame, model: Model, least: float = 3.0) -> DataFrame:
     return _passages(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), "text"], "doc_id long, passage_start long, passage_end long, significance double", rows)
 
 
-def evidence(model: Model):
-    """Column: the best segment's log significance, and the sum of what the others add beyond 0."""
-    e = F.transform("sums", lambda s: model.decay * s - F.lit(model.log_k) - F.log(F.greatest("n_terms", F.lit(1)).cast("double")))
-    top = F.coalesce(F.try_element_at(e, F.lit(1)), F.lit(-8.0))
-    rest = F.aggregate(F.slice(e, 2, 1 << 20), F.lit(0.0), lambda a, x: a + F.greatest(x, F.lit(0.0)))
-    return F.greatest(F.least(top + rest, F.lit(30.0)), F.lit(-8.0))
-
-
 def _logistic(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, float]:
     """Slope and shift of a logistic curve through counted positives and negatives at x; lightly shrunk, never falling."""
 
@@ -184,35 +197,31 @@ def _logistic(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, flo
     return max(float(at[0]), 0.0), float(at[1])
 
 
-def fit_and_score(docs: DataFrame, labels: DataFrame, learnable, prior: float = 500.0, least_z: float = 2.0, least_odds: float = 1.0, max_terms: int = 100_000, max_labels: int = 250_000) -> tuple[Model, DataFrame]:
-    """(model, doc_id, n_terms, evidence, score of every row of docs); labels has doc_id and toxic, used where learnable.
+def fit(docs: DataFrame, labels: DataFrame, learnable, prior: float = 500.0, least_z: float = 2.0, least_odds: float = 1.0, max_terms: int = 100_000, max_labels: int = 250_000) -> Model:
+    """A model of the labelled texts; labels has doc_id and toxic, used where learnable.
 
-    The model is fitted on max_labels labelled texts at most, chosen by a hash of the id. So few are broadcast, and the
-    texts stay where they are."""
+    It is fitted on max_labels labelled texts at most, chosen by a hash of the id. So few are broadcast, and the texts
+    stay where they are."""
     known = labels.where(learnable).where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = max_labels / max(known.count(), max_labels)
     known = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 0.99 * share * 1_000_003).limit(max_labels) if share < 1 else known)
-    texts = docs.where("text is not null").select("doc_id", "text").join(known, "doc_id")
+    texts = docs.where("text is not null").select("doc_id", "text").join(known, "doc_id").select("toxic", "text")
     model = Model()
     found = log_odds(term_counts(texts), prior, least_z, least_odds, max_terms)
-    if found:
-        terms = np.array([r["term"] for r in found], np.int64).view(np.uint64)
-        weights = np.clip([r["weight"] for r in found], -1.0, MOST)
-        order = np.argsort(terms)
-        model.terms, model.weights = terms[order], weights[order]
-    sums = materialise(segment_sums(docs, model))
-    if found:
-        best = sums.join(known, "doc_id").select("toxic", "n_terms", F.coalesce(F.try_element_at("sums", F.lit(1)), F.lit(0.0)).alias("best"))
-        # Gumbel law of the best sum less log(length), by its median and 95th percentile over the clean texts.
-        law = best.where("toxic = 0 and n_terms > 0").agg(F.percentile_approx("best", [0.5, 0.95], 10_000).alias("q"), F.avg(F.log("n_terms")).alias("log_n")).first()
-        if law["q"] is not None:
-            middle, high = law["q"]
-            model.decay = 1 / max((high - middle) / 2.6037, 0.5)
-            model.log_k = model.decay * middle - 0.3665 - law["log_n"]
-        bins = sums.join(known, "doc_id").groupBy(F.round(evidence(model), 1).alias("x")).agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).orderBy("x").collect()
-        if bins:
-            model.slope, model.shift = _logistic(*(np.array([r[k] for r in bins], float) for k in ("x", "n1", "n0")))
-    scored = sums.withColumn("evidence", evidence(model)).select("doc_id", "n_terms", "evidence")
     if not found:
-        return model, scored.withColumn("score", F.lit(0.0))
-    return model, scored.withColumn("score", 1 / (1 + F.exp(-(F.lit(model.slope) * F.col("evidence") + F.lit(model.shift)))))
+        return model
+    terms = np.array([r["term"] for r in found], np.int64).view(np.uint64)
+    weights = np.clip([r["weight"] for r in found], -1.0, MOST)
+    order = np.argsort(terms)
+    model.terms, model.weights = terms[order], weights[order]
+    # Gumbel law of the best sum less log(length), by its median and 95th percentile over the clean texts.
+    best = best_sums(texts, model, ["toxic"]).where("toxic = 0 and n_terms > 0")
+    law = best.agg(F.percentile_approx("best", [0.5, 0.95], 10_000).alias("q"), F.avg(F.log("n_terms")).alias("log_n")).first()
+    if law["q"] is not None:
+        middle, high = law["q"]
+        model.decay = 1 / max((high - middle) / 2.6037, 0.5)
+        model.log_k = model.decay * middle - 0.3665 - law["log_n"]
+    told = score(texts, model, ["toxic"]).groupBy(F.round("evidence", 1).alias("x"))
+    bins = told.agg(F.sum("toxic").alias("n1"), F.sum(1 - F.col("toxic")).alias("n0")).orderBy("x").collect()
+    model.slope, model.shift = _logistic(*(np.array([r[k] for r in bins], float) for k in ("x", "n1", "n0")))
+    return model
