@@ -14,6 +14,8 @@ _CAP = """select figure_id, concat('Overview of figure ', cast(figure_id as varc
 from (select l_orderkey as figure_id, l_linenumber as pos, min(l_partkey) as pk from {lineitem} group by l_orderkey, l_linenumber) i
 join {part} on p_partkey = pk group by figure_id"""
 _PIECE = "concat('(', substr('abcdefg', pos, 1), ') ', p_type, ' image of ', p_name, ' at ', cast(p_size as varchar(10)), ' nm.')"
+_ENT = f"""select figure_id, pos, concat('(', substr('abcdefg', pos, 1), ').') as label, {_PIECE} as description, p_type as keyword
+from (select l_orderkey as figure_id, l_linenumber as pos, min(l_partkey) as pk from {{lineitem}} group by l_orderkey, l_linenumber) i join {{part}} on p_partkey = pk"""
 _SUB = """select figure_id, idx, case when figure_id % 5 = 0 then 'z' when figure_id % 2 = 1 then upper(substr('abcdefg', idx, 1)) else substr('abcdefg', idx, 1) end as label,
   case figure_id % 8 when 0 then 'microscopy' when 1 then 'diffraction' when 2 then 'graph' when 3 then 'basic_photo' when 4 then 'illustration' when 5 then 'unclear' when 6 then 'parent' else 'background' end as classification,
   x1, y1, x2, y2, confidence, o_custkey as article_id, c_name as title, c_nationkey % 2 = 0 as open
@@ -24,8 +26,8 @@ _HTML = """select figure_id, concat('<html><head><title>Article ', cast(figure_i
   '"><span>Closed</span></a><figure><img src="//img.example.org/', cast(figure_id as varchar(20)), '_hi-res.jpg"><p>', caption, '</p></figure><figure><p></p></figure></body></html>') as html
 from {cap}"""
 _SPARK_JOINED = f"array_join(transform(array_sort(collect_list(named_struct('p', pos, 't', {_PIECE}))), z -> z.t), ' ')"
-_TEMPLATES = {"box": _BOX, "lbl": _LBL, "cap": _CAP, "sub": _SUB, "html": _HTML}
-_NEEDS = {"box": [], "lbl": [], "cap": [], "sub": ["box"], "html": ["cap"]}
+_TEMPLATES = {"box": _BOX, "lbl": _LBL, "cap": _CAP, "ent": _ENT, "sub": _SUB, "html": _HTML}
+_NEEDS = {"box": [], "lbl": [], "cap": [], "ent": [], "sub": ["box"], "html": ["cap"]}
 GIVEN = "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations".split()
 
 
