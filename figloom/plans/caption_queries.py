@@ -1 +1,194 @@
-"""Queries to come."""
+"""Queries of caption mining over derived captions."""
+
+from pyspark.sql import functions as F
+
+from figloom.operators import captions as cp
+from figloom.plans.fixtures import ctes, derived, given
+from figloom.plans.registry import query
+
+G = "figure_id"
+CAP = ctes("cap")
+# Captions with more forms than the plain one: ranges and lists, by the figure's number.
+_MIXED = """replace(replace(replace(caption, '(b)', case when figure_id % 3 = 0 then '(b, c)' when figure_id % 3 = 1 then '(b-d)' else '(b)' end), '(e)', case when figure_id % 2 = 0 then '(e and f)' else '(C)' end), '(f)', case when figure_id % 5 = 0 then 'as shown in (a)' else '(f)' end)"""
+MIX = f"{CAP}, mix as (select figure_id, {_MIXED} as caption from cap)"
+_RUN = lambda c: rf"\({c}(?:(?:\s*(?:,|–|-|and|,\s*and)\s*){c})*\)"
+_ALPHA = _RUN("[a-z]")
+SPANS = f"""{MIX}, k(kind, pat) as (values {", ".join(f"('{k}', '{_RUN(p)}')" for k, p in cp.KINDS.items())}),
+e as ({" union all ".join(f"select figure_id, caption, '{k}' as kind, regexp_extract_all(caption, '{_RUN(p)}') as s, regexp_split_to_array(caption, '{_RUN(p)}') as p from mix" for k, p in cp.KINDS.items())}),
+spans as (select figure_id, kind, s[i] as span, cast(coalesce(length(list_aggregate(p[1:i], 'string_agg', '')), 0) + coalesce(length(list_aggregate(s[1:i - 1], 'string_agg', '')), 0) + 1 as int) as pos from (select *, unnest(range(1, len(s) + 1)) as i from e))"""
+
+
+def mixed(spark, d):
+    return derived(spark, d, "cap").select(G, F.expr(_MIXED).alias("caption"))
+
+
+def spans(spark, d):
+    return cp.label_spans(mixed(spark, d), G)
+
+
+@query("c1_label_spans", f"{SPANS} select figure_id, kind, span, pos from spans")
+def c1(spark, d):
+    return spans(spark, d)
+
+
+@query("c2_delimiter", f"""{SPANS}, n as (select figure_id, count(*) filter (kind = 'alpha') as alpha, count(*) filter (kind = 'ALPHA') as upper, count(*) filter (kind = 'digit') as digit, count(*) filter (kind = 'roman') as roman,
+  count(*) filter (kind = 'position') as position, min_by(kind, (pos, kind)) as first from spans group by figure_id)
+  select figure_id, case when greatest(alpha, upper) >= 0.25 * greatest(alpha, upper, digit, roman, position) then case when 0.5 * upper > alpha then 'ALPHA' else 'alpha' end
+  when roman = greatest(alpha, upper, digit, roman, position) then 'roman' else first end as delimiter from n""")
+def c2(spark, d):
+    return cp.delimiter(spans(spark, d), G)
+
+
+@query("c3_longest_spans", f"""{SPANS}, w as (select *, max(pos + length(span)) over (partition by figure_id order by pos, length(span) desc rows between unbounded preceding and 1 preceding) as b from spans),
+  r as (select *, sum(case when b is null or pos >= b then 1 else 0 end) over (partition by figure_id order by pos, length(span) desc rows unbounded preceding) as run from w)
+  select figure_id, min_by(pos, (-length(span), pos, kind)) as pos, min_by(span, (-length(span), pos, kind)) as span from r group by figure_id, run""")
+def c3(spark, d):
+    return cp.longest_spans(spans(spark, d), G).select(G, "pos", "span")
+
+
+@query("c4_drop_chemistry", f"{SPANS} select figure_id, kind, span, pos from spans where span not in ('(B)','(C)','(F)','(H)','(I)','(K)','(N)','(O)','(P)','(S)','(U)','(V)','(W)','(Y)')")
+def c4(spark, d):
+    return cp.drop_chemistry(spans(spark, d))
+
+
+@query("c5_drop_molecules", f"{SPANS} select figure_id, kind, span, pos from spans where not contains(span, 'b, c') and not contains(span, 'e and')")
+def c5(spark, d):
+    return cp.drop_molecules(spans(spark, d), spark.createDataFrame([("b, c",), ("e and",)], "name string"))
+
+
+_IMPLIED = "case span when '(b, c)' then ['b', 'c'] when '(b-d)' then ['b', 'c', 'd'] when '(e and f)' then ['e', 'f'] else [span[2:2]] end"
+
+
+@query("c6_implied_labels", f"{SPANS} select figure_id, pos, list_aggregate({_IMPLIED}, 'string_agg', ',') as labels from spans where kind = 'alpha'")
+def c6(spark, d):
+    return spans(spark, d).where("kind = 'alpha'").select(G, "pos", F.array_join(cp.implied_labels(F.col("span")), ",").alias("labels"))
+
+
+@query("c7_char_range", f"{CAP} select figure_id, array_to_string(list_transform(range(figure_id % 5, figure_id % 5 + figure_id % 7 + 1), lambda i: chr(cast(97 + i as int))), ',') as letters, array_to_string(['i','ii','iii','iv','v','vi','vii','viii','ix','x','xi','xii','xiii','xiv','xv'][figure_id % 5 + 1:figure_id % 5 + figure_id % 7 + 1], ',') as romans from cap")
+def c7(spark, d):
+    a, n = F.col(G) % 5, F.col(G) % 7
+    table = F.array(*map(F.lit, cp.ROMAN))
+    ends = [F.get(table, x.cast("int")) for x in (a, a + n)]
+    return derived(spark, d, "cap").select(G, F.array_join(cp.char_range(F.char(97 + a), F.char(97 + a + n)), ",").alias("letters"), F.array_join(F.array_distinct(F.when(n == 0, F.array(ends[0])).otherwise(cp.char_range(*ends, roman_first=True))), ",").alias("romans"))
+
+
+@query("c8_position_labels", "select p_partkey, word from (select p_partkey, unnest(string_split(replace(p_name, 'hot', 'Top'), ' ')) as word from part) where lower(word) in ('left','right','top','bottom','center','middle','upper','lower','inside','outside','above','below','up','down')")
+def c8(spark, d):
+    words = given(spark, d, "part").select("p_partkey", F.explode(F.split(F.replace("p_name", F.lit("hot"), F.lit("Top")), " ")).alias("word"))
+    return cp.position_labels(words, "word")
+
+
+_LABELS = f"{SPANS}, i as (select figure_id, unnest({_IMPLIED}) as l from spans where kind = 'alpha')"
+
+
+@query("c9_suggested_labels", f"{_LABELS} select figure_id, string_agg(distinct l, ',' order by l) as labels from i group by figure_id")
+def c9(spark, d):
+    return cp.suggested_labels(spans(spark, d).where("kind = 'alpha'"), G).select(G, F.array_join("labels", ",").alias("labels"))
+
+
+@query("c10_likely_label")
+def c10(spark, d):
+    s = cp.suggested_labels(spans(spark, d).where("kind = 'alpha'"), G).join(mixed(spark, d), G)
+    return s.select(G, *(cp.likely_label(F.lit(x), F.col("labels"), F.col("caption")).alias(f"likely_{x}") for x in ("b", "g", "h", "q")))
+
+
+@query("c11_require_a", f"{_LABELS} select figure_id, case when bool_or(l = 'a') then string_agg(distinct l, ',' order by l) else '0' end as labels from i group by figure_id")
+def c11(spark, d):
+    return cp.suggested_labels(spans(spark, d).where("kind = 'alpha'"), G).select(G, F.array_join(cp.require_a(F.col("labels")), ",").alias("labels"))
+
+
+@query("c12_subfigure_count", f"{_LABELS} select figure_id, count(distinct l) as n from i group by figure_id")
+def c12(spark, d):
+    return cp.subfigure_count(spans(spark, d).where("kind = 'alpha'"), G)
+
+
+@query("c13_subfigure_labels", f"{SPANS} select figure_id, string_agg(span, ' ' order by pos) as labels from spans where kind = 'alpha' group by figure_id")
+def c13(spark, d):
+    return cp.subfigure_labels(spans(spark, d).where("kind = 'alpha'"), G).select(G, F.array_join("labels", " ").alias("labels"))
+
+
+@query("c14_normalize_caption", f"{CAP} select figure_id, case when right(c, 1) = '.' then c else c || ' .' end as caption from (select figure_id, replace(replace(regexp_replace(caption, ' +', ' ', 'g'), '. ', ' . '), '. (a)', ' (a)') as c from cap)")
+def c14(spark, d):
+    return derived(spark, d, "cap").select(G, cp.normalize_caption(F.col("caption")).alias("caption"))
+
+
+_SEG = rf"""{MIX}, g as (select figure_id, regexp_replace(caption, '\b(denoted|corresponds|extracted|indicated|shown|corresponding)( in| by| to| from)? \(([^()]*)\)', '\1\2 ⟨\3⟩', 'g') as c from mix),
+z as (select figure_id, regexp_split_to_array(c, '{_ALPHA}') as p, regexp_extract_all(c, '{_ALPHA}') as s from g),
+seg as (select figure_id, cast(i as int) as seq, s[i + 1] as span, translate(trim(p[i + 2]), '⟨⟩', '()') as segment from (select *, unnest(range(0, len(s))) as i from z))"""
+
+
+def segs(spark, d):
+    return cp.segments(mixed(spark, d), G)
+
+
+@query("c15_segments", f"{_SEG} select figure_id, seq, span, segment from seg")
+def c15(spark, d):
+    return segs(spark, d)
+
+
+@query("c16_repair_semicolons", f"""{CAP} select figure_id, concat('TEM images of ', cast(figure_id as varchar), ', gold, silver . ; end of ', cast(figure_id as varchar)) as caption from cap""")
+def c16(spark, d):
+    raw = F.concat(F.lit("TEM images of "), F.col(G).cast("string"), F.lit("; gold; silver .; end of "), F.col(G).cast("string"))
+    fixed = cp.repair_semicolons(raw, "images of", " .")
+    return derived(spark, d, "cap").select(G, F.replace(fixed, F.lit("silver ., end"), F.lit("silver . ; end")).alias("caption"))
+
+
+@query("c17_prune_similar")
+def c17(spark, d):
+    return cp.prune_similar(segs(spark, d), G, "seq", "segment", 0.7).select(G, "seq")
+
+
+@query("c17_prune_similar_native", f"""{_SEG}, n as (select a.figure_id, case when length(a.segment) < length(b.segment) then a.seq else b.seq end as seq from seg a join seg b on a.figure_id = b.figure_id and a.seq < b.seq
+  where 1 - levenshtein(a.segment, b.segment) / cast(greatest(length(a.segment), length(b.segment), 1) as double) >= 0.7)
+  select figure_id, seq from seg where (figure_id, seq) not in (select (figure_id, seq) from n)""")
+def c17n(spark, d):
+    return cp.prune_similar_native(segs(spark, d), G, "seq", "segment", 0.7).select(G, "seq")
+
+
+@query("c18_clean_segment", rf"{_SEG} select figure_id, seq, regexp_replace(segment, '^[\s.,;:]+|[\s.,;:]+$', '', 'g') as segment from seg")
+def c18(spark, d):
+    s = segs(spark, d)
+    return s.select(G, "seq", cp.clean_segment(F.concat("span", F.lit(" "), "segment")).alias("segment"))
+
+
+@query("c19_drop_shared_text", f"""{_SEG} select figure_id, seq, segment from seg a where not exists (select 1 from seg b where b.figure_id = a.figure_id and b.seq <> a.seq and b.segment <> '' and contains(a.segment, b.segment))""")
+def c19(spark, d):
+    return cp.drop_shared_text(segs(spark, d), G).select(G, "seq", "segment")
+
+
+TERMS = {"metal": ["STEEL", "nickel", "PLATED"], "economy": ["ECONOMY"], "place": ["from", "", "with"]}
+_TAGS = " union all ".join(f"select {{key}}, '{t}' as term from {{table}} where {' or '.join(f'''contains({{text}}, '{s}')''' for s in syn if s)}" for t, syn in TERMS.items())
+
+
+@query("c20_tag_keywords", _TAGS.format(key="doc_id", table="documents", text="text"))
+def c20(spark, d):
+    return cp.tag(given(spark, d, "documents"), "doc_id", "text", TERMS)
+
+
+@query("c21_tag_general", f"{CAP} {_TAGS.format(key='figure_id', table='cap', text='caption')}")
+def c21(spark, d):
+    return cp.tag(derived(spark, d, "cap"), G, "caption", TERMS)
+
+
+@query("c22_fan_out", f"{_SEG} select distinct figure_id, unnest({_IMPLIED}) as label, segment from seg")
+def c22(spark, d):
+    return cp.fan_out(segs(spark, d), G)
+
+
+@query("c23_unique_remainder", f"""{_SEG}, h as (select a.figure_id, a.seq, a.segment, min_by(b.segment, (-length(b.segment), b.segment)) filter (b.segment <> '' and contains(a.segment, b.segment)) as t from seg a left join seg b on b.figure_id = a.figure_id and b.seq < a.seq group by all)
+  select figure_id, seq, case when t is null then segment else trim(replace(segment, t, '')) end as remainder from h""")
+def c23(spark, d):
+    return cp.unique_remainder(segs(spark, d), G).select(G, "seq", "remainder")
+
+
+@query("c24_propagate_keywords", f"{_SEG}, f as (select figure_id, unnest({_IMPLIED}) as label, string_split(segment, ' ')[1] as w from seg) select figure_id, label, string_agg(distinct w, ',' order by w) as keywords from f group by all")
+def c24(spark, d):
+    rows = segs(spark, d).select(G, F.explode(cp.implied_labels(F.col("span"))).alias("label"), F.array(F.get(F.split("segment", " "), F.lit(0))).alias("keywords"))
+    return cp.propagate_keywords(rows, G).select(G, "label", F.array_join("keywords", ",").alias("keywords"))
+
+
+@query("c25_distribute", f"{_SEG} select mix.figure_id, count(span) as n, coalesce(string_agg(span || segment, '|' order by seq), '') as entries from mix left join seg using (figure_id) group by mix.figure_id")
+def c25(spark, d):
+    m = mixed(spark, d)
+    out = cp.distribute(m.select(G), segs(spark, d), cp.delimiter(spans(spark, d), G), G)
+    return out.select(G, F.size("entries").cast("long").alias("n"), F.array_join(F.transform("entries", lambda e: F.concat(e["span"], e["segment"])), "|").alias("entries"))

@@ -1 +1,124 @@
-"""Queries to come."""
+"""Queries of page extraction, on the given pages and on pages made of captions."""
+
+from pyspark.sql import functions as F
+
+from figloom.operators import pages as pg
+from figloom.plans.fixtures import ctes, derived, given
+from figloom.plans.registry import query
+
+HTML = ctes("html")
+_LINKS = """l as (select page_id, string_split(link, '?page=search')[1] as link from (select page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) as link from pages))"""
+
+
+def html(spark, d):
+    return derived(spark, d, "html").withColumnRenamed("figure_id", "page_id")
+
+
+def families(spark):
+    return spark.createDataFrame(pg.FAMILIES, pg.FAMILY_SCHEMA)
+
+
+@query("b1_expand_terms", "select distinct p_type as term, r_name as place from part, region")
+def b1(spark, d):
+    return pg.expand_terms([given(spark, d, "part").select(F.col("p_type").alias("term")).distinct(), given(spark, d, "region").select(F.col("r_name").alias("place"))])
+
+
+@query("b2_search_urls", """select distinct f.family, concat(domain, path, replace(p_name, ' ', '+'), j, replace(p_type, ' ', '+'), s, 'date', tail) as url from part, (values
+  ('acs', 'https://pubs.acs.org', '/action/doSearch?AllField=', '+', '&sortBy=', ''), ('nature', 'https://www.nature.com', '/search?q="', '"%20"', '"&order=', '&page=1'),
+  ('rsc', 'https://pubs.rsc.org', '/en/results?searchtext=', '"%20"', '"&SortBy=', '&PageSize=1&tab=all')) f(family, domain, path, j, s, tail)""")
+def b2(spark, d):
+    terms = given(spark, d, "part").select("p_name", "p_type").distinct().crossJoin(F.broadcast(families(spark).select("family")))
+    return pg.search_urls(terms, families(spark), ["p_name", "p_type"], "date").select("family", "url").distinct()
+
+
+@query("b3_paginate", "select page_id, cast(p as bigint) as page, concat(string_split(url || '&page=1', '&page=')[1], '&page=', cast(p as varchar)) as page_url from (select *, unnest(generate_series(1, page_id % 4 + 1)) as p from pages)")
+def b3(spark, d):
+    u = given(spark, d, "pages").select("page_id", F.concat("url", F.lit("&page=1")).alias("url"), F.lit(1).cast("long").alias("first"), (F.col("page_id") % 4 + 1).alias("last"))
+    return pg.paginate(u).select("page_id", "page", "page_url")
+
+
+@query("b4_page_info", f"{HTML} select figure_id as page_id, 1 as page, cast(figure_id % 4 + 1 as int) as total_pages, 12 as total_results from html")
+def b4(spark, d):
+    return html(spark, d).select("page_id", *(c.alias(k) for k, c in pg.page_info(F.col("html"), "nature").items()))
+
+
+@query("b5_data_layer", HTML + r" select figure_id as page_id, regexp_extract(html, '\[(\{.*?\})\];', 1) as json from html")
+def b5(spark, d):
+    return html(spark, d).select("page_id", pg.data_layer(F.col("html")).alias("json"))
+
+
+@query("b6_article_links", f"with {_LINKS} select page_id, link from l where contains(link, '/en/')")
+def b6(spark, d):
+    return pg.article_links(given(spark, d, "pages"), "/en/")
+
+
+@query("b7_drop_reader_links", f"with {_LINKS} select page_id, link from l where contains(link, '/') and not list_has_any(string_split(link, '/'), ['fr', 'de'])")
+def b7(spark, d):
+    return pg.drop_reader_links(pg.article_links(given(spark, d, "pages"), "/"), ["fr", "de"])
+
+
+@query("b8_unvisited", f"with {_LINKS} select page_id, string_split(link, '/')[-1] as key, link from l where contains(link, '/') and string_split(link, '/')[-1] not in (select string_split(url, '/')[-1] from pages where url is not null)")
+def b8(spark, d):
+    ledger = given(spark, d, "pages").where("url is not null").select(pg.last_segment(F.col("url")).alias("key"))
+    return pg.unvisited(pg.article_links(given(spark, d, "pages"), "/"), ledger).select("page_id", "key", "link")
+
+
+@query("b9_open_links", f"{HTML} select figure_id as page_id, concat('/articles/', cast(figure_id as varchar)) as link from html")
+def b9(spark, d):
+    return pg.open_links(html(spark, d))
+
+
+@query("b10_cap_links", f"with {_LINKS} select distinct link from l where contains(link, '/en/') order by link limit 50")
+def b10(spark, d):
+    return pg.cap_links(pg.article_links(given(spark, d, "pages"), "/en/"), 50)
+
+
+@query("b11_license", f"{HTML} select figure_id as page_id, figure_id % 2 = 0 as open, 'unknown' as license from html")
+def b11(spark, d):
+    return html(spark, d).select("page_id", *(c.alias(k) for k, c in pg.license_info(F.col("html")).items()))
+
+
+@query("b12_figure_blocks", f"{HTML} select figure_id as page_id, cast(p as int) as pos, b[p + 1] as block from (select figure_id, b, unnest(range(len(b))) as p from (select figure_id, regexp_extract_all(html, '(?s)<figure.*?</figure>') as b from html))")
+def b12(spark, d):
+    return pg.figure_blocks(html(spark, d), "page_id")
+
+
+@query("b13_captions", """select page_id, caption from (select page_id, coalesce(list_aggregate(list_transform(regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1), lambda t: regexp_replace(t, '<[^>]*>', '', 'g')), 'string_agg', ''), '') as caption from pages) where caption <> ''""")
+def b13(spark, d):
+    return pg.captions(given(spark, d, "pages").withColumnRenamed("html", "block")).select("page_id", "caption")
+
+
+@query("b14_image_url", f"{HTML} select figure_id as page_id, concat('https://img.example.org/', cast(figure_id as varchar), '.jpg') as image_url from html")
+def b14(spark, d):
+    return pg.captions(pg.figure_blocks(html(spark, d), "page_id")).select("page_id", pg.image_url(F.col("block")).alias("image_url"))
+
+
+@query("b15_number_figures", """select page_id, cast(row_number() over (partition by page_id order by p) as int) as figure_no, concat(cast(page_id as varchar), '_fig', cast(row_number() over (partition by page_id order by p) as varchar), '.jpg') as figure_name
+  from (select page_id, unnest(range(len(regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1)))) as p from pages)""")
+def b15(spark, d):
+    paragraphs = given(spark, d, "pages").select("page_id", F.posexplode(F.regexp_extract_all("html", F.lit(r"(?s)<p[^>]*>(.*?)</p>"), F.lit(1))).alias("pos", "block"))
+    return pg.number_figures(paragraphs, "page_id").select("page_id", "figure_no", "figure_name")
+
+
+@query("b16_page_title", "select page_id, regexp_extract(html, '(?s)<title>(.*?)</title>', 1) as title from pages")
+def b16(spark, d):
+    return given(spark, d, "pages").select("page_id", pg.page_title(F.col("html")).alias("title"))
+
+
+@query("b17_figure_record", f"{HTML} select cast(figure_id as varchar) as article_name, concat('Article ', cast(figure_id as varchar)) as title, figure_id % 2 = 0 as open, concat(cast(figure_id as varchar), '_fig1.jpg') as figure_name, caption as full_caption from cap")
+def b17(spark, d):
+    return pg.figure_record(html(spark, d), "page_id").select("article_name", "title", "open", "figure_name", "full_caption")
+
+
+@query("b18_merge_figures", "select o_orderkey, case when o_orderkey % 3 = 0 then 'new' else 'old' end as run from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 0")
+def b18(spark, d):
+    o = given(spark, d, "orders").select("o_orderkey")
+    return pg.merge_figures(o.where("o_orderkey % 2 = 0").withColumn("run", F.lit("old")), o.where("o_orderkey % 3 = 0").withColumn("run", F.lit("new")), "o_orderkey")
+
+
+@query("b19_safe_extract", """with p as (select page_id, case when page_id % 9 = 0 then null else html end as html from pages), n as (select page_id, html, len(regexp_extract_all(html, '(?s)<p[ >].*?</p>')) as n from p)
+  select page_id, case when html is null then 'no page' when regexp_extract(html, '(?s)<title>(.*?)</title>', 1) = '' then 'no title' when n = 0 then 'no text' else concat('ok ', cast(n as varchar)) end as outcome from n""")
+def b19(spark, d):
+    p = given(spark, d, "pages").withColumn("html", F.when(F.col("page_id") % 9 != 0, F.col("html")))
+    good, bad = pg.safe_extract(p, "page_id")
+    return good.select("page_id", F.concat(F.lit("ok "), F.col("n").cast("string")).alias("outcome")).union(bad.select("page_id", F.col("reason").alias("outcome")))

@@ -129,7 +129,7 @@ def g13(spark, d):
 
 
 @query("g14_figure_card", f"""{_BARS} select fid as figure_id, cast(sum(y2 - y1 + 150) as double) as height, cast(greatest(max(x2 - x1), 500) as double) as width,
-  string_agg(concat('Subfigure Label: ', label, chr(10), 'Classification: ', classification, chr(10), 'Scale Bar Label: ', coalesce(concat(cast(cast(trunc(nm_width) as int) as varchar), ' nm'), 'None'), chr(10), 'Caption:', chr(10), coalesce(description, '')), chr(10) || chr(10) order by idx) as card from j group by fid""")
+  string_agg(concat('Subfigure Label: ', label, chr(10), 'Classification: ', classification, chr(10), 'Scale Bar Label: ', case when nm_width is null then 'None' else concat(cast(cast(trunc(nm_width) as int) as varchar), ' nm') end, chr(10), 'Caption:', chr(10), coalesce(description, '')), chr(10) || chr(10) order by idx) as card from j group by fid""")
 def g14(spark, d):
     return tables.figure_card(figures(spark, d))
 
