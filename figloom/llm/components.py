@@ -1,6 +1,6 @@
 """Connected components of a graph of ids, by alternating stars in Spark; nothing is gathered on the driver."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from figloom.functions.session import materialise
@@ -19,9 +19,9 @@ def components(edges: DataFrame, most_rounds: int = 100) -> DataFrame:
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.groupBy("u").agg(F.min("v").alias("m"))
         step = large.join(small, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
-        now = materialise(step.where("u != v").distinct())
-        told = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if told == before:
+        seen = Observation()
+        now = materialise(step.where("u != v").distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+        if seen.get == before:
             break
-        before = told
+        before = seen.get
     return now.select(F.col("u").alias("node"), F.col("v").alias("comp"))

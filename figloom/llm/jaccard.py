@@ -9,10 +9,12 @@ a band differ in at most k shingles, so if a hash cuts the domain into k + 1 + e
 each part's shingles make one signature. Parts that are empty in both sets tell nothing: a set with more than e empty
 parts is cut anew by another hash, and after the last one its empty parts are signatures, too. No link is lost.
 
-Equal sets are one class from the start. Classes that share a signature are candidates. In each bucket of more than a
-few classes all are compared with one pivot, the class with most company, and those that end in its component need no
-further comparison; the pivot leaves and the next round follows. After `rounds` rounds the pairs that are still open
-are compared one by one, so large groups of copies take one comparison a member and nothing is left out.
+Equal sets are one class from the start. Classes that share a signature are candidates. In small buckets all pairs are
+compared. In larger ones all classes are compared with one pivot, the class with most company; two that link with it
+need no comparison. Of the other pairs (x, y) those can link that share a shingle outside the pivot, and those whose
+intersections with the pivot are both as large as their own would have to be. Both kinds are buckets of the next
+round. After `rounds` rounds all pairs of what is left are compared, so large groups of copies take few comparisons a
+member and no link is lost.
 
 Rows that repeat a doc_id are one document to the links. A null doc_id gets its class's component and names none.
 Null and empty texts: n_shingles 0, component their own doc_id. Other columns are not read.
@@ -28,7 +30,7 @@ from figloom.llm.components import components
 from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_hashes, word_spans
 
 HASHES = 3
-SMALL_BUCKET = 4
+SMALL_BUCKET = 8
 
 
 class Bands:
@@ -166,13 +168,14 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int)
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """u, v, linked of pairs (u, v), by the sizes of their sets' intersections."""
+    """pairs (u, v, star) with n_u, i (their intersection's size), linked, and for stars rest: what u has and v hasn't."""
     a, b = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("shingles").alias(f"s_{k}")) for k in "uv")
     both = pairs.join(a, "u").join(b, "v").withColumn("i", F.size(F.array_intersect("s_u", "s_v")))
-    return both.select("u", "v", (100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))).alias("linked"))
+    linked = 100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))
+    return both.select("u", "v", "star", "n_u", "i", linked.alias("linked"), F.when(F.col("star"), F.array_except("s_u", "s_v")).alias("rest"))
 
 
-def link(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 8, broadcast_ids: int = 1_000_000) -> DataFrame:
+def link(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 4, broadcast_ids: int = 1_000_000) -> DataFrame:
     """doc_id, n_shingles, class_id (least doc_id with an equal set), component_id (least doc_id reachable by links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sized = materialise(document_sets(docs, words))
@@ -193,39 +196,40 @@ def _component_of(docs, members, words, percent, rounds, broadcast_ids):
     if members.isEmpty():
         return None
     sets = materialise(_sets_of(docs, members.select("node").distinct(), words, broadcast_ids))
-    sizes = members.groupBy("sig").agg(F.count("*").alias("size"))
-    members = members.join(sizes, "sig")
     fits = f"least(n_u, n_v) * 100 >= {percent} * greatest(n_u, n_v)"
-
-    def paired(a, b):
-        a, b = (x.select("sig", F.col("node").alias(k), F.col("n").alias(f"n_{k}"), *([F.col("comp").alias(f"c_{k}")] if "comp" in x.columns else [])) for x, k in ((a, "u"), (b, "v")))
-        return a.join(b, "sig").where(fits)
-
-    few = members.where(F.col("size") <= SMALL_BUCKET)
-    pairs = paired(few, few).where("u < v").select("u", "v").distinct()
-    large = members.where(F.col("size") > SMALL_BUCKET)
-    company = large.groupBy("node").agg(F.sum("size").alias("company"))
-    open_ = large.join(company, "node").select("sig", "node", "n", "company")
-    comps, tried = None, None
+    buckets, told, comps = members, None, None
     for number in range(rounds + 1):
-        if number:
-            labelled = open_.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        else:
-            labelled = open_.withColumn("comp", F.col("node"))
-        alive = labelled.groupBy("sig").agg(F.min("comp").alias("a"), F.max("comp").alias("b"), F.max(F.struct("company", "node", "n", "comp")).alias("p")).where("a != b")
-        pivots = alive.select("sig", F.col("p.node").alias("node"), F.col("p.n").alias("n"), F.col("p.comp").alias("comp"))
-        labelled = materialise(labelled.join(alive.select("sig", F.col("p.node").alias("pivot")), "sig"))
-        if labelled.isEmpty() and number:
-            break
-        others = labelled.where("node != pivot")
+        buckets = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")) if comps is not None else buckets.withColumn("comp", F.col("node"))
+        sizes = buckets.groupBy("sig").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig", "size")
+        buckets = materialise(buckets.join(sizes, "sig"))
+        small = buckets if number == rounds else buckets.where(F.col("size") <= SMALL_BUCKET)
+        u, v = (small.select("sig", F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("comp").alias(f"c_{k}")) for k in "uv")
+        pairs = u.join(v, "sig").where(f"u < v and c_u != c_v and {fits}").select("u", "v", F.lit(False).alias("star"))
+        large = buckets.where(F.col("size") > SMALL_BUCKET)
+        if number < rounds:
+            company = large.groupBy("node").agg(F.sum("size").alias("company"))
+            pivots = large.join(company, "node").groupBy("sig").agg(F.max(F.struct("company", "node"))["node"].alias("v"))
+            pairs = pairs.union(large.join(pivots, "sig").where("node != v").select(F.col("node").alias("u"), "v", F.lit(True).alias("star")))
+        new = materialise(verified(pairs.distinct(), sets, percent))
+        links = new.where("linked").select("u", "v")
+        told = links if told is None else told.union(links)
+        comps = components(told)
         if number == rounds:
-            found = paired(labelled, labelled).where("u < v and c_u != c_v").select("u", "v")
-        else:
-            found = paired(others, pivots).where("c_u != c_v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
-        found = found.union(pairs).distinct() if not number else found.distinct()
-        found = found.join(tried, ["u", "v"], "left_anti") if tried is not None else found
-        told = materialise(verified(found, sets, percent))
-        tried = told if tried is None else tried.union(told)
-        comps = components(tried.where("linked").select("u", "v")).select("node", "comp")
-        open_ = others.select("sig", "node", "n", "company")
+            break
+        buckets = _next_buckets(new.where("star"), percent)
+        if buckets.isEmpty():
+            break
     return comps
+
+
+def _next_buckets(star: DataFrame, percent: int) -> DataFrame:
+    """sig, node, n: where two classes that were compared with one pivot, not both linked with it, may yet link."""
+    most = F.floor(F.col("i") * (100 + percent) / percent).cast("long") - F.col("n_u")
+    star = star.withColumn("most", F.when(~F.col("linked"), most))
+    groups = star.groupBy("v").agg(F.min("n_u").alias("least"), F.max("most").alias("most_of_all")).where("most_of_all is not null")
+    star = star.join(groups, "v")
+    outside = star.select(F.explode("rest").alias("g"), "v", "u", "n_u", "linked").select(F.xxhash64("v", "g").alias("sig"), F.col("u").alias("node"), F.col("n_u").alias("n"), "linked")
+    alive = outside.groupBy("sig").agg(F.count("*").alias("c"), F.min("linked").alias("all_linked")).where("c > 1 and not all_linked").select("sig")
+    inside = star.where(F.when(F.col("linked"), F.col("n_u") <= F.col("most_of_all")).otherwise(F.col("most") >= F.col("least")))
+    inside = inside.select(F.xxhash64("v", F.lit("inside")).alias("sig"), F.col("u").alias("node"), F.col("n_u").alias("n"))
+    return materialise(outside.join(alive, "sig", "left_semi").select("sig", "node", "n").union(inside))
