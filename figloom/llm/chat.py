@@ -19,7 +19,7 @@ TURN, SAYS, MORE, END = "<|turn|>", "<|says|>", "<|more|>", "<|end|>"
 
 
 def escape(c: Column) -> Column:
-    return F.regexp_replace(c, r"<(\\*)\|", r"<$1\\\\|")
+    return F.regexp_replace(c, r"<(\\*)\|", r"<$1\\|")
 
 
 def unescape(c: Column) -> Column:
