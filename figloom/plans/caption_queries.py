@@ -156,7 +156,7 @@ def c19(spark, d):
     return cp.drop_shared_text(segs(spark, d), G).select(G, "seq", "segment")
 
 
-TERMS = {"metal": ["STEEL", "nickel", "PLATED"], "economy": ["ECONOMY"], "place": ["from", "", "with"]}
+TERMS = {"part": ["PROMO", "rod", "bolt"], "economy": ["ECONOMY"], "place": ["from", "", "with"]}
 _TAGS = " union all ".join(f"select {{key}}, '{t}' as term from {{table}} where {' or '.join(f'''contains({{text}}, '{s}')''' for s in syn if s)}" for t, syn in TERMS.items())
 
 

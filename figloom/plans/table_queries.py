@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from figloom.functions.session import materialise
 from figloom.operators import scale, search, tables
 from figloom.plans.box_queries import _ASSIGN, _NEAR, assigned, box, lbl, near
 from figloom.plans.fixtures import ctes, derived
@@ -153,7 +154,7 @@ def g16(spark, d):
 
 
 def result_tables(spark, d):
-    f = figures(spark, d)
+    f = materialise(figures(spark, d))
     return search.Tables(tables.article_table(f), tables.figure_table(f), tables.subfigure_table(f), tables.scale_bar_table(f), tables.scale_label_table(f))
 
 
@@ -179,19 +180,19 @@ def h4(spark, d):
     return search.by_scale_confidence(t.subfigure, t.scale_bar, t.scale_label, 0.3).select("subfigure_id")
 
 
-_KEY = "(contains(lower(s.caption), 'steel') or contains(lower(f.caption), 'steel') or contains(lower(title), 'steel') or contains(lower(s.caption), 'nickel') or contains(lower(f.caption), 'nickel') or contains(lower(title), 'nickel'))"
+_KEY = "(contains(lower(s.caption), 'economy') or contains(lower(f.caption), 'economy') or contains(lower(title), 'economy') or contains(lower(s.caption), 'blue') or contains(lower(f.caption), 'blue') or contains(lower(title), 'blue'))"
 
 
 @query("h5_by_keyword", f"{_BARS} select subfigure_id from subfigure s join figure f using (figure_id) join article on doi = f.article_id where {_KEY}")
 def h5(spark, d):
     t = result_tables(spark, d)
-    return search.by_keyword(t.subfigure, t.figure, t.article, ["Steel", "nickel"], ["caption", "full_caption", "title"]).select("subfigure_id")
+    return search.by_keyword(t.subfigure, t.figure, t.article, ["Economy", "blue"], ["caption", "full_caption", "title"]).select("subfigure_id")
 
 
 @query("h6_search", f"""{_BARS} select subfigure_id, classification_code, nm_width, s.caption from subfigure s join figure f using (figure_id) join article on doi = f.article_id
   where classification_code in ('MC', 'DF', 'GR', 'PH', 'IL') and nm_width >= 1 and nm_width < 1e9 and {_KEY} and subfigure_id in (select subfigure_id from scalebar where label_confidence > 0.1)""")
 def h6(spark, d):
-    p = search.Params(classes=["MC", "DF", "GR", "PH", "IL"], min_scale=1, max_scale=1e9, confidence=0.1, keywords=["steel", "NICKEL"])
+    p = search.Params(classes=["MC", "DF", "GR", "PH", "IL"], min_scale=1, max_scale=1e9, confidence=0.1, keywords=["economy", "BLUE"])
     return search.search(result_tables(spark, d), p).select("subfigure_id", "classification_code", "nm_width", "caption")
 
 
