@@ -1,4 +1,4 @@
-"""Every query with a twin has the twin's rows on the smallest tables."""
+"""Queries have their twins' rows on the smallest tables: some of each kind; the driver compares them all."""
 
 import math
 
@@ -22,7 +22,10 @@ def normal(v):
     return float(f"{v:.9g}") if isinstance(v, float) and not math.isnan(v) else v
 
 
-@pytest.mark.parametrize("name", sorted(registry.ORACLES))
+SOME = "a8_insert_ignore b6_article_links b12_figure_blocks c1_label_spans c15_segments c23_unique_remainder d4_contained d7_letterbox e2_nms_overlap e6_classify f7_nearest_label f10_physical_size g1_assign_captions g6_subfigure_table h6_search i5_annotations i13_diff_results j1_stream_run j2_stream_distinct".split()
+
+
+@pytest.mark.parametrize("name", SOME)
 def test_rows_equal_the_twin(spark, duck, name):
     df = registry.QUERIES[name](spark, SF)
     found = duck.execute(registry.ORACLES[name])
