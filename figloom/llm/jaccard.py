@@ -9,12 +9,18 @@ a band differ in at most k shingles, so if a hash cuts the domain into k + 1 + e
 each part's shingles make one signature. Parts that are empty in both sets tell nothing: a set with more than e empty
 parts is cut anew by another hash, and after the last one its empty parts are signatures, too. No link is lost.
 
-Equal sets are one class from the start. Classes that share a signature are candidates. In small buckets all pairs are
-compared. In larger ones all classes are compared with one pivot, the class with most company; two that link with it
-need no comparison. Of the other pairs (x, y) those can link that share a shingle outside the pivot, and those whose
-intersections with the pivot are both as large as their own would have to be. Both kinds are buckets of the next
-round. After `rounds` rounds all pairs of what is left are compared, so large groups of copies take few comparisons a
-member and no link is lost.
+Equal sets are one class from the start. Classes that share a signature are candidates (the rows are counted by
+signature first; a Bloom filter of the shared ones then keeps the others from travelling). In small buckets all pairs
+are compared: bitmaps rule out most, as two sets differ in at least as many shingles as their bitmaps in bits, and the
+sets of the rest are intersected.
+
+In a larger bucket all classes are compared with one pivot. The shingles that most of them have or lack against the
+pivot make the bucket's consensus, and each class is known by its difference from that. Two classes differ by the sum of
+their differences less twice what these share. So all pairs that link without sharing anything link with the class next
+to the consensus, too, and that star is all they need. Any other pair shares a number of elements that follows from
+the sizes, so it meets in one of the rarest elements of both (a prefix): those are the buckets of the next round. After
+`rounds` rounds all pairs of what is left are compared. Large groups of copies so take few comparisons a member, and no
+link is lost.
 
 Rows that repeat a doc_id are one document to the links. A null doc_id gets its class's component and names none.
 Null and empty texts: n_shingles 0, component their own doc_id. Other columns are not read.
@@ -22,15 +28,18 @@ Null and empty texts: n_shingles 0, component their own doc_id. Other columns ar
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from figloom.functions.session import materialise
+from figloom.llm import bloom
 from figloom.llm.components import components
 from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_hashes, word_spans
 
 HASHES = 3
 SMALL_BUCKET = 8
+#: Bits of a set's bitmap.
+BITS = 2048
 
 
 class Bands:
@@ -139,8 +148,9 @@ def document_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
 
 
-def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """sig, d1: the signatures of every set; equal sets of a block are emitted once."""
+def signature_rows(docs: DataFrame, words: int, percent: int, table: np.ndarray | None = None) -> DataFrame:
+    """sig, d1: the signatures of every set (of those that a Bloom filter may hold); equal sets of a block once."""
+    shared = docs.sparkSession.sparkContext.broadcast(table)
 
     def run(batches):
         bands = Bands(percent)
@@ -149,39 +159,49 @@ def signature_rows(docs: DataFrame, words: int, percent: int) -> DataFrame:
             mine = np.zeros(len(d1), bool)
             mine[once] = True
             for sig, which in signatures(sets, at, bands):
-                keep = mine[which]
+                keep = mine[which] if shared.value is None else mine[which] & bloom.may_hold(shared.value, sig)
                 yield pa.RecordBatch.from_arrays([pa.array(sig[keep].view(np.int64)), pa.array(d1[which[keep]])], ["sig", "d1"])
 
     return docs.select("text").mapInArrow(run, "sig long, d1 long")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int) -> DataFrame:
-    """node, n, shingles array<long> of the wanted nodes' texts; few ids are broadcast, else the texts are shuffled."""
+    """node, n, bitmap, shingles (arrays of longs) of the wanted nodes' texts; few ids are broadcast, else the texts are shuffled."""
     wanted = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted
 
     def run(batches):
         for part, sets, at, _, _ in _blocks(batches, words):
             shingles = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), shingles], ["node", "n", "shingles"])
+            bits = np.zeros((len(at) - 1, BITS), bool)
+            bits[np.repeat(np.arange(len(at) - 1), np.diff(at)), (mix(sets, 13) % np.uint64(BITS)).astype(np.int64)] = True
+            packed = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
+            bitmaps = pa.ListArray.from_arrays(pa.array(np.arange(0, packed.size + 1, BITS // 64, dtype=np.int32)), pa.array(packed.ravel()))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), bitmaps, shingles], ["node", "n", "bitmap", "shingles"])
 
-    return docs.select("doc_id", "text").join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(run, "node long, n long, shingles array<long>")
+    return docs.select("doc_id", "text").join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(run, "node long, n long, bitmap array<long>, shingles array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """pairs (u, v, star) with n_u, i (their intersection's size), linked, and for stars rest: what u has and v hasn't."""
-    a, b = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("shingles").alias(f"s_{k}")) for k in "uv")
-    both = pairs.join(a, "u").join(b, "v").withColumn("i", F.size(F.array_intersect("s_u", "s_v")))
-    linked = 100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))
-    return both.select("u", "v", "star", "n_u", "i", linked.alias("linked"), F.when(F.col("star"), F.array_except("s_u", "s_v")).alias("rest"))
+def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    a, b = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col(column).alias(f"s_{k}")) for k in "uv")
+    return pairs.join(a, "u").join(b, "v")
 
 
-def link(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 4, broadcast_ids: int = 1_000_000) -> DataFrame:
+def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """u, v of the pairs that link: bitmaps first, then intersections."""
+    differ = F.aggregate(F.zip_with("s_u", "s_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+    may = _sides(pairs, sets, "bitmap").where((100 + percent) * differ <= (100 - percent) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
+    both = _sides(may, sets, "shingles").withColumn("i", F.size(F.array_intersect("s_u", "s_v")))
+    return both.where(100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))).select("u", "v")
+
+
+def link(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 4, broadcast_ids: int = 1_000_000, filter_bytes: int = 1 << 25) -> DataFrame:
     """doc_id, n_shingles, class_id (least doc_id with an equal set), component_id (least doc_id reachable by links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sized = materialise(document_sets(docs, words))
     classes = sized.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
-    rows = signature_rows(docs, words, percent)
-    shared = rows.groupBy("sig").agg(F.min("d1").alias("lo"), F.max("d1").alias("hi")).where("lo < hi").select("sig")
+    shared = materialise(signature_rows(docs, words, percent).groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"))
+    table = bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length())))
+    rows = signature_rows(docs, words, percent, table)
     members = rows.join(shared, "sig", "left_semi").distinct().join(classes.select("d1", "node", "n").where("node is not null"), "d1").select("sig", "node", "n")
     members = materialise(members.distinct())
     comps = _component_of(docs, members, words, percent, rounds, broadcast_ids)
@@ -204,32 +224,49 @@ def _component_of(docs, members, words, percent, rounds, broadcast_ids):
         buckets = materialise(buckets.join(sizes, "sig"))
         small = buckets if number == rounds else buckets.where(F.col("size") <= SMALL_BUCKET)
         u, v = (small.select("sig", F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("comp").alias(f"c_{k}")) for k in "uv")
-        pairs = u.join(v, "sig").where(f"u < v and c_u != c_v and {fits}").select("u", "v", F.lit(False).alias("star"))
+        pairs = u.join(v, "sig").where(f"u < v and c_u != c_v and {fits}").select("u", "v").distinct()
+        links = linked_pairs(pairs, sets, percent)
         large = buckets.where(F.col("size") > SMALL_BUCKET)
-        if number < rounds:
-            company = large.groupBy("node").agg(F.sum("size").alias("company"))
-            pivots = large.join(company, "node").groupBy("sig").agg(F.max(F.struct("company", "node"))["node"].alias("v"))
-            pairs = pairs.union(large.join(pivots, "sig").where("node != v").select(F.col("node").alias("u"), "v", F.lit(True).alias("star")))
-        new = materialise(verified(pairs.distinct(), sets, percent))
-        links = new.where("linked").select("u", "v")
-        told = links if told is None else told.union(links)
-        comps = components(told)
-        if number == rounds:
-            break
-        buckets = _next_buckets(new.where("star"), percent)
-        if buckets.isEmpty():
+        more = number < rounds and not large.isEmpty()
+        if more:
+            differences = materialise(_differences(large, sets, percent))
+            links = links.union(differences.where(F.col("direct") & (F.col("u") != F.col("hub"))).select("u", F.col("hub").alias("v")))
+        links = materialise(links)
+        if not links.isEmpty():
+            told = links if told is None else told.union(links)
+            comps = components(told)
+        if not more:
             break
+        buckets = _next_buckets(differences, percent)
     return comps
 
 
-def _next_buckets(star: DataFrame, percent: int) -> DataFrame:
-    """sig, node, n: where two classes that were compared with one pivot, not both linked with it, may yet link."""
-    most = F.floor(F.col("i") * (100 + percent) / percent).cast("long") - F.col("n_u")
-    star = star.withColumn("most", F.when(~F.col("linked"), most))
-    groups = star.groupBy("v").agg(F.min("n_u").alias("least"), F.max("most").alias("most_of_all")).where("most_of_all is not null")
-    star = star.join(groups, "v")
-    outside = star.select(F.explode("rest").alias("g"), "v", "u", "n_u", "linked").select(F.xxhash64("v", "g").alias("sig"), F.col("u").alias("node"), F.col("n_u").alias("n"), "linked")
-    alive = outside.groupBy("sig").agg(F.count("*").alias("c"), F.min("linked").alias("all_linked")).where("c > 1 and not all_linked").select("sig")
-    inside = star.where(F.when(F.col("linked"), F.col("n_u") <= F.col("most_of_all")).otherwise(F.col("most") >= F.col("least")))
-    inside = inside.select(F.xxhash64("v", F.lit("inside")).alias("sig"), F.col("u").alias("node"), F.col("n_u").alias("n"))
-    return materialise(outside.join(alive, "sig", "left_semi").select("sig", "node", "n").union(inside))
+def _differences(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """v (pivot), u, n, weight, least (of all), hub (whose weight that is), direct, d: each class's difference from the
+    consensus of the classes that meet one pivot."""
+    company = large.groupBy("node").agg(F.sum("size").alias("company"))
+    pivot = F.max(F.struct("company", "node")).over(Window.partitionBy("sig"))["node"]
+    star = large.join(company, "node").select(F.col("node").alias("u"), pivot.alias("v")).distinct()
+    both = _sides(star, sets, "shingles")
+    both = both.select("v", "u", F.col("n_u").alias("n"), F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")).alias("d"))
+    both = materialise(both)
+    counts = both.select("v", F.explode("d").alias("g")).groupBy("v", "g").agg(F.count("*").alias("c"))
+    total = both.groupBy("v").agg(F.count("*").alias("total"))
+    common = counts.join(total, "v").where("2 * c > total").groupBy("v").agg(F.collect_list("g").alias("m"))
+    both = both.join(common, "v", "left").withColumn("m", F.coalesce("m", F.array().cast("array<bigint>")))
+    both = both.withColumn("d", F.concat(F.array_except("d", "m"), F.array_except("m", "d"))).drop("m")
+    both = both.withColumn("weight", (100 + percent) * F.size("d").cast("long") - (100 - percent) * F.col("n"))
+    least = both.groupBy("v").agg(F.min(F.struct("weight", "u")).alias("h")).select("v", F.col("h.weight").alias("least"), F.col("h.u").alias("hub"))
+    return both.join(least, "v").withColumn("direct", F.col("weight") + F.col("least") <= 0)
+
+
+def _next_buckets(differences: DataFrame, percent: int) -> DataFrame:
+    """sig, node, n: the rarest elements of each difference, as many as a pair that shares enough must meet in."""
+    step = 2 * (100 + percent)
+    other = F.when(F.col("direct"), 1 - F.col("least")).otherwise(F.col("least"))
+    need = F.greatest(F.lit(1), F.ceil((F.col("weight") + other) / step))
+    alive = differences.groupBy("v").agg(F.min("direct").alias("done")).where("not done").select("v")
+    rows = differences.join(alive, "v", "left_semi").select("v", "u", "n", (F.size("d") - need + 1).alias("prefix"), F.explode("d").alias("g")).where("prefix > 0")
+    counts = rows.groupBy("v", "g").agg(F.count("*").alias("c"))
+    ranked = rows.join(counts, ["v", "g"]).withColumn("r", F.row_number().over(Window.partitionBy("v", "u").orderBy("c", "g")))
+    return materialise(ranked.where("r <= prefix and c > 1").select(F.xxhash64("v", "g").alias("sig"), F.col("u").alias("node"), "n"))

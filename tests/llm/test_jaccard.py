@@ -46,14 +46,31 @@ def texts(seed, n=160):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("n,percent,rounds", [(3, 90, 8), (5, 80, 8), (5, 80, 1), (3, 60, 0)])
-def test_matches_brute_force(spark, n, percent, rounds):
+@pytest.mark.parametrize("n,percent,rounds,small", [(3, 90, 4, 8), (5, 80, 4, 2), (3, 60, 0, 8)])
+def test_matches_brute_force(spark, monkeypatch, n, percent, rounds, small):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", small)
     rows = texts(n + percent) + [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (904, "one")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "2 as node")
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(docs, n, percent, rounds).collect()}
     assert got == brute(rows, n, percent)
 
 
+def test_one_large_group(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", 4)
+    rng = random.Random(9)
+    base = [f"w{rng.randrange(900)}" for _ in range(120)]
+    rows = []
+    for i in range(120):
+        words = list(base)
+        for _ in range(rng.randint(1, 9)):
+            k = rng.randrange(len(words))
+            words[k : k + 1] = rng.choice([[], [f"w{rng.randrange(900)}"], [words[k], "more"]])
+        rows.append((i, " ".join(words)))
+    for n, percent in ((3, 90),):
+        got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string"), n, percent).collect()}
+        assert got == brute(rows, n, percent)
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c d e f"), (1, "a b c d e f"), (1, "z y x w v u"), (2, "z y x w v u"), (None, "a b c d e f"), (None, None)]
     found = jaccard.link(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90)
