@@ -4,11 +4,14 @@ A small network sees the two terms before and the two after a place and predicts
 one tanh layer, and a softmax in two steps (class, then term in the class). A text's score is the sum of the conditional
 log-probabilities of all its terms, each from both sides. Terms are runs of letters, digits and characters beyond
 ASCII, A-Z lower-cased; the commonest `VOCABULARY` of the whole corpus have outputs of their own, the rest share OTHERS
-by a hash.
+by a hash. A term of a shared output has the output's probability times its own inside it: its count over the counts of
+all the output's terms and one more, which is what a term that wasn't counted gets. All terms of the corpus are counted;
+the counts of up to TABLE of them are broadcast for scoring, rarer ones are joined to the texts that hold them.
 
 Everything is trained on all texts: term counts are summed in each task and then by Spark, and in each of `rounds`
-passes every task takes gradient steps over the masked places of its own texts (a share of them, drawn by a hash), after
-which Spark averages the tasks' networks, weighted by places. A network has a fixed number of parameters.
+passes every task takes gradient steps over the masked places of its own texts (a share of them, drawn by a hash and
+another one each round, so that the rounds together mask every place), after which Spark averages the tasks' networks,
+weighted by places. A network has a fixed number of parameters: as contexts, terms of a shared output look alike.
 
 Null and empty texts have no terms and score 0, with mean 0. Repeated rows are scored alike; ids may be null; other
 columns are not read; an empty corpus leaves the first network.
@@ -19,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from figloom.functions.session import materialise
 from figloom.llm.textblocks import LOWER, NOT_TERM, mix, text_blocks, word_hashes, word_spans
 
 CLASSES = 32
@@ -30,6 +34,10 @@ SIDES = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 16, 32
 #: Places that are scored at a time, and that make one step of training.
 BATCH, STEP = 4096, 512
+#: Rows that are multiplied at a time with the terms of one class.
+ROWS = 16
+#: Counts that are broadcast for scoring.
+TABLE = 1 << 20
 SHAPES = {"embed": (SIZE + 1, WIDTH), "inner": (len(SIDES) * WIDTH, HIDDEN), "bias": (HIDDEN,), "group": (HIDDEN, CLASSES), "group_bias": (CLASSES,), "term": (CLASSES, HIDDEN, CLASSES), "term_bias": (CLASSES, CLASSES)}
 
 
@@ -57,8 +65,8 @@ def _texts(column: pa.Array):
         yield lo, hi, rows, word_hashes(data, starts, stops)
 
 
-def vocabulary(docs: DataFrame) -> np.ndarray:
-    """Hashes of the commonest terms of all texts, the commonest first; VOCABULARY at most."""
+def term_counts(docs: DataFrame) -> DataFrame:
+    """term (its hash), n of every term of all texts."""
 
     def partial(batches):
         for batch in batches:
@@ -66,7 +74,12 @@ def vocabulary(docs: DataFrame) -> np.ndarray:
                 term, n = np.unique(terms, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(term.view(np.int64)), pa.array(n)], ["term", "n"])
 
-    counts = docs.select("text").mapInArrow(partial, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    return materialise(docs.select("text").mapInArrow(partial, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")))
+
+
+def vocabulary(docs: DataFrame, counts: DataFrame | None = None) -> np.ndarray:
+    """Hashes of the terms with outputs of their own, the commonest of all texts first; VOCABULARY at most."""
+    counts = term_counts(docs) if counts is None else counts
     return np.array([r["term"] for r in counts.orderBy(F.desc("n"), "term").limit(VOCABULARY).collect()], np.int64).view(np.uint64)
 
 
@@ -99,17 +112,28 @@ def _forward(net, around):
     return seen, hidden, _log_softmax(hidden @ net["group"] + net["group_bias"])
 
 
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order of rows by class, their slots in chunks of ROWS rows of one class, and the class of each chunk."""
+    order, n = np.argsort(group, kind="stable"), np.bincount(group, minlength=CLASSES)
+    chunks = -(-n // ROWS)
+    slots = np.arange(len(group)) + np.repeat((np.cumsum(chunks) - chunks) * ROWS - (np.cumsum(n) - n), n)
+    return order, slots, np.repeat(np.arange(CLASSES), chunks)
+
+
+def _chunked(rows: np.ndarray, slots: np.ndarray, chunks: int) -> np.ndarray:
+    out = np.zeros((chunks * ROWS, rows.shape[1]), rows.dtype)
+    out[slots] = rows
+    return out.reshape(chunks, ROWS, -1)
+
+
 def log_probabilities(net: dict[str, np.ndarray], around: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """log P(term | both sides) of each place."""
     _, hidden, groups = _forward(net, around)
     group, term = ids // CLASSES, ids % CLASSES
     out = groups[np.arange(len(ids)), group]
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for g in range(CLASSES):
-        mine = order[cuts[g] : cuts[g + 1]]
-        if len(mine):
-            out[mine] += _log_softmax(hidden[mine] @ net["term"][g] + net["term_bias"][g])[np.arange(len(mine)), term[mine]]
+    order, slots, of = _by_class(group)
+    x = (_chunked(hidden[order], slots, len(of)) @ net["term"][of] + net["term_bias"][of][:, None]).reshape(-1, CLASSES)[slots]
+    out[order] += _log_softmax(x)[np.arange(len(ids)), term[order]]
     return out
 
 
@@ -123,18 +147,21 @@ def gradients(net: dict[str, np.ndarray], around: np.ndarray, ids: np.ndarray) -
     d[np.arange(n), group] += 1
     back = d @ net["group"].T
     out["group"], out["group_bias"] = hidden.T @ d, d.sum(0)
-    order = np.argsort(group, kind="stable")
-    cuts = np.searchsorted(group[order], np.arange(CLASSES + 1))
-    for g in range(CLASSES):
-        mine = order[cuts[g] : cuts[g + 1]]
-        if len(mine):
-            d = -np.exp(_log_softmax(hidden[mine] @ net["term"][g] + net["term_bias"][g]))
-            d[np.arange(len(mine)), term[mine]] += 1
-            back[mine] += d @ net["term"][g].T
-            out["term"][g], out["term_bias"][g] = hidden[mine].T @ d, d.sum(0)
+    order, slots, of = _by_class(group)
+    parts, weights = _chunked(hidden[order], slots, len(of)), net["term"][of]
+    d = -np.exp(_log_softmax((parts @ weights + net["term_bias"][of][:, None]).reshape(-1, CLASSES)[slots]))
+    d[np.arange(n), term[order]] += 1
+    d = _chunked(d, slots, len(of))
+    back[order] += (d @ weights.transpose(0, 2, 1)).reshape(-1, HIDDEN)[slots]
+    first = np.flatnonzero(np.diff(of, prepend=-1))
+    out["term"][of[first]] = np.add.reduceat(parts.transpose(0, 2, 1) @ d, first, axis=0)
+    out["term_bias"][of[first]] = np.add.reduceat(d.sum(1), first, axis=0)
     back *= 1 - hidden**2
     out["inner"], out["bias"] = seen.T @ back, back.sum(0)
-    np.add.at(out["embed"], around.ravel(), (back @ net["inner"].T).reshape(n * len(SIDES), WIDTH))
+    order = np.argsort(around.ravel(), kind="stable")
+    seen_ids = around.ravel()[order]
+    first = np.flatnonzero(np.diff(seen_ids, prepend=-1))
+    out["embed"][seen_ids[first]] = np.add.reduceat((back @ net["inner"].T).reshape(n * len(SIDES), WIDTH)[order], first, axis=0)
     return {k: x / n for k, x in out.items()}
 
 
@@ -145,6 +172,13 @@ def train_step(net: dict[str, np.ndarray], past: dict[str, np.ndarray], around:
         net[k] += rate * g / np.sqrt(past[k])
 
 
+def masked_places(terms: np.ndarray, rows: np.ndarray, number: int, rounds: int, masked: float) -> np.ndarray:
+    """The places of round `number`: a share of `masked`, or more where the rounds wouldn't cover all places otherwise."""
+    width = min(max(int(masked * 2**64), -(-(2**64) // rounds)), 2**64)
+    inside = np.arange(len(terms), dtype=np.uint64) - np.repeat(rows[:-1], np.diff(rows)).astype(np.uint64)
+    return np.flatnonzero(mix(terms + inside, 70) - np.uint64(number * width % 2**64) <= np.uint64(width - 1))
+
+
 def train(docs: DataFrame, words: np.ndarray, rounds: int = 2, masked: float = 0.15, rate: float = 0.05) -> dict[str, np.ndarray]:
     """The network after `rounds` passes over all texts; words as vocabulary() gives them."""
     order = np.argsort(words)
@@ -162,8 +196,7 @@ def train(docs: DataFrame, words: np.ndarray, rounds: int = 2, masked: float = 0
                     if not len(terms):
                         continue
                     ids = numbered(terms, known, rank)
-                    draw = mix(terms + np.arange(len(terms), dtype=np.uint64), 70 + number)
-                    places = np.flatnonzero(draw < np.uint64(masked * 2**64))
+                    places = masked_places(terms, rows, number, rounds, masked)
                     kept.append((contexts(ids, rows, places), ids[places]))
                     around, targets = (np.concatenate(x) for x in zip(*kept, strict=True))
                     done = len(targets) // STEP * STEP
@@ -183,13 +216,40 @@ def train(docs: DataFrame, words: np.ndarray, rounds: int = 2, masked: float = 0
     return unflat(values)
 
 
-def score(docs: DataFrame, words: np.ndarray, net: dict[str, np.ndarray]) -> DataFrame:
-    """doc_id, n_terms, log_likelihood (summed over the text's terms), mean of every row."""
+def shares(counts: DataFrame, words: np.ndarray):
+    """What scoring knows of terms inside shared outputs: hashes (sorted) and log counts of the commonest, TABLE at most;
+    each shared output's log of all counts and one; and term, log_n of the terms that found no room, those that occur once
+    left out (their log count is 0)."""
+    spark = counts.sparkSession
+    own = spark.createDataFrame([(int(w),) for w in words.view(np.int64)], "term long")
+    rest = counts.join(F.broadcast(own), "term", "left_anti")
+    totals = np.ones(OTHERS)
+    for r in rest.groupBy((F.shiftrightunsigned("term", 32) % OTHERS).alias("output")).agg(F.sum("n").alias("n")).collect():
+        totals[r["output"]] += r["n"]
+    rest = rest.where("n > 1")
+    least, room = 2, TABLE
+    for r in sorted(rest.groupBy("n").agg(F.count("*").alias("terms")).collect(), reverse=True):
+        room -= r["terms"]
+        if room < 0:
+            least = r["n"] + 1
+            break
+    table = rest.where(F.col("n") >= least).toPandas()
+    term = table["term"].to_numpy(np.int64).view(np.uint64)
+    order = np.argsort(term)
+    left = rest.where(F.col("n") < least).select("term", F.log(F.col("n").cast("double")).alias("log_n")) if least > 2 else None
+    return term[order], np.log(table["n"].to_numpy(np.float64)[order]), np.log(totals), left
+
+
+def score(docs: DataFrame, words: np.ndarray, net: dict[str, np.ndarray], counts: DataFrame | None = None) -> DataFrame:
+    """doc_id, n_terms, log_likelihood (summed over the text's terms), mean of every row; counts as term_counts() gives
+    them, of docs themselves where none are given."""
+    table, log_n, log_totals, left = shares(term_counts(docs) if counts is None else counts, words)
     order = np.argsort(words)
-    shared = docs.sparkSession.sparkContext.broadcast((words[order], order, flat(net)))
+    shared = docs.sparkSession.sparkContext.broadcast((words[order], order, flat(net), table, log_n, log_totals))
+    keep = left is not None
 
     def run(batches):
-        known, rank, values = shared.value
+        known, rank, values, table, log_n, log_totals = shared.value
         trained = unflat(values)
         for batch in batches:
             for lo, hi, rows, terms in _texts(batch.column(1)):
@@ -198,8 +258,22 @@ def score(docs: DataFrame, words: np.ndarray, net: dict[str, np.ndarray]) -> Dat
                 for a in range(0, len(ids), BATCH):
                     places = np.arange(a, min(a + BATCH, len(ids)))
                     found[a + 1 : a + 1 + len(places)] = log_probabilities(trained, contexts(ids, rows, places), ids[places])
+                rest = np.flatnonzero(ids >= VOCABULARY)
+                found[rest + 1] -= log_totals[ids[rest] - VOCABULARY]
+                if len(table):
+                    where = np.minimum(np.searchsorted(table, terms[rest]), len(table) - 1)
+                    hit = table[where] == terms[rest]
+                    found[rest[hit] + 1] += log_n[where[hit]]
+                    rest = rest[~hit]
+                rest = rest if keep else rest[:0]
                 sums, n = np.cumsum(found), np.diff(rows)
                 total = sums[rows[1:]] - sums[rows[:-1]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(total), pa.array(total / np.maximum(n, 1))], ["doc_id", "n_terms", "log_likelihood", "mean"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, n_terms long, log_likelihood double, mean double")
+                unknown = pa.ListArray.from_arrays(np.searchsorted(rest, rows).astype(np.int32), terms[rest].view(np.int64))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), pa.array(n.astype(np.int64)), pa.array(total), batch.column(2).slice(lo, hi - lo), unknown], ["doc_id", "n_terms", "x", "row", "unknown"])
+
+    found = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.monotonically_increasing_id().alias("row")).mapInArrow(run, "doc_id long, n_terms long, x double, row long, unknown array<long>")
+    if keep:
+        found = materialise(found)
+        more = found.select("row", F.explode("unknown").alias("term")).join(left, "term").groupBy("row").agg(F.sum("log_n").alias("more"))
+        found = found.drop("unknown").join(more, "row", "left").withColumn("x", F.col("x") + F.coalesce("more", F.lit(0.0)))
+    return found.select("doc_id", "n_terms", F.col("x").alias("log_likelihood"), (F.col("x") / F.greatest("n_terms", F.lit(1))).alias("mean"))

@@ -96,8 +96,9 @@ def op7_toxicity(spark, sf_dir):
 
 def op8_lm(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    words = lm.vocabulary(docs)
-    return lm.score(docs, words, lm.train(docs, words))
+    counts = lm.term_counts(docs)
+    words = lm.vocabulary(docs, counts)
+    return lm.score(docs, words, lm.train(docs, words), counts)
 
 
 def op9_chat(spark, sf_dir):

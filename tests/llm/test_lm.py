@@ -52,3 +52,33 @@ def test_edges(spark):
     found = lm.score(docs, words, lm.train(docs, words)).collect()
     assert len(found) == 5 and {r["log_likelihood"] for r in found if r["doc_id"] in (1, 2)} == {0.0}
     assert lm.score(docs.limit(0), lm.vocabulary(docs.limit(0)), lm.train(docs.limit(0), np.zeros(0, np.uint64))).count() == 0
+
+
+def test_terms_of_a_shared_output_have_probabilities_of_their_own(spark, monkeypatch):
+    common = " ".join(f"c{i} c{i} c{i} c{i} c{i}" for i in range(lm.VOCABULARY))
+    rare = [f"r{i}" for i in range(300) for _ in range(i % 4 + 1)]
+    docs = spark.createDataFrame([(0, common), *((i + 1, t) for i, t in enumerate(rare))], "doc_id long, text string").repartition(3)
+    counts = lm.term_counts(docs)
+    words = lm.vocabulary(docs, counts)
+    net = lm.train(docs, words)
+    asked = spark.createDataFrame([*((i, f"r{i}") for i in range(300)), *((1000 + i, f"c{i}") for i in range(lm.VOCABULARY)), (9999, "never")], "doc_id long, text string")
+    got = {r["doc_id"]: r["log_likelihood"] for r in lm.score(asked, words, net, counts).collect()}
+    of = {i: int(h >> 32) % lm.OTHERS for i, h in enumerate(next(lm._texts(lm.pa.array([" ".join(f"r{i}" for i in range(300))])))[3].tolist())}
+    for i in range(300):
+        for j in range(i):
+            if of[i] == of[j]:
+                assert abs(got[i] - got[j] - np.log((i % 4 + 1) / (j % 4 + 1))) < 1e-6
+    assert 0.8 < np.exp([v for k, v in got.items() if k != 9999]).sum() < 1
+    assert got[9999] < -np.log(lm.OTHERS)
+    for room in (0, 100):
+        monkeypatch.setattr(lm, "TABLE", room)
+        joined = {r["doc_id"]: r["log_likelihood"] for r in lm.score(asked, words, net, counts).collect()}
+        assert joined.keys() == got.keys() and all(abs(joined[k] - got[k]) < 1e-9 for k in got)
+
+
+def test_rounds_mask_every_place():
+    _, _, rows, terms = next(lm._texts(lm.pa.array([*corpus(), None, "", "a a a a a"])))
+    for rounds, masked in ((2, 0.15), (7, 0.15), (3, 0.1), (1, 0.15), (6, 0.9)):
+        seen = [lm.masked_places(terms, rows, k, rounds, masked) for k in range(rounds)]
+        assert set(np.concatenate(seen).tolist()) == set(range(len(terms)))
+        assert max(map(len, seen)) < 1.2 * max(masked, 1 / rounds) * len(terms)
