@@ -8,8 +8,11 @@ of any one is a candidate. The number of tables follows from the recall aimed at
 best place around each candidate is then computed exactly, in terms; up to `most_edits` of the item's length is a leak.
 
 Windows begin at every STRIDE-th term of a text, and items are entered once for each of the STRIDE first terms left
-out, so that a passage is met at any offset. Items of fewer than LEAST_TERMS terms have to occur unchanged. Items are
-searched in blocks of `block_items`, each broadcast to one scan of all texts.
+out, so that a passage is met at any offset. An item that has no key in some table at some of these starts, as it is
+short or has few different terms, is also cut into one part more than it may have edits, so that one part at least is
+unedited in every leak: texts that hold a part as it stands are candidates, and no leak of such an item is missed. Items
+of fewer than LEAST_TERMS terms have to occur unchanged. Items are searched in blocks of `block_items`, each broadcast to
+one scan of all texts.
 
 Null and empty texts and items match nothing. Pairs are unique also where rows repeat; pairs with a null doc_id or
 item_id are kept as such. Other columns are not read; an empty table on either side gives an empty result.
@@ -30,7 +33,7 @@ LEAST_TERMS = 8
 #: Lengths of walks that tables sample from; an item uses all that it is sure to fill: the shorter meet fewer edits.
 WALKS = (16, 24, 36, 54)
 SAMPLED = 5
-#: Keys of fewer different terms than this would be met everywhere; they are left to the other tables.
+#: Keys of fewer different terms than this would be met everywhere; such items are searched by their parts.
 LEAST_DIFFERENT = 4
 _FILTER = np.uint64((1 << 22) - 1)
 _PAIR = "doc_id long, item_id long, edits int, item_terms int, start int"
@@ -38,7 +41,8 @@ _PAIR = "doc_id long, item_id long, edits int, item_terms int, start int"
 
 @dataclass
 class Index:
-    """Items of one block: their terms, and the sorted keys of all tables with the items and offsets behind them."""
+    """Items of one block: their terms, and the sorted keys of all tables with the items and offsets behind them; parts has
+    the same (keys, items, offsets, maybe) for each length of parts."""
 
     ids: list
     terms: list
@@ -49,6 +53,7 @@ class Index:
     offset: np.ndarray
     maybe: np.ndarray
     short: dict
+    parts: dict
 
 
 def tables_needed(recall: float, agree: float) -> int:
@@ -83,11 +88,33 @@ def terms_of(data: np.ndarray, offsets: np.ndarray):
     return word_hashes(data, starts, stops), rows
 
 
+def parts_of(words: np.ndarray, edits: int) -> list[tuple[int, int]]:
+    """(offset, length) of edits + 1 parts of an item; any `edits` edits leave one of them whole."""
+    cuts = [i * len(words) // (edits + 1) for i in range(edits + 2)]
+    return [(a, b - a) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def _sorted_keys(keys: list, item: list, offset: list):
+    order = np.argsort(np.array(keys, np.uint64), kind="stable")
+    keys = np.array(keys, np.uint64)[order]
+    maybe = np.zeros(int(_FILTER) + 1, bool)
+    maybe[(keys & _FILTER).astype(np.int64)] = True
+    return keys, np.array(item, np.int64)[order], np.array(offset, np.int64)[order], maybe
+
+
+def _lookup(found: np.ndarray, keys: np.ndarray, maybe: np.ndarray):
+    """(place in found, place in keys) of all that are equal."""
+    hit = np.flatnonzero(maybe[(found & _FILTER).astype(np.int64)])
+    left = np.searchsorted(keys, found[hit])
+    n = np.searchsorted(keys, found[hit], "right") - left
+    return np.repeat(hit, n), np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+
+
 def build_index(items: list[tuple[int, str]], most_edits: float, recall: float, agree: float) -> Index:
     rng = np.random.default_rng(20170)
     count = tables_needed(recall, agree)
     tables = [(w, np.sort(rng.choice(w, SAMPLED, replace=False))) for w in WALKS for _ in range(count)]
-    ids, terms, edits, short, keys, item, offset = [], [], [], {}, [], [], []
+    ids, terms, edits, short, parts, keys, item, offset = [], [], [], {}, {}, [], [], []
     for item_id, text in items:
         raw = np.frombuffer((text or "").encode(), np.uint8)
         words, _ = terms_of(raw, np.array([0, len(raw)]))
@@ -101,6 +128,7 @@ def build_index(items: list[tuple[int, str]], most_edits: float, recall: float,
             hashed = ngram_hashes(words, np.array([0, len(words)]), len(words))[0]
             short.setdefault(len(words), {}).setdefault(int(hashed[0]), []).append(k)
             continue
+        before = len(keys)
         for o in range(STRIDE):
             part = np.append(words[o:], np.uint64(0))
             emitted = walk(part, np.zeros(1, np.int64), WALKS[-1])
@@ -110,12 +138,14 @@ def build_index(items: list[tuple[int, str]], most_edits: float, recall: float,
                     keys.append(_key(emitted, number, steps)[0])
                     item.append(k)
                     offset.append(o)
-    order = np.argsort(np.array(keys, np.uint64), kind="stable")
-    keys = np.array(keys, np.uint64)[order]
-    maybe = np.zeros(int(_FILTER) + 1, bool)
-    maybe[(keys & _FILTER).astype(np.int64)] = True
+        if len(keys) - before < STRIDE * len(tables):
+            for o, n in parts_of(words, edits[k]):
+                hashed = ngram_hashes(words[o : o + n], np.array([0, n]), n)[0]
+                for into, x in zip(parts.setdefault(n, ([], [], [])), (hashed[0], k, o), strict=True):
+                    into.append(x)
     used = {tables_[0] for tables_ in tables}
-    return Index(ids, terms, edits, [(n, w, s) for n, (w, s) in enumerate(tables) if w in used], keys, np.array(item, np.int64)[order], np.array(offset, np.int64)[order], maybe, short)
+    keys, item, offset, maybe = _sorted_keys(keys, item, offset)
+    return Index(ids, terms, edits, [(n, w, s) for n, (w, s) in enumerate(tables) if w in used], keys, item, offset, maybe, short, {n: _sorted_keys(*x) for n, x in parts.items()})
 
 
 def best_place(pattern: np.ndarray, texts: np.ndarray) -> np.ndarray:
@@ -146,14 +176,17 @@ def search(terms: np.ndarray, rows: np.ndarray, index: Index):
         emitted = walk(terms, some, longest)
         for number, _, steps in index.tables:
             key = _key(emitted, number, steps)
-            hit = np.flatnonzero(index.maybe[(key & _FILTER).astype(np.int64)])
-            left = np.searchsorted(index.keys, key[hit])
-            right = np.searchsorted(index.keys, key[hit], "right")
-            n = right - left
-            if n.any():
-                which = np.repeat(left, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                w = np.repeat(hit, n)
+            w, which = _lookup(key, index.keys, index.maybe)
+            if len(w):
                 candidates.append(np.stack([text[lo + w], index.item[which], some[w] - index.offset[which]], 1))
+    for length, (keys, item, offset, maybe) in index.parts.items():
+        grams, at = ngram_hashes(terms, rows, length)
+        p, which = _lookup(grams, keys, maybe)
+        if len(p):
+            t = np.searchsorted(at, p, "right") - 1
+            first = rows[t] + p - at[t] - offset[which]
+            # Places are read from STRIDE terms before to STRIDE after, so one of STRIDE neighbours is enough.
+            candidates.append(_unique(np.stack([t, item[which], first // STRIDE * STRIDE], 1)))
     if candidates:
         for k, group in _by_item(_unique(np.concatenate(candidates))):
             pattern, most = index.terms[k], index.edits[k]

@@ -66,3 +66,34 @@ def test_walk_emits_the_window_of_equal_terms():
     a = np.random.default_rng(1).integers(1, 1 << 62, 100, np.uint64)
     b = np.concatenate([a[40:90], a[:3]])
     assert (dc.walk(a, np.array([40]), 80)[:60] == dc.walk(b, np.array([0]), 80)[:60]).all()
+
+
+def edited(rng, words, edits):
+    out = list(words)
+    for _ in range(edits):
+        k = rng.randrange(len(out))
+        out[k : k + 1] = rng.choice([[], [f"new{rng.getrandbits(40)}"], [out[k], f"more{rng.getrandbits(40)}"]])
+    return out
+
+
+def recall(length, share, trials=100, seed=5):
+    """Share of items of one length that are found among other terms after edits, each alone in its index and text."""
+    rng, hits = random.Random(seed), 0
+    for i in range(trials):
+        item = [f"i{i}x{j}" for j in range(length)]
+        text = [f"a{j}" for j in range(rng.randrange(40))] + edited(rng, item, int(share * length)) + [f"b{j}" for j in range(40)]
+        raw = np.frombuffer(" ".join(text).encode(), np.uint8)
+        hits += bool(dc.search(*dc.terms_of(raw, np.array([0, len(raw)])), dc.build_index([(0, " ".join(item))], 0.2, 0.985, 0.75)))
+    return hits / trials
+
+
+def test_short_items_are_found():
+    for length in (8, 9, 10, 12, 15):
+        assert recall(length, 0) == recall(length, 0.2) == 1, length
+
+
+def test_items_of_few_different_terms_are_found():
+    for item in ("ha " * 9, "no no yes " * 4, "la li lu " * 20):
+        index = dc.build_index([(0, item)], 0.2, 0.985, 0.75)
+        raw = np.frombuffer(f"one two three four five {item} six".encode(), np.uint8)
+        assert dc.search(*dc.terms_of(raw, np.array([0, len(raw)])), index) == {(0, 0): (0, 5)}
