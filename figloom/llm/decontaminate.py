@@ -4,15 +4,15 @@ Texts and items are sequences of terms (runs of letters, digits and characters b
 random walk reads a window from left to right; at each step it emits the term it stands on, and a random bit of (step,
 term) says whether it goes on to the next. Sequences of small edit distance so become rows of small Hamming distance.
 A table hashes a few sampled steps of the walk; an item is in every table, so a window that agrees with it on the steps
-of any one is a candidate. The number of tables follows from the recall aimed at. The edit distance of the item to the
+of any one is a candidate. The number of tables follows from the recall aimed at, which edits near an item's beginning or
+of a fifth of its terms fall short of; so each item is also cut into one part more than it may have edits, one of which
+at least is unedited in every leak, and texts that hold a part as it stands are candidates too: no leak is missed,
+whatever the tables find. The edit distance of the item to the
 best place around each candidate is then computed exactly, in terms; up to `most_edits` of the item's length is a leak.
 
 Windows begin at every STRIDE-th term of a text, and items are entered once for each of the STRIDE first terms left
-out, so that a passage is met at any offset. An item that has no key in some table at some of these starts, as it is
-short or has few different terms, is also cut into one part more than it may have edits, so that one part at least is
-unedited in every leak: texts that hold a part as it stands are candidates, and no leak of such an item is missed. Items
-of fewer than LEAST_TERMS terms have to occur unchanged. Items are searched in blocks of `block_items`, each broadcast to
-one scan of all texts.
+out, so that a passage is met at any offset. Items of fewer than LEAST_TERMS terms have to occur unchanged. Items are
+searched in blocks of `block_items`, each broadcast to one scan of all texts.
 
 Null and empty texts and items match nothing. Pairs are unique also where rows repeat; pairs with a null doc_id or
 item_id are kept as such. Other columns are not read; an empty table on either side gives an empty result.
@@ -128,7 +128,6 @@ def build_index(items: list[tuple[int, str]], most_edits: float, recall: float,
             hashed = ngram_hashes(words, np.array([0, len(words)]), len(words))[0]
             short.setdefault(len(words), {}).setdefault(int(hashed[0]), []).append(k)
             continue
-        before = len(keys)
         for o in range(STRIDE):
             part = np.append(words[o:], np.uint64(0))
             emitted = walk(part, np.zeros(1, np.int64), WALKS[-1])
@@ -138,11 +137,10 @@ def build_index(items: list[tuple[int, str]], most_edits: float, recall: float,
                     keys.append(_key(emitted, number, steps)[0])
                     item.append(k)
                     offset.append(o)
-        if len(keys) - before < STRIDE * len(tables):
-            for o, n in parts_of(words, edits[k]):
-                hashed = ngram_hashes(words[o : o + n], np.array([0, n]), n)[0]
-                for into, x in zip(parts.setdefault(n, ([], [], [])), (hashed[0], k, o), strict=True):
-                    into.append(x)
+        for o, n in parts_of(words, edits[k]):
+            hashed = ngram_hashes(words[o : o + n], np.array([0, n]), n)[0]
+            for into, x in zip(parts.setdefault(n, ([], [], [])), (hashed[0], k, o), strict=True):
+                into.append(x)
     used = {tables_[0] for tables_ in tables}
     keys, item, offset, maybe = _sorted_keys(keys, item, offset)
     return Index(ids, terms, edits, [(n, w, s) for n, (w, s) in enumerate(tables) if w in used], keys, item, offset, maybe, short, {n: _sorted_keys(*x) for n, x in parts.items()})
@@ -233,7 +231,7 @@ def _by_item(candidates: np.ndarray):
 def leaks(docs: DataFrame, items: DataFrame, most_edits: float = 0.2, recall: float = 0.985, agree: float = 0.75, block_items: int = 20_000) -> DataFrame:
     """doc_id, item_id, edits, item_terms, start (term of the text) of every pair of a text and an item that it holds.
 
-    recall is aimed at for pairs whose embeddings agree on a share `agree` of the steps."""
+    recall is aimed at by the tables for pairs whose embeddings agree on a share `agree` of the steps; the parts find all."""
     spark = docs.sparkSession
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")

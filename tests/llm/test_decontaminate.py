@@ -97,3 +97,20 @@ def test_items_of_few_different_terms_are_found():
         index = dc.build_index([(0, item)], 0.2, 0.985, 0.75)
         raw = np.frombuffer(f"one two three four five {item} six".encode(), np.uint8)
         assert dc.search(*dc.terms_of(raw, np.array([0, len(raw)])), index) == {(0, 0): (0, 5)}
+
+
+def test_all_lengths_are_found_at_the_most_edits():
+    for length in (16, 20, 30, 59, 90, 150):
+        assert recall(length, 0.2, trials=40) == 1, length
+
+
+def test_edits_are_those_of_brute_force(spark):
+    rng = random.Random(11)
+    words = [f"w{i}" for i in range(40)]
+    items = [(i, " ".join(rng.choices(words, k=rng.choice([8, 10, 15, 25, 80])))) for i in range(15)]
+    docs = []
+    for i in range(150):
+        p = terms(items[i % 15][1])
+        docs.append((i, " ".join(rng.choices(words, k=rng.randrange(60)) + edited(rng, p, rng.randrange(int(0.2 * len(p)) + 2)) + rng.choices(words, k=rng.randrange(60)))))
+    found = dc.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]): r["edits"] for r in found.collect()} == brute(docs, items)
