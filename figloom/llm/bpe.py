@@ -2,23 +2,32 @@
 
 Each match of the vocabulary's pattern is merged by itself. A segment tree over its byte positions holds, at each
 leaf, the rank of the pair that begins there; the root is the leftmost least one, and a merge updates the leaves of
-the live neighbours only, so a piece of n bytes takes O(n log n). Pieces recur, so each Python worker remembers the
-ids of those it has met, up to a bound.
+the live neighbours only, so a piece of n bytes takes O(n log n). The trees of short pieces are worked on side by side,
+as rows of one array; a longer piece has a tree of its own. Pieces recur, so each Python worker remembers the ids of
+short ones it has met, up to a bound; longer ones aren't remembered.
 
 Null texts count as empty: no ids, nothing decoded. Rows are independent: repeated rows and null ids are kept as they
-are, and other columns are not read. An empty table gives an empty result.
+are, and other columns are not read. An empty table gives an empty result. Texts and pieces may be of any length; of
+equal ranks the leftmost pair is merged.
 """
 
 import base64
 import hashlib
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 _NONE = 1 << 62
+#: Pieces of up to this many bytes are merged side by side and remembered.
+SHORT = 64
+#: Leaves of trees that are worked on at a time.
+LEAVES = 1 << 16
+#: Characters of texts that are encoded together.
+TEXTS = 1 << 20
 
 
 def read_ranks(path: str) -> bytes:
@@ -80,40 +89,172 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
+class Pairs:
+    """Ranks of pairs of tokens, each token named by its own rank, for many pairs at once."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.single = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
+        found = [(ranks[a] << 32 | ranks[b], rank) for token, rank in ranks.items() for k in range(1, len(token)) if (a := token[:k]) in ranks and (b := token[k:]) in ranks]
+        keys, self.rank = (np.array(x, np.int64) for x in zip(*sorted(found), strict=True)) if found else (np.zeros(0, np.int64),) * 2
+        # An open hash table of a quarter full: most pairs are settled at the first probe.
+        self.bits = max(4, (4 * len(keys)).bit_length())
+        self.keys, self.at = np.full(1 << self.bits, -1, np.int64), np.zeros(1 << self.bits, np.int64)
+        left = np.arange(len(keys))
+        place = self._place(keys)
+        while len(left):
+            free = self.keys[place] < 0
+            self.keys[place[free]], self.at[place[free]] = keys[left[free]], self.rank[left[free]]
+            lost = self.keys[place] != keys[left]
+            left, place = left[lost], (place[lost] + 1) & (len(self.keys) - 1)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def __call__(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """The rank of each pair, _NONE where it has none."""
+        keys = a << 32 | b
+        place = self._place(keys)
+        got = self.keys[place]
+        out = np.where(got == keys, self.at[place], _NONE)
+        look = np.flatnonzero((got != keys) & (got >= 0))
+        place = place[look]
+        while len(look):
+            place = (place + 1) & (len(self.keys) - 1)
+            got = self.keys[place]
+            hit = got == keys[look]
+            out[look[hit]] = self.at[place[hit]]
+            more = ~hit & (got >= 0)
+            look, place = look[more], place[more]
+        return out
+
+
+def merge_many(pieces: list[bytes], pairs: Pairs) -> list[np.ndarray]:
+    """Ids of each piece, as merge() gives them; each is a row of a table of segment trees of one width, the tree's
+    least leaf at place 1 of its row. All pieces have at least one byte."""
+    sizes = np.array([len(p) for p in pieces])
+    out: list = [None] * len(pieces)
+    shift_of = np.ceil(np.log2(np.maximum(sizes, 2))).astype(np.int64)
+    for shift in np.unique(shift_of).tolist():
+        rows = np.flatnonzero(shift_of == shift)
+        step = max(1, LEAVES >> shift)
+        for lo in range(0, len(rows), step):
+            some = rows[lo : lo + step]
+            for r, ids in zip(some.tolist(), _merge_rows([pieces[r] for r in some.tolist()], sizes[some], shift, pairs), strict=True):
+                out[r] = ids
+    return out
+
+
+def _merge_rows(pieces: list[bytes], sizes: np.ndarray, shift: int, pairs: Pairs) -> list[np.ndarray]:
+    count, width = len(pieces), 1 << shift
+    inside = np.arange(width) < sizes[:, None]
+    token = np.full((count, width), -1, np.int64)
+    token[inside] = pairs.single[np.frombuffer(b"".join(pieces), np.uint8)]
+    after = np.tile(np.arange(1, width + 1), (count, 1))
+    before = after - 2
+    tree = np.full((count, 2 * width), _NONE, np.int64)
+    r, i = np.nonzero(inside[:, 1:])
+    rank = pairs(token[r, i], token[r, i + 1])
+    tree[r, width + i] = np.where(rank < _NONE, (rank << shift) + i, _NONE)
+    for level in range(shift, 0, -1):
+        a = 1 << (level - 1)
+        tree[:, a : 2 * a] = tree[:, 2 * a : 4 * a].reshape(count, a, 2).min(2)
+    token, after, before, tree = token.ravel(), after.ravel(), before.ravel(), tree.ravel()
+    rows = np.flatnonzero(tree[1 :: 2 * width] < _NONE)
+    while len(rows):
+        least = tree[rows * (2 * width) + 1]
+        i = least & (width - 1)
+        base = rows << shift
+        j = after[base + i]
+        k = after[base + j]
+        token[base + i], token[base + j] = least >> shift, -1
+        after[base + i] = k
+        right = np.flatnonzero(k < sizes[rows])
+        before[base[right] + k[right]] = i[right]
+        h = before[base + i]
+        left = np.flatnonzero(h >= 0)
+        # Leaves that change: the merged pair's right neighbour has none any more, its own and its left neighbour's are new.
+        own = np.full(len(rows), _NONE, np.int64)
+        rank = pairs(token[np.concatenate([base[right] + i[right], base[left] + h[left]])], token[np.concatenate([base[right] + k[right], base[left] + i[left]])])
+        value = np.where(rank < _NONE, (rank << shift) + np.concatenate([i[right], h[left]]), _NONE)
+        own[right] = value[: len(right)]
+        leaf = rows * (2 * width) + width
+        tree[leaf + j], tree[leaf + i], tree[leaf[left] + h[left]] = _NONE, own, value[len(right) :]
+        row = np.concatenate([rows, rows, rows[left]]) * (2 * width)
+        place = width + np.concatenate([j, i, h[left]])
+        for _ in range(shift):
+            place >>= 1
+            tree[row + place] = np.minimum(tree[row + 2 * place], tree[row + 2 * place + 1])
+        rows = rows[tree[rows * (2 * width) + 1] < _NONE]
+    live = token >= 0
+    return np.split(token[live], np.cumsum(live.reshape(count, width).sum(1))[:-1])
+
+
 class Codec:
-    """Encoder and decoder of one vocabulary; remembers up to 2 x `remember` pieces."""
+    """Encoder and decoder of one vocabulary; remembers about `remember` short pieces and those of one call."""
 
-    def __init__(self, table: bytes, pattern: str, remember: int = 150_000):
+    def __init__(self, table: bytes, pattern: str, remember: int = 300_000):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, table.splitlines()) if a}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
         self.find = regex.compile(pattern).findall
-        self.remember, self.new, self.old = remember, {}, {}
-
-    def _piece(self, piece: str) -> tuple[str, int, bytes]:
-        found = self.old.get(piece)
-        if found is None:
-            ids = merge(piece.encode(), self.ranks)
-            found = (" ".join(map(str, ids)), len(ids), self.decode(ids))
-        if len(self.new) >= self.remember:
-            self.old, self.new = self.new, {}
-        self.new[piece] = found
-        return found
-
-    def pieces(self, text: str) -> list[tuple[str, int, bytes]]:
-        """Of each piece of the text: its ids joined by spaces, their number, and what they decode to."""
-        found = self.find(text)
-        known = list(map(self.new.get, found))
-        if None in known:
-            known = [self.new.get(p) or self._piece(p) for p in found]
-        return known
+        self.pairs = Pairs(self.ranks)
+        self.remember = remember
+        self.ids: dict[str, str] = {}
+        self.back: dict[str, bytes] = {}
+
+    def _learn(self, wanted: set[str]) -> None:
+        """Adds the pieces' ids, joined by spaces, and what these decode to."""
+        short, found = {}, {}
+        for p in wanted:
+            raw = p.encode()
+            if raw in self.ranks:
+                found[p] = [self.ranks[raw]]
+            elif len(raw) <= SHORT:
+                short[p] = raw
+            else:
+                found[p] = merge(raw, self.ranks)
+        found.update(zip(short, (x.tolist() for x in merge_many(list(short.values()), self.pairs)), strict=True))
+        for p, ids in found.items():
+            self.ids[p] = " ".join(map(str, ids))
+            self.back[p] = self.decode(ids)
+
+    def coded(self, texts: list[str]) -> list[tuple[str, bytes]]:
+        """Of each text: its ids joined by spaces, and what they decode to."""
+        found = [self.find(t) for t in texts]
+        wanted = set().union(*found).difference(self.ids)
+        self._learn(wanted)
+        ids, back = self.ids.__getitem__, self.back.__getitem__
+        out = [(" ".join(map(ids, f)), b"".join(map(back, f))) for f in found]
+        if len(self.ids) > self.remember:
+            self.ids, self.back = {}, {}
+        else:
+            for p in wanted:
+                if len(p) > SHORT:
+                    del self.ids[p], self.back[p]
+        return out
 
     def encode(self, text: str) -> list[int]:
-        return [int(i) for ids, _, _ in self.pieces(text) for i in ids.split()]
+        return self.encode_all([text])[0]
+
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        return [list(map(int, ids.split())) for ids, _ in self.coded(texts)]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
+def _together(texts: list[str], most: int = TEXTS):
+    """The texts in runs of up to `most` characters, a longer one by itself."""
+    run, size = [], 0
+    for t in texts:
+        if run and size + len(t) > most:
+            yield run
+            run, size = [], 0
+        run.append(t)
+        size += len(t)
+    if run:
+        yield run
+
+
 @lru_cache(2)
 def _codec(table: bytes, pattern: str) -> Codec:
     return Codec(table, pattern)
@@ -135,8 +276,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     id_type = docs.schema[id_col].dataType.simpleString()
 
     def rows(codec, batch):
-        ids = pa.array([codec.encode(t or "") for t in batch.column(1).to_pylist()], pa.list_(pa.int32()))
-        yield pa.RecordBatch.from_arrays([batch.column(0), ids], [id_col, "ids"])
+        at = 0
+        for texts in _together([t or "" for t in batch.column(1).to_pylist()]):
+            ids = pa.array(codec.encode_all(texts), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], [id_col, "ids"])
+            at += len(texts)
 
     return _mapped(docs, ranks_path, pattern, [id_col, text_col], f"`{id_col}` {id_type}, ids array<int>", rows)
 
@@ -156,15 +300,13 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of each row: the ids, and the bytes that come back from them."""
 
     def rows(codec, batch):
-        step = 256
-        for lo in range(0, batch.num_rows, step):
-            part = batch.slice(lo, step)
-            n, ids, back = [], [], []
-            for text in part.column(1).to_pylist():
-                found = codec.pieces(text or "")
-                n.append(sum([x[1] for x in found]))
-                ids.append(hashlib.sha256(" ".join([x[0] for x in found]).encode()).hexdigest())
-                back.append(hashlib.sha256(b"".join([x[2] for x in found])).hexdigest())
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+        at = 0
+        for texts in _together([t or "" for t in batch.column(1).to_pylist()]):
+            found = codec.coded(texts)
+            n = [ids.count(" ") + bool(ids) for ids, _ in found]
+            ids = [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in found]
+            back = [hashlib.sha256(raw).hexdigest() for _, raw in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+            at += len(texts)
 
     return _mapped(docs, ranks_path, pattern, [F.col("doc_id").cast("long").alias("doc_id"), "text"], "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string", rows)
