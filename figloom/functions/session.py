@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset (tests)."""
+    """The folder that all executors share: spark.checkpoint.dir; a temporary one only where that is unset and Spark runs
+    on one machine (tests)."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="figloom-shared-")
         spark.conf.set("spark.checkpoint.dir", path)
     return path.rstrip("/")
@@ -20,4 +23,15 @@ def materialise(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/figloom-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete what materialise wrote for these tables; nothing that is still to be computed may read them."""
+    for df in tables:
+        if (path := getattr(df, "__dict__", {}).pop("stored_at", None)) is not None:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
+            folder = jvm.org.apache.hadoop.fs.Path(path)
+            folder.getFileSystem(conf).delete(folder, True)
