@@ -10,20 +10,24 @@ each part's shingles make one signature. Parts that are empty in both sets tell
 parts is cut anew by another hash, and after the last one its empty parts are signatures, too. No link is lost.
 
 Equal sets are one class from the start. Classes that share a signature are candidates (the rows are counted by
-signature first; a Bloom filter of the shared ones then keeps the others from travelling). In small buckets all pairs
-are compared: bitmaps rule out most, as two sets differ in at least as many shingles as their bitmaps in bits, and the
-sets of the rest are intersected.
-
-In a larger bucket all classes are compared with one pivot. The shingles that most of them have or lack against the
-pivot make the bucket's consensus, and each class is known by its difference from that. Two classes differ by the sum of
-their differences less twice what these share. So all pairs that link without sharing anything link with the class next
-to the consensus, too, and that star is all they need. Any other pair shares a number of elements that follows from
-the sizes, so it meets in one of the rarest elements of both (a prefix): those are the buckets of the next round. After
-`rounds` rounds all pairs of what is left are compared. Large groups of copies so take few comparisons a member, and no
-link is lost.
+signature first; a Bloom filter of the shared ones then keeps the others from travelling). Each round compares the
+classes of a bucket with one of them, its hub, and joins what links to components; most buckets then hold one component
+and are done. In buckets where a class has few others to be compared with (SMALL_BUCKET), the pairs between components are
+compared: bitmaps rule out most, as two sets differ in at least as many shingles as their bitmaps in bits, and the sets of
+the rest are intersected.
+
+In a larger bucket (at first, in all that have one hub), the shingles that most classes have or lack against the hub make
+the consensus, and each class is known by its difference from that. Two classes differ by the sum of their differences less
+twice what these share. So pairs that link without sharing anything link with the class next to the consensus, too, and
+that star is all they need. What the star's component doesn't hold is apart. A pair with a class apart shares a number of
+elements that follows from the sizes, so it meets in one of the rarest elements of both (a prefix): more of the class
+apart's and few of the other's, or few of both where both are apart. Those are the buckets of the next round, and no element
+is in the differences of more than half of a bucket's classes, so they halve each time and the rounds end by themselves.
+Large groups of copies so take few comparisons a member, no large bucket's pairs are written out, and no link is lost.
 
 Rows that repeat a doc_id are one document to the links. A null doc_id gets its class's component and names none.
-Null and empty texts: n_shingles 0, component their own doc_id. Other columns are not read.
+Null and empty texts: n_shingles 0, component their own doc_id. Other columns are not read, whatever their names. Texts
+may be of any length; an empty table gives an empty result.
 """
 
 import numpy as np
@@ -31,15 +35,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from figloom.functions.session import materialise
+from figloom.functions.session import discard, materialise
 from figloom.llm import bloom
 from figloom.llm.components import components
 from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_hashes, word_spans
 
 HASHES = 3
+#: Pairs a class and bucket that are compared one by one.
 SMALL_BUCKET = 8
 #: Bits of a set's bitmap.
 BITS = 2048
+#: Rows, or elements of arrays, up to which a table of one row a hub is broadcast.
+BROADCAST = 1_000_000
 
 
 class Bands:
@@ -138,31 +145,39 @@ def _blocks(batches, words):
             yield batch.slice(lo, hi - lo), sets, at, *_digests(sets, at)
 
 
-def document_sets(docs: DataFrame, words: int) -> DataFrame:
-    """doc_id, n, d1, d2: the size of each row's set, and 128 bits that tell sets apart."""
+def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """doc_id, n, d1, d2, sigs: the size of each row's set, 128 bits that tell sets apart, and the set's signatures (those
+    of equal sets of a block once)."""
 
     def run(batches):
-        for part, _, at, d1, d2 in _blocks(batches, words):
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(d1), pa.array(d2)], ["doc_id", "n", "d1", "d2"])
+        bands = Bands(percent)
+        for part, sets, at, d1, d2 in _blocks(batches, words):
+            _, once = np.unique(d1, return_index=True)
+            mine = np.zeros(len(d1), bool)
+            mine[once] = True
+            found = [(sig[mine[which]], which[mine[which]]) for sig, which in signatures(sets, at, bands)] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
+            sig, which = (np.concatenate(x) for x in zip(*found, strict=True))
+            order = np.argsort(which, kind="stable")
+            sigs = pa.ListArray.from_arrays(pa.array(np.searchsorted(which[order], np.arange(len(d1) + 1)).astype(np.int32)), pa.array(sig[order].view(np.int64)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(d1), pa.array(d2), sigs], ["doc_id", "n", "d1", "d2", "sigs"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs array<long>")
 
 
-def signature_rows(docs: DataFrame, words: int, percent: int, table: np.ndarray | None = None) -> DataFrame:
-    """sig, d1: the signatures of every set (of those that a Bloom filter may hold); equal sets of a block once."""
-    shared = docs.sparkSession.sparkContext.broadcast(table)
+def shared_signatures(sized: DataFrame, filter_bytes: int) -> DataFrame:
+    """sig, d1: the signatures that occur on two rows of sized or more."""
+    shared = materialise(sized.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"))
+    table = sized.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length()))))
 
     def run(batches):
-        bands = Bands(percent)
-        for _, sets, at, d1, _ in _blocks(batches, words):
-            _, once = np.unique(d1, return_index=True)
-            mine = np.zeros(len(d1), bool)
-            mine[once] = True
-            for sig, which in signatures(sets, at, bands):
-                keep = mine[which] if shared.value is None else mine[which] & bloom.may_hold(shared.value, sig)
-                yield pa.RecordBatch.from_arrays([pa.array(sig[keep].view(np.int64)), pa.array(d1[which[keep]])], ["sig", "d1"])
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                sigs = batch.column(1).slice(lo, 512)
+                row, sig = sigs.value_parent_indices(), sigs.flatten()
+                keep = pa.array(bloom.may_hold(table.value, sig.to_numpy(zero_copy_only=False)))
+                yield pa.RecordBatch.from_arrays([sig.filter(keep), batch.column(0).slice(lo, 512).take(row.filter(keep))], ["sig", "d1"])
 
-    return docs.select("text").mapInArrow(run, "sig long, d1 long")
+    return sized.select("d1", "sigs").mapInArrow(run, "sig long, d1 long").join(shared, "sig", "left_semi").distinct()
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int) -> DataFrame:
@@ -194,79 +209,144 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))).select("u", "v")
 
 
-def link(docs: DataFrame, words: int = 5, percent: int = 80, rounds: int = 4, broadcast_ids: int = 1_000_000, filter_bytes: int = 1 << 25) -> DataFrame:
+def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int = 1_000_000, filter_bytes: int = 1 << 25) -> DataFrame:
     """doc_id, n_shingles, class_id (least doc_id with an equal set), component_id (least doc_id reachable by links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    sized = materialise(document_sets(docs, words))
+    whole = materialise(document_sets(docs, words, percent))
+    sized = whole.drop("sigs")
     classes = sized.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
-    shared = materialise(signature_rows(docs, words, percent).groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"))
-    table = bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length())))
-    rows = signature_rows(docs, words, percent, table)
-    members = rows.join(shared, "sig", "left_semi").distinct().join(classes.select("d1", "node", "n").where("node is not null"), "d1").select("sig", "node", "n")
-    members = materialise(members.distinct())
-    comps = _component_of(docs, members, words, percent, rounds, broadcast_ids)
+    nodes = classes.select("d1", "node", "n").where("node is not null")
+    members = materialise(shared_signatures(whole, filter_bytes).join(nodes, "d1").select("sig", "node", "n").distinct())
+    comps = _component_of(docs, members, words, percent, broadcast_ids)
+    discard(members)
     out = sized.join(classes.withColumnRenamed("node", "class_id"), ["n", "d1", "d2"], "left")
     out = out.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left") if comps is not None else out.withColumn("comp", F.lit(None).cast("long"))
     own = F.when(F.col("n") == 0, F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(own, "class_id").alias("class_id"), F.coalesce(own, "comp", "class_id").alias("component_id"))
 
 
-def _component_of(docs, members, words, percent, rounds, broadcast_ids):
-    """node, comp of the classes that are linked to one of a lesser id; None where no classes share a signature."""
-    if members.isEmpty():
-        return None
-    sets = materialise(_sets_of(docs, members.select("node").distinct(), words, broadcast_ids))
-    fits = f"least(n_u, n_v) * 100 >= {percent} * greatest(n_u, n_v)"
-    buckets, told, comps = members, None, None
-    for number in range(rounds + 1):
-        buckets = buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")) if comps is not None else buckets.withColumn("comp", F.col("node"))
-        sizes = buckets.groupBy("sig").agg(F.count("*").alias("size"), F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi").select("sig", "size")
-        buckets = materialise(buckets.join(sizes, "sig"))
-        small = buckets if number == rounds else buckets.where(F.col("size") <= SMALL_BUCKET)
-        u, v = (small.select("sig", F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("comp").alias(f"c_{k}")) for k in "uv")
-        pairs = u.join(v, "sig").where(f"u < v and c_u != c_v and {fits}").select("u", "v").distinct()
-        links = linked_pairs(pairs, sets, percent)
-        large = buckets.where(F.col("size") > SMALL_BUCKET)
-        more = number < rounds and not large.isEmpty()
-        if more:
-            differences = materialise(_differences(large, sets, percent))
-            links = links.union(differences.where(F.col("direct") & (F.col("u") != F.col("hub"))).select("u", F.col("hub").alias("v")))
-        links = materialise(links)
-        if not links.isEmpty():
-            told = links if told is None else told.union(links)
-            comps = components(told)
-        if not more:
-            break
-        buckets = _next_buckets(differences, percent)
+def _component_of(docs, members, words, percent, broadcast_ids):
+    """node, comp of the classes that are linked to one of a lesser id; None where there are none."""
+    buckets, comps, sets, first = materialise(_unsettled(members, None)), None, None, True
+    while not buckets.isEmpty():
+        if sets is None:
+            sets = materialise(_sets_of(docs, buckets.select("node").distinct(), words, broadcast_ids))
+        star = materialise(_star(buckets, sets, percent))
+        comps = _joined(comps, star.where("links").select("u", "v"))
+        left = materialise(_unsettled(buckets.select("sig", "node", "n"), comps))
+        discard(buckets)
+        pairs = _pairs_within(left.where(F.col("node") != F.col("hub")).withColumn("pairs", F.col("size") - 1))
+        large = left.where(F.col("size") > 2 * SMALL_BUCKET)
+        if large.isEmpty():
+            buckets = large
+        else:
+            near = _differences(materialise(_by_hub(large, star) if first else _by_bucket(large, star)), percent)
+            comps = _joined(comps, near.where("direct and u != hub").select("u", F.col("hub").alias("v")))
+            fresh = materialise(_next_buckets(near, comps, percent))
+            discard(near)
+            pairs = pairs.union(_pairs_within(fresh.where("not cross"))).union(_pairs_across(fresh.where("cross"))).distinct()
+            buckets = fresh.where(F.col("pairs") > 2 * SMALL_BUCKET)
+        pairs = materialise(pairs.where(f"least(n_u, n_v) * 100 >= {percent} * greatest(n_u, n_v)").select("u", "v"))
+        comps = _joined(comps, linked_pairs(pairs, sets, percent))
+        buckets, first = materialise(_unsettled(buckets.select("sig", "node", "n"), comps)), False
+        discard(left, star, pairs)
+    discard(sets)
     return comps
 
 
-def _differences(large: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """v (pivot), u, n, weight, least (of all), hub (whose weight that is), direct, d: each class's difference from the
-    consensus of the classes that meet one pivot."""
-    company = large.groupBy("node").agg(F.sum("size").alias("company"))
-    pivot = F.max(F.struct("company", "node")).over(Window.partitionBy("sig"))["node"]
-    star = large.join(company, "node").select(F.col("node").alias("u"), pivot.alias("v")).distinct()
-    both = _sides(star, sets, "shingles")
-    both = both.select("v", "u", F.col("n_u").alias("n"), F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")).alias("d"))
-    both = materialise(both)
-    counts = both.select("v", F.explode("d").alias("g")).groupBy("v", "g").agg(F.count("*").alias("c"))
-    total = both.groupBy("v").agg(F.count("*").alias("total"))
-    common = counts.join(total, "v").where("2 * c > total").groupBy("v").agg(F.collect_list("g").alias("m"))
-    both = both.join(common, "v", "left").withColumn("m", F.coalesce("m", F.array().cast("array<bigint>")))
-    both = both.withColumn("d", F.concat(F.array_except("d", "m"), F.array_except("m", "d"))).drop("m")
-    both = both.withColumn("weight", (100 + percent) * F.size("d").cast("long") - (100 - percent) * F.col("n"))
-    least = both.groupBy("v").agg(F.min(F.struct("weight", "u")).alias("h")).select("v", F.col("h.weight").alias("least"), F.col("h.u").alias("hub"))
-    return both.join(least, "v").withColumn("direct", F.col("weight") + F.col("least") <= 0)
-
-
-def _next_buckets(differences: DataFrame, percent: int) -> DataFrame:
-    """sig, node, n: the rarest elements of each difference, as many as a pair that shares enough must meet in."""
+def _joined(comps: DataFrame | None, links: DataFrame) -> DataFrame | None:
+    """The components with further links."""
+    links = materialise(links)
+    if links.isEmpty():
+        return comps
+    return components(links if comps is None else links.union(comps.select("node", "comp")))
+
+
+def _unsettled(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
+    """sig, node, n, comp, size, hub (least node) of the buckets (sig, node, n) that hold several components."""
+    buckets = buckets.withColumn("comp", F.col("node")) if comps is None else buckets.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    sizes = buckets.groupBy("sig").agg(F.count("*").alias("size"), F.min("node").alias("hub"), F.min("comp").alias("lo"), F.max("comp").alias("hi"))
+    return buckets.join(sizes.where("lo < hi").drop("lo", "hi"), "sig").select("sig", "node", "n", "comp", "size", "hub")
+
+
+def _star(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """u, v, n_u, n_v, links, d of each class u and hub v that share a bucket: d is what only one of them has, given where
+    a bucket is large."""
+    pairs = buckets.where("node != hub").groupBy(F.col("node").alias("u"), F.col("hub").alias("v")).agg(F.max("size").alias("size"))
+    both = _sides(pairs, sets, "shingles").withColumn("d", F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")))
+    links = (100 + percent) * F.size("d") <= (100 - percent) * (F.col("n_u") + F.col("n_v"))
+    return both.select("u", "v", "n_u", "n_v", links.alias("links"), F.when(F.col("size") > 2 * SMALL_BUCKET, F.col("d")).alias("d"))
+
+
+def _pairs_within(rows: DataFrame) -> DataFrame:
+    """u, v, n_u, n_v: the pairs between components of buckets that are small enough; rows has sig, node, n, comp, pairs."""
+    some = rows.where(F.col("pairs") <= 2 * SMALL_BUCKET)
+    u, v = (some.select("sig", F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col("comp").alias(f"c_{k}")) for k in "uv")
+    return u.join(v, "sig").where("u < v and c_u != c_v").select("u", "v", "n_u", "n_v").distinct()
+
+
+def _pairs_across(rows: DataFrame) -> DataFrame:
+    """The same between the classes apart and the others of a bucket, where one side is small."""
+    some = rows.where(F.col("pairs") <= 2 * SMALL_BUCKET)
+    u, v = (some.where(side).select("sig", F.col("node").alias(k), F.col("n").alias(f"n_{k}")) for k, side in (("u", "apart"), ("v", "not apart")))
+    both = u.join(v, "sig").select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b"), F.when(F.col("u") < F.col("v"), F.col("n_u")).otherwise(F.col("n_v")).alias("x"), F.when(F.col("u") < F.col("v"), F.col("n_v")).otherwise(F.col("n_u")).alias("y"))
+    return both.toDF("u", "v", "n_u", "n_v").distinct()
+
+
+def _by_hub(large: DataFrame, star: DataFrame) -> DataFrame:
+    """v, u, n, d: the classes u that meet a hub v of a large bucket anywhere, with their differences from it."""
+    rows = star.where("d is not null").join(large.select(F.col("hub").alias("v")).distinct(), "v", "left_semi")
+    own = rows.groupBy("v").agg(F.min("n_v").alias("n")).select("v", F.col("v").alias("u"), "n", F.array().cast("array<bigint>").alias("d"))
+    return rows.select("v", "u", F.col("n_u").alias("n"), "d").union(own)
+
+
+def _by_bucket(large: DataFrame, star: DataFrame) -> DataFrame:
+    """v (bucket), u, n, d: the classes of each large bucket with their differences from its hub."""
+    known = star.select(F.col("u").alias("node"), F.col("v").alias("hub"), "d")
+    return large.join(known, ["node", "hub"], "left").select(F.col("sig").alias("v"), F.col("node").alias("u"), "n", F.coalesce("d", F.array().cast("array<bigint>")).alias("d"))
+
+
+def _few(df: DataFrame, count: int) -> DataFrame:
+    return F.broadcast(df) if count <= BROADCAST else df
+
+
+def _differences(rows: DataFrame, percent: int) -> DataFrame:
+    """v, u, n, weight, d, least (of all weights of a v), hub (whose weight that is), direct: each class's difference from
+    the consensus of the classes of one v. rows (v, u, n, d) are discarded."""
+    total = rows.groupBy("v").agg(F.count("*").alias("total"))
+    counts = rows.select("v", F.explode("d").alias("g")).groupBy("v", "g").agg(F.count("*").alias("c"))
+    common = materialise(counts.join(total, "v").where("2 * c > total").groupBy("v").agg(F.collect_list("g").alias("m")))
+    both = rows.join(_few(common, common.agg(F.sum(F.size("m"))).first()[0] or 0), "v", "left").withColumn("m", F.coalesce("m", F.array().cast("array<bigint>")))
+    both = both.select("v", "u", "n", F.concat(F.array_except("d", "m"), F.array_except("m", "d")).alias("d"))
+    both = materialise(both.withColumn("weight", (100 + percent) * F.size("d").cast("long") - (100 - percent) * F.col("n")))
+    least = materialise(both.groupBy("v").agg(F.min(F.struct("weight", "u")).alias("h")).select("v", F.col("h.weight").alias("least"), F.col("h.u").alias("hub")))
+    out = materialise(both.join(_few(least, least.count()), "v").withColumn("direct", F.col("weight") + F.col("least") <= 0))
+    discard(rows, common, both, least)
+    return out
+
+
+def _next_buckets(near: DataFrame, comps: DataFrame | None, percent: int) -> DataFrame:
+    """sig, node, n, comp, apart, cross, pairs: the rarest elements of each difference, as many as a pair that shares enough
+    must meet in. Buckets with cross hold classes apart from their hub's component and others, those without it only classes
+    apart; pairs is the least number of others that one side's classes meet."""
     step = 2 * (100 + percent)
-    other = F.when(F.col("direct"), 1 - F.col("least")).otherwise(F.col("least"))
-    need = F.greatest(F.lit(1), F.ceil((F.col("weight") + other) / step))
-    alive = differences.groupBy("v").agg(F.min("direct").alias("done")).where("not done").select("v")
-    rows = differences.join(alive, "v", "left_semi").select("v", "u", "n", (F.size("d") - need + 1).alias("prefix"), F.explode("d").alias("g")).where("prefix > 0")
-    counts = rows.groupBy("v", "g").agg(F.count("*").alias("c"))
-    ranked = rows.join(counts, ["v", "g"]).withColumn("r", F.row_number().over(Window.partitionBy("v", "u").orderBy("c", "g")))
-    return materialise(ranked.where("r <= prefix and c > 1").select(F.xxhash64("v", "g").alias("sig"), F.col("u").alias("node"), "n"))
+    alone = near.select(F.col("u").alias("node")).limit(0).withColumn("comp", F.col("node"))
+    comps = alone if comps is None else comps
+    of_u, of_hub = comps.toDF("u", "c_u"), comps.toDF("hub", "c_hub")
+    told = near.join(of_u, "u", "left").join(of_hub, "hub", "left").withColumns({"comp": F.coalesce("c_u", "u"), "home": F.coalesce("c_hub", "hub")})
+    told = told.withColumn("apart", F.col("comp") != F.col("home")).drop("c_u", "c_hub", "hub", "home", "direct")
+    rows = told.join(told.where("apart").select("v").distinct(), "v", "left_semi").withColumn("k", F.size("d"))
+
+    def prefix(partner):
+        return F.col("k") - F.greatest(F.lit(1), F.ceil((F.col("weight") + partner) / step)) + 1
+
+    # Classes apart weigh at least 1 - least, as they don't link with the hub; any class weighs at least `least`.
+    rows = rows.withColumn("narrow", prefix(1 - F.col("least"))).withColumn("wide", F.when(F.col("apart"), prefix(F.col("least"))).otherwise(F.col("narrow")))
+    rows = rows.where("wide > 0").select("v", "u", "n", "comp", "apart", "narrow", "wide", F.explode("d").alias("g"))
+    counts = rows.groupBy("v", "g").agg(F.count("*").alias("c")).where("c > 1")
+    ranked = rows.join(counts, ["v", "g"], "left").withColumn("r", F.row_number().over(Window.partitionBy("v", "u").orderBy(F.coalesce("c", F.lit(1)), "g"))).where("c > 1 and r <= wide")
+    kinds = F.filter(F.array(F.lit(True), F.when(F.col("apart") & (F.col("r") <= F.col("narrow")), F.lit(False))), lambda x: x.isNotNull())
+    held = materialise(ranked.select(F.col("u").alias("node"), "n", "comp", "apart", "v", "g", F.explode(kinds).alias("cross")).select(F.xxhash64("v", "g", "cross").alias("sig"), "node", "n", "comp", "apart", "cross"))
+    sizes = held.groupBy("sig").agg(F.count_if("apart").alias("x"), F.count_if(~F.col("apart")).alias("y"), (F.min("comp") < F.max("comp")).alias("open"), F.any_value("cross").alias("_c"))
+    sizes = sizes.where("open and (not _c or x > 0 and y > 0)").select("sig", F.when(F.col("_c"), 2 * F.least("x", "y")).otherwise(F.col("x") - 1).alias("pairs"))
+    return held.join(sizes, "sig")

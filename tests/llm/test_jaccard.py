@@ -46,12 +46,12 @@ def texts(seed, n=160):
     return list(enumerate(out))
 
 
-@pytest.mark.parametrize("n,percent,rounds,small", [(3, 90, 4, 8), (5, 80, 4, 2), (3, 60, 0, 8)])
-def test_matches_brute_force(spark, monkeypatch, n, percent, rounds, small):
+@pytest.mark.parametrize("n,percent,broadcast_ids,small", [(3, 90, 4, 8), (5, 80, 4, 2), (3, 60, 0, 8)])
+def test_matches_brute_force(spark, monkeypatch, n, percent, broadcast_ids, small):
     monkeypatch.setattr(jaccard, "SMALL_BUCKET", small)
     rows = texts(n + percent) + [(900, None), (901, ""), (902, "one two"), (903, "One  two"), (904, "one")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "1 as n", "2 as node")
-    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(docs, n, percent, rounds).collect()}
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(docs, n, percent, broadcast_ids).collect()}
     assert got == brute(rows, n, percent)
 
 
