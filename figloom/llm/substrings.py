@@ -2,20 +2,20 @@
 
 A window is `width` consecutive words of one text. Its minimiser is the least hash of its m-grams of words, leftmost
 of equals. Consecutive windows with one minimiser make a super-k-mer, which travels as one packed string of word codes
-to its minimiser's bucket; there all windows are hashed, sorted and counted.
+to its minimiser's bucket; there all windows are sorted by hash, told apart by their codes, and counted.
 
 What need not travel stays: windows whose minimiser occurs once in the corpus (told by a Bloom filter of fixed size
 over the repeated ones, exact counts behind it), and windows that a chunk of texts holds twice, which are repeated by
 that; of these one travels for the chunk. So a passage that a third of all texts share reaches its bucket once for
-each chunk. Minimisers that occur very often rank last, so that what stands around such a passage goes elsewhere.
+each chunk. Minimisers that occur very often rank last, so that what stands around such a passage goes elsewhere; windows
+that have no other are dealt by a second minimiser, of another order of m-grams, too. A bucket is counted as it comes:
+beyond BUCKET_BYTES, of what has come each different window is kept once.
 
 Null texts have no words. A row whose doc_id and text both recur is a copy of its twin: all its windows are repeated.
-Texts shorter than a window lose nothing; null ids are kept; windows are judged on the input, not on what is left;
-other columns are not read; an empty table gives an empty result.
+Texts shorter than a window lose nothing, and texts may be of any length; null ids are kept; windows are judged on the
+input, not on what is left; other columns are not read, whatever their names; an empty table gives an empty result.
 """
 
-import hashlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -27,7 +27,9 @@ from figloom.llm.textblocks import _power_tables, mix, text_blocks, word_hashes,
 
 MGRAM = 6
 #: Texts of this many bytes are looked at together.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 2 << 20
+#: Packed bytes of one bucket that are counted together.
+BUCKET_BYTES = 16 << 20
 #: Bytes of a word's code in a packed string.
 CODE = 6
 _PLACE = np.uint64(22)
@@ -64,12 +66,12 @@ def _window_hashes(words: np.ndarray, width: int) -> np.ndarray:
     return mix((sums[width:] - sums[:-width]) * inverse[: len(words) - width + 1], 3)
 
 
-def _minimisers(words: np.ndarray, width: int, late: np.ndarray) -> np.ndarray:
+def _minimisers(words: np.ndarray, width: int, late: np.ndarray, seed: int = 0) -> np.ndarray:
     """Of every window: the hash of its least m-gram, and below that (22 bits) the place of it."""
     m = min(MGRAM, width)
     grams = np.zeros(len(words) - m + 1, np.uint64)
     for k in range(m):
-        grams = mix(grams + words[k : len(words) - m + 1 + k], k)
+        grams = mix(grams + words[k : len(words) - m + 1 + k], seed + k)
     grams >>= np.uint64(1)
     if len(late):
         where = np.minimum(np.searchsorted(late, grams >> _PLACE), len(late) - 1)
@@ -101,6 +103,30 @@ def _runs(*breaks: np.ndarray) -> np.ndarray:
     return np.append(np.flatnonzero(new), n)
 
 
+def _equal_windows(words: np.ndarray, at: np.ndarray, width: int, bucket: np.ndarray | None = None):
+    """An order of the windows at `at`, and where runs of equal ones begin in it, and the end. Windows of one hash are
+    compared word by word; where these differ, they are sorted by their words."""
+    hashes = _window_hashes(words, width)[at]
+    order = np.argsort(hashes, kind="stable") if bucket is None else np.lexsort((hashes, bucket))
+    cuts = _runs(hashes[order]) if bucket is None else _runs(bucket[order], hashes[order])
+    begins = np.zeros(len(at) + 1, bool)
+    begins[cuts] = True
+    pairs = np.flatnonzero(~begins[1:-1]) + 1
+    differ = np.zeros(len(pairs), bool)
+    for lo in range(0, len(pairs), 1 << 16):
+        a, b = at[order[pairs[lo : lo + (1 << 16)] - 1]], at[order[pairs[lo : lo + (1 << 16)]]]
+        for k in range(width):
+            differ[lo : lo + (1 << 16)] |= words[a + k] != words[b + k]
+    for run in np.unique(np.searchsorted(cuts, pairs[differ], "right") - 1).tolist():
+        span = slice(cuts[run], cuts[run + 1])
+        _, of = np.unique(words[at[order[span]][:, None] + np.arange(width)], axis=0, return_inverse=True)
+        of = of.ravel()
+        mixed = np.argsort(of, kind="stable")
+        order[span] = order[span][mixed]
+        begins[span.start + 1 : span.stop] = np.diff(of[mixed]) != 0
+    return order, np.flatnonzero(begins)
+
+
 def repeated_minimisers(docs: DataFrame, width: int) -> DataFrame:
     """mini, n: minimisers that occur twice or more in the corpus; counted in every chunk before the shuffle."""
 
@@ -146,23 +172,26 @@ def super_kmers(docs: DataFrame, width: int, words_of_filter: np.ndarray, late:
             if not len(at):
                 continue
             mini = _minimisers(words, width, last)[at]
-            order = np.argsort(hashes := _window_hashes(words, width)[at], kind="stable")
-            same = np.diff(hashes[order]) == 0
-            twice, later = np.zeros(len(at), bool), np.zeros(len(at), bool)
-            twice[order[1:]] |= same
-            twice[order[:-1]] |= same
-            later[order[1:]] = same
+            key, second = mini >> _PLACE, np.zeros(len(at), np.uint64)
+            hot = mini >= _LATE
+            if hot.any():
+                second[hot] = _minimisers(words, width, np.zeros(0, np.uint64), 50)[at[hot]]
+                key[hot] = mix(key[hot] ^ mix(second[hot] >> _PLACE, 4), 5) >> _PLACE
+            order, cuts = _equal_windows(words, at, width)
+            twice, later = np.zeros(len(at), bool), np.ones(len(at), bool)
+            twice[order] = np.repeat(np.diff(cuts) > 1, np.diff(cuts))
+            later[order[cuts[:-1]]] = False
             known = np.flatnonzero(twice)
             if len(known):
                 cuts = _runs(at[known] - np.arange(len(known)), text[known])
                 a = known[cuts[:-1]]
                 yield _rows(part, text[a], mix(at[a].astype(np.uint64) + text[a].astype(np.uint64)), at[a] - rows[text[a]], np.diff(cuts), 0, pa.nulls(len(a), pa.binary()))
             go = np.flatnonzero(~later)
-            cuts = _runs(at[go] - np.arange(len(go)), text[go], mini[go], twice[go])
+            cuts = _runs(at[go] - np.arange(len(go)), text[go], mini[go], second[go], twice[go])
             a, n = go[cuts[:-1]], np.diff(cuts)
             for lo in range(0, len(a), 20_000):
                 b, k = a[lo : lo + 20_000], n[lo : lo + 20_000]
-                yield _rows(part, text[b], mini[b] >> _PLACE, at[b] - rows[text[b]], k, 1 + twice[b], _pack(words, at[b], k + width - 1))
+                yield _rows(part, text[b], key[b], at[b] - rows[text[b]], k, 1 + twice[b], _pack(words, at[b], k + width - 1))
 
     return docs.mapInArrow(run, _CODES)
 
@@ -170,22 +199,23 @@ def super_kmers(docs: DataFrame, width: int, words_of_filter: np.ndarray, late:
 def count_windows(travelled: DataFrame, width: int, partitions: int | None = None) -> DataFrame:
     """doc_id, h, first, windows: runs of windows that the corpus holds twice or more; a bucket lies in one partition."""
 
-    def counted(batch):
+    names = ["doc_id", "h", "first", "windows"]
+
+    def counted(batch, closed=True):
+        """Runs of windows known to be repeated by now; where more of the bucket is to come, also what has to be kept."""
         weight = batch.column(5).to_numpy()
         known, sent = np.flatnonzero(weight == 0), np.flatnonzero(weight)
-        out = [(known, batch.column(3).to_numpy()[known], batch.column(4).to_numpy()[known])]
+        out, kept = [(known, batch.column(3).to_numpy()[known], batch.column(4).to_numpy()[known])], []
         if len(sent):
             part = batch.take(pa.array(sent))
             data = b"".join(part.column(6).to_pylist())
             codes = np.zeros((len(data) // CODE, 8), np.uint8)
             codes[:, :CODE] = np.frombuffer(data, np.uint8).reshape(-1, CODE)
             words = codes.view(np.uint64).ravel()
-            windows = part.column(4).to_numpy().astype(np.int64)
+            first, windows = part.column(3).to_numpy(), part.column(4).to_numpy().astype(np.int64)
             rows = np.concatenate([[0], np.cumsum(windows + width - 1)])
             at, row = _windows(words, rows, width)
-            hashes, bucket = _window_hashes(words, width)[at], part.column(2).to_numpy()[row]
-            order = np.lexsort((hashes, bucket))
-            cuts = _runs(bucket[order], hashes[order])
+            order, cuts = _equal_windows(words, at, width, part.column(2).to_numpy()[row])
             total = np.add.reduceat(weight[sent][row][order], cuts[:-1])
             repeated = np.zeros(len(at), bool)
             repeated[order] = np.repeat(total > 1, np.diff(cuts))
@@ -193,31 +223,45 @@ def count_windows(travelled: DataFrame, width: int, partitions: int | None = Non
             if len(hit):
                 runs = _runs(at[hit] - np.arange(len(hit)), row[hit])
                 a = hit[runs[:-1]]
-                out.append((sent[row[a]], part.column(3).to_numpy()[row[a]] + at[a] - rows[row[a]], np.diff(runs)))
+                out.append((sent[row[a]], first[row[a]] + at[a] - rows[row[a]], np.diff(runs)))
+            if not closed:
+                stays = np.sort(order[cuts[:-1]])
+                runs = _runs(at[stays] - np.arange(len(stays)), row[stays], repeated[stays])
+                a, n = stays[runs[:-1]], np.diff(runs)
+                kept.append(_rows(part, row[a], part.column(2).to_numpy().view(np.uint64)[row[a]], first[row[a]] + at[a] - rows[row[a]], n, 1 + repeated[a], _pack(words, at[a], n + width - 1)))
         which, first, n = (np.concatenate(x) for x in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which)), batch.column(1).take(pa.array(which)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))], ["doc_id", "h", "first", "windows"])
+        return pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(which)), batch.column(1).take(pa.array(which)), pa.array(first.astype(np.int32)), pa.array(n.astype(np.int32))], names), kept
 
     def run(batches):
         """Rows come sorted by bucket; those of a batch's last bucket wait for the next batch."""
         waiting: list = []
+        most = BUCKET_BYTES
         for batch in batches:
             mini = batch.column(2).to_numpy()
             if not len(mini):
                 continue
             cut = int(np.searchsorted(mini, mini[-1]))
-            if cut:
-                done = pa.Table.from_batches([*waiting, batch.slice(0, cut)]).combine_chunks().to_batches()
-                yield from map(counted, done)
-                waiting = []
+            if waiting and (cut or waiting[0].column(2)[0].as_py() != mini[0]):
+                for part in pa.Table.from_batches([*waiting, batch.slice(0, cut)]).combine_chunks().to_batches():
+                    yield counted(part)[0]
+                waiting, most = [], BUCKET_BYTES
+            elif cut:
+                yield counted(batch.slice(0, cut))[0]
             waiting.append(batch.slice(cut))
+            if sum(b.nbytes for b in waiting) > most:
+                (part,) = pa.Table.from_batches(waiting).combine_chunks().to_batches()
+                found, waiting = counted(part, closed=False)
+                most = BUCKET_BYTES + 2 * sum(b.nbytes for b in waiting)
+                yield found
         if waiting:
-            yield from map(counted, pa.Table.from_batches(waiting).combine_chunks().to_batches())
+            for part in pa.Table.from_batches(waiting).combine_chunks().to_batches():
+                yield counted(part)[0]
 
     dealt = travelled.repartition(partitions, "mini") if partitions else travelled.repartition("mini")
     return dealt.sortWithinPartitions("mini").mapInArrow(run, "doc_id long, h long, first int, windows int")
 
 
-def remove_repeats(docs: DataFrame, width: int = 35, carry: tuple[str, ...] = (), filter_bytes: int = 1 << 25, late_count: int = 1000, most_late: int = 4096) -> DataFrame:
+def remove_repeats(docs: DataFrame, width: int = 35, carry: tuple[str, ...] = (), filter_bytes: int = 1 << 25, late_count: int = 1000, most_late: int = 1 << 16) -> DataFrame:
     """doc_id, the carried columns, kept (the words left, joined by one space), n_words, n_removed of every row of docs.
 
     filter_bytes bounds the Bloom filter; minimisers of late_count occurrences and more (most_late of them) rank last."""
