@@ -15,7 +15,8 @@ out, so that a passage is met at any offset. Items of fewer than LEAST_TERMS ter
 searched in blocks of `block_items`, each broadcast to one scan of all texts.
 
 Null and empty texts and items match nothing. Pairs are unique also where rows repeat; pairs with a null doc_id or
-item_id are kept as such. Other columns are not read; an empty table on either side gives an empty result.
+item_id are kept as such. Of places with equally few edits the first is told. Texts and items may be of any length. Other
+columns are not read, whatever their names; an empty table on either side gives an empty result.
 """
 
 import math
@@ -61,10 +62,10 @@ def tables_needed(recall: float, agree: float) -> int:
     return math.ceil(math.log(1 - recall) / math.log(1 - agree**SAMPLED))
 
 
-def walk(terms: np.ndarray, starts: np.ndarray, steps: int) -> np.ndarray:
-    """steps x len(starts): what the walks from `starts` emit; walks stop at the last term."""
+def walk(terms: np.ndarray, starts: np.ndarray, steps: int, last: np.ndarray | None = None) -> np.ndarray:
+    """steps x len(starts): what the walks from `starts` emit; walks stop at `last`, the last term of all if not given."""
     out = np.empty((steps, len(starts)), np.uint64)
-    at, last = starts.copy(), len(terms) - 1
+    at, last = starts.copy(), len(terms) - 1 if last is None else last
     for t in range(steps):
         if t % 64 == 0:
             coins = mix(terms, 60 + t // 64)
@@ -95,11 +96,13 @@ def parts_of(words: np.ndarray, edits: int) -> list[tuple[int, int]]:
 
 
 def _sorted_keys(keys: list, item: list, offset: list):
-    order = np.argsort(np.array(keys, np.uint64), kind="stable")
-    keys = np.array(keys, np.uint64)[order]
+    """The keys in order, with the items and offsets behind them; each list holds arrays."""
+    keys, item, offset = (np.concatenate([np.zeros(0, kind), *x]) for x, kind in ((keys, np.uint64), (item, np.int64), (offset, np.int64)))
+    order = np.argsort(keys, kind="stable")
+    keys = keys[order]
     maybe = np.zeros(int(_FILTER) + 1, bool)
     maybe[(keys & _FILTER).astype(np.int64)] = True
-    return keys, np.array(item, np.int64)[order], np.array(offset, np.int64)[order], maybe
+    return keys, item[order], offset[order], maybe
 
 
 def _lookup(found: np.ndarray, keys: np.ndarray, maybe: np.ndarray):
@@ -111,39 +114,51 @@ def _lookup(found: np.ndarray, keys: np.ndarray, maybe: np.ndarray):
 
 
 def build_index(items: list[tuple[int, str]], most_edits: float, recall: float, agree: float) -> Index:
+    """The index of one block: all its items are walked, keyed and cut side by side."""
     rng = np.random.default_rng(20170)
     count = tables_needed(recall, agree)
     tables = [(w, np.sort(rng.choice(w, SAMPLED, replace=False))) for w in WALKS for _ in range(count)]
-    ids, terms, edits, short, parts, keys, item, offset = [], [], [], {}, {}, [], [], []
-    for item_id, text in items:
-        raw = np.frombuffer((text or "").encode(), np.uint8)
-        words, _ = terms_of(raw, np.array([0, len(raw)]))
-        if not len(words):
-            continue
-        k = len(ids)
-        ids.append(item_id)
-        terms.append(words)
-        edits.append(int(most_edits * len(words)) if len(words) >= LEAST_TERMS else 0)
-        if len(words) < LEAST_TERMS:
-            hashed = ngram_hashes(words, np.array([0, len(words)]), len(words))[0]
-            short.setdefault(len(words), {}).setdefault(int(hashed[0]), []).append(k)
-            continue
-        for o in range(STRIDE):
-            part = np.append(words[o:], np.uint64(0))
-            emitted = walk(part, np.zeros(1, np.int64), WALKS[-1])
-            inside = int(np.argmax(emitted[:, 0] == 0)) if (emitted[:, 0] == 0).any() else WALKS[-1]
-            for number, (w, steps) in enumerate(tables):
-                if w <= inside and len(np.unique(emitted[steps, 0])) >= LEAST_DIFFERENT:
-                    keys.append(_key(emitted, number, steps)[0])
-                    item.append(k)
-                    offset.append(o)
-        for o, n in parts_of(words, edits[k]):
-            hashed = ngram_hashes(words[o : o + n], np.array([0, n]), n)[0]
-            for into, x in zip(parts.setdefault(n, ([], [], [])), (hashed[0], k, o), strict=True):
-                into.append(x)
-    used = {tables_[0] for tables_ in tables}
+    raw = [(i, (text or "").encode()) for i, text in items]
+    data = np.frombuffer(b"".join(x for _, x in raw), np.uint8)
+    words, rows = terms_of(data, np.concatenate([[0], np.cumsum([len(x) for _, x in raw], dtype=np.int64)]))
+    own = [(raw[k][0], words[rows[k] : rows[k + 1]]) for k in np.flatnonzero(np.diff(rows)).tolist()]
+    ids, terms = [i for i, _ in own], [x for _, x in own]
+    sizes = np.array([len(x) for x in terms], np.int64)
+    edits = np.where(sizes < LEAST_TERMS, 0, (most_edits * sizes).astype(np.int64)).tolist()
+    short: dict = {}
+    parts: dict = {}
+    for k, x in enumerate(terms):
+        for o, n in parts_of(x, edits[k]) if len(x) >= LEAST_TERMS else [(0, len(x))]:
+            into = parts if len(x) >= LEAST_TERMS else short
+            into.setdefault(n, ([], [], []))
+            for to, v in zip(into[n], (x[o : o + n], k, o), strict=True):
+                to.append(v)
+
+    def hashed(n, pieces):
+        return ngram_hashes(np.concatenate(pieces), np.arange(len(pieces) + 1) * n, n)[0]
+
+    found: dict = {}
+    for n, (pieces, of, _) in short.items():
+        for h, k in zip(hashed(n, pieces).tolist(), of, strict=True):
+            found.setdefault(n, {}).setdefault(h, []).append(k)
+    keys, item, offset = [], [], []
+    long = np.flatnonzero(sizes >= LEAST_TERMS)
+    if len(long):
+        # Each item's terms are followed by a 0, where its walks stop.
+        line = np.concatenate([y for k in long.tolist() for y in (terms[k], np.zeros(1, np.uint64))])
+        last = np.cumsum(sizes[long] + 1) - 1
+        first = np.repeat(last - sizes[long], STRIDE) + np.tile(np.arange(STRIDE), len(long))
+        emitted = walk(line, first, WALKS[-1], np.repeat(last, STRIDE))
+        inside = np.where((emitted == 0).any(0), (emitted == 0).argmax(0), WALKS[-1])
+        for number, (w, steps) in enumerate(tables):
+            sampled = np.sort(emitted[steps], axis=0)
+            go = np.flatnonzero((w <= inside) & ((np.diff(sampled, axis=0) != 0).sum(0) + 1 >= LEAST_DIFFERENT))
+            keys.append(_key(emitted[:, go], number, steps))
+            item.append(long[go // STRIDE])
+            offset.append(go % STRIDE)
     keys, item, offset, maybe = _sorted_keys(keys, item, offset)
-    return Index(ids, terms, edits, [(n, w, s) for n, (w, s) in enumerate(tables) if w in used], keys, item, offset, maybe, short, {n: _sorted_keys(*x) for n, x in parts.items()})
+    cut = {n: _sorted_keys([hashed(n, x)], [np.array(of, np.int64)], [np.array(o, np.int64)]) for n, (x, of, o) in parts.items()}
+    return Index(ids, terms, edits, [(n, w, s) for n, (w, s) in enumerate(tables)], keys, item, offset, maybe, found, cut)
 
 
 def best_place(pattern: np.ndarray, texts: np.ndarray) -> np.ndarray:
