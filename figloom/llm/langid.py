@@ -4,10 +4,13 @@ A language's model is the raw text of some of its documents, used as a zstandard
 every block is compressed with each dictionary, and the language with the smallest sum wins. Where the best two are
 within a narrow margin the answer is marked as rejected.
 
-Fitting takes a bounded sample (`sample_docs` documents of each language by the order of a hash, `doc_chars` of each,
-`dict_bytes` in all); the counts that it is drawn by cover all labelled rows. Predictions read every whole text.
+Fitting takes a bounded sample: of each language `sample_docs` different texts by the order of a hash, and of each a piece
+at a hashed place, all of one size, `dict_bytes` in all; the counts that it is drawn by cover all labelled rows. All
+languages are learned, and their dictionaries are tried BLOCK_LANGUAGES at a time. Predictions read every whole text.
+
 Null texts and texts without a letter are `und` with score 0; nothing learned makes every text `und`; ties go to the
-language with more labelled documents, then by name. Repeated rows, null ids and other columns make no difference.
+language with more labelled documents, then by name. Texts may be of any length; an empty table gives an empty result.
+Repeated rows, null ids and other columns, whatever their names, make no difference.
 """
 
 import pickle
@@ -23,8 +26,12 @@ from pyspark.sql import Window
 
 #: Bytes of normalised text that are compressed at a time, so that the dictionary and not the text itself is matched.
 BLOCK_BYTES = 1000
+#: Characters of a sampled text.
+PIECE = 1000
 #: The best two sizes are a narrow margin apart if the second is less than this share larger.
 NARROW = 0.01
+#: Dictionaries that are held ready at a time.
+BLOCK_LANGUAGES = 200
 _NO_LETTERS = regex.compile(r"\P{L}+")
 
 
@@ -33,23 +40,34 @@ def normalise(text: str) -> bytes:
     return _NO_LETTERS.sub(" ", text.lower()).strip().encode("utf-8", "replace")
 
 
-def fit(labelled: DataFrame, sample_docs: int = 400, doc_chars: int = 500, dict_bytes: int = 48_000, max_languages: int = 500) -> list[tuple[str, bytes]]:
+def fit(labelled: DataFrame, sample_docs: int = 400, dict_bytes: int = 48_000) -> list[tuple[str, bytes]]:
     """(language, dictionary) pairs, the language with most documents first; labelled has doc_id, text and lang."""
-    rows = labelled.select("doc_id", "text", "lang").where("text is not null and lang is not null")
-    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
+    rows = labelled.select("text", "lang").where("text is not null and lang is not null")
+    counts = rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").collect()
     if not counts:
         return []
     spark = labelled.sparkSession
     # A hash below 4 x sample / count leaves about 4 samples a language, so the ranking never sees all of one language.
     shares = spark.createDataFrame([(r["lang"], min(1.0, 4.0 * sample_docs / r["count"] + 64 / r["count"])) for r in counts], "lang string, share double")
-    order = F.xxhash64(F.col("doc_id").cast("string"))
-    some = rows.join(F.broadcast(shares), "lang").where(F.pmod(order, F.lit(1_000_003)) < F.col("share") * 1_000_003)
-    some = some.select("lang", F.substring("text", 1, doc_chars).alias("text"), order.alias("h"), "doc_id")
-    picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "doc_id", "text"))).where(F.col("r") <= sample_docs)
-    texts: dict[str, list[str]] = {}
+    h = F.xxhash64("text")
+    some = rows.join(F.broadcast(shares), "lang").where(F.pmod(h, F.lit(1_000_003)) < F.col("share") * 1_000_003)
+    # Of a text of more than a piece, what begins at a hashed place; all of a shorter one.
+    start = F.pmod(F.shiftrightunsigned(h, 20), F.greatest(F.length("text") - F.lit(PIECE) + 1, F.lit(1))) + 1
+    some = some.select("lang", h.alias("h"), F.substring("text", start.cast("int"), F.lit(PIECE)).alias("piece")).dropDuplicates(["lang", "h"])
+    picked = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h", "piece"))).where(F.col("r") <= sample_docs)
+    pieces: dict[str, list[bytes]] = {}
     for r in picked.orderBy("lang", "r").collect():
-        texts.setdefault(r["lang"], []).append(r["text"])
-    return [(r["lang"], b" ".join(normalise(t) for t in texts.get(r["lang"], []))[:dict_bytes]) for r in counts]
+        pieces.setdefault(r["lang"], []).append(normalise(r["piece"]))
+    return [(r["lang"], _shared_out(pieces.get(r["lang"], []), dict_bytes)) for r in counts]
+
+
+def _shared_out(pieces: list[bytes], most: int) -> bytes:
+    """The pieces joined, of each as much as an equal share of what the shorter ones leave."""
+    out, left = [], most
+    for k, piece in enumerate(sorted(pieces, key=len)):
+        out.append(piece[: left // (len(pieces) - k)])
+        left -= len(out[-1])
+    return b" ".join(out)[:most]
 
 
 @lru_cache(2)
@@ -63,28 +81,41 @@ def _compressors(models: bytes, level: int):
     return out
 
 
-def judge(text: str | None, compressors) -> tuple[str, float, bool]:
-    """(language or und, score from 0 to 1, rejected) of one text."""
+def sizes_of(text: str | None, compressors) -> list[int] | None:
+    """Compressed sizes of one text by each dictionary; None for one without a letter."""
     letters = normalise(text or "")
-    if not letters or not compressors:
-        return "und", 0.0, True
+    if not letters:
+        return None
     blocks = [letters[i : i + BLOCK_BYTES] for i in range(0, len(letters), BLOCK_BYTES)]
-    sizes = np.array([sum([len(compress(b)) for b in blocks]) for _, compress in compressors], float)
+    return [sum([len(compress(b)) for b in blocks]) for _, compress in compressors]
+
+
+def judge(sizes: list[int] | None, languages: list[str]) -> tuple[str, float, bool]:
+    """(language or und, score from 0 to 1, rejected) by the sizes of one text."""
+    if not sizes:
+        return "und", 0.0, True
+    sizes = np.array(sizes, float)
     best = int(sizes.argmin())
     gain = np.partition(sizes, 1)[1] / sizes[best] - 1 if len(sizes) > 1 else 1.0
-    return compressors[best][0], float(1 - 1 / (1 + gain / NARROW)), bool(gain < NARROW)
+    return languages[best], float(1 - 1 / (1 + gain / NARROW)), bool(gain < NARROW)
 
 
 def predict(docs: DataFrame, models: list[tuple[str, bytes]], level: int = 7) -> DataFrame:
-    """doc_id, lang_pred, score, rejected of every row; models are bounded by fit(), so they are broadcast."""
-    shared = docs.sparkSession.sparkContext.broadcast(pickle.dumps(models))
+    """doc_id, lang_pred, score, rejected of every row; a model is of bounded size, so all are broadcast."""
+    blocks = [pickle.dumps(models[i : i + BLOCK_LANGUAGES]) for i in range(0, len(models), BLOCK_LANGUAGES)]
+    languages = [lang for lang, _ in models]
+    shared = docs.sparkSession.sparkContext.broadcast(blocks)
 
     def run(batches):
-        compressors = _compressors(shared.value, level)
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                found = [judge(t, compressors) for t in part.column(1).to_pylist()]
+                texts = part.column(1).to_pylist()
+                sizes: list = [[] for _ in texts]
+                for block in shared.value:
+                    compressors = _compressors(block, level)
+                    sizes = [None if old is None or (new := sizes_of(t, compressors)) is None else old + new for old, t in zip(sizes, texts, strict=True)]
+                found = [judge(x, languages) for x in sizes]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([x[0] for x in found], pa.string()), pa.array([x[1] for x in found], pa.float64()), pa.array([x[2] for x in found], pa.bool_())], ["doc_id", "lang_pred", "score", "rejected"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, rejected boolean")
