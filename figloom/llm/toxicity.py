@@ -6,9 +6,11 @@ scoring segments are found in one pass, and extreme-value statistics of the clea
 segment's sum into the logarithm of how often a clean text of that length reaches it. Adding what the other
 significant segments give, a logistic curve over all labelled texts makes a score of it.
 
-The model holds at most `max_terms` terms, whatever the corpus, so it is collected and broadcast. Null and empty texts have no segment and get the score of one. Labels other
-than 0 and 1, null labels and labels of unknown documents are left out; a row is scored once for each time it occurs;
-with no labels of both kinds every score is next to 0; other columns are not read.
+The model holds at most `max_terms` terms, whatever the corpus, so it is collected and broadcast. Null and empty texts
+have no segment and get the score of one. Labels other than 0 and 1, null labels and labels of unknown documents are left
+out; a row is scored once for each time it occurs; with no labels of both kinds every score is next to 0; of terms that
+are equally sure, those of the least hash stay; an empty table gives an empty result. Texts may be of any length: they
+are read to their end, in time linear in it. Other columns are not read.
 """
 
 import math
@@ -19,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from figloom.functions.session import discard, materialise
 from figloom.llm.textblocks import LOWER, NOT_TERM, text_blocks, word_hashes, word_spans
 
 #: The weight of terms outside the model: what a passage loses for each of them.
@@ -87,8 +90,10 @@ def log_odds(counts: DataFrame, prior: float, least_z: float, least_odds: float,
 def segments(at: np.ndarray, gains: np.ndarray, quiet: float = QUIET) -> list[tuple[float, int, int]]:
     """All maximal scoring segments (sum, first, last), where the terms at `at` have `gains` and all others `quiet`.
 
-    One pass over the given terms with a stack, as runs of quiet terms only lower the running sum."""
-    stack: list[tuple[float, float, int, int]] = []  # sum before, sum at its end, first, last
+    One pass over the given terms with a stack, as runs of quiet terms only lower the running sum. Each segment knows the
+    last one before it whose left sum is less, so that the search for what it may be joined with skips all between, and
+    what a join takes off the stack is met once: the pass takes linear time."""
+    stack: list[tuple[float, float, int, int, int]] = []  # sum before, sum at its end, first, last, place of the last lesser
     total, last = 0.0, -1
     for i, gain in zip(at.tolist(), gains.tolist(), strict=True):
         total += quiet * (i - last - 1)
@@ -96,18 +101,19 @@ def segments(at: np.ndarray, gains: np.ndarray, quiet: float = QUIET) -> list[tu
         before, total = total, total + gain
         if gain <= 0:
             continue
-        left, right, first, end = before, total, i, i
+        left, right, first = before, total, i
+        j = len(stack) - 1
         while True:
-            j = len(stack) - 1
             while j >= 0 and stack[j][0] >= left:
-                j -= 1
+                j = stack[j][4]
             if j < 0 or stack[j][1] >= right:
                 # later segments that ended above the new left side can't be joined any more, but stay as they are
-                stack.append((left, right, first, end))
+                stack.append((left, right, first, i, j))
                 break
-            left, first = stack[j][0], stack[j][2]
+            left, _, first, _, lesser = stack[j]
             del stack[j:]
-    return [(r - x, a, b) for x, r, a, b in stack]
+            j = lesser
+    return [(r - x, a, b) for x, r, a, b, _ in stack]
 
 
 def _passages(docs: DataFrame, model: Model, columns: list, schema: str, rows):
@@ -200,14 +206,19 @@ def _logistic(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, flo
 def fit(docs: DataFrame, labels: DataFrame, learnable, prior: float = 500.0, least_z: float = 2.0, least_odds: float = 1.0, max_terms: int = 100_000, max_labels: int = 250_000) -> Model:
     """A model of the labelled texts; labels has doc_id and toxic, used where learnable.
 
-    It is fitted on max_labels labelled texts at most, chosen by a hash of the id. So few are broadcast, and the texts
-    stay where they are."""
+    It is fitted on max_labels labelled texts at most, those of the least hashes of their ids. So few are broadcast, and
+    the texts stay where they are."""
     known = labels.where(learnable).where("toxic in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     share = max_labels / max(known.count(), max_labels)
-    known = F.broadcast(known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 0.99 * share * 1_000_003).limit(max_labels) if share < 1 else known)
+    if share < 1:
+        known = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < 1.05 * share * 1_000_003)
+        known = known.orderBy(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)), "doc_id").limit(max_labels)
+    known = F.broadcast(known)
     texts = docs.where("text is not null").select("doc_id", "text").join(known, "doc_id").select("toxic", "text")
     model = Model()
-    found = log_odds(term_counts(texts), prior, least_z, least_odds, max_terms)
+    counts = materialise(term_counts(texts))
+    found = log_odds(counts, prior, least_z, least_odds, max_terms)
+    discard(counts)
     if not found:
         return model
     terms = np.array([r["term"] for r in found], np.int64).view(np.uint64)
