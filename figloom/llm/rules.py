@@ -7,7 +7,9 @@ gain on two thirds of the texts, pruned on the rest, and what a rule covers is t
 
 Null texts have no words; all measures of texts without words are 0 and the shares that rules look at are 0. Labels
 other than 0 and 1 and null labels are left out; without labels of both kinds no rule is learned and the base decides
-alone. Repeated rows are judged alike and kept. Only doc_id and text are read, so other columns make no difference.
+alone. Repeated rows are judged alike and kept; the first rule that fits decides, and of equally good conditions the first
+is taken. An empty table gives an empty result; texts may be of any length and are measured to their end. Only doc_id and
+text are read, so other columns make no difference.
 """
 
 import math
@@ -33,8 +35,8 @@ BINS = 8
 
 
 def _repeat_words(words: Column, n: Column) -> Column:
-    """Words in 3-word windows that are found twice or more in the text: windows are sorted by hash, equal neighbours
-    are compared word by word, and the covered words of the positions left are counted."""
+    """Words in 3-word windows that are found twice or more in the text: windows are sorted by hash, those whose hash has a
+    neighbour are sorted by their words and compared, and the covered words of the positions left are counted."""
     mask = (1 << _POSITION_BITS) - 1
 
     def key(i):
@@ -46,11 +48,14 @@ def _repeat_words(words: Column, n: Column) -> Column:
     def at(c):
         return c.bitwiseAND(F.lit(mask)).cast("int")
 
-    def same(a, b):
-        return F.coalesce((F.get(words, a) == F.get(words, b)) & (F.get(words, a + 1) == F.get(words, b + 1)) & (F.get(words, a + 2) == F.get(words, b + 2)), F.lit(False))
+    def window(p):
+        return F.struct(F.get(words, p).alias("a"), F.get(words, p + 1).alias("b"), F.get(words, p + 2).alias("c"), p.alias("p"))
 
-    def exact(places):
-        return F.array_sort(F.filter(places, lambda p, j: same(p, F.get(places, j - 1)) | same(p, F.get(places, j + 1))))
+    def same(x, y):
+        return F.coalesce((x["a"] == y["a"]) & (x["b"] == y["b"]) & (x["c"] == y["c"]), F.lit(False))
+
+    def repeated(windows):
+        return F.array_sort(F.transform(F.filter(windows, lambda x, j: same(x, F.get(windows, j - 1)) | same(x, F.get(windows, j + 1))), lambda x: x["p"]))
 
     def covered(places):
         return F.aggregate(F.transform(places, lambda p, j: F.least(F.lit(3), F.coalesce(F.get(places, j + 1) - p, F.lit(3)))), F.lit(0).cast("long"), lambda a, x: a + x)
@@ -60,9 +65,9 @@ def _repeat_words(words: Column, n: Column) -> Column:
 
     index = F.sequence(F.lit(0).cast("long"), (n - 3).cast("long"))
     short = let(F.sort_array(F.transform(index, key)), lambda k: F.transform(near(k), at))
-    # Texts of more words than positions fit in a key are sorted by structs instead.
-    long = F.transform(F.sort_array(F.transform(index.cast("array<int>"), lambda i: F.struct(F.xxhash64(F.get(words, i), F.get(words, i + 1), F.get(words, i + 2)), i.alias("i")))), lambda s: s["i"])
-    return F.when(n < 3, F.lit(0).cast("long")).otherwise(let(F.when(n - 2 <= mask, short).otherwise(long), lambda p: let(exact(p), covered)))
+    # Texts of more words than positions fit in a key are sorted by their words at once.
+    places = F.when(n - 2 <= mask, short).otherwise(index.cast("array<int>"))
+    return F.when(n < 3, F.lit(0).cast("long")).otherwise(let(F.sort_array(F.transform(places, window)), lambda w: let(repeated(w), covered)))
 
 
 def measures(docs: DataFrame, text_col: str = "text") -> DataFrame:
