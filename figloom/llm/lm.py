@@ -13,8 +13,12 @@ passes every task takes gradient steps over the masked places of its own texts (
 another one each round, so that the rounds together mask every place), after which Spark averages the tasks' networks,
 weighted by places. A network has a fixed number of parameters: as contexts, terms of a shared output look alike.
 
-Null and empty texts have no terms and score 0, with mean 0. Repeated rows are scored alike; ids may be null; other
-columns are not read; an empty corpus leaves the first network.
+Each task trains on the rows of its own partition, so the network depends a little on how rows lie in partitions: the same
+files give the same scores, the same rows dealt otherwise give scores that differ slightly.
+
+Null and empty texts have no terms and score 0, with mean 0. Repeated rows are scored alike; ids may be null; of terms
+equally frequent that of the least hash comes first; texts may be of any length, as places are trained on and scored in
+batches; other columns are not read, whatever their names; an empty corpus leaves the first network.
 """
 
 import numpy as np
