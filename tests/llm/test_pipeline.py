@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.test_jaccard import brute as groups
@@ -43,9 +44,24 @@ def test_toxic_and_leaking_texts_go(spark, tmp_path):
     assert {r["doc_id"] for r in clean} == {r[0] for r in rows if r[0] is None or r[0] >= 400 or r[0] % 4}
     left = corpus_pipeline.benchmark_leaks(spark, docs, str(tmp_path)).collect()
     assert {r["doc_id"] for r in left} == {r[0] for r in rows if r[0] is None or r[0] >= 400 or r[0] % 50 != 1}
+    stray = docs.limit(1).select(F.lit(None).cast("long").alias("doc_id"), F.lit(f"so {item} then").alias("text"), "lang", "source", "n_chars")
+    assert corpus_pipeline.benchmark_leaks(spark, docs.union(stray), str(tmp_path)).where("doc_id is null").count() == 1
     assert corpus_pipeline.run(spark, str(tmp_path)).where("doc_id in (900, 901)").count() == 2
 
 
+def test_repeated_rows_clashing_ids_and_columns(spark):
+    rng = random.Random(6)
+    long = " ".join(f"w{rng.randrange(9000)}" for _ in range(50_000))
+    a, b = (" ".join(rng.choices("abcdefghijkl", k=60)) for _ in range(2))
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, b, "en", "s", 1), (2, a, "en", "s", 1), (None, a, "en", "s", 1), (None, b + " end", "en", "s", 1), (None, None, "en", "s", 1), (None, None, "en", "s", 1), (3, long, "en", "s", 1), (4, long + " more", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", "1 as _key", "2 as component_id", "'x' as kept")
+    out = corpus_pipeline.near_duplicates(spark, docs, D)
+    assert out.columns == corpus_pipeline.COLUMNS
+    assert sorted([(r["doc_id"], r["text"]) for r in out.collect()], key=repr) == sorted([(1, a), (1, b), (None, None), (None, None), (3, long)], key=repr)
+    cut = corpus_pipeline.repeated_passages(spark, docs.where("doc_id > 2"), D).collect()
+    assert [(r["doc_id"], r["text"], r["n_chars"]) for r in cut] == [(4, "more", 4)]
+
+
 @pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
 def test_empty_table(spark, name, stage):
     empty = spark.read.parquet(f"{D}/documents.parquet").limit(0)
