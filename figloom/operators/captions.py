@@ -8,37 +8,38 @@ with array functions, or a grouping by caption."""
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Kinds of label characters, in the order in which a tie is told.
-KINDS = {"alpha": "[a-z]", "ALPHA": "[A-Z]", "digit": "[0-9]", "roman": "(?:i|ii|iii|iv|v|vi|vii|viii|ix|x|xi|xii|xiii|xiv|xv)", "position": "(?:left|right|top|bottom|center|middle|upper|lower|inside|outside|above|below|up|down)"}
+# Words of position and roman numerals that serve as labels.
+POSITIONS = ["above", "after", "around", "before", "beginning", "behind", "below", "beside", "between", "bottom", "center", "down", "end", "far", "finish", "front", "in", "inside", "lower", "left", "middle", "near", "next to", "off", "on", "out", "outside", "over", "right", "start", "through", "top", "under", "up", "upper", "upside down"]
 ROMAN = ["i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "xi", "xii", "xiii", "xiv", "xv"]
-POSITIONS = ["left", "right", "top", "bottom", "center", "middle", "upper", "lower", "inside", "outside", "above", "below", "up", "down"]
-#: Chemical elements of one letter, which look like labels.
-ELEMENTS = ["B", "C", "F", "H", "I", "K", "N", "O", "P", "S", "U", "V", "W", "Y"]
+#: Kinds of label characters, in the order in which a tie is told.
+KINDS = {"alpha": "[a-z]", "ALPHA": "[A-Z]", "digit": "[0-9]", "roman": f"(?i:{'|'.join(ROMAN)})", "position": f"(?i:{'|'.join(POSITIONS)})"}
+# Symbols of the chemical elements, which look like labels.
+ELEMENTS = (
+    "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe "
+    "Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Po At Rn Fr Ra Ac Th Pa U Np Pu Am Cm Bk Cf Es Fm Md No Lr "
+    "Rf Db Sg Bh Hs Mt Ds Rg Cn Nh Fl Mc Lv Ts Og"
+).split()
 #: Words before a label that only refers to a subfigure.
 REFERENCES = ["denoted", "corresponds", "extracted", "indicated", "shown", "corresponding"]
 _JOINERS = r"(?:\s*(?:,|–|-|and|,\s*and)\s*)"
+#: Forms of their own: a letter and a digit in brackets; small letters behind a full stop.
+_MORE = {"alpha": [r"\([a-z][0-9]\)", r"\. [a-z]\b(?:(?:,|–) ?[a-z]\b)?"], "ALPHA": [r"\([A-Z][0-9]\)"]}
 
 
 def span_pattern(kind: str) -> str:
-    """A bracketed run of labels of a kind: (a), (a, b), (a-c), (a and b)."""
-    return rf"\({KINDS[kind]}(?:{_JOINERS}{KINDS[kind]})*\)"
-
-
-def _spans(text: str, kind: str) -> Column:
-    return F.regexp_extract_all(text, F.lit(f"({span_pattern(kind)})"), F.lit(1))
+    """A run of labels of a kind, (a, b) or (a-c) or (a and b), set off by brackets or colons on both sides or on one:
+    (a), (a, a), :a:, :a, a:; and the kind's own forms. Of forms that begin at one place the first of this list counts."""
+    run = f"{KINDS[kind]}(?:{_JOINERS}{KINDS[kind]})*"
+    forms = [rf"\({run}\)", *_MORE.get(kind, []), rf":{run}:", rf"\({run}\b", rf":{run}\b", rf"\b{run}[):]"]
+    return f"(?:{'|'.join(forms)})"
 
 
 def label_spans(caps: DataFrame, key: str, text: str = "caption") -> DataFrame:
-    """key, kind, pos (character it begins at), span of every run of labels."""
-    parts = []
-    for kind in KINDS:
-        pieces = F.split(text, span_pattern(kind), -1)
-        spans = _spans(text, kind)
-        parts.append(caps.select(key, F.lit(kind).alias("kind"), F.posexplode(spans).alias("i", "span"), pieces.alias("p"), spans.alias("s")).select(key, "kind", "span", (F.length(F.array_join(F.slice("p", 1, F.col("i") + 1), "")) + F.length(F.array_join(F.slice("s", 1, F.col("i")), "")) + 1).alias("pos")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """key, kind, pos (character it begins at), span of every run of labels; the captions are read once for all kinds."""
+    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.split(text, span_pattern(k), -1).alias("p"), F.regexp_extract_all(text, F.lit(f"({span_pattern(k)})"), F.lit(1)).alias("s")) for k in KINDS))
+    found = caps.select(key, F.explode(kinds).alias("e")).select(key, "e.kind", "e.p", "e.s", F.posexplode("e.s").alias("i", "span"))
+    before = F.length(F.array_join(F.slice("p", 1, F.col("i") + 1), "")) + F.length(F.array_join(F.slice("s", 1, F.col("i")), ""))
+    return found.select(key, "kind", "span", (before + 1).alias("pos"))
 
 
 def delimiter(spans: DataFrame, key: str) -> DataFrame:
@@ -61,14 +62,18 @@ def longest_spans(spans: DataFrame, key: str) -> DataFrame:
     return best.select(key, "b.kind", "b.pos", "b.span")
 
 
-def drop_chemistry(spans: DataFrame, elements: list[str] = ELEMENTS) -> DataFrame:
-    """Without spans that name a chemical element alone (C4)."""
-    return spans.where(~F.col("span").isin(*(f"({e})" for e in elements)))
+def drop_chemistry(spans: DataFrame, delimiter: str = "delimiter", elements: list[str] = ELEMENTS) -> DataFrame:
+    """Without spans that name a chemical element alone, or a letter with its bracket left open; where capitals delimit the
+    caption (told by the column delimiter), elements of one letter are labels (C4)."""
+    inside = F.regexp_extract("span", r"^\(([A-Za-z]+)\)$", 1)
+    told = F.upper(inside).isin(*(e.upper() for e in elements)) & (F.initcap(inside).isin(*elements)) & ((inside == F.initcap(inside)) | (inside == F.upper(inside)))
+    named = told & ((F.col(delimiter) != "ALPHA") | (F.length(inside) > 1))
+    return spans.where(~named & ~F.col("span").rlike(r"^\([a-z]$"))
 
 
 def drop_molecules(spans: DataFrame, molecules: DataFrame) -> DataFrame:
-    """Without spans that hold a known molecule (name); molecules are a short list."""
-    return spans.join(F.broadcast(molecules.select("name")), F.contains("span", F.col("name")), "left_anti")
+    """Without spans that hold a known molecule (name); Spark broadcasts the list if it is small."""
+    return spans.join(molecules.select("name"), F.contains("span", F.col("name")), "left_anti")
 
 
 def char_range(a: Column, b: Column, roman_first: bool = False) -> Column:
@@ -85,7 +90,7 @@ def char_range(a: Column, b: Column, roman_first: bool = False) -> Column:
 
 def implied_labels(span: Column) -> Column:
     """Labels that a span stands for, in order, each once: (a-c, e and f) is a, b, c, e, f."""
-    flat = F.regexp_replace(F.regexp_replace(span, r"[()\s]", ""), r"and", ",")
+    flat = F.regexp_replace(F.regexp_replace(span, r"[().:\s]", ""), r"and", ",")
     pieces = F.filter(F.split(flat, ",+"), lambda x: x != "")
 
     def one(x: Column) -> Column:
@@ -133,14 +138,16 @@ def subfigure_labels(spans: DataFrame, key: str) -> DataFrame:
 
 
 def repair_semicolons(text: Column, trigger: str, stop: str) -> Column:
-    """Semicolons between the part with the trigger and the one with the stop become commas, where semicolons part
-    the text more often than full stops do (C16)."""
+    """Where semicolons part the text more often than full stops do, those behind the parts from the one with the trigger to
+    the last with the stop (the end, where none has it) become commas, and those behind parts that read the same; without
+    a trigger, those behind parts that read as the last does (C16)."""
     parts = F.split(text, "; ")
     semis, stops = F.size(parts) - 1, F.size(F.split(text, r"\. ")) - 1
-    first = F.array_position(F.transform(parts, lambda p: F.contains(p, F.lit(trigger))), True)
-    last = F.coalesce(F.array_max(F.transform(parts, lambda p, i: F.when(F.contains(p, F.lit(stop)) & (i + 1 >= first), i + 1))), F.size(parts) + 1)
-    glued = F.transform(parts, lambda p, i: F.concat(p, F.when(i + 1 == F.size(parts), F.lit("")).when((i + 1 >= first) & (i + 1 <= last), F.lit(", ")).otherwise(F.lit("; "))))
-    return F.when((semis > stops) & (first > 0), F.array_join(glued, "")).otherwise(text)
+    first = F.array_position(F.transform(parts, lambda p: F.contains(p, F.lit(trigger))), True).cast("int")
+    last = F.coalesce(F.array_max(F.transform(parts, lambda p, i: F.when(F.contains(p, F.lit(stop)) & (i + 1 >= first), i + 1))), F.size(parts))
+    within = F.when(first > 0, F.slice(parts, F.greatest(first, F.lit(1)), last - first + 1)).otherwise(F.slice(parts, -1, 1))
+    glued = F.transform(parts, lambda p, i: F.concat(p, F.when(i + 1 == F.size(parts), F.lit("")).when(F.array_contains(within, p), F.lit(", ")).otherwise(F.lit("; "))))
+    return F.when(semis > stops, F.array_join(glued, "")).otherwise(text)
 
 
 # Sequences that are written otherwise before a caption is read.
@@ -182,8 +189,19 @@ def _pairs(df: DataFrame, group: str, order: str, text: str) -> DataFrame:
     return a.join(b, group).where("i < j")
 
 
+def _common(a: Column, b: Column) -> Column:
+    """How many characters two texts have in common, wherever they stand."""
+
+    def count(t: Column, c: Column) -> Column:
+        return F.length(t) - F.length(F.replace(t, c, F.lit("")))
+
+    return F.aggregate(F.array_distinct(F.regexp_extract_all(a, F.lit("(?s)."), F.lit(0))), F.lit(0), lambda n, c: n + F.least(count(a, c), count(b, c)))
+
+
 def prune_similar(df: DataFrame, group: str, order: str, text: str, most: float) -> DataFrame:
-    """Of two texts of a group whose matching-blocks ratio is `most` or more, the shorter goes, the later of equals (C17)."""
+    """Of two texts of a group whose matching-blocks ratio is `most` or more, the shorter goes, the later of equals (C17).
+
+    The ratio can't exceed what the lengths and the characters in common allow, so only near pairs are handed to Python."""
     import pandas as pd
 
     @F.pandas_udf("double")
@@ -192,7 +210,10 @@ def prune_similar(df: DataFrame, group: str, order: str, text: str, most: float)
 
         return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
 
-    return _drop_shorter(df, _pairs(df, group, order, text).where(ratio("a", "b") >= most), group, order)
+    a, b = F.col("a"), F.col("b")
+    both = F.greatest(F.length(a) + F.length(b), F.lit(1))
+    near = _pairs(df, group, order, text).where(2 * F.least(F.length(a), F.length(b)) >= most * both).where(2 * _common(a, b) >= most * both)
+    return _drop_shorter(df, near.where(ratio("a", "b") >= most), group, order)
 
 
 def prune_similar_native(df: DataFrame, group: str, order: str, text: str, most: float) -> DataFrame:
@@ -207,8 +228,10 @@ def _drop_shorter(df, near, group, order):
 
 
 def clean_segment(text: Column) -> Column:
-    """Without the label it begins with and the punctuation around it."""
-    return F.regexp_replace(F.regexp_replace(text, r"^\s*\([^()]*\)\s*", ""), r"^[\s.,;:]+|[\s.,;:]+$", "")
+    """Without the label it begins with, in any of its forms, and the punctuation around it."""
+    run = rf"\w(?:{_JOINERS}\w)*"
+    label = rf"^\s*(?:\([^()]*\)|:{run}:|[(:]{run}\b|{run}[):]|\. {run}\b)\s*"
+    return F.regexp_replace(F.regexp_replace(text, label, ""), r"^[\s.,;:]+|[\s.,;:]+$", "")
 
 
 def drop_shared_text(segs: DataFrame, key: str) -> DataFrame:

@@ -38,7 +38,7 @@ def accuracy_at(scored: DataFrame, thresholds: list[float]) -> DataFrame:
 
 def class_accuracy(found: DataFrame, classes: DataFrame) -> DataFrame:
     """Accuracy of each model; truth of an unknown class counts as -1 and is skipped (I4)."""
-    known = found.join(F.broadcast(classes), "class_name", "left").withColumn("truth", F.coalesce("class_index", F.lit(-1)))
+    known = found.join(classes, "class_name", "left").withColumn("truth", F.coalesce("class_index", F.lit(-1)))
     judged = F.col("truth") >= 0
     return known.groupBy("model").agg(F.avg(F.when(judged, (F.col("truth") == F.col("predicted")).cast("int"))).alias("accuracy"), F.count_if(~judged).alias("skipped"))
 
@@ -65,43 +65,92 @@ def remap_categories(annotations: DataFrame, wanted: list[int]) -> DataFrame:
     return annotations.where(F.col("category").isin(*wanted)).withColumn("category", (F.array_position(table, F.col("category")) - 1).cast("int"))
 
 
-def average_precision(truth: DataFrame, found: DataFrame, group: str, thresholds: list[float]) -> DataFrame:
-    """Interpolated precision (101 points) of each iou threshold.
-
-    Each image's predictions, by falling confidence, take the truth box of most overlap that is free. The ranking over
-    all images is a running sum over one column of flags per prediction."""
-    p = found.select(group, F.col("idx").alias("p_idx"), "confidence", *(F.col(c).alias(f"p_{c}") for c in ("x1", "y1", "x2", "y2")))
-    t = prefixed(truth.select(group, "idx", "x1", "y1", "x2", "y2"), "t", (group,))
-    pairs = p.join(t, group).withColumn("iou", iou_of(lambda c: F.col(f"p_{c}"), lambda c: F.col(f"t_{c}"))).where(F.col("iou") >= min(thresholds))
-    lists = pairs.groupBy(group, "p_idx", "confidence").agg(F.sort_array(F.collect_list(F.struct((-F.col("iou")).alias("o"), F.col("t_idx").cast("bigint").alias("t")))).alias("c"))
-    image = lists.groupBy(group).agg(F.sort_array(F.collect_list(F.struct((-F.col("confidence")).alias("r"), "p_idx", "c"))).alias("ps"))
-    image = image.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
-    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<p_idx:bigint,hit:boolean>>").alias("out"))
+#: Ranges of box areas (pixels) by name, and numbers of detections of an image that are looked at.
+AREAS = {"all": (0.0, 1e10), "small": (0.0, 32.0**2), "medium": (32.0**2, 96.0**2), "large": (96.0**2, 1e10)}
+MOST = (1, 10, 100)
+#: Ranges of confidence whose counts are summed first, so that no running sum passes through one task.
+RANGES = 1000
+
+
+def precision_recall(truth: DataFrame, found: DataFrame, group: str, thresholds: list[float], areas: dict[str, tuple[float, float]] | None = None, most: int = MOST[-1]) -> DataFrame:
+    """threshold, area, most, ap (interpolated at 101 points), recall, of the `most` surest predictions of each image.
+
+    Each image's predictions, by falling confidence, take the free truth box of most overlap, one within the area range
+    before one outside. Truth outside counts for nothing, nor do predictions that take it or that are outside themselves
+    and take none. ap and recall are null where a range holds no truth, ap is 0 where no prediction counts."""
+    areas = areas or {"all": AREAS["all"]}
+    size = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("confidence"), "idx"))
+    p = found.select(group, F.col("idx").cast("bigint").alias("p_idx"), "confidence", size.cast("double").alias("p_size"), *(F.col(c).alias(f"p_{c}") for c in ("x1", "y1", "x2", "y2")), rank.alias("rank")).where(F.col("rank") <= most)
+    t = prefixed(truth.select(group, F.col("idx").cast("bigint").alias("idx"), size.cast("double").alias("size"), "x1", "y1", "x2", "y2"), "t", (group,))
+    pairs = p.select(group, "p_idx", *(f"p_{c}" for c in ("x1", "y1", "x2", "y2"))).join(t, group).withColumn("iou", iou_of(lambda c: F.col(f"p_{c}"), lambda c: F.col(f"t_{c}"))).where(F.col("iou") >= min(thresholds))
+    lists = pairs.groupBy(group, "p_idx").agg(F.sort_array(F.collect_list(F.struct((-F.col("iou")).alias("o"), F.col("t_idx").alias("t"), F.col("t_size").alias("size")))).alias("c"))
+    none = F.array().cast(lists.schema["c"].dataType)
+    image = p.select(group, "p_idx", "confidence", "p_size", "rank").join(lists, [group, "p_idx"], "left").groupBy(group)
+    image = image.agg(F.sort_array(F.collect_list(F.struct("rank", "confidence", F.col("p_size").alias("size"), F.coalesce("c", none).alias("c")))).alias("ps"))
+    ranges = F.array(*(F.struct(F.lit(k).alias("area"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, (lo, hi) in areas.items()))
+    image = image.withColumn("r", F.explode(ranges)).withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
+    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<confidence:double,hit:boolean>>").alias("out"))
+
+    def within(x: Column) -> Column:
+        return (x["size"] >= F.col("r.lo")) & (x["size"] <= F.col("r.hi"))
 
     def step(acc: Column, x: Column) -> Column:
         free = F.filter(x["c"], lambda c: (-c["o"] >= F.col("threshold")) & ~F.array_contains(acc["used"], c["t"]))
-        hit = F.size(free) > 0
-        used = F.when(hit, F.concat(acc["used"], F.array(F.get(free, F.lit(0))["t"]))).otherwise(acc["used"])
-        return F.struct(used.alias("used"), F.concat(acc["out"], F.array(F.struct(x["p_idx"].cast("bigint").alias("p_idx"), hit.alias("hit")))).alias("out"))
-
-    hits = image.select(group, "threshold", F.explode(F.aggregate("ps", start, step)["out"]).alias("h")).where("h.hit").select(group, "threshold", F.col("h.p_idx").alias("p_idx"), F.lit(1).alias("hit"))
-    every = p.select(group, F.col("p_idx").cast("bigint").alias("p_idx"), "confidence", F.explode(F.array(*map(F.lit, thresholds))).alias("threshold"))
-    flags = every.join(hits, [group, "p_idx", "threshold"], "left").groupBy("threshold", "confidence").agg(F.count("*").alias("n"), F.sum(F.coalesce("hit", F.lit(0))).alias("tp"))
-    w = Window.partitionBy("threshold").orderBy(F.desc("confidence"))
-    total = truth.agg(F.count("*").alias("total"))
-    curve = flags.select("threshold", "confidence", F.sum("tp").over(w).alias("tp"), F.sum("n").over(w).alias("n")).crossJoin(F.broadcast(total))
-    curve = curve.select("threshold", (F.col("tp") / F.col("total")).alias("recall"), (F.col("tp") / F.col("n")).alias("precision"))
-    best = curve.select("threshold", "precision", F.explode(F.sequence(F.lit(0), F.floor(F.col("recall") * 100 + 1e-9).cast("int"))).alias("point")).groupBy("threshold", "point").agg(F.max("precision").alias("precision"))
-    recall = curve.groupBy("threshold").agg(F.max("recall").alias("recall"))
-    return best.groupBy("threshold").agg((F.sum("precision") / 101).alias("ap")).join(recall, "threshold")
+        best = F.get(F.concat(F.filter(free, within), F.filter(free, lambda c: ~within(c))), F.lit(0))
+        used = F.when(best.isNotNull(), F.concat(acc["used"], F.array(best["t"]))).otherwise(acc["used"])
+        counts = F.coalesce(within(best), within(x))
+        flag = F.struct(x["confidence"].cast("double").alias("confidence"), best.isNotNull().alias("hit"))
+        return F.struct(used.alias("used"), F.when(counts, F.concat(acc["out"], F.array(flag))).otherwise(acc["out"]).alias("out"))
+
+    keys = ["threshold", "area"]
+    flags = image.select("threshold", F.col("r.area").alias("area"), F.explode(F.aggregate("ps", start, step)["out"]).alias("h"))
+    flags = flags.groupBy(*keys, F.col("h.confidence").alias("confidence")).agg(F.count("*").alias("n"), F.count_if("h.hit").alias("tp")).withColumn("part", F.floor(F.col("confidence") * RANGES))
+    parts = flags.groupBy(*keys, "part").agg(F.sum("n").alias("n0"), F.sum("tp").alias("tp0"))
+    above = Window.partitionBy(*keys).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select(*keys, "part", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(c) for c in ("n0", "tp0")))
+    w = Window.partitionBy(*keys, "part").orderBy(F.desc("confidence"))
+    curve = flags.join(parts, [*keys, "part"]).select(*keys, (F.sum("tp").over(w) + F.col("tp0")).alias("tp"), (F.sum("n").over(w) + F.col("n0")).alias("n"))
+    wanted = truth.select(F.explode(ranges).alias("r"), size.alias("size")).where(within(F.struct("size"))).groupBy(F.col("r.area").alias("area")).agg(F.count("*").alias("total"))
+    curve = curve.join(F.broadcast(wanted), "area").select(*keys, (F.col("tp") / F.col("total")).alias("recall"), (F.col("tp") / F.col("n")).alias("precision"))
+    points = curve.groupBy(*keys, F.floor(F.col("recall") * 100 + 1e-9).alias("point")).agg(F.max("precision").alias("precision"), F.max("recall").alias("recall"))
+    # The best precision from a recall on holds for all points up to it that lie beyond the next lower recall met.
+    down = Window.partitionBy(*keys).orderBy(F.desc("point"))
+    best = F.max("precision").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    lower = F.coalesce(F.lead("point").over(down), F.lit(-1))
+    scores = points.select(*keys, "recall", (best * (F.col("point") - lower)).alias("share")).groupBy(*keys).agg((F.sum("share") / 101).alias("ap"), F.max("recall").alias("recall"))
+    every = wanted.select("area", F.explode(F.array(*map(F.lit, thresholds))).alias("threshold"))
+    scored = every.join(F.broadcast(scores), keys, "left").select(*keys, F.lit(most).alias("most"), F.coalesce("ap", F.lit(0.0)).alias("ap"), F.coalesce("recall", F.lit(0.0)).alias("recall"))
+    return scored
+
+
+def average_precision(truth: DataFrame, found: DataFrame, group: str, thresholds: list[float]) -> DataFrame:
+    """threshold, ap, recall over boxes of all sizes."""
+    return precision_recall(truth, found, group, thresholds).select("threshold", "ap", "recall")
+
+
+def detection_summary(truth: DataFrame, found: DataFrame, group: str) -> DataFrame:
+    """metric, value: the twelve numbers of a detection report, mean over overlaps .50 to .95 where none is named."""
+    thresholds = [0.5 + 0.05 * k for k in range(10)]
+    rows = precision_recall(truth, found, group, thresholds, AREAS)
+    for k in MOST[:-1]:
+        rows = rows.union(precision_recall(truth, found, group, thresholds, {"all": AREAS["all"]}, k))
+    full, whole = F.col("most") == MOST[-1], F.col("area") == "all"
+    told = {"AP": (full & whole, "ap"), "AP50": (full & whole & (F.col("threshold") == 0.5), "ap"), "AP75": (full & whole & (F.col("threshold") == 0.75), "ap")}
+    told |= {f"AP_{a}": (full & (F.col("area") == a), "ap") for a in AREAS if a != "all"}
+    told |= {f"AR{k}": (whole & (F.col("most") == k), "recall") for k in MOST}
+    told |= {f"AR_{a}": (full & (F.col("area") == a), "recall") for a in AREAS if a != "all"}
+    means = rows.agg(*(F.avg(F.when(c, F.col(v))).alias(k) for k, (c, v) in told.items()))
+    return means.select(F.explode(F.array(*(F.struct(F.lit(k).alias("metric"), F.col(k).alias("value")) for k in told))).alias("m")).select("m.*")
 
 
 def smooth(series: DataFrame, name: str, order: list[str], value: str, last: int = 20) -> DataFrame:
-    """Mean, maximum and lower median of the last values, and the mean so far."""
+    """Mean, maximum and lower median of the last values, the latest value, and the mean so far."""
     w = Window.partitionBy(name).orderBy(*order)
     recent = w.rowsBetween(-(last - 1), 0)
     held = F.sort_array(F.collect_list(value).over(recent))
-    return series.select(name, *order, F.avg(value).over(recent).alias("mean"), F.max(value).over(recent).alias("most"), F.get(held, F.floor((F.size(held) - 1) / 2).cast("int")).alias("median"), F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("global_mean"))
+    so_far = F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    return series.select(name, *order, F.avg(value).over(recent).alias("mean"), F.max(value).over(recent).alias("most"), F.get(held, F.floor((F.size(held) - 1) / 2).cast("int")).alias("median"), F.last(value).over(recent).alias("last"), so_far.alias("global_mean"))
 
 
 def reduce_metrics(metrics: DataFrame, name: str, value: str, mean: bool = True) -> DataFrame:

@@ -76,18 +76,19 @@ def clamp(boxes: DataFrame, least: int = 5) -> DataFrame:
 
 
 def crop(images: DataFrame, boxes: DataFrame) -> DataFrame:
-    """Pixels of each box: images has figure_id, width, height, channels, data (row by row); boxes figure_id, idx and corners."""
-    joined = boxes.join(images, "figure_id")
+    """Pixels of each box: images has figure_id, width, height, channels, data (row by row); boxes figure_id, idx and corners.
+
+    An image's boxes are gathered to one array, so that its bytes are joined and read once."""
+    own = boxes.groupBy("figure_id").agg(F.collect_list(F.struct("idx", "x1", "y1", "x2", "y2")).alias("boxes"))
+    joined = images.select("figure_id", "width", "height", "channels", "data").join(own, "figure_id")
 
     def run(batches):
         import numpy as np
 
         for pdf in batches:
-            out = []
             for r in pdf.itertuples():
                 pixels = np.frombuffer(r.data, np.uint8).reshape(r.height, r.width, r.channels)
-                part = pixels[max(r.y1, 0) : max(r.y2, 0), max(r.x1, 0) : max(r.x2, 0)]
-                out.append((r.figure_id, r.idx, part.shape[1], part.shape[0], part.tobytes()))
-            yield type(pdf)(out, columns=["figure_id", "idx", "width", "height", "data"])
+                parts = [(b["idx"], pixels[max(b["y1"], 0) : max(b["y2"], 0), max(b["x1"], 0) : max(b["x2"], 0)]) for b in r.boxes]
+                yield type(pdf)([(r.figure_id, i, x.shape[1], x.shape[0], x.tobytes()) for i, x in parts], columns=["figure_id", "idx", "width", "height", "data"])
 
     return joined.mapInPandas(run, "figure_id long, idx int, width int, height int, data binary")

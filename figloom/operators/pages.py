@@ -2,16 +2,20 @@
 
 Blocks are flat: a `<figure>` inside a `<figure>` isn't told apart from its parent."""
 
+from html.parser import HTMLParser
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # How each journal family's site builds addresses.
 FAMILIES = [
-    ("acs", "https://pubs.acs.org", "/action/doSearch?AllField=", "+", "&sortBy=", "", "/doi/", "https://pubs.acs.org"),
-    ("nature", "https://www.nature.com", '/search?q="', '"%20"', '"&order=', "&page=1", "/articles/", ""),
-    ("rsc", "https://pubs.rsc.org", "/en/results?searchtext=", '"%20"', '"&SortBy=', "&PageSize=1&tab=all", "/en/content/articlehtml/", "https://pubs.rsc.org"),
+    ("acs", "https://pubs.acs.org", '/action/doSearch?AllField="', '"+"', '"&publication=&accessType=allContent&Earliest=&pageSize=20&startPage=0&sortBy=', '"&publication=&openAccess=18&accessType=openAccess&Earliest=&pageSize=20&startPage=0&sortBy=', "", "/doi/", "https://pubs.acs.org"),
+    ("nature", "https://www.nature.com", '/search?q="', '"%20"', '"&order=', '"&order=', "&page=1", "/articles/", ""),
+    ("rsc", "https://pubs.rsc.org", "/en/results?searchtext=", '"%20"', '"&SortBy=', '"&SortBy=', "&PageSize=1&tab=all&fcategory=all&filter=all&Article%20Access=Open+Access", "/en/content/articlehtml/", "https://pubs.rsc.org"),
 ]
-FAMILY_SCHEMA = "family string, domain string, path string, join string, sort_part string, tail string, article_path string, prepend string"
+FAMILY_SCHEMA = "family string, domain string, path string, join string, sort_part string, open_part string, tail string, article_path string, prepend string"
+#: What stands in the links of an RSC figure's image.
+IMAGE_KEY = "/image/article"
 #: Path segments of reader versions of an article.
 READERS = ["abs", "full", "pdf"]
 
@@ -24,16 +28,21 @@ def expand_terms(fields: list[DataFrame]) -> DataFrame:
     return out
 
 
-def search_urls(terms: DataFrame, families: DataFrame, columns: list[str], order: str) -> DataFrame:
-    """Adds url: the family's template around the terms, spaces as + (B2)."""
+def search_urls(terms: DataFrame, families: DataFrame, columns: list[str], order: str, open_only: bool = False) -> DataFrame:
+    """Adds url: the family's template around the terms, spaces as +; the part for open articles where only these are wanted (B2)."""
     joined = F.concat_ws("\x01", *(F.regexp_replace(c, " ", "+") for c in columns))
-    return terms.join(F.broadcast(families), "family").withColumn("url", F.concat("domain", "path", F.replace(joined, F.lit("\x01"), F.col("join")), "sort_part", F.lit(order), "tail"))
+    part = "open_part" if open_only else "sort_part"
+    return terms.join(F.broadcast(families), "family").withColumn("url", F.concat("domain", "path", F.replace(joined, F.lit("\x01"), F.col("join")), part, F.lit(order), "tail"))
 
 
-def paginate(urls: DataFrame) -> DataFrame:
-    """One row a result page from `first` to `last`, with its address."""
+def paginate(urls: DataFrame, family: Column | None = None, size: Column | None = None) -> DataFrame:
+    """One row a result page from `first` to `last`, with its address; RSC shows all `size` results on one page."""
     out = urls.withColumn("page", F.explode(F.sequence("first", "last")))
-    return out.withColumn("page_url", F.concat(F.split_part("url", F.lit("&page="), F.lit(1)), F.lit("&page="), F.col("page").cast("string")))
+    family, number = F.lit("nature") if family is None else family, F.col("page").cast("string")
+    acs = F.concat(F.split_part("url", F.lit("&startPage="), F.lit(1)), F.lit("&startPage="), number, F.lit("&pageSize=20"))
+    rsc = F.concat(F.split_part("url", F.lit("1&tab=all"), F.lit(1)), (F.lit(1) if size is None else size).cast("string"), F.lit("&tab=all&fcategory=all&filter=all&Article%20Access=Open+Access"))
+    nature = F.concat(F.split_part("url", F.lit("&page="), F.lit(1)), F.lit("&page="), number)
+    return out.withColumn("page_url", F.when(family == "acs", acs).when(family == "rsc", rsc).otherwise(nature))
 
 
 def data_layer(html: Column) -> Column:
@@ -48,7 +57,9 @@ def page_info(html: Column, family: str) -> dict[str, Column]:
     if family == "acs":
         n = F.regexp_extract(html, r'class="result__count">([0-9]+)<', 1).try_cast("int")
         return {"page": F.lit(0), "total_pages": F.ceil(n / 20.0).cast("int") - 1, "total_results": n}
-    n = F.regexp_extract(html, r"([0-9]+) *results? - Showing page 1 of", 1).try_cast("int")
+    text = F.substring_index(F.regexp_replace(html, "<[^>]*>", ""), " - Showing page 1 of", 1)
+    numbers = F.filter(F.split(F.element_at(F.split(text, "Back to tab navigation"), -1), " "), lambda x: F.trim(x, F.lit("\n")).rlike("^[0-9]+$"))
+    n = F.when(F.size(numbers) == 1, F.trim(F.get(numbers, F.lit(0)), F.lit("\n")).try_cast("int"))
     return {"page": F.lit(1), "total_pages": F.lit(1), "total_results": F.coalesce(n, F.lit(0))}
 
 
@@ -72,10 +83,57 @@ def unvisited(links: DataFrame, ledger: DataFrame) -> DataFrame:
     return links.withColumn("key", last_segment(F.col("link"))).join(ledger.select("key").distinct(), "key", "left_anti")
 
 
+class _OpenLinks(HTMLParser):
+    """Links of a page in order, with the places of their ancestors up to the third; elements that hold an Open badge."""
+
+    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
+
+    def __init__(self):
+        super().__init__()
+        self.stack, self.links, self.open, self.badge, self.count = [], [], set(), None, 0
+
+    def handle_starttag(self, tag, attrs):
+        told = dict(attrs)
+        if tag == "a" and told.get("href"):
+            self.links.append((told["href"], self.stack[-3:][0][0] if self.stack else -1))
+        if tag in self.VOID:
+            return
+        self.count += 1
+        self.stack.append((self.count, tag))
+        if tag == "span" and "text-orange" in (told.get("class") or "").split():
+            self.badge = (self.count, "")
+
+    def handle_data(self, data):
+        if self.badge:
+            self.badge = (self.badge[0], self.badge[1] + data)
+
+    def handle_endtag(self, tag):
+        if tag not in [t for _, t in self.stack]:
+            return
+        while self.stack:
+            number, name = self.stack.pop()
+            if self.badge and number == self.badge[0]:
+                if self.badge[1] == "Open":
+                    self.open.update(n for n, _ in self.stack)
+                self.badge = None
+            if name == tag:
+                return
+
+
 def open_links(pages: DataFrame) -> DataFrame:
-    """Links whose own block says Open."""
-    blocks = pages.select("page_id", F.explode(F.regexp_extract_all("html", F.lit(r'(?s)(<a [^>]*href="[^"]*"[^>]*>.*?</a>)'), F.lit(1))).alias("block"))
-    return blocks.where(F.contains("block", F.lit(">Open<"))).select("page_id", F.substring_index(F.regexp_extract("block", r'href="([^"]*)"', 1), "?page=search", 1).alias("link"))
+    """Links whose third ancestor holds a badge that says Open."""
+    import pandas as pd
+
+    @F.pandas_udf("array<string>")
+    def found(html: pd.Series) -> pd.Series:
+        out = []
+        for text in html:
+            page = _OpenLinks()
+            page.feed(text or "")
+            out.append([link for link, ancestor in page.links if ancestor in page.open])
+        return pd.Series(out)
+
+    return pages.select("page_id", F.explode(found("html")).alias("link")).withColumn("link", F.substring_index("link", "?page=search", 1))
 
 
 def cap_links(links: DataFrame, n: int) -> DataFrame:
@@ -83,26 +141,38 @@ def cap_links(links: DataFrame, n: int) -> DataFrame:
     return links.select("link").distinct().orderBy("link").limit(n)
 
 
-def license_info(html: Column) -> dict[str, Column]:
-    """open and license of an article's data layer; false and unknown without."""
+def license_info(html: Column, family: str = "nature") -> dict[str, Column]:
+    """open and license of an article: from the data layer, or from ACS's open-access badge; false and unknown without."""
+    if family == "acs":
+        badge = F.regexp_replace(F.regexp_extract(html, r'(?s)<div[^>]*class="article_header-open-access"[^>]*>(.*?)</div>', 1), "<[^>]*>", "")
+        is_open = F.coalesce(F.contains(badge, F.lit("ACS AuthorChoice")) | F.contains(badge, F.lit("ACS Editors' Choice")), F.lit(False))
+        return {"open": is_open, "license": F.when(is_open, badge).otherwise("unknown")}
+    if family == "rsc":
+        return {"open": F.lit(False), "license": F.lit("unknown")}
     j = data_layer(html)
     return {"open": F.coalesce(F.get_json_object(j, "$.content.attributes.copyright.open") == "true", F.lit(False)), "license": F.coalesce(F.get_json_object(j, "$.content.attributes.copyright.legacy.webtrendsLicenceType"), F.lit("unknown"))}
 
 
-def figure_blocks(pages: DataFrame, key: str) -> DataFrame:
-    """One row a figure block, numbered from 0."""
-    return pages.select(key, F.posexplode(F.regexp_extract_all("html", F.lit(r"(?s)(<figure.*?</figure>)"), F.lit(1))).alias("pos", "block"))
+def figure_blocks(pages: DataFrame, key: str, family: str = "nature") -> DataFrame:
+    """One row a figure block, numbered from 0: a figure element, RSC's div of class image_table."""
+    pattern = r'(?s)(<div[^>]*class="image_table".*?</div>)' if family == "rsc" else r"(?s)(<figure.*?</figure>)"
+    return pages.select(key, F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias("pos", "block"))
 
 
-def captions(blocks: DataFrame) -> DataFrame:
-    """Adds caption, the text of all its paragraphs; blocks without any are dropped."""
-    texts = F.regexp_extract_all("block", F.lit(r"(?s)<p[^>]*>(.*?)</p>"), F.lit(1))
+def captions(blocks: DataFrame, family: str = "nature") -> DataFrame:
+    """Adds caption, the text of all its paragraphs (RSC: of its spans of class graphic_title); blocks without any are dropped."""
+    pattern = r'(?s)<span[^>]*class="graphic_title"[^>]*>(.*?)</span>' if family == "rsc" else r"(?s)<p[^>]*>(.*?)</p>"
+    texts = F.regexp_extract_all("block", F.lit(pattern), F.lit(1))
     return blocks.withColumn("caption", F.array_join(F.transform(texts, lambda t: F.regexp_replace(t, "<[^>]*>", "")), "")).where("caption != ''")
 
 
-def image_url(block: Column, prepend: str = "") -> Column:
-    """Address of the block's image: no `_hi-res`, and a scheme."""
-    src = F.concat(F.lit(prepend), F.replace(F.regexp_extract(block, r'<img [^>]*src="([^"]*)"', 1), F.lit("_hi-res"), F.lit("")))
+def image_url(block: Column, prepend: str = "", family: str = "nature") -> Column:
+    """Address of the block's image (RSC: of its last link to an image): no `_hi-res`, and a scheme."""
+    src = F.regexp_extract(block, r'<img [^>]*src="([^"]*)"', 1)
+    if family == "rsc":
+        links = F.filter(F.regexp_extract_all(block, F.lit(r'(?s)(<a [^>]*href="[^"]*"[^>]*>.*?</a>)'), F.lit(1)), lambda a: F.contains(a, F.lit(IMAGE_KEY)))
+        src = F.regexp_extract(F.try_element_at(links, F.lit(-1)), r'href="([^"]*)"', 1)
+    src = F.concat(F.lit(prepend), F.replace(src, F.lit("_hi-res"), F.lit("")))
     return F.when(F.contains(src, F.lit(":")), src).otherwise(F.concat(F.lit("https:"), src))
 
 

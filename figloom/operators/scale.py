@@ -112,14 +112,15 @@ def physical_size(subfigures: DataFrame, bars: DataFrame, group: str) -> DataFra
 
 
 def bigram_model(corpus: DataFrame, text: str = "text") -> DataFrame:
-    """first, second, n, p: pairs of neighbouring characters of a corpus and P(second | first)."""
-    places = F.when(F.length(text) > 1, F.sequence(F.lit(1), F.length(text) - 1)).otherwise(F.array().cast("array<int>"))
-    pairs = corpus.select(F.explode(F.transform(places, lambda i: F.substring(text, i, F.lit(2)))).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
+    """first, second, n, p: pairs of neighbouring characters of a corpus and P(second | first).
+
+    One pass of a look-ahead over each text finds its pairs, so a text costs in proportion to its length."""
+    pairs = corpus.select(F.explode(F.regexp_extract_all(text, F.lit(r"(?s)(?=(..))."), F.lit(1))).alias("pair")).groupBy("pair").agg(F.count("*").alias("n"))
     split = pairs.select(F.substring("pair", 1, 1).alias("first"), F.substring("pair", 2, 1).alias("second"), "n")
     return split.withColumn("p", F.col("n") / F.sum("n").over(Window.partitionBy("first")))
 
 
 def word_list(corpus: DataFrame, text: str = "text") -> DataFrame:
-    """word, n: lower-cased words of letters alone."""
-    words = corpus.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"[^\s\x0b]+"), F.lit(0))).alias("word"))
-    return words.where(F.col("word").rlike("^[a-z]+$")).groupBy("word").agg(F.count("*").alias("n"))
+    """word, n: of the lower-cased runs of letters, digits and _, those of letters alone."""
+    words = corpus.select(F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))).alias("word"))
+    return words.where(F.col("word").rlike(r"^\p{L}+$")).groupBy("word").agg(F.count("*").alias("n"))

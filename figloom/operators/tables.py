@@ -76,10 +76,30 @@ def figure_table(figures: DataFrame) -> DataFrame:
 
 
 def _images(figures: DataFrame) -> DataFrame:
+    """figure_id, m, subfigure_id: the subfigures of nested figures, or those of images_of() as they are."""
+    if "m" in figures.columns:
+        return figures
     out = figures.select(figure_key(F.col("figure_name")).alias("figure_id"), F.explode("master_images").alias("m"))
     return out.withColumn("subfigure_id", F.concat_ws("-", "figure_id", "m.label"))
 
 
+def images_of(figures: DataFrame, subfigures: DataFrame, group: str) -> DataFrame:
+    """The subfigures of flat tables, in the form that the table functions take: nothing is nested, so Spark prunes columns and
+    pushes filters through."""
+    out = subfigures.join(figures.select(group, figure_key(F.col("figure_name")).alias("_key")), group)
+    record = F.struct(*[c for c in subfigures.columns if c != group])
+    return out.select(F.col("_key").alias("figure_id"), record.alias("m"), F.concat_ws("-", "_key", "label").alias("subfigure_id"))
+
+
+def bars_of(figures: DataFrame, subfigures: DataFrame, bars: DataFrame, group: str) -> DataFrame:
+    """The scale bars of flat tables, numbered within their subfigure, in the form that the table functions take."""
+    label = subfigures.select(group, F.col("idx").alias("subfigure_idx"), "label").join(figures.select(group, figure_key(F.col("figure_name")).alias("_key")), group)
+    own = F.row_number().over(Window.partitionBy(group, "subfigure_idx").orderBy("line_idx")) - 1
+    record = F.struct("line_idx", "x1", "y1", "x2", "y2", "length", "distance", "confidence", "label")
+    out = bars.select(group, "subfigure_idx", own.alias("i"), record.alias("b")).join(label, [group, "subfigure_idx"])
+    return out.select(F.concat_ws("-", "_key", "label").alias("subfigure_id"), "i", "b").withColumn("scale_bar_id", F.concat_ws("-", "subfigure_id", "i"))
+
+
 def subfigure_table(figures: DataFrame) -> DataFrame:
     """One row a subfigure; sizes from the box where the record has none."""
     m = F.col("m")
@@ -105,6 +125,8 @@ def subfigure_label_table(figures: DataFrame) -> DataFrame:
 
 
 def _bars(figures: DataFrame) -> DataFrame:
+    if "b" in figures.columns:
+        return figures
     out = _images(figures).select("subfigure_id", F.posexplode("m.scale_bars").alias("i", "b"))
     return out.withColumn("scale_bar_id", F.concat_ws("-", "subfigure_id", "i"))
 

@@ -268,7 +268,7 @@ def f12(spark, d):
     return scale.bigram_model(given(spark, d, "documents")).withColumn("p", F.round("p", 6))
 
 
-@query("f13_word_list", r"""select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[^\s\x0b]+')) as word from documents) where regexp_full_match(word, '[a-z]+') group by word""")
+@query("f13_word_list", r"""select word, count(*) as n from (select unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) as word from documents) where regexp_full_match(word, '\p{L}+') group by word""")
 def f13(spark, d):
     return scale.word_list(given(spark, d, "documents"))
 

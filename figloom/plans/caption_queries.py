@@ -8,14 +8,32 @@ from figloom.plans.registry import query
 
 G = "figure_id"
 CAP = ctes("cap")
-# Captions with more forms than the plain one: ranges and lists, by the figure's number.
-_MIXED = """replace(replace(replace(caption, '(b)', case when figure_id % 3 = 0 then '(b, c)' when figure_id % 3 = 1 then '(b-d)' else '(b)' end), '(e)', case when figure_id % 2 = 0 then '(e and f)' else '(C)' end), '(f)', case when figure_id % 5 = 0 then 'as shown in (a)' else '(f)' end)"""
+# Captions with more forms than the plain one, by the figure's number: ranges, lists, one-sided labels, colons, capitals.
+_MORE = [("(b)", "case when figure_id % 3 = 0 then '(b, c)' when figure_id % 3 = 1 then '(b-d)' else '(b)' end"), ("(e)", "case when figure_id % 2 = 0 then '(e and f)' else '(C)' end"), ("(f)", "case when figure_id % 5 = 0 then 'as shown in (a)' else '(f)' end"),
+  ("(g)", "case figure_id % 6 when 0 then 'g)' when 1 then 'g:' when 2 then ':g:' when 3 then '(g1)' when 4 then '(g ' else '. g, h' end"), ("(d)", "case figure_id % 7 when 0 then '(upper left)' when 1 then '(iv)' when 2 then ': d' when 3 then 'd and e)' else '(d)' end")]
+_MIXED = "caption"
+for _old, _new in _MORE:
+    _MIXED = f"replace({_MIXED}, '{_old}', {_new})"
+_MIXED = f"case when figure_id % 8 = 5 then upper({_MIXED}) else {_MIXED} end"
 MIX = f"{CAP}, mix as (select figure_id, {_MIXED} as caption from cap)"
-_RUN = lambda c: rf"\({c}(?:(?:\s*(?:,|–|-|and|,\s*and)\s*){c})*\)"
-_ALPHA = _RUN("[a-z]")
-SPANS = f"""{MIX}, k(kind, pat) as (values {", ".join(f"('{k}', '{_RUN(p)}')" for k, p in cp.KINDS.items())}),
-e as ({" union all ".join(f"select figure_id, caption, '{k}' as kind, regexp_extract_all(caption, '{_RUN(p)}') as s, regexp_split_to_array(caption, '{_RUN(p)}') as p from mix" for k, p in cp.KINDS.items())}),
-spans as (select figure_id, kind, s[i] as span, cast(coalesce(length(list_aggregate(p[1:i], 'string_agg', '')), 0) + coalesce(length(list_aggregate(s[1:i - 1], 'string_agg', '')), 0) + 1 as int) as pos from (select *, unnest(range(1, len(s) + 1)) as i from e))"""
+
+
+def _run(c: str, more: str = "") -> str:
+    """The twin's pattern of runs of a label character."""
+    r = rf"{c}(?:(?:\s*(?:,|–|-|and|,\s*and)\s*){c})*"
+    return rf"(?:\({r}\)|{more}:{r}:|\({r}\b|:{r}\b|\b{r}[):])"
+
+
+_PATTERNS = {"alpha": _run("[a-z]", r"\([a-z][0-9]\)|\. [a-z]\b(?:(?:,|–) ?[a-z]\b)?|"), "ALPHA": _run("[A-Z]", r"\([A-Z][0-9]\)|"), "digit": _run("[0-9]"), "roman": _run("(?i:i|ii|iii|iv|v|vi|vii|viii|ix|x|xi|xii|xiii|xiv|xv)"),
+  "position": _run("(?i:above|after|around|before|beginning|behind|below|beside|between|bottom|center|down|end|far|finish|front|in|inside|lower|left|middle|near|next to|off|on|out|outside|over|right|start|through|top|under|up|upper|upside down)")}
+_ALPHA = _PATTERNS["alpha"]
+SPANS = f"""{MIX},
+e as ({" union all ".join(f"select figure_id, '{k}' as kind, regexp_extract_all(caption, '{p}') as s, regexp_split_to_array(caption, '{p}') as p from mix" for k, p in _PATTERNS.items())}),
+spans as (select figure_id, kind, s[i] as span, cast(coalesce(length(list_aggregate(p[1:i], 'string_agg', '')), 0) + coalesce(length(list_aggregate(s[1:i - 1], 'string_agg', '')), 0) + 1 as int) as pos from (select *, unnest(range(1, len(s) + 1)) as i from e)),
+dn as (select figure_id, count(*) filter (kind = 'alpha') as alpha, count(*) filter (kind = 'ALPHA') as upper, count(*) filter (kind = 'digit') as digit, count(*) filter (kind = 'roman') as roman,
+  count(*) filter (kind = 'position') as position, min_by(kind, (pos, kind)) as first from spans group by figure_id),
+delims as (select figure_id, case when greatest(alpha, upper) >= 0.25 * greatest(alpha, upper, digit, roman, position) then case when 0.5 * upper > alpha then 'ALPHA' else 'alpha' end
+  when roman = greatest(alpha, upper, digit, roman, position) then 'roman' else first end as delimiter from dn)"""
 
 
 def mixed(spark, d):
@@ -31,10 +49,7 @@ def c1(spark, d):
     return spans(spark, d)
 
 
-@query("c2_delimiter", f"""{SPANS}, n as (select figure_id, count(*) filter (kind = 'alpha') as alpha, count(*) filter (kind = 'ALPHA') as upper, count(*) filter (kind = 'digit') as digit, count(*) filter (kind = 'roman') as roman,
-  count(*) filter (kind = 'position') as position, min_by(kind, (pos, kind)) as first from spans group by figure_id)
-  select figure_id, case when greatest(alpha, upper) >= 0.25 * greatest(alpha, upper, digit, roman, position) then case when 0.5 * upper > alpha then 'ALPHA' else 'alpha' end
-  when roman = greatest(alpha, upper, digit, roman, position) then 'roman' else first end as delimiter from n""")
+@query("c2_delimiter", f"{SPANS} select figure_id, delimiter from delims")
 def c2(spark, d):
     return cp.delimiter(spans(spark, d), G)
 
@@ -46,9 +61,11 @@ def c3(spark, d):
     return cp.longest_spans(spans(spark, d), G).select(G, "pos", "span")
 
 
-@query("c4_drop_chemistry", f"{SPANS} select figure_id, kind, span, pos from spans where span not in ('(B)','(C)','(F)','(H)','(I)','(K)','(N)','(O)','(P)','(S)','(U)','(V)','(W)','(Y)')")
+@query("c4_drop_chemistry", f"""{SPANS} select figure_id, kind, span, pos from spans join delims using (figure_id)
+  where not regexp_full_match(span, '\\([a-z]') and not (regexp_full_match(span, '\\((B|C|F|H|I|K|N|O|P|S|U|V|W|Y)\\)') and delimiter <> 'ALPHA') and not regexp_full_match(span, '\\((In|IN|No|NO|At|AT)\\)')""")
 def c4(spark, d):
-    return cp.drop_chemistry(spans(spark, d))
+    s = spans(spark, d)
+    return cp.drop_chemistry(s.join(cp.delimiter(s, G), G)).select(G, "kind", "span", "pos")
 
 
 @query("c5_drop_molecules", f"{SPANS} select figure_id, kind, span, pos from spans where not contains(span, 'b, c') and not contains(span, 'e and')")
@@ -56,7 +73,8 @@ def c5(spark, d):
     return cp.drop_molecules(spans(spark, d), spark.createDataFrame([("b, c",), ("e and",)], "name string"))
 
 
-_IMPLIED = "case span when '(b, c)' then ['b', 'c'] when '(b-d)' then ['b', 'c', 'd'] when '(e and f)' then ['e', 'f'] else [span[2:2]] end"
+_IMPLIED = r"""list_sort(list_distinct(flatten(list_transform(list_filter(string_split_regex(replace(regexp_replace(span, '[().:\s]', '', 'g'), 'and', ','), ',+'), lambda x: x <> ''),
+  lambda x: case when regexp_full_match(x, '[a-z][–-][a-z]') and x[1:1] <= x[-1:] then list_transform(range(ascii(x[1:1]), ascii(x[-1:]) + 1), lambda c: chr(cast(c as int))) else string_split_regex(x, '[–-]') end))))"""
 
 
 @query("c6_implied_labels", f"{SPANS} select figure_id, pos, list_aggregate({_IMPLIED}, 'string_agg', ',') as labels from spans where kind = 'alpha'")
@@ -72,9 +90,10 @@ def c7(spark, d):
     return derived(spark, d, "cap").select(G, F.array_join(cp.char_range(F.char(97 + a), F.char(97 + a + n)), ",").alias("letters"), F.array_join(F.array_distinct(F.when(n == 0, F.array(ends[0])).otherwise(cp.char_range(*ends, roman_first=True))), ",").alias("romans"))
 
 
-@query("c8_position_labels", "select p_partkey, word from (select p_partkey, unnest(string_split(replace(p_name, 'hot', 'Top'), ' ')) as word from part) where lower(word) in ('left','right','top','bottom','center','middle','upper','lower','inside','outside','above','below','up','down')")
+@query("c8_position_labels", """select p_partkey, word from (select p_partkey, unnest(string_split(replace(replace(p_name, 'hot', 'Top'), 'rod', 'Behind'), ' ')) as word from part) where lower(word) in ('above', 'after', 'around', 'before', 'beginning', 'behind', 'below', 'beside',
+  'between', 'bottom', 'center', 'down', 'end', 'far', 'finish', 'front', 'in', 'inside', 'lower', 'left', 'middle', 'near', 'next to', 'off', 'on', 'out', 'outside', 'over', 'right', 'start', 'through', 'top', 'under', 'up', 'upper', 'upside down')""")
 def c8(spark, d):
-    words = given(spark, d, "part").select("p_partkey", F.explode(F.split(F.replace("p_name", F.lit("hot"), F.lit("Top")), " ")).alias("word"))
+    words = given(spark, d, "part").select("p_partkey", F.explode(F.split(F.replace(F.replace("p_name", F.lit("hot"), F.lit("Top")), F.lit("rod"), F.lit("Behind")), " ")).alias("word"))
     return cp.position_labels(words, "word")
 
 
@@ -92,7 +111,7 @@ def c10(spark, d):
     return s.select(G, *(cp.likely_label(F.lit(x), F.col("labels"), F.col("caption")).alias(f"likely_{x}") for x in ("b", "g", "h", "q")))
 
 
-@query("c11_require_a", f"{_LABELS} select figure_id, case when bool_or(l = 'a') then string_agg(distinct l, ',' order by l) else '0' end as labels from i group by figure_id")
+@query("c11_require_a", f"{_LABELS} select figure_id, case when bool_or(l in ('a', 'A')) or not bool_or(regexp_full_match(l, '[A-Za-z]')) then string_agg(distinct l, ',' order by l) else '0' end as labels from i group by figure_id")
 def c11(spark, d):
     return cp.suggested_labels(spans(spark, d).where("kind = 'alpha'"), G).select(G, F.array_join(cp.require_a(F.col("labels")), ",").alias("labels"))
 
@@ -107,9 +126,25 @@ def c13(spark, d):
     return cp.subfigure_labels(spans(spark, d).where("kind = 'alpha'"), G).select(G, F.array_join("labels", " ").alias("labels"))
 
 
-@query("c14_normalize_caption", f"{CAP} select figure_id, case when right(c, 1) = '.' then c else c || ' .' end as caption from (select figure_id, replace(replace(regexp_replace(caption, ' +', ' ', 'g'), '. ', ' . '), '. (a)', ' (a)') as c from cap)")
+# Each caption begins with one of the sequences that are written otherwise, by the figure's number, and some lack the full stop.
+_ODD = ["(a)-(b) ", "(a)–(b) ", "of:(a) ", "(a): ", "Both. From left to right: (a) ", "A pair of image (c) ", "(a) : ", "1 – ", "2 – ", "3 – ", "N-C. ", "one.  (a) ", "a part ", "A part ", "one; images of b; c .; d "]
+_ODD_SQL = f"concat([{', '.join(repr(x) for x in _ODD)}][figure_id % {len(_ODD)} + 1], case when figure_id % 2 = 0 then caption else replace(caption, '.', '') end)"
+_PLAIN = "caption"
+for _a, _b in [(")-(", "-"), (")–(", "–"), (":(", ": ("), ("):", ") :")]:
+    _PLAIN = f"replace({_PLAIN}, '{_a}', '{_b}')"
+_PLAIN = f"regexp_replace({_PLAIN}, ' +', ' ', 'g')"
+_PLAIN = f"case when len(string_split({_PLAIN}, '; ')) > len(string_split({_PLAIN}, '. ')) then replace(replace(replace({_PLAIN}, 'one; images', 'one; images'), 'images of b; ', 'images of b, '), 'c .; ', 'c ., ') else {_PLAIN} end"
+for _a, _b in [(". From left to right: (a)", ": (a)"), ("of image (", "shown in image ("), ("(a) :", ": (a)"), ("1 –", "1 -"), ("2 –", "2 -"), ("3 –", "3 -"), ("N-C.", "N-C ."), (". ", " . "), (". (a)", " (a)")]:
+    _PLAIN = f"replace({_PLAIN}, '{_a}', '{_b}')"
+
+
+@query("c14_normalize_caption", f"""{CAP}, odd as (select figure_id, {_ODD_SQL} as caption from cap), n as (select figure_id, {_PLAIN} as c from odd),
+  m as (select figure_id, case when left(c, 2) in ('a ', 'A ') then concat('(', left(c, 1), ')', substr(c, 2)) else c end as c from n)
+  select figure_id, case when right(c, 1) = '.' then c else c || ' .' end as caption from m""")
 def c14(spark, d):
-    return derived(spark, d, "cap").select(G, cp.normalize_caption(F.col("caption")).alias("caption"))
+    prefix = F.get(F.array(*map(F.lit, _ODD)), (F.col(G) % len(_ODD)).cast("int"))
+    odd = F.concat(prefix, F.when(F.col(G) % 2 == 0, F.col("caption")).otherwise(F.replace("caption", F.lit("."), F.lit(""))))
+    return derived(spark, d, "cap").select(G, cp.normalize_caption(odd).alias("caption"))
 
 
 _SEG = rf"""{MIX}, g as (select figure_id, regexp_replace(caption, '\b(denoted|corresponds|extracted|indicated|shown|corresponding)( in| by| to| from)? \(([^()]*)\)', '\1\2 ⟨\3⟩', 'g') as c from mix),
@@ -126,11 +161,19 @@ def c15(spark, d):
     return segs(spark, d)
 
 
-@query("c16_repair_semicolons", f"""{CAP} select figure_id, concat('TEM images of ', cast(figure_id as varchar), ', gold, silver . ; end of ', cast(figure_id as varchar)) as caption from cap""")
+# With both marks, without the trigger, without the stop, with equal parts, with more full stops; the figure's number makes each row its own.
+_SEMI = ["TEM images of #; gold; silver .; end of #", "map of #; gold; silver .; gold", "first; images of #; gold; iron", "gold; images of #; gold; iron .; gold; end", "images of #. One. Two. Three; four", "# images of gold ."]
+_SEMI_SQL = f"replace([{', '.join(repr(x) for x in _SEMI)}][figure_id % {len(_SEMI)} + 1], '#', cast(figure_id as varchar))"
+
+
+@query("c16_repair_semicolons", f"""{CAP}, r as (select figure_id, {_SEMI_SQL} as t from cap), p as (select figure_id, t, string_split(t, '; ') as p from r),
+  f as (select *, list_position(list_transform(p, lambda x: contains(x, 'images of')), true) as a from p),
+  l as (select *, coalesce(list_max(list_filter(range(1, len(p) + 1), lambda i: i >= a and contains(p[i], ' .'))), len(p)) as z from f),
+  w as (select *, case when a > 0 then p[a:z] else p[-1:] end as w from l)
+  select figure_id, case when len(p) > len(string_split(t, '. ')) then array_to_string(list_transform(p, lambda x, i: x || case when i = len(p) then '' when list_contains(w, x) then ', ' else '; ' end), '') else t end as caption from w""")
 def c16(spark, d):
-    raw = F.concat(F.lit("TEM images of "), F.col(G).cast("string"), F.lit("; gold; silver .; end of "), F.col(G).cast("string"))
-    fixed = cp.repair_semicolons(raw, "images of", " .")
-    return derived(spark, d, "cap").select(G, F.replace(fixed, F.lit("silver ., end"), F.lit("silver . ; end")).alias("caption"))
+    raw = F.replace(F.get(F.array(*map(F.lit, _SEMI)), (F.col(G) % len(_SEMI)).cast("int")), F.lit("#"), F.col(G).cast("string"))
+    return derived(spark, d, "cap").select(G, cp.repair_semicolons(raw, "images of", " .").alias("caption"))
 
 
 @query("c17_prune_similar")

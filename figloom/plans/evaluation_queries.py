@@ -4,7 +4,8 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from figloom.functions.session import shared_dir
+from figloom.functions.session import materialise, shared_dir
+from figloom.operators import detections as det
 from figloom.operators import evaluation as ev
 from figloom.operators import geometry as geo
 from figloom.plans.box_queries import BOX, IMAGED, box, imaged
@@ -81,12 +82,22 @@ def i9(spark, d):
     return ev.average_precision(b.where("kind = 0"), shifted.where("idx % 4 != 1"), G, [0.5, 0.75, 0.9])
 
 
+@query("i9_detection_summary")
+def i9_summary(spark, d):
+    b = box(spark, d)
+    shifted = b.where("kind = 0").withColumn("x1", F.col("x1") + F.col("idx").cast("int") % 3).withColumn("confidence", F.round("confidence", 2))
+    truth, found = b.where("kind = 0"), materialise(shifted.union(shifted.withColumns({"idx": F.col("idx") + 100, "x2": F.col("x2") + 2, "confidence": F.col("confidence") / 2})))
+    after = found.join(det.nms_overlap(found, G, 0.5).select(G, "idx"), [G, "idx"], "left_semi")
+    told = ev.detection_summary(truth, found, G).withColumnRenamed("value", "before").join(ev.detection_summary(truth, after, G).withColumnRenamed("value", "after"), "metric")
+    return told.select("metric", *(F.round(c, 6).alias(c) for c in ("before", "after")))
+
+
 @query("i10_smooth", """with s as (select event_type, event_id, value, row_number() over (partition by event_type order by event_id) as r from events),
   l as (select a.event_type, a.event_id, list(b.value order by b.value) as v from s a join s b on b.event_type = a.event_type and b.r between a.r - 19 and a.r group by all)
-  select event_type, event_id, round(list_avg(v) + 1e-7, 4) as mean, round(v[-1] + 1e-7, 4) as most, round(v[(len(v) - 1) // 2 + 1] + 1e-7, 4) as median, round(avg(value) over (partition by event_type order by event_id rows unbounded preceding) + 1e-7, 4) as global_mean from l join s using (event_type, event_id)""")
+  select event_type, event_id, round(list_avg(v) + 1e-7, 4) as mean, round(v[-1] + 1e-7, 4) as most, round(v[(len(v) - 1) // 2 + 1] + 1e-7, 4) as median, round(value + 1e-7, 4) as last, round(avg(value) over (partition by event_type order by event_id rows unbounded preceding) + 1e-7, 4) as global_mean from l join s using (event_type, event_id)""")
 def i10(spark, d):
     out = ev.smooth(given(spark, d, "events"), "event_type", ["event_id"], "value")
-    return out.select("event_type", "event_id", *(F.round(F.col(c) + 1e-7, 4).alias(c) for c in ("mean", "most", "median", "global_mean")))
+    return out.select("event_type", "event_id", *(F.round(F.col(c) + 1e-7, 4).alias(c) for c in ("mean", "most", "median", "last", "global_mean")))
 
 
 @query("i11_reduce_metrics", "select event_type, round(avg(value), 6) as value from events group by event_type")

@@ -7,6 +7,7 @@ from figloom.plans.fixtures import ctes, derived, given
 from figloom.plans.registry import query
 
 HTML = ctes("html")
+FAM = ctes("fam")
 _LINKS = """l as (select page_id, string_split(link, '?page=search')[1] as link from (select page_id, unnest(regexp_extract_all(html, '<a [^>]*href="([^"]*)"', 1)) as link from pages))"""
 
 
@@ -14,6 +15,10 @@ def html(spark, d):
     return derived(spark, d, "html").withColumnRenamed("figure_id", "page_id")
 
 
+def family_pages(spark, d, family):
+    return derived(spark, d, "fam").select(F.col("figure_id").alias("page_id"), F.col(family).alias("html"))
+
+
 def families(spark):
     return spark.createDataFrame(pg.FAMILIES, pg.FAMILY_SCHEMA)
 
@@ -23,23 +28,36 @@ def b1(spark, d):
     return pg.expand_terms([given(spark, d, "part").select(F.col("p_type").alias("term")).distinct(), given(spark, d, "region").select(F.col("r_name").alias("place"))])
 
 
-@query("b2_search_urls", """select distinct f.family, concat(domain, path, replace(p_name, ' ', '+'), j, replace(p_type, ' ', '+'), s, 'date', tail) as url from part, (values
-  ('acs', 'https://pubs.acs.org', '/action/doSearch?AllField=', '+', '&sortBy=', ''), ('nature', 'https://www.nature.com', '/search?q="', '"%20"', '"&order=', '&page=1'),
-  ('rsc', 'https://pubs.rsc.org', '/en/results?searchtext=', '"%20"', '"&SortBy=', '&PageSize=1&tab=all')) f(family, domain, path, j, s, tail)""")
+_TEMPLATE = """(values ('acs', 'https://pubs.acs.org/action/doSearch?AllField="', '"+"', '"&publication=&accessType=allContent&Earliest=&pageSize=20&startPage=0&sortBy=', '"&publication=&openAccess=18&accessType=openAccess&Earliest=&pageSize=20&startPage=0&sortBy=', ''),
+  ('nature', 'https://www.nature.com/search?q="', '"%20"', '"&order=', '"&order=', '&page=1'),
+  ('rsc', 'https://pubs.rsc.org/en/results?searchtext=', '"%20"', '"&SortBy=', '"&SortBy=', '&PageSize=1&tab=all&fcategory=all&filter=all&Article%20Access=Open+Access')) f(family, head, j, s, o, tail)"""
+
+
+@query("b2_search_urls", f"""select distinct f.family, only_open, concat(head, replace(p_name, ' ', '+'), j, replace(p_type, ' ', '+'), case when only_open then o else s end, 'date', tail) as url
+  from part, {_TEMPLATE}, (values (true), (false)) w(only_open)""")
 def b2(spark, d):
     terms = given(spark, d, "part").select("p_name", "p_type").distinct().crossJoin(F.broadcast(families(spark).select("family")))
-    return pg.search_urls(terms, families(spark), ["p_name", "p_type"], "date").select("family", "url").distinct()
+    made = [pg.search_urls(terms, families(spark), ["p_name", "p_type"], "date", w).select("family", F.lit(w).alias("only_open"), "url") for w in (True, False)]
+    return made[0].union(made[1]).distinct()
 
 
-@query("b3_paginate", "select page_id, cast(p as bigint) as page, concat(string_split(url || '&page=1', '&page=')[1], '&page=', cast(p as varchar)) as page_url from (select *, unnest(generate_series(1, page_id % 4 + 1)) as p from pages)")
+@query("b3_paginate", f"""with u as (select page_id, family, concat(head, 'x', s, 'date', tail) as url, page_id % 4 + 1 as last, page_id % 90 as n from pages, {_TEMPLATE}),
+  p as (select *, unnest(generate_series(1, case when family = 'rsc' then 1 else last end)) as p from u)
+  select page_id, family, cast(p as bigint) as page, case family when 'nature' then concat(string_split(url, '&page=')[1], '&page=', cast(p as varchar)) when 'acs' then concat(string_split(url, '&startPage=')[1], '&startPage=', cast(p as varchar), '&pageSize=20')
+  else concat(string_split(url, '1&tab=all')[1], cast(n as varchar), '&tab=all&fcategory=all&filter=all&Article%20Access=Open+Access') end as page_url from p""")
 def b3(spark, d):
-    u = given(spark, d, "pages").select("page_id", F.concat("url", F.lit("&page=1")).alias("url"), F.lit(1).cast("long").alias("first"), (F.col("page_id") % 4 + 1).alias("last"))
-    return pg.paginate(u).select("page_id", "page", "page_url")
+    terms = given(spark, d, "pages").select("page_id", F.lit("x").alias("term")).crossJoin(F.broadcast(families(spark).select("family")))
+    last = F.when(F.col("family") == "rsc", F.lit(1)).otherwise(F.col("page_id") % 4 + 1).cast("long")
+    urls = pg.search_urls(terms, families(spark), ["term"], "date").withColumns({"first": F.lit(1).cast("long"), "last": last})
+    return pg.paginate(urls, F.col("family"), F.col("page_id") % 90).select("page_id", "family", "page", "page_url")
 
 
-@query("b4_page_info", f"{HTML} select figure_id as page_id, 1 as page, cast(figure_id % 4 + 1 as int) as total_pages, 12 as total_results from html")
+@query("b4_page_info", f"""{ctes("html", "fam")} select figure_id as page_id, 'nature' as family, 1 as page, cast(figure_id % 4 + 1 as int) as total_pages, 12 as total_results from html
+  union all select figure_id, 'acs', 0, cast(ceil(figure_id % 300 / 20.0) as int) - 1, cast(figure_id % 300 as int) from fam union all select figure_id, 'rsc', 1, 1, cast(case when figure_id % 4 = 0 then 0 else figure_id % 500 end as int) from fam""")
 def b4(spark, d):
-    return html(spark, d).select("page_id", *(c.alias(k) for k, c in pg.page_info(F.col("html"), "nature").items()))
+    pages = {"nature": html(spark, d), "acs": family_pages(spark, d, "acs"), "rsc": family_pages(spark, d, "rsc")}
+    told = [p.select("page_id", F.lit(k).alias("family"), *(c.alias(n) for n, c in pg.page_info(F.col("html"), k).items())) for k, p in pages.items()]
+    return told[0].union(told[1]).union(told[2])
 
 
 @query("b5_data_layer", HTML + r" select figure_id as page_id, regexp_extract(html, '\[(\{.*?\})\];', 1) as json from html")
@@ -63,7 +81,7 @@ def b8(spark, d):
     return pg.unvisited(pg.article_links(given(spark, d, "pages"), "/"), ledger).select("page_id", "key", "link")
 
 
-@query("b9_open_links", f"{HTML} select figure_id as page_id, concat('/articles/', cast(figure_id as varchar)) as link from html")
+@query("b9_open_links", f"{HTML} select figure_id as page_id, concat('/articles/', cast(figure_id as varchar)) as link from html where figure_id % 3 <> 0 union all select figure_id, concat('/articles/full/', cast(figure_id as varchar)) from html")
 def b9(spark, d):
     return pg.open_links(html(spark, d))
 
@@ -73,24 +91,35 @@ def b10(spark, d):
     return pg.cap_links(pg.article_links(given(spark, d, "pages"), "/en/"), 50)
 
 
-@query("b11_license", f"{HTML} select figure_id as page_id, figure_id % 2 = 0 as open, 'unknown' as license from html")
+@query("b11_license", f"""{ctes("html", "fam")} select figure_id as page_id, 'nature' as family, figure_id % 2 = 0 as open, 'unknown' as license from html
+  union all select figure_id, 'acs', figure_id % 3 <> 2, case figure_id % 3 when 0 then 'ACS AuthorChoice ' || cast(figure_id as varchar) when 1 then 'ACS Editors'' Choice ' || cast(figure_id as varchar) else 'unknown' end from fam""")
 def b11(spark, d):
-    return html(spark, d).select("page_id", *(c.alias(k) for k, c in pg.license_info(F.col("html")).items()))
+    told = [p.select("page_id", F.lit(k).alias("family"), *(c.alias(n) for n, c in pg.license_info(F.col("html"), k).items())) for k, p in (("nature", html(spark, d)), ("acs", family_pages(spark, d, "acs")))]
+    return told[0].union(told[1])
 
 
-@query("b12_figure_blocks", f"{HTML} select figure_id as page_id, cast(p as int) as pos, b[p + 1] as block from (select figure_id, b, unnest(range(len(b))) as p from (select figure_id, regexp_extract_all(html, '(?s)<figure.*?</figure>') as b from html))")
+@query("b12_figure_blocks", f"""{ctes("html", "fam")}, b as (select figure_id, 'nature' as family, regexp_extract_all(html, '(?s)<figure.*?</figure>') as b from html union all select figure_id, 'rsc', regexp_extract_all(rsc, '(?s)<div class="image_table">.*?</div>') from fam)
+  select figure_id as page_id, family, cast(p as int) as pos, b[p + 1] as block from (select *, unnest(range(len(b))) as p from b)""")
 def b12(spark, d):
-    return pg.figure_blocks(html(spark, d), "page_id")
+    found = [pg.figure_blocks(p, "page_id", k).withColumn("family", F.lit(k)) for k, p in (("nature", html(spark, d)), ("rsc", family_pages(spark, d, "rsc")))]
+    return found[0].union(found[1])
+
+
+def rsc_captions(spark, d):
+    return pg.captions(pg.figure_blocks(family_pages(spark, d, "rsc"), "page_id", "rsc"), "rsc")
 
 
-@query("b13_captions", """select page_id, caption from (select page_id, coalesce(list_aggregate(list_transform(regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1), lambda t: regexp_replace(t, '<[^>]*>', '', 'g')), 'string_agg', ''), '') as caption from pages) where caption <> ''""")
+@query("b13_captions", f"""{FAM} select page_id, 'nature' as family, caption from (select page_id, coalesce(list_aggregate(list_transform(regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1), lambda t: regexp_replace(t, '<[^>]*>', '', 'g')), 'string_agg', ''), '') as caption from pages) where caption <> ''
+  union all select figure_id, 'rsc', 'Fig. 1 ' || caption from cap""")
 def b13(spark, d):
-    return pg.captions(given(spark, d, "pages").withColumnRenamed("html", "block")).select("page_id", "caption")
+    plain = pg.captions(given(spark, d, "pages").withColumnRenamed("html", "block")).select("page_id", F.lit("nature").alias("family"), "caption")
+    return plain.union(rsc_captions(spark, d).select("page_id", F.lit("rsc"), "caption"))
 
 
-@query("b14_image_url", f"{HTML} select figure_id as page_id, concat('https://img.example.org/', cast(figure_id as varchar), '.jpg') as image_url from html")
+@query("b14_image_url", f"{HTML} select figure_id as page_id, 'nature' as family, concat('https://img.example.org/', cast(figure_id as varchar), '.jpg') as image_url from html union all select figure_id, 'rsc', concat('https://pubs.rsc.org/image/article/', cast(figure_id as varchar), '/large.gif') from cap")
 def b14(spark, d):
-    return pg.captions(pg.figure_blocks(html(spark, d), "page_id")).select("page_id", pg.image_url(F.col("block")).alias("image_url"))
+    plain = pg.captions(pg.figure_blocks(html(spark, d), "page_id")).select("page_id", F.lit("nature").alias("family"), pg.image_url(F.col("block")).alias("image_url"))
+    return plain.union(rsc_captions(spark, d).select("page_id", F.lit("rsc"), pg.image_url(F.col("block"), "https://pubs.rsc.org", "rsc")))
 
 
 @query("b15_number_figures", """select page_id, cast(row_number() over (partition by page_id order by p) as int) as figure_no, concat(cast(page_id as varchar), '_fig', cast(row_number() over (partition by page_id order by p) as varchar), '.jpg') as figure_name

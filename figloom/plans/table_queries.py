@@ -20,13 +20,13 @@ def joined(spark, d):
     return tables.assign_captions(derived(spark, d, "sub"), captions(spark, d), G)
 
 
-def figures(spark, d):
-    """The nested figures: sub with captions, sizes and bars; odd idx leave height and width to the box."""
+def flat(spark, d):
+    """figures, subfigures with captions, sizes, and bars; odd idx leave height and width to the box."""
     _, _, found = assigned(spark, d)
     _, _, matched = near(spark, d)
     read = scale.to_nm(lbl(spark, d)).select(G, F.col("idx").alias("label_idx"), "text", "label_confidence", "nm")
     bars = matched.join(found.select(G, F.col("in_idx").alias("line_idx"), "subfigure_idx"), [G, "line_idx"]).join(read, [G, "label_idx"], "left")
-    bars = bars.withColumn("label", F.when(F.col("label_idx").isNotNull(), F.struct("text", "label_confidence", "nm")))
+    bars = materialise(bars.withColumn("label", F.when(F.col("label_idx").isNotNull(), F.struct("text", "label_confidence", "nm"))))
     sub = scale.physical_size(joined(spark, d), bars, G)
     even = F.col("idx") % 2 == 0
     sub = sub.withColumn("height", F.when(even, (F.col("y2") - F.col("y1")).cast("double"))).withColumn("width", F.when(even, (F.col("x2") - F.col("x1")).cast("double")))
@@ -34,7 +34,12 @@ def figures(spark, d):
     head = sub.groupBy(G).agg(F.min("article_id").alias("article_id"), F.min("title").alias("title"), F.min("open").alias("open")).join(derived(spark, d, "cap"), G)
     name = F.concat(F.col("article_id").cast("string"), F.lit("_fig"), F.col(G).cast("string"), F.lit(".jpg"))
     head = head.select(G, F.col("article_id").cast("string").alias("article_name"), "title", "open", name.alias("figure_name"), F.col("caption").alias("full_caption"), F.lit("alpha").alias("caption_delimiter"), F.concat(F.lit("https://example.org/articles/"), F.col("article_id").cast("string")).alias("article_url"), F.lit("unknown").alias("license"), F.concat(F.lit("https://img.example.org/"), name).alias("image_url"), F.concat(F.lit("figures/"), name).alias("figure_path"))
-    return tables.group_objects(head, sub.drop("title", "open", "article_id", "ratio"), bars, G)
+    return head, sub.drop("title", "open", "article_id", "ratio"), bars
+
+
+def figures(spark, d):
+    """The nested figures."""
+    return tables.group_objects(*flat(spark, d), G)
 
 
 _BARS = f"""{_ASSIGN}, {ctes("lbl", "ent", "sub", "cap").removeprefix("with ").replace(ctes("box").removeprefix("with ") + ",", "")}, {_NEAR.split("group by l_orderkey, l_linenumber),", 1)[1]},
@@ -80,17 +85,18 @@ def g3(spark, d):
 
 @query("g4_article_table", f"{_BARS} select * from article")
 def g4(spark, d):
-    return tables.article_table(figures(spark, d))
+    return tables.article_table(flat(spark, d)[0])
 
 
 @query("g5_figure_table", f"{_BARS} select * from figure")
 def g5(spark, d):
-    return tables.figure_table(figures(spark, d))
+    return tables.figure_table(flat(spark, d)[0])
 
 
 @query("g6_subfigure_table", f"{_BARS} select {_T} from subfigure")
 def g6(spark, d):
-    return tables.subfigure_table(figures(spark, d))
+    head, sub, _ = flat(spark, d)
+    return tables.subfigure_table(tables.images_of(head, sub, G))
 
 
 @query("g7_subfigure_label_table", f"{_BARS} select label as text, x1, y1, x1 + 9 as x2, y1 + 9 as y2, sid as subfigure_id from j where label <> 'z'")
@@ -154,8 +160,9 @@ def g16(spark, d):
 
 
 def result_tables(spark, d):
-    f = materialise(figures(spark, d))
-    return search.Tables(tables.article_table(f), tables.figure_table(f), tables.subfigure_table(f), tables.scale_bar_table(f), tables.scale_label_table(f))
+    head, sub, bars = flat(spark, d)
+    images, lines = tables.images_of(head, sub, G), tables.bars_of(head, sub, bars, G)
+    return search.Tables(tables.article_table(head), tables.figure_table(head), tables.subfigure_table(images), tables.scale_bar_table(lines), tables.scale_label_table(lines))
 
 
 @query("h1_by_class", f"{_BARS} select subfigure_id from subfigure where classification_code in ('MC', 'GR')")
@@ -198,13 +205,13 @@ def h6(spark, d):
 
 @query("h7_page", f"{_BARS} select s.sid as subfigure_id, p.n, p.pages from (select sid from j order by sid limit 20 offset 40) s, (select count(*) as n, cast(ceil(count(*) / 20.0) as bigint) as pages from j) p")
 def h7(spark, d):
-    s = tables.subfigure_table(figures(spark, d)).select("subfigure_id")
+    s = result_tables(spark, d).subfigure.select("subfigure_id")
     return search.page_of(s, "subfigure_id", 20, 3).join(F.broadcast(search.page_count(s, 20)))
 
 
 @query("h8_grid_columns", f"{_BARS} select sid as subfigure_id, cast((row_number() over (order by sid) - 1) % 3 as int) as grid_column from (select sid from j order by sid limit 30)")
 def h8(spark, d):
-    s = tables.subfigure_table(figures(spark, d)).select("subfigure_id")
+    s = result_tables(spark, d).subfigure.select("subfigure_id")
     return search.grid_columns(search.page_of(s, "subfigure_id", 30, 1), "subfigure_id", 3)
 
 

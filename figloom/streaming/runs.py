@@ -18,17 +18,13 @@ def _is_file(spark: SparkSession, path: str) -> bool:
 
 
 def stream_run(schema: T.StructType, spark: SparkSession, source: str, stage, sink: str, checkpoint: str, key: str, per_trigger: int = 4) -> DataFrame:
-    """What the stage makes of all files that have come, appended under `sink` with each key once; restartable."""
+    """What the stage makes of all files that have come, appended under `sink` with each key once; restartable.
 
-    def write(batch: DataFrame, number: int) -> None:
-        new = stage(batch).dropDuplicates([key])
-        if number:
-            new = new.join(spark.read.schema(new.schema).parquet(f"{sink}/batch=*").select(key), key, "left_anti")
-        new.write.mode("overwrite").parquet(f"{sink}/batch={number}")
-
-    run = _stream(schema, spark, source, per_trigger).writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    The keys seen are the stream's state, so a run of new files reads nothing of what was written before."""
+    new = stage(_stream(schema, spark, source, per_trigger)).dropDuplicates([key])
+    run = new.writeStream.format("parquet").option("path", sink).option("checkpointLocation", checkpoint).outputMode("append").trigger(availableNow=True).start()
     run.awaitTermination()
-    return spark.read.parquet(sink).drop("batch")
+    return spark.read.schema(new.schema).parquet(sink)
 
 
 def stream_distinct(schema: T.StructType, spark: SparkSession, source: str, keys: list[str], sink: str, checkpoint: str, per_trigger: int = 4) -> DataFrame:
