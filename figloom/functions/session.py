@@ -18,6 +18,13 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+def small_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Hand Python this many rows at a time at most: texts are long, and so a task's memory stays bounded."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, rows)
+
+
 def materialise(df: DataFrame) -> DataFrame:
     """Write df as Parquet to the shared folder and read it back: later steps survive lost executors and start from the files."""
     spark = df.sparkSession
