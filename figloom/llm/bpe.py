@@ -192,17 +192,17 @@ def _merge_rows(pieces: list[bytes], sizes: np.ndarray, shift: int, pairs: Pairs
 class Codec:
     """Encoder and decoder of one vocabulary; remembers about `remember` short pieces and those of one call."""
 
-    def __init__(self, table: bytes, pattern: str, remember: int = 300_000):
+    def __init__(self, table: bytes, pattern: str, remember: int = 200_000):
         self.ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, table.splitlines()) if a}
         self.bytes_of = {v: k for k, v in self.ranks.items()}
+        self.bytes_told = {str(v): k for v, k in self.bytes_of.items()}
         self.find = regex.compile(pattern).findall
         self.pairs = Pairs(self.ranks)
         self.remember = remember
         self.ids: dict[str, str] = {}
-        self.back: dict[str, bytes] = {}
 
     def _learn(self, wanted: set[str]) -> None:
-        """Adds the pieces' ids, joined by spaces, and what these decode to."""
+        """Adds the pieces' ids, joined by spaces."""
         short, found = {}, {}
         for p in wanted:
             raw = p.encode()
@@ -215,42 +215,46 @@ class Codec:
         found.update(zip(short, (x.tolist() for x in merge_many(list(short.values()), self.pairs)), strict=True))
         for p, ids in found.items():
             self.ids[p] = " ".join(map(str, ids))
-            self.back[p] = self.decode(ids)
 
-    def coded(self, texts: list[str]) -> list[tuple[str, bytes]]:
-        """Of each text: its ids joined by spaces, and what they decode to."""
+    def coded(self, texts: list[str]) -> list[str]:
+        """Of each text its ids, joined by spaces."""
         found = [self.find(t) for t in texts]
         wanted = set().union(*found).difference(self.ids)
         self._learn(wanted)
-        ids, back = self.ids.__getitem__, self.back.__getitem__
-        out = [(" ".join(map(ids, f)), b"".join(map(back, f))) for f in found]
+        get = self.ids.__getitem__
+        out = [" ".join(map(get, f)) for f in found]
         if len(self.ids) > self.remember:
-            self.ids, self.back = {}, {}
+            self.ids = {}
         else:
             for p in wanted:
                 if len(p) > SHORT:
-                    del self.ids[p], self.back[p]
+                    del self.ids[p]
         return out
 
     def encode(self, text: str) -> list[int]:
         return self.encode_all([text])[0]
 
     def encode_all(self, texts: list[str]) -> list[list[int]]:
-        return [list(map(int, ids.split())) for ids, _ in self.coded(texts)]
+        return [list(map(int, ids.split())) for ids in self.coded(texts)]
 
     def decode(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
+    def decode_told(self, ids: str) -> bytes:
+        """The same of ids joined by spaces."""
+        return b"".join(map(self.bytes_told.__getitem__, ids.split()))
 
-def _together(texts: list[str], most: int = TEXTS):
-    """The texts in runs of up to `most` characters, a longer one by itself."""
+
+def _together(column: pa.Array, most: int = TEXTS):
+    """The column's texts in runs of up to `most` characters, a longer one by itself; nulls are empty."""
     run, size = [], 0
-    for t in texts:
-        if run and size + len(t) > most:
-            yield run
-            run, size = [], 0
-        run.append(t)
-        size += len(t)
+    for lo in range(0, len(column), 64):
+        for t in column.slice(lo, 64).to_pylist():
+            if run and size + len(t or "") > most:
+                yield run
+                run, size = [], 0
+            run.append(t or "")
+            size += len(t or "")
     if run:
         yield run
 
@@ -277,7 +281,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
 
     def rows(codec, batch):
         at = 0
-        for texts in _together([t or "" for t in batch.column(1).to_pylist()]):
+        for texts in _together(batch.column(1)):
             ids = pa.array(codec.encode_all(texts), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), ids], [id_col, "ids"])
             at += len(texts)
@@ -301,11 +305,11 @@ def digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
 
     def rows(codec, batch):
         at = 0
-        for texts in _together([t or "" for t in batch.column(1).to_pylist()]):
+        for texts in _together(batch.column(1)):
             found = codec.coded(texts)
-            n = [ids.count(" ") + bool(ids) for ids, _ in found]
-            ids = [hashlib.sha256(ids.encode()).hexdigest() for ids, _ in found]
-            back = [hashlib.sha256(raw).hexdigest() for _, raw in found]
+            n = [ids.count(" ") + bool(ids) for ids in found]
+            back = [hashlib.sha256(codec.decode_told(ids)).hexdigest() for ids in found]
+            ids = [hashlib.sha256(ids.encode()).hexdigest() for ids in found]
             yield pa.RecordBatch.from_arrays([batch.column(0).slice(at, len(texts)), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
             at += len(texts)
 

@@ -3,6 +3,7 @@
 import public_tokenizers
 from pyspark.sql import functions as F
 
+from figloom.functions.session import small_batches
 from figloom.llm import bpe, chat, decontaminate, jaccard, langid, lm, rules, substrings, toxicity, urlfilter
 from figloom.llm.folds import fold
 
@@ -10,6 +11,7 @@ TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
 def table(spark, sf_dir: str, name: str):
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
