@@ -117,12 +117,15 @@ def segments(at: np.ndarray, gains: np.ndarray, quiet: float = QUIET) -> list[tu
 
 
 def _passages(docs: DataFrame, model: Model, columns: list, schema: str, rows):
+    """mapInArrow of rows() over the columns and the text, which comes last where it isn't among them."""
     shared = docs.sparkSession.sparkContext.broadcast((model.terms, model.weights))
+    names = [*columns] if "text" in columns else [*columns, "text"]
+    place = names.index("text")
 
     def run(batches):
         known, weights = shared.value
         for batch in batches:
-            for lo, hi, starts, stops, begin, terms in _terms(batch.column(batch.num_columns - 1)):
+            for lo, hi, starts, stops, begin, terms in _terms(batch.column(place)):
                 where = np.searchsorted(known, terms)
                 where[where == len(known)] = 0
                 hit = np.flatnonzero(known[where] == terms) if len(known) else np.zeros(0, np.int64)
@@ -130,7 +133,7 @@ def _passages(docs: DataFrame, model: Model, columns: list, schema: str, rows):
                 found = [segments(hit[a:b] - first, gains[a:b]) for a, b, first in zip(cut[:-1], cut[1:], begin[:-1], strict=True)]
                 yield rows(batch.slice(lo, hi - lo), found, np.diff(begin), starts, stops, begin)
 
-    return docs.select(*columns).mapInArrow(run, schema)
+    return docs.select(*names).mapInArrow(run, schema)
 
 
 def best_sums(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
@@ -138,10 +141,10 @@ def best_sums(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
 
     def rows(part, found, n, *_):
         best = [max([s for s, _, _ in x], default=0.0) for x in found]
-        return pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(best, pa.float64())], [*columns, "n_terms", "best"])
+        return pa.RecordBatch.from_arrays([*part.columns[: len(columns)], pa.array(n, pa.int64()), pa.array(best, pa.float64())], [*columns, "n_terms", "best"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return _passages(docs, model, [*columns, "text"], f"{kinds}, n_terms long, best double", rows)
+    return _passages(docs, model, columns, f"{kinds}, n_terms long, best double", rows)
 
 
 def evidence(model: Model, sums: list[float], n_terms: int) -> float:
@@ -159,10 +162,10 @@ def score(docs: DataFrame, model: Model, columns: list[str]) -> DataFrame:
     def rows(part, found, n, *_):
         e = np.array([evidence(model, [s for s, _, _ in x], k) for x, k in zip(found, n, strict=True)])
         p = 1 / (1 + np.exp(-(model.slope * e + model.shift)))
-        return pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(n, pa.int64()), pa.array(e), pa.array(p)], [*columns, "n_terms", "evidence", "score"])
+        return pa.RecordBatch.from_arrays([*part.columns[: len(columns)], pa.array(n, pa.int64()), pa.array(e), pa.array(p)], [*columns, "n_terms", "evidence", "score"])
 
     kinds = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in columns)
-    return _passages(docs, model, [*columns, "text"], f"{kinds}, n_terms long, evidence double, score double", rows)
+    return _passages(docs, model, columns, f"{kinds}, n_terms long, evidence double, score double", rows)
 
 
 def passages(docs: DataFrame, model: Model, least: float = 3.0) -> DataFrame:
@@ -178,7 +181,7 @@ def passages(docs: DataFrame, model: Model, least: float = 3.0) -> DataFrame:
         ids, a, b, e = zip(*out, strict=True) if out else ((), (), (), ())
         return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(e, pa.float64())], ["doc_id", "passage_start", "passage_end", "significance"])
 
-    return _passages(docs, model, [F.col("doc_id").cast("long").alias("doc_id"), "text"], "doc_id long, passage_start long, passage_end long, significance double", rows)
+    return _passages(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), model, ["doc_id", "text"], "doc_id long, passage_start long, passage_end long, significance double", rows)
 
 
 def _logistic(x: np.ndarray, n1: np.ndarray, n0: np.ndarray) -> tuple[float, float]:
