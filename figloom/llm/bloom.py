@@ -32,9 +32,11 @@ def build(keys: DataFrame, hashed: Column, filter_bytes: int) -> np.ndarray:
                 yield pa.RecordBatch.from_arrays([pa.array(block[first]), *(pa.array(np.ascontiguousarray(words[:, k])) for k in range(WORDS))], ["block", *(f"w{k}" for k in range(WORDS))])
 
     some = keys.select(hashed.alias("h")).mapInArrow(partial, schema)
-    found = some.groupBy("block").agg(*(F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS))).toPandas()
+    found = some.groupBy("block").agg(*(F.bit_or(f"w{k}").alias(f"w{k}") for k in range(WORDS))).toArrow()
     out = np.zeros((blocks, WORDS), np.uint64)
-    out[found["block"].to_numpy(np.int64)] = found[[f"w{k}" for k in range(WORDS)]].to_numpy(np.int64).view(np.uint64)
+    for batch in found.to_batches():
+        for k in range(WORDS):
+            out[batch.column(0).to_numpy(), k] = batch.column(k + 1).to_numpy().view(np.uint64)
     return out
 
 

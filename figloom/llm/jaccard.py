@@ -197,6 +197,10 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int)
 
 
 def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
+    """pairs (u, v, ...; written or small) with n_u, s_u, n_v, s_v; where few nodes are asked for, only their sets travel."""
+    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
+    if nodes.count() <= BROADCAST:
+        sets = sets.join(F.broadcast(nodes), "node", "left_semi")
     a, b = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col(column).alias(f"s_{k}")) for k in "uv")
     return pairs.join(a, "u").join(b, "v")
 
@@ -205,11 +209,12 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """u, v of the pairs that link: bitmaps first, then intersections."""
     differ = F.aggregate(F.zip_with("s_u", "s_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
     may = _sides(pairs, sets, "bitmap").where((100 + percent) * differ <= (100 - percent) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
+    may = materialise(may)
     both = _sides(may, sets, "shingles").withColumn("i", F.size(F.array_intersect("s_u", "s_v")))
     return both.where(100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))).select("u", "v")
 
 
-def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int = 1_000_000, filter_bytes: int = 1 << 25) -> DataFrame:
+def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int = 1_000_000, filter_bytes: int = 1 << 24) -> DataFrame:
     """doc_id, n_shingles, class_id (least doc_id with an equal set), component_id (least doc_id reachable by links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     whole = materialise(document_sets(docs, words, percent))
@@ -242,7 +247,7 @@ def _component_of(docs, members, words, percent, broadcast_ids):
         else:
             near = _differences(materialise(_by_hub(large, star) if first else _by_bucket(large, star)), percent)
             comps = _joined(comps, near.where("direct and u != hub").select("u", F.col("hub").alias("v")))
-            fresh = materialise(_next_buckets(near, comps, percent))
+            fresh = _next_buckets(near, comps, percent)
             discard(near)
             pairs = pairs.union(_pairs_within(fresh.where("not cross"))).union(_pairs_across(fresh.where("cross"))).distinct()
             buckets = fresh.where(F.col("pairs") > 2 * SMALL_BUCKET)
@@ -270,12 +275,15 @@ def _unsettled(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
 
 
 def _star(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """u, v, n_u, n_v, links, d of each class u and hub v that share a bucket: d is what only one of them has, given where
-    a bucket is large."""
-    pairs = buckets.where("node != hub").groupBy(F.col("node").alias("u"), F.col("hub").alias("v")).agg(F.max("size").alias("size"))
-    both = _sides(pairs, sets, "shingles").withColumn("d", F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")))
+    """u, v, n_u, n_v, links, d of classes u and hubs v that share a bucket: of all in large buckets, where d is what only
+    one of the two has; of those in small ones that link, without d."""
+    pairs = materialise(buckets.where("node != hub").groupBy(F.col("node").alias("u"), F.col("hub").alias("v")).agg(F.max("size").alias("size")))
+    both = _sides(pairs.where(F.col("size") > 2 * SMALL_BUCKET), sets, "shingles").withColumn("d", F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")))
     links = (100 + percent) * F.size("d") <= (100 - percent) * (F.col("n_u") + F.col("n_v"))
-    return both.select("u", "v", "n_u", "n_v", links.alias("links"), F.when(F.col("size") > 2 * SMALL_BUCKET, F.col("d")).alias("d"))
+    large = both.select("u", "v", "n_u", "n_v", links.alias("links"), "d")
+    small = linked_pairs(pairs.where(F.col("size") <= 2 * SMALL_BUCKET).select("u", "v"), sets, percent)
+    none = F.lit(None)
+    return large.union(small.select("u", "v", none.cast("long"), none.cast("long"), F.lit(True), none.cast("array<bigint>")))
 
 
 def _pairs_within(rows: DataFrame) -> DataFrame:
@@ -342,11 +350,17 @@ def _next_buckets(near: DataFrame, comps: DataFrame | None, percent: int) -> Dat
 
     # Classes apart weigh at least 1 - least, as they don't link with the hub; any class weighs at least `least`.
     rows = rows.withColumn("narrow", prefix(1 - F.col("least"))).withColumn("wide", F.when(F.col("apart"), prefix(F.col("least"))).otherwise(F.col("narrow")))
-    rows = rows.where("wide > 0").select("v", "u", "n", "comp", "apart", "narrow", "wide", F.explode("d").alias("g"))
-    counts = rows.groupBy("v", "g").agg(F.count("*").alias("c")).where("c > 1")
-    ranked = rows.join(counts, ["v", "g"], "left").withColumn("r", F.row_number().over(Window.partitionBy("v", "u").orderBy(F.coalesce("c", F.lit(1)), "g"))).where("c > 1 and r <= wide")
+    rows = materialise(rows.where("wide > 0").select("v", "u", "n", "comp", "apart", "k", "narrow", "wide", "d"))
+    elements = rows.select("v", "u", F.explode("d").alias("g"))
+    counts = elements.groupBy("v", "g").agg(F.count("*").alias("c")).where("c > 1")
+    # Elements of one class alone are the rarest and meet nobody, so they only move the ranks of the others.
+    own = Window.partitionBy("v", "u")
+    shared = elements.join(counts, ["v", "g"]).join(rows.drop("d"), ["v", "u"])
+    ranked = shared.withColumn("r", F.col("k") - F.count("*").over(own) + F.row_number().over(own.orderBy("c", "g"))).where("r <= wide")
     kinds = F.filter(F.array(F.lit(True), F.when(F.col("apart") & (F.col("r") <= F.col("narrow")), F.lit(False))), lambda x: x.isNotNull())
     held = materialise(ranked.select(F.col("u").alias("node"), "n", "comp", "apart", "v", "g", F.explode(kinds).alias("cross")).select(F.xxhash64("v", "g", "cross").alias("sig"), "node", "n", "comp", "apart", "cross"))
     sizes = held.groupBy("sig").agg(F.count_if("apart").alias("x"), F.count_if(~F.col("apart")).alias("y"), (F.min("comp") < F.max("comp")).alias("open"), F.any_value("cross").alias("_c"))
     sizes = sizes.where("open and (not _c or x > 0 and y > 0)").select("sig", F.when(F.col("_c"), 2 * F.least("x", "y")).otherwise(F.col("x") - 1).alias("pairs"))
-    return held.join(sizes, "sig")
+    out = materialise(held.join(sizes, "sig"))
+    discard(rows, held)
+    return out
