@@ -37,9 +37,7 @@ EDGE = SIZE
 SIDES = (-2, -1, 1, 2)
 WIDTH, HIDDEN = 16, 32
 #: Places that are scored at a time, and that make one step of training.
-BATCH, STEP = 4096, 512
-#: Rows that are multiplied at a time with the terms of one class.
-ROWS = 16
+BATCH, STEP = 4096, 2048
 #: Counts that are broadcast for scoring.
 TABLE = 1 << 20
 SHAPES = {"embed": (SIZE + 1, WIDTH), "inner": (len(SIDES) * WIDTH, HIDDEN), "bias": (HIDDEN,), "group": (HIDDEN, CLASSES), "group_bias": (CLASSES,), "term": (CLASSES, HIDDEN, CLASSES), "term_bias": (CLASSES, CLASSES)}
@@ -116,18 +114,19 @@ def _forward(net, around):
     return seen, hidden, _log_softmax(hidden @ net["group"] + net["group_bias"])
 
 
-def _by_class(group: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """An order of rows by class, their slots in chunks of ROWS rows of one class, and the class of each chunk."""
-    order, n = np.argsort(group, kind="stable"), np.bincount(group, minlength=CLASSES)
-    chunks = -(-n // ROWS)
-    slots = np.arange(len(group)) + np.repeat((np.cumsum(chunks) - chunks) * ROWS - (np.cumsum(n) - n), n)
-    return order, slots, np.repeat(np.arange(CLASSES), chunks)
+def _by_class(group: np.ndarray) -> tuple[np.ndarray, list[tuple[int, slice]]]:
+    """An order of rows by class, and of each class that occurs its rows in it."""
+    order, ends = np.argsort(group.astype(np.int16), kind="stable"), np.cumsum(np.bincount(group, minlength=CLASSES)).tolist()
+    return order, [(c, slice(a, b)) for c, (a, b) in enumerate(zip([0, *ends], ends, strict=False)) if a < b]
 
 
-def _chunked(rows: np.ndarray, slots: np.ndarray, chunks: int) -> np.ndarray:
-    out = np.zeros((chunks * ROWS, rows.shape[1]), rows.dtype)
-    out[slots] = rows
-    return out.reshape(chunks, ROWS, -1)
+def _inside_class(net, rows: np.ndarray, classes: list[tuple[int, slice]]) -> np.ndarray:
+    """Log-probabilities of the terms of each row's class; rows are in order of classes."""
+    out = np.empty((len(rows), CLASSES), rows.dtype)
+    for c, part in classes:
+        np.matmul(rows[part], net["term"][c], out=out[part])
+        out[part] += net["term_bias"][c]
+    return _log_softmax(out)
 
 
 def log_probabilities(net: dict[str, np.ndarray], around: np.ndarray, ids: np.ndarray) -> np.ndarray:
@@ -135,9 +134,8 @@ def log_probabilities(net: dict[str, np.ndarray], around: np.ndarray, ids: np.nd
     _, hidden, groups = _forward(net, around)
     group, term = ids // CLASSES, ids % CLASSES
     out = groups[np.arange(len(ids)), group]
-    order, slots, of = _by_class(group)
-    x = (_chunked(hidden[order], slots, len(of)) @ net["term"][of] + net["term_bias"][of][:, None]).reshape(-1, CLASSES)[slots]
-    out[order] += _log_softmax(x)[np.arange(len(ids)), term[order]]
+    order, classes = _by_class(group)
+    out[order] += _inside_class(net, hidden[order], classes)[np.arange(len(ids)), term[order]]
     return out
 
 
@@ -151,21 +149,19 @@ def gradients(net: dict[str, np.ndarray], around: np.ndarray, ids: np.ndarray) -
     d[np.arange(n), group] += 1
     back = d @ net["group"].T
     out["group"], out["group_bias"] = hidden.T @ d, d.sum(0)
-    order, slots, of = _by_class(group)
-    parts, weights = _chunked(hidden[order], slots, len(of)), net["term"][of]
-    d = -np.exp(_log_softmax((parts @ weights + net["term_bias"][of][:, None]).reshape(-1, CLASSES)[slots]))
+    order, classes = _by_class(group)
+    rows = hidden[order]
+    d = -np.exp(_inside_class(net, rows, classes))
     d[np.arange(n), term[order]] += 1
-    d = _chunked(d, slots, len(of))
-    back[order] += (d @ weights.transpose(0, 2, 1)).reshape(-1, HIDDEN)[slots]
-    first = np.flatnonzero(np.diff(of, prepend=-1))
-    out["term"][of[first]] = np.add.reduceat(parts.transpose(0, 2, 1) @ d, first, axis=0)
-    out["term_bias"][of[first]] = np.add.reduceat(d.sum(1), first, axis=0)
+    inner = np.empty_like(rows)
+    for c, part in classes:
+        np.matmul(d[part], net["term"][c].T, out=inner[part])
+        out["term"][c], out["term_bias"][c] = rows[part].T @ d[part], d[part].sum(0)
+    back[order] += inner
     back *= 1 - hidden**2
     out["inner"], out["bias"] = seen.T @ back, back.sum(0)
-    order = np.argsort(around.ravel(), kind="stable")
-    seen_ids = around.ravel()[order]
-    first = np.flatnonzero(np.diff(seen_ids, prepend=-1))
-    out["embed"][seen_ids[first]] = np.add.reduceat((back @ net["inner"].T).reshape(n * len(SIDES), WIDTH)[order], first, axis=0)
+    slopes = np.ascontiguousarray((back @ net["inner"].T).reshape(n * len(SIDES), WIDTH).T)
+    out["embed"] = np.stack([np.bincount(around.ravel(), x, SIZE + 1) for x in slopes], 1).astype(np.float32)
     return {k: x / n for k, x in out.items()}
 
 
@@ -183,7 +179,7 @@ def masked_places(terms: np.ndarray, rows: np.ndarray, number: int, rounds: int,
     return np.flatnonzero(mix(terms + inside, 70) - np.uint64(number * width % 2**64) <= np.uint64(width - 1))
 
 
-def train(docs: DataFrame, words: np.ndarray, rounds: int = 2, masked: float = 0.15, rate: float = 0.05) -> dict[str, np.ndarray]:
+def train(docs: DataFrame, words: np.ndarray, rounds: int = 2, masked: float = 0.15, rate: float = 0.1) -> dict[str, np.ndarray]:
     """The network after `rounds` passes over all texts; words as vocabulary() gives them."""
     order = np.argsort(words)
     sc = docs.sparkSession.sparkContext
