@@ -42,3 +42,8 @@ def discard(*tables: DataFrame | None) -> None:
             jvm, conf = df.sparkSession._jvm, df.sparkSession._jsc.hadoopConfiguration()
             folder = jvm.org.apache.hadoop.fs.Path(path)
             folder.getFileSystem(conf).delete(folder, True)
+
+
+def release(spark: SparkSession) -> None:
+    """Have the driver collect its garbage, upon which Spark deletes the shuffle files of steps that are over."""
+    spark._jvm.System.gc()
