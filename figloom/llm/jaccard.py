@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from figloom.functions.session import discard, materialise
+from figloom.functions.session import discard, materialise, release
 from figloom.llm import bloom
 from figloom.llm.components import components
 from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_hashes, word_spans
@@ -218,10 +218,12 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int
     """doc_id, n_shingles, class_id (least doc_id with an equal set), component_id (least doc_id reachable by links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     whole = materialise(document_sets(docs, words, percent))
-    sized = whole.drop("sigs")
+    sized = materialise(whole.drop("sigs"))
     classes = sized.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     nodes = classes.select("d1", "node", "n").where("node is not null")
     members = materialise(shared_signatures(whole, filter_bytes).join(nodes, "d1").select("sig", "node", "n").distinct())
+    discard(whole)
+    release(docs.sparkSession)
     comps = _component_of(docs, members, words, percent, broadcast_ids)
     discard(members)
     out = sized.join(classes.withColumnRenamed("node", "class_id"), ["n", "d1", "d2"], "left")
@@ -237,6 +239,7 @@ def _component_of(docs, members, words, percent, broadcast_ids):
         if sets is None:
             sets = materialise(_sets_of(docs, buckets.select("node").distinct(), words, broadcast_ids))
         star = materialise(_star(buckets, sets, percent))
+        release(docs.sparkSession)
         comps = _joined(comps, star.where("links").select("u", "v"))
         left = materialise(_unsettled(buckets.select("sig", "node", "n"), comps))
         discard(buckets)
@@ -245,7 +248,7 @@ def _component_of(docs, members, words, percent, broadcast_ids):
         if large.isEmpty():
             buckets = large
         else:
-            near = _differences(materialise(_by_hub(large, star) if first else _by_bucket(large, star)), percent)
+            near = _differences(_by_hub(large, star) if first else _by_bucket(large, star), percent)
             comps = _joined(comps, near.where("direct and u != hub").select("u", F.col("hub").alias("v")))
             fresh = _next_buckets(near, comps, percent)
             discard(near)
@@ -255,6 +258,7 @@ def _component_of(docs, members, words, percent, broadcast_ids):
         comps = _joined(comps, linked_pairs(pairs, sets, percent))
         buckets, first = materialise(_unsettled(buckets.select("sig", "node", "n"), comps)), False
         discard(left, star, pairs)
+        release(docs.sparkSession)
     discard(sets)
     return comps
 
@@ -320,7 +324,7 @@ def _few(df: DataFrame, count: int) -> DataFrame:
 
 def _differences(rows: DataFrame, percent: int) -> DataFrame:
     """v, u, n, weight, d, least (of all weights of a v), hub (whose weight that is), direct: each class's difference from
-    the consensus of the classes of one v. rows (v, u, n, d) are discarded."""
+    the consensus of the classes of one v, of rows (v, u, n, d)."""
     total = rows.groupBy("v").agg(F.count("*").alias("total"))
     counts = rows.select("v", F.explode("d").alias("g")).groupBy("v", "g").agg(F.count("*").alias("c"))
     common = materialise(counts.join(total, "v").where("2 * c > total").groupBy("v").agg(F.collect_list("g").alias("m")))
@@ -329,7 +333,7 @@ def _differences(rows: DataFrame, percent: int) -> DataFrame:
     both = materialise(both.withColumn("weight", (100 + percent) * F.size("d").cast("long") - (100 - percent) * F.col("n")))
     least = materialise(both.groupBy("v").agg(F.min(F.struct("weight", "u")).alias("h")).select("v", F.col("h.weight").alias("least"), F.col("h.u").alias("hub")))
     out = materialise(both.join(_few(least, least.count()), "v").withColumn("direct", F.col("weight") + F.col("least") <= 0))
-    discard(rows, common, both, least)
+    discard(common, both, least)
     return out
 
 
