@@ -137,17 +137,29 @@ def subfigure_labels(spans: DataFrame, key: str) -> DataFrame:
     return spans.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "span"))), lambda x: x["span"]).alias("labels"))
 
 
+def _let(value: Column, body) -> Column:
+    """body of the value, which is computed once however often body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def repair_semicolons(text: Column, trigger: str, stop: str) -> Column:
     """Where semicolons part the text more often than full stops do, those behind the parts from the one with the trigger to
     the last with the stop (the end, where none has it) become commas, and those behind parts that read the same; without
     a trigger, those behind parts that read as the last does (C16)."""
-    parts = F.split(text, "; ")
-    semis, stops = F.size(parts) - 1, F.size(F.split(text, r"\. ")) - 1
-    first = F.array_position(F.transform(parts, lambda p: F.contains(p, F.lit(trigger))), True).cast("int")
-    last = F.coalesce(F.array_max(F.transform(parts, lambda p, i: F.when(F.contains(p, F.lit(stop)) & (i + 1 >= first), i + 1))), F.size(parts))
-    within = F.when(first > 0, F.slice(parts, F.greatest(first, F.lit(1)), last - first + 1)).otherwise(F.slice(parts, -1, 1))
-    glued = F.transform(parts, lambda p, i: F.concat(p, F.when(i + 1 == F.size(parts), F.lit("")).when(F.array_contains(within, p), F.lit(", ")).otherwise(F.lit("; "))))
-    return F.when(semis > stops, F.array_join(glued, "")).otherwise(text)
+
+    def glued(t: Column, parts: Column, within: Column) -> Column:
+        ends = F.transform(parts, lambda p, i: F.concat(p, F.when(i + 1 == F.size(parts), F.lit("")).when(F.array_contains(within, p), F.lit(", ")).otherwise(F.lit("; "))))
+        return F.when(F.size(parts) > F.size(F.split(t, r"\. ")), F.array_join(ends, "")).otherwise(t)
+
+    def between(parts: Column, first: Column) -> Column:
+        last = F.coalesce(F.array_max(F.transform(parts, lambda p, i: F.when(F.contains(p, F.lit(stop)) & (i + 1 >= first), i + 1))), F.size(parts))
+        return F.when(first > 0, F.slice(parts, F.greatest(first, F.lit(1)), last - first + 1)).otherwise(F.slice(parts, -1, 1))
+
+    def cut(t: Column, parts: Column) -> Column:
+        first = F.array_position(F.transform(parts, lambda p: F.contains(p, F.lit(trigger))), True).cast("int")
+        return _let(_let(first, lambda k: between(parts, k)), lambda within: glued(t, parts, within))
+
+    return _let(text, lambda t: _let(F.split(t, "; "), lambda parts: cut(t, parts)))
 
 
 # Sequences that are written otherwise before a caption is read.
