@@ -1,10 +1,10 @@
-"""The registered queries of the ten operators, each over its whole table with production parameters."""
+"""The registered queries of the operators, each over its whole table with production parameters."""
 
 import public_tokenizers
 from pyspark.sql import functions as F
 
 from figloom.functions.session import small_batches
-from figloom.llm import bpe, chat, decontaminate, jaccard, langid, lm, rules, substrings, toxicity, urlfilter
+from figloom.llm import bpe, chat, decontaminate, jaccard, langid, licenses, lm, manifest, rules, substrings, toxicity, urlfilter, whitening
 from figloom.llm.folds import fold
 
 TOKENIZER = "byte_bpe_50k.tiktoken"
@@ -131,5 +131,52 @@ def op10_quality_rules(spark, sf_dir):
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
-QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op4_decontaminate, op5_language, op6_byte_bpe, op7_toxicity, op8_lm, op9_chat, op10_quality_rules)}
-ORACLES = {"op1_url_filter": _OP1_SQL, "op2_ngram_jaccard": _OP2_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL}
+def op11_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select(*manifest.FIELDS)
+    fields = [F.replace("text", F.lit("\n"), F.lit("")) if f == "text" else f for f in manifest.FIELDS]
+    touched = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    found = manifest.proofs(docs.withColumn("other", F.when(touched, F.unhex(manifest.leaf(fields)))), carry=("other",))
+    folded = found.withColumn("folded_root", manifest.fold(F.coalesce(F.lower(F.hex("other")), "leaf"), F.col("segment")))
+    return folded.select("doc_id", "leaf", "subroot", "root", manifest.proof(F.col("segment")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+_OP11_SQL = """
+with recursive b as (select *, {told} || {text} as told, {told} || {changed} as other,
+    list_reduce([4294967295] || list_transform(range(1, length(cast(doc_id as varchar)) + 1), lambda k: ascii(cast(doc_id as varchar)[k])),
+      lambda a, c: list_reduce([xor(a, c), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, (x & 1) * 3988292384))) as crc from documents),
+p as (select doc_id, source, sha256(told) as leaf, sha256(case when crc & 1 = 1 then other else told end) as leaf2 from b),
+l as (select *, dense_rank() over (order by source nulls first) - 1 as g, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as i,
+  count(*) over (partition by source) as n from p),
+t as (select g, 0 as lvl, i, leaf as h, n from l
+  union all select g, lvl + 1, i // 3, sha256(string_agg(h, '' order by i)), max((n + 2) // 3) from t where n > 1 group by g, lvl, i // 3),
+r as (select g, h as subroot, count(*) over () as n from t where n = 1),
+u as (select 0 as lvl, g as i, subroot as h, n from r
+  union all select lvl + 1, i // 3, sha256(string_agg(h, '' order by i)), max((n + 2) // 3) from u where n > 1 group by lvl, i // 3),
+s as (select l.g, l.i, t.lvl, coalesce(string_agg(t.h, '' order by t.i) filter (t.i < l.i // cast(pow(3, lvl) as bigint)), '') || '|' ||
+    coalesce(string_agg(t.h, '' order by t.i) filter (t.i > l.i // cast(pow(3, lvl) as bigint)), '') as e
+  from l join t on t.g = l.g and t.n > 1 and t.i // 3 = l.i // cast(pow(3, lvl + 1) as bigint) group by l.g, l.i, t.lvl
+  union all select l.g, l.i, 100 + u.lvl, coalesce(string_agg(u.h, '' order by u.i) filter (u.i < l.g // cast(pow(3, lvl) as bigint)), '') || '|' ||
+    coalesce(string_agg(u.h, '' order by u.i) filter (u.i > l.g // cast(pow(3, lvl) as bigint)), '')
+  from l join u on u.n > 1 and u.i // 3 = l.g // cast(pow(3, lvl + 1) as bigint) group by l.g, l.i, u.lvl),
+w as (select g, i, list(e order by lvl) as way from s group by g, i),
+f as (select doc_id, leaf, subroot, (select h from u where n = 1) as root, sha256(replace(coalesce(array_to_string(way, ''), ''), '|', '')) as proof_sha256,
+    list_reduce([leaf2] || coalesce(way, []), lambda a, e: sha256(split_part(e, '|', 1) || a || split_part(e, '|', 2))) as folded_root
+  from l join r using (g) left join w using (g, i))
+select *, folded_root = root as verified from f
+""".format(
+    told=" || ".join(f"coalesce(strlen(cast({f} as varchar)) || ':' || cast({f} as varchar), '-')" for f in manifest.FIELDS[:-1]),
+    text="coalesce(strlen(text) || ':' || text, '-')",
+    changed="coalesce(strlen(replace(text, chr(10), '')) || ':' || replace(text, chr(10), ''), '-')",
+)
+
+
+def op12_license_scan(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
+def op13_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (op1_url_filter, op2_ngram_jaccard, op3_substrings, op4_decontaminate, op5_language, op6_byte_bpe, op7_toxicity, op8_lm, op9_chat, op10_quality_rules, op11_merkle_manifest, op12_license_scan, op13_whitening)}
+ORACLES = {"op1_url_filter": _OP1_SQL, "op2_ngram_jaccard": _OP2_SQL, "op3_substrings": _OP3_SQL, "op9_chat": _OP9_SQL, "op11_merkle_manifest": _OP11_SQL}
