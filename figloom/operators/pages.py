@@ -1,12 +1,11 @@
-"""Article search and extraction over stored pages: regular expressions on the html column, joins to small family tables.
-
-Blocks are flat: a `<figure>` inside a `<figure>` isn't told apart from its parent."""
-
-from html.parser import HTMLParser
+"""Article search and extraction over stored pages: nodes of the html column, regular expressions where a page's text is
+enough, joins to small family tables."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from figloom.operators import html as hp
+
 # How each journal family's site builds addresses.
 FAMILIES = [
     ("acs", "https://pubs.acs.org", '/action/doSearch?AllField="', '"+"', '"&publication=&accessType=allContent&Earliest=&pageSize=20&startPage=0&sortBy=', '"&publication=&openAccess=18&accessType=openAccess&Earliest=&pageSize=20&startPage=0&sortBy=', "", "/doi/", "https://pubs.acs.org"),
@@ -16,6 +15,8 @@ FAMILIES = [
 FAMILY_SCHEMA = "family string, domain string, path string, join string, sort_part string, open_part string, tail string, article_path string, prepend string"
 #: What stands in the links of an RSC figure's image.
 IMAGE_KEY = "/image/article"
+#: What marks a figure of ACS that has a caption.
+ACS_FIGURE = "inline-fig internalNav"
 #: Path segments of reader versions of an article.
 READERS = ["abs", "full", "pdf"]
 
@@ -83,57 +84,18 @@ def unvisited(links: DataFrame, ledger: DataFrame) -> DataFrame:
     return links.withColumn("key", last_segment(F.col("link"))).join(ledger.select("key").distinct(), "key", "left_anti")
 
 
-class _OpenLinks(HTMLParser):
-    """Links of a page in order, with the places of their ancestors up to the third; elements that hold an Open badge."""
-
-    VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
-
-    def __init__(self):
-        super().__init__()
-        self.stack, self.links, self.open, self.badge, self.count = [], [], set(), None, 0
-
-    def handle_starttag(self, tag, attrs):
-        told = dict(attrs)
-        if tag == "a" and told.get("href"):
-            self.links.append((told["href"], self.stack[-3:][0][0] if self.stack else -1))
-        if tag in self.VOID:
-            return
-        self.count += 1
-        self.stack.append((self.count, tag))
-        if tag == "span" and "text-orange" in (told.get("class") or "").split():
-            self.badge = (self.count, "")
-
-    def handle_data(self, data):
-        if self.badge:
-            self.badge = (self.badge[0], self.badge[1] + data)
-
-    def handle_endtag(self, tag):
-        if tag not in [t for _, t in self.stack]:
-            return
-        while self.stack:
-            number, name = self.stack.pop()
-            if self.badge and number == self.badge[0]:
-                if self.badge[1] == "Open":
-                    self.open.update(n for n, _ in self.stack)
-                self.badge = None
-            if name == tag:
-                return
-
-
 def open_links(pages: DataFrame) -> DataFrame:
     """Links whose third ancestor holds a badge that says Open."""
-    import pandas as pd
+    nodes = pages.select("page_id", hp.tree(F.col("html")).alias("_n"))
+    badges = F.filter(hp.elements(F.col("_n"), "span", "text-orange"), lambda b: hp.text_of(F.col("_n"), b) == "Open")
+    links = nodes.withColumn("_b", badges).withColumn("_a", F.explode(hp.elements(F.col("_n"), "a"))).withColumn("link", hp.attribute(F.col("_a.attrs"), "href")).where("link != ''")
 
-    @F.pandas_udf("array<string>")
-    def found(html: pd.Series) -> pd.Series:
-        out = []
-        for text in html:
-            page = _OpenLinks()
-            page.feed(text or "")
-            out.append([link for link, ancestor in page.links if ancestor in page.open])
-        return pd.Series(out)
+    def up(i: Column) -> Column:
+        return F.when(i >= 0, F.get("_n", i)["parent"]).otherwise(-1)
 
-    return pages.select("page_id", F.explode(found("html")).alias("link")).withColumn("link", F.substring_index("link", "?page=search", 1))
+    links = links.withColumn("_up", up(up(F.col("_a.parent"))))
+    last = F.when(F.col("_up") >= 0, F.get("_n", F.col("_up"))["post"]).otherwise(F.size("_n"))
+    return links.where(F.exists("_b", lambda b: (b["pre"] > F.col("_up")) & (b["pre"] <= last))).select("page_id", F.substring_index("link", "?page=search", 1).alias("link"))
 
 
 def cap_links(links: DataFrame, n: int) -> DataFrame:
@@ -154,25 +116,32 @@ def license_info(html: Column, family: str = "nature") -> dict[str, Column]:
 
 
 def figure_blocks(pages: DataFrame, key: str, family: str = "nature") -> DataFrame:
-    """One row a figure block, numbered from 0: a figure element, RSC's div of class image_table."""
-    pattern = r'(?s)(<div[^>]*class="image_table".*?</div>)' if family == "rsc" else r"(?s)(<figure.*?</figure>)"
-    return pages.select(key, F.posexplode(F.regexp_extract_all("html", F.lit(pattern), F.lit(1))).alias("pos", "block"))
+    """One row a figure block, numbered from 0: a figure element (ACS: with its mark), RSC's div of class image_table; one
+    inside another is a block of its own, too (B12)."""
+    nodes = pages.select(key, "html", hp.tree(F.col("html")).alias("_n"))
+    hits = hp.elements(F.col("_n"), "div", "image_table") if family == "rsc" else hp.elements(F.col("_n"), "figure")
+    blocks = F.transform(hits, lambda x: hp.outer(F.col("html"), x))
+    if family == "acs":
+        blocks = F.filter(blocks, lambda b: F.contains(b, F.lit(ACS_FIGURE)))
+    return nodes.select(key, F.posexplode(blocks).alias("pos", "block"))
 
 
 def captions(blocks: DataFrame, family: str = "nature") -> DataFrame:
     """Adds caption, the text of all its paragraphs (RSC: of its spans of class graphic_title); blocks without any are dropped."""
-    pattern = r'(?s)<span[^>]*class="graphic_title"[^>]*>(.*?)</span>' if family == "rsc" else r"(?s)<p[^>]*>(.*?)</p>"
-    texts = F.regexp_extract_all("block", F.lit(pattern), F.lit(1))
-    return blocks.withColumn("caption", F.array_join(F.transform(texts, lambda t: F.regexp_replace(t, "<[^>]*>", "")), "")).where("caption != ''")
+    n = F.col("_n")
+    parts = hp.elements(n, "span", "graphic_title") if family == "rsc" else hp.elements(n, "p")
+    told = blocks.withColumn("_n", hp.tree(F.col("block"))).withColumn("caption", F.array_join(F.transform(parts, lambda x: hp.text_of(n, x)), ""))
+    return told.drop("_n").where("caption != ''")
 
 
 def image_url(block: Column, prepend: str = "", family: str = "nature") -> Column:
     """Address of the block's image (RSC: of its last link to an image): no `_hi-res`, and a scheme."""
-    src = F.regexp_extract(block, r'<img [^>]*src="([^"]*)"', 1)
     if family == "rsc":
-        links = F.filter(F.regexp_extract_all(block, F.lit(r'(?s)(<a [^>]*href="[^"]*"[^>]*>.*?</a>)'), F.lit(1)), lambda a: F.contains(a, F.lit(IMAGE_KEY)))
-        src = F.regexp_extract(F.try_element_at(links, F.lit(-1)), r'href="([^"]*)"', 1)
-    src = F.concat(F.lit(prepend), F.replace(src, F.lit("_hi-res"), F.lit("")))
+        links = F.filter(hp.elements(hp.tree(block), "a"), lambda a: hp.attribute(a["attrs"], "href").isNotNull() & F.contains(hp.outer(block, a), F.lit(IMAGE_KEY)))
+        src = hp.attribute(F.try_element_at(links, F.lit(-1))["attrs"], "href")
+    else:
+        src = hp.attribute(F.get(hp.elements(hp.tree(block), "img"), F.lit(0))["attrs"], "src")
+    src = F.concat(F.lit(prepend), F.replace(F.coalesce(src, F.lit("")), F.lit("_hi-res"), F.lit("")))
     return F.when(F.contains(src, F.lit(":")), src).otherwise(F.concat(F.lit("https:"), src))
 
 

@@ -24,12 +24,13 @@ _HTML = """select figure_id, concat('<html><head><title>Article ', cast(figure_i
   case when figure_id % 2 = 0 then 'true' else 'false' end, '}}}}}},"page":{{"search":{{"page":1,"totalPages":', cast(figure_id % 4 + 1 as varchar(20)),
   ',"totalResults":12}}}}}}];</script></head><body><ul><li><div><h3><a href="/articles/', cast(figure_id as varchar(20)), '?page=search">one<br></a></h3><span class="text-orange">', case when figure_id % 3 = 0 then 'Closed' else 'Open' end,
   '</span></div></li><li><div><h3><a href="/articles/full/', cast(figure_id as varchar(20)), '">two</a></h3></div><p></p><img src="x"><span class="c text-orange">Open</span></li><li><div><h3><a href="/articles/', cast(figure_id as varchar(20)),
-  '.pdf">three</a></h3></div></li></ul><span class="text-orange">Open</span><figure><img src="//img.example.org/', cast(figure_id as varchar(20)), '_hi-res.jpg"><p>', caption, '</p></figure><figure><p></p></figure></body></html>') as html
+  '.pdf">three</a></h3></div></li></ul><span class="text-orange">Open</span><figure><img src="//img.example.org/', cast(figure_id as varchar(20)), '_hi-res.jpg"><p>', caption, '</p></figure>',
+  case when figure_id % 4 = 1 then concat('<figure class="wide"><div><figure><img src="//img.example.org/', cast(figure_id as varchar(20)), '_b.jpg"><p>Inner</p></figure></div><p>Outer &amp; last</p></figure>') else '' end, '<figure><p></p></figure></body></html>') as html
 from {cap}"""
 _FAM = """select figure_id, concat('<html><body><h1>Results</h1><span class="result__count">', cast(figure_id % 300 as varchar(20)), '</span>', case figure_id % 3 when 0 then '<div class="article_header-open-access"><b>ACS AuthorChoice</b> ' when 1 then '<div class="article_header-open-access">ACS Editors'' Choice '
   else '<div class="article_header-open-access">Subscribed ' end, cast(figure_id as varchar(20)), '</div></body></html>') as acs,
   concat('<html><body><p>12 tabs</p>Back to tab navigation ', case when figure_id % 4 = 0 then '7 of ' else '' end, cast(figure_id % 500 as varchar(20)), ' results - Showing page 1 of 3<div class="image_table"><a href="/image/article/', cast(figure_id as varchar(20)), '/small.gif">s</a><a href="/image/article/',
-  cast(figure_id as varchar(20)), '/large_hi-res.gif"><b>l</b></a><a href="/other">o</a><span class="graphic_title"><b>Fig. 1</b> ', caption, '</span></div><div class="image_table"><a href="/x/image/article/y">x</a></div></body></html>') as rsc
+  cast(figure_id as varchar(20)), '/large_hi-res.gif"><b>l</b></a><a href="/other">o</a><div class="inner"><div>pad</div></div><span class="graphic_title"><b>Fig. 1</b> ', caption, '</span></div><div class="image_table"><a href="/x/image/article/y">x</a></div></body></html>') as rsc
 from {cap}"""
 _SPARK_JOINED = f"array_join(transform(array_sort(collect_list(named_struct('p', pos, 't', {_PIECE}))), z -> z.t), ' ')"
 _TEMPLATES = {"box": _BOX, "lbl": _LBL, "cap": _CAP, "ent": _ENT, "sub": _SUB, "html": _HTML, "fam": _FAM}

@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from figloom.operators import html as hp
 from figloom.operators import pages as pg
 from figloom.plans.fixtures import ctes, derived, given
 from figloom.plans.registry import query
@@ -65,9 +66,9 @@ def b5(spark, d):
     return html(spark, d).select("page_id", pg.data_layer(F.col("html")).alias("json"))
 
 
-@query("b6_article_links", f"with {_LINKS} select page_id, link from l where contains(link, '/en/')")
+@query("b6_article_links", f"with {_LINKS} select page_id, link from l where contains(link, '/th')")
 def b6(spark, d):
-    return pg.article_links(given(spark, d, "pages"), "/en/")
+    return pg.article_links(given(spark, d, "pages"), "/th")
 
 
 @query("b7_drop_reader_links", f"with {_LINKS} select page_id, link from l where contains(link, '/') and not list_has_any(string_split(link, '/'), ['fr', 'de'])")
@@ -86,9 +87,9 @@ def b9(spark, d):
     return pg.open_links(html(spark, d))
 
 
-@query("b10_cap_links", f"with {_LINKS} select distinct link from l where contains(link, '/en/') order by link limit 50")
+@query("b10_cap_links", f"with {_LINKS} select distinct link from l where contains(link, '/th') order by link limit 50")
 def b10(spark, d):
-    return pg.cap_links(pg.article_links(given(spark, d, "pages"), "/en/"), 50)
+    return pg.cap_links(pg.article_links(given(spark, d, "pages"), "/th"), 50)
 
 
 @query("b11_license", f"""{ctes("html", "fam")} select figure_id as page_id, 'nature' as family, figure_id % 2 = 0 as open, 'unknown' as license from html
@@ -98,8 +99,15 @@ def b11(spark, d):
     return told[0].union(told[1])
 
 
-@query("b12_figure_blocks", f"""{ctes("html", "fam")}, b as (select figure_id, 'nature' as family, regexp_extract_all(html, '(?s)<figure.*?</figure>') as b from html union all select figure_id, 'rsc', regexp_extract_all(rsc, '(?s)<div class="image_table">.*?</div>') from fam)
-  select figure_id as page_id, family, cast(p as int) as pos, b[p + 1] as block from (select *, unnest(range(len(b))) as p from b)""")
+# Every fourth page has a figure within a figure; RSC's block has divs of its own.
+_WIDE = """concat('<figure class="wide"><div>', inner_, '</div><p>Outer &amp; last</p></figure>')"""
+_BLOCKS = f"""{ctes("html", "fam")}, i as (select figure_id, caption, cast(figure_id as varchar) as n, concat('<figure><img src="//img.example.org/', figure_id, '_b.jpg"><p>Inner</p></figure>') as inner_ from cap),
+  b as (select figure_id, 'nature' as family, [concat('<figure><img src="//img.example.org/', n, '_hi-res.jpg"><p>', caption, '</p></figure>')] || case when figure_id % 4 = 1 then [{_WIDE}, inner_] else [] end || ['<figure><p></p></figure>'] as b from i
+  union all select figure_id, 'rsc', [concat('<div class="image_table"><a href="/image/article/', n, '/small.gif">s</a><a href="/image/article/', n, '/large_hi-res.gif"><b>l</b></a><a href="/other">o</a><div class="inner"><div>pad</div></div><span class="graphic_title"><b>Fig. 1</b> ', caption, '</span></div>'),
+    '<div class="image_table"><a href="/x/image/article/y">x</a></div>'] from i)"""
+
+
+@query("b12_figure_blocks", f"{_BLOCKS} select figure_id as page_id, family, cast(p as int) as pos, b[p + 1] as block from (select *, unnest(range(len(b))) as p from b)")
 def b12(spark, d):
     found = [pg.figure_blocks(p, "page_id", k).withColumn("family", F.lit(k)) for k, p in (("nature", html(spark, d)), ("rsc", family_pages(spark, d, "rsc")))]
     return found[0].union(found[1])
@@ -109,19 +117,38 @@ def rsc_captions(spark, d):
     return pg.captions(pg.figure_blocks(family_pages(spark, d, "rsc"), "page_id", "rsc"), "rsc")
 
 
-@query("b13_captions", f"""{FAM} select page_id, 'nature' as family, caption from (select page_id, coalesce(list_aggregate(list_transform(regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1), lambda t: regexp_replace(t, '<[^>]*>', '', 'g')), 'string_agg', ''), '') as caption from pages) where caption <> ''
+# A paragraph ends at its end tag, at a block's start or at its parent's end; references of the given pages are resolved.
+_PIECES = r"""list_transform(regexp_split_to_array(regexp_replace(html, '(?s)<(?:script|style|title)>.*?</(?:script|style|title)>|<!--.*?-->', '', 'g'), '<p(?:\s[^>]*)?>')[2:], lambda t: regexp_extract(t, '(?s)^(.*?)(?:</(?:p|article|body|html|div)>|<(?:footer|div|h1|nav|ul|article)[ >]|$)', 1))"""
+_PLAIN = "replace(replace(replace(replace(regexp_replace(t, '<[^>]*>', '', 'g'), '&quot;', chr(34)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+@query("b13_captions", f"""{FAM} select page_id, 'nature' as family, caption from (select page_id, coalesce(list_aggregate(list_transform({_PIECES}, lambda t: {_PLAIN}), 'string_agg', ''), '') as caption from pages) where caption <> ''
   union all select figure_id, 'rsc', 'Fig. 1 ' || caption from cap""")
 def b13(spark, d):
     plain = pg.captions(given(spark, d, "pages").withColumnRenamed("html", "block")).select("page_id", F.lit("nature").alias("family"), "caption")
     return plain.union(rsc_captions(spark, d).select("page_id", F.lit("rsc"), "caption"))
 
 
-@query("b14_image_url", f"{HTML} select figure_id as page_id, 'nature' as family, concat('https://img.example.org/', cast(figure_id as varchar), '.jpg') as image_url from html union all select figure_id, 'rsc', concat('https://pubs.rsc.org/image/article/', cast(figure_id as varchar), '/large.gif') from cap")
+@query("b14_image_url", f"""{HTML} select figure_id as page_id, 'nature' as family, concat('https://img.example.org/', cast(figure_id as varchar), '.jpg') as image_url from html
+  union all select figure_id, 'nature', concat('https://img.example.org/', cast(figure_id as varchar), '_b.jpg') from cap, range(2) where figure_id % 4 = 1 union all select figure_id, 'rsc', concat('https://pubs.rsc.org/image/article/', cast(figure_id as varchar), '/large.gif') from cap""")
 def b14(spark, d):
     plain = pg.captions(pg.figure_blocks(html(spark, d), "page_id")).select("page_id", F.lit("nature").alias("family"), pg.image_url(F.col("block")).alias("image_url"))
     return plain.union(rsc_captions(spark, d).select("page_id", F.lit("rsc"), pg.image_url(F.col("block"), "https://pubs.rsc.org", "rsc")))
 
 
+@query("b12_nodes", r"""with c as (select page_id, regexp_replace(html, '(?s)(<(?:script|style)>).*?(</(?:script|style)>)|<!--.*?-->', '\1\2', 'g') as h from pages),
+  t as (select page_id, unnest(regexp_extract_all(h, '<([a-z][a-z0-9]*)', 1)) as tag from c) select page_id, tag, count(*) as n from t group by all""")
+def b12n(spark, d):
+    return hp.node_table(given(spark, d, "pages"), "page_id").where("tag is not null").groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("b12_within", f"{HTML} select figure_id as page_id, t.tag, cast(case t.tag when 'p' then case when figure_id % 4 = 1 then 5 else 2 end else case when figure_id % 4 = 1 then 3 else 1 end end as bigint) as n from html, (values ('p'), ('img')) t(tag)")
+def b12w(spark, d):
+    nodes = hp.node_table(html(spark, d), "page_id")
+    pairs = hp.within(nodes.where("tag in ('p', 'img')"), nodes.where("tag = 'figure'"), "page_id")
+    return pairs.groupBy("page_id", "tag").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("b15_number_figures", """select page_id, cast(row_number() over (partition by page_id order by p) as int) as figure_no, concat(cast(page_id as varchar), '_fig', cast(row_number() over (partition by page_id order by p) as varchar), '.jpg') as figure_name
   from (select page_id, unnest(range(len(regexp_extract_all(html, '(?s)<p[^>]*>(.*?)</p>', 1)))) as p from pages)""")
 def b15(spark, d):
@@ -134,9 +161,9 @@ def b16(spark, d):
     return given(spark, d, "pages").select("page_id", pg.page_title(F.col("html")).alias("title"))
 
 
-@query("b17_figure_record", f"{HTML} select cast(figure_id as varchar) as article_name, concat('Article ', cast(figure_id as varchar)) as title, figure_id % 2 = 0 as open, concat(cast(figure_id as varchar), '_fig1.jpg') as figure_name, caption as full_caption from cap")
+@query("b17_figure_record", f"{HTML} select cast(figure_id as varchar) as article_name, concat('Article ', cast(figure_id as varchar)) as title, figure_id % 2 = 0 as open, concat(cast(figure_id as varchar), '_fig', cast(k + 1 as varchar), '.jpg') as figure_name, [caption, 'InnerOuter & last', 'Inner'][k + 1] as full_caption, concat('https://img.example.org/', cast(figure_id as varchar), case when k = 0 then '.jpg' else '_b.jpg' end) as image_url, 'unknown' as license from cap, range(3) r(k) where k = 0 or figure_id % 4 = 1")
 def b17(spark, d):
-    return pg.figure_record(html(spark, d), "page_id").select("article_name", "title", "open", "figure_name", "full_caption")
+    return pg.figure_record(html(spark, d), "page_id").select("article_name", "title", "open", "figure_name", "full_caption", "image_url", "license")
 
 
 @query("b18_merge_figures", "select o_orderkey, case when o_orderkey % 3 = 0 then 'new' else 'old' end as run from orders where o_orderkey % 3 = 0 or o_orderkey % 2 = 0")
