@@ -123,21 +123,22 @@ def rank_one(values: np.ndarray, vectors: np.ndarray, v: np.ndarray):
 
 
 class Spectrum:
-    """Count, mean, eigenvalues and eigenvectors of the scatter of the vectors seen, and their exact sum (x less SHIFT)."""
+    """Count, mean, eigenvalues and eigenvectors of the scatter of the vectors seen, and their exact sum (x less SHIFT,
+    Python's integers)."""
 
     def __init__(self, n: int, total: np.ndarray, mean: np.ndarray, values: np.ndarray, vectors: np.ndarray):
         self.n, self.total, self.mean, self.values, self.vectors = n, total, mean, values, vectors
 
     @classmethod
     def empty(cls, d: int) -> "Spectrum":
-        return cls(0, np.zeros(d, np.int64), np.zeros(d), np.zeros(d), np.eye(d))
+        return cls(0, np.zeros(d, object), np.zeros(d), np.zeros(d), np.eye(d))
 
     def add(self, x: np.ndarray) -> None:
         off = x - self.mean
         if self.n:
             self.values, self.vectors = rank_one(self.values, self.vectors, off * np.sqrt(self.n / (self.n + 1)))
         self.n += 1
-        self.total = self.total + x
+        self.total = self.total + x.astype(object)
         self.mean = self.mean + off / self.n
 
     def absorb(self, other: "Spectrum") -> None:
@@ -153,13 +154,14 @@ class Spectrum:
         self.mean, self.total, self.n = self.mean + off * (other.n / n), self.total + other.total, n
 
     def row(self) -> tuple[bytes, ...]:
-        return tuple(np.ascontiguousarray(a).tobytes() for a in (np.array([self.n]), self.total, self.mean, self.values, self.vectors))
+        whole = " ".join(map(str, self.total)).encode()
+        return (str(self.n).encode(), whole, *(np.ascontiguousarray(a).tobytes() for a in (self.mean, self.values, self.vectors)))
 
     @classmethod
     def of(cls, row) -> "Spectrum":
         n, total, mean, values, vectors = row
         d = len(mean) // 8
-        return cls(int(np.frombuffer(n, np.int64)[0]), np.frombuffer(total, np.int64), np.frombuffer(mean), np.frombuffer(values), np.frombuffer(vectors).reshape(d, d))
+        return cls(int(n), np.array([int(t) for t in total.split()], object), np.frombuffer(mean), np.frombuffer(values), np.frombuffer(vectors).reshape(d, d))
 
 
 def _vectors(batch, column: int, d: int) -> np.ndarray:
@@ -226,13 +228,14 @@ def spectrum(fit: DataFrame, d: int) -> Spectrum:
 
 def _deviations(vectors: np.ndarray, n: int, total: np.ndarray):
     """n x - S for x less SHIFT, exact; as Python's integers where they may not fit into 64 bits."""
-    if n * max(1.0, np.abs(vectors).max(initial=0)) + np.abs(total).max(initial=0) < 2**62:
-        return vectors * n - total
-    return vectors.astype(object) * n - total.astype(object)
+    largest = max(abs(int(vectors.max(initial=0))), abs(int(vectors.min(initial=0))))
+    if n * largest + max((abs(int(t)) for t in total), default=0) < 2**63:
+        return vectors * n - np.array(total, np.int64)
+    return vectors.astype(object) * n - np.array(total, object)
 
 
 def _squares(off: np.ndarray):
-    if off.dtype != object and (off.astype(float) ** 2).sum(1).max(initial=0) < 2**62:
+    if off.dtype != object and (off.astype(float) ** 2).sum(1).max(initial=0) < 2.0**62:
         return pa.array((off * off).sum(1), pa.int64())
     return pa.array([v if (v := sum(int(x) ** 2 for x in row)) < 2**63 else None for row in off], pa.int64())
 
