@@ -2,54 +2,54 @@
 
 Without an English tagger the text is cut by rule: what stands before the first label is shared; a segment runs from its
 label to the next; where a caption begins with text and ends in a label, the text before each label is its segment; and a
-label behind a word of reference ("shown in (b)") opens no segment. Captions are rows, so everything is a projection
+label behind a word of reference ("shown in (b)") opens no segment. Each caption is cut at the kind of label that delimits
+it. Captions are rows, so everything is a projection
 with array functions, or a grouping by caption."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Words of position and roman numerals that serve as labels.
-POSITIONS = ["above", "after", "around", "before", "beginning", "behind", "below", "beside", "between", "bottom", "center", "down", "end", "far", "finish", "front", "in", "inside", "lower", "left", "middle", "near", "next to", "off", "on", "out", "outside", "over", "right", "start", "through", "top", "under", "up", "upper", "upside down"]
-ROMAN = ["i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix", "x", "xi", "xii", "xiii", "xiv", "xv"]
-#: Kinds of label characters, in the order in which a tie is told.
-KINDS = {"alpha": "[a-z]", "ALPHA": "[A-Z]", "digit": "[0-9]", "roman": f"(?i:{'|'.join(ROMAN)})", "position": f"(?i:{'|'.join(POSITIONS)})"}
+from figloom.operators.labels import KINDS, POSITIONS, ROMAN
+from figloom.operators.labels import spans as span_array
+
 # Symbols of the chemical elements, which look like labels.
 ELEMENTS = (
     "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe "
     "Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Po At Rn Fr Ra Ac Th Pa U Np Pu Am Cm Bk Cf Es Fm Md No Lr "
     "Rf Db Sg Bh Hs Mt Ds Rg Cn Nh Fl Mc Lv Ts Og"
 ).split()
-#: Words before a label that only refers to a subfigure.
-REFERENCES = ["denoted", "corresponds", "extracted", "indicated", "shown", "corresponding"]
 _JOINERS = r"(?:\s*(?:,|–|-|and|,\s*and)\s*)"
-#: Forms of their own: a letter and a digit in brackets; small letters behind a full stop.
-_MORE = {"alpha": [r"\([a-z][0-9]\)", r"\. [a-z]\b(?:(?:,|–) ?[a-z]\b)?"], "ALPHA": [r"\([A-Z][0-9]\)"]}
 
 
-def span_pattern(kind: str) -> str:
-    """A run of labels of a kind, (a, b) or (a-c) or (a and b), set off by brackets or colons on both sides or on one:
-    (a), (a, a), :a:, :a, a:; and the kind's own forms. Of forms that begin at one place the first of this list counts."""
-    run = f"{KINDS[kind]}(?:{_JOINERS}{KINDS[kind]})*"
-    forms = [rf"\({run}\)", *_MORE.get(kind, []), rf":{run}:", rf"\({run}\b", rf":{run}\b", rf"\b{run}[):]"]
-    return f"(?:{'|'.join(forms)})"
+def label_spans(caps: DataFrame, key: str, text: str = "caption") -> DataFrame:
+    """key, kind, span, pos (character it begins at) of every run of labels, of all kinds in one pass (C1): labels of a kind,
+    (a, b) or (a-c) or (a and b), set off by brackets or colons on both sides or on one: (a), (a, a), :a:, :a, a:; a letter
+    and a digit in brackets; small letters behind a full stop."""
+    return caps.select(key, F.inline(span_array(F.col(text)))).select(key, "kind", "span", "pos")
+
 
+def delimiter_of(found: Column) -> Column:
+    """The kind of label that delimits a caption, from the array of its spans (C2, as delimiter does); null without any."""
+    n = {k: F.size(F.filter(found, _of_kind(k))) for k in KINDS}
+    first = F.array_min(F.transform(found, lambda s: F.struct(s["pos"], s["kind"])))["kind"]
+    return _delimiter(n["alpha"], n["ALPHA"], n["digit"], n["roman"], n["position"], first)
 
-def label_spans(caps: DataFrame, key: str, text: str = "caption") -> DataFrame:
-    """key, kind, pos (character it begins at), span of every run of labels; the captions are read once for all kinds."""
-    kinds = F.array(*(F.struct(F.lit(k).alias("kind"), F.split(text, span_pattern(k), -1).alias("p"), F.regexp_extract_all(text, F.lit(f"({span_pattern(k)})"), F.lit(1)).alias("s")) for k in KINDS))
-    found = caps.select(key, F.explode(kinds).alias("e")).select(key, "e.kind", "e.p", "e.s", F.posexplode("e.s").alias("i", "span"))
-    before = F.length(F.array_join(F.slice("p", 1, F.col("i") + 1), "")) + F.length(F.array_join(F.slice("s", 1, F.col("i")), ""))
-    return found.select(key, "kind", "span", (before + 1).alias("pos"))
+
+def _of_kind(kind: str):
+    return lambda s: s["kind"] == kind
+
+
+def _delimiter(alpha: Column, upper: Column, digit: Column, roman: Column, position: Column, first: Column) -> Column:
+    most = F.greatest(alpha, upper, digit, roman, position)
+    letters = F.when(0.5 * upper > alpha, "ALPHA").otherwise("alpha")
+    return F.when(most == 0, None).when(F.greatest(alpha, upper) >= 0.25 * most, letters).when(roman == most, "roman").otherwise(first)
 
 
 def delimiter(spans: DataFrame, key: str) -> DataFrame:
     """The kind of label that delimits each caption: letters if they are a quarter of the most frequent kind, capitals
     only if they are over twice the small ones; else roman if most frequent; else the first that occurs (C2)."""
     counts = spans.groupBy(key).agg(*(F.count_if(F.col("kind") == k).alias(k.replace("ALPHA", "upper")) for k in KINDS), F.min_by("kind", F.struct("pos", "kind")).alias("first"))
-    most = F.greatest("alpha", "upper", "digit", "roman", "position")
-    letters = F.when(0.5 * F.col("upper") > F.col("alpha"), "ALPHA").otherwise("alpha")
-    kind = F.when(F.greatest("alpha", "upper") >= 0.25 * most, letters).when(F.col("roman") == most, "roman").otherwise(F.col("first"))
-    return counts.select(key, kind.alias("delimiter"))
+    return counts.select(key, _delimiter(*(F.col(c) for c in ("alpha", "upper", "digit", "roman", "position", "first"))).alias("delimiter"))
 
 
 def longest_spans(spans: DataFrame, key: str) -> DataFrame:
@@ -88,16 +88,26 @@ def char_range(a: Column, b: Column, roman_first: bool = False) -> Column:
     return F.when(plain, code).when(numeral, roman).otherwise(F.array(a, b))
 
 
-def implied_labels(span: Column) -> Column:
-    """Labels that a span stands for, in order, each once: (a-c, e and f) is a, b, c, e, f."""
-    flat = F.regexp_replace(F.regexp_replace(span, r"[().:\s]", ""), r"and", ",")
-    pieces = F.filter(F.split(flat, ",+"), lambda x: x != "")
+def implied_labels(span: Column, kind: Column | None = None) -> Column:
+    """Labels that a span stands for, each once, sorted: (a-c, e and f) is a, b, c, e, f (C6). kind tells how to read the
+    ends of a range: (i-v) is nine letters or, of kind roman, five numerals; words of position are no ranges."""
+    pieces = F.filter(F.split(F.regexp_replace(F.regexp_replace(span, r"[().:\s]", ""), r"(?i)and", ","), ",+"), lambda x: x != "")
+    words = F.filter(F.transform(F.split(F.regexp_replace(span, r"[().:]", ""), r"(?i),|–|-|\band\b"), lambda x: F.trim(x)), lambda x: F.lower(x).isin(*POSITIONS))
 
     def one(x: Column) -> Column:
-        ends = F.split(x, "[–-]")
-        return F.when(F.size(ends) == 2, char_range(F.get(ends, F.lit(0)), F.get(ends, F.lit(1)))).otherwise(F.array(x))
+        a, b = F.get(F.split(x, "[–-]"), F.lit(0)), F.get(F.split(x, "[–-]"), F.lit(1))
+        plain = char_range(a, b)
+        if kind is not None:
+            numerals = char_range(F.lower(a), F.lower(b), roman_first=True)
+            plain = F.when(kind == "roman", F.when(a == F.lower(a), numerals).otherwise(F.transform(numerals, lambda n: F.upper(n)))).otherwise(plain)
+        return F.when(F.size(F.split(x, "[–-]")) == 2, plain).otherwise(F.array(x))
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(pieces, one))))
+    out = F.array_sort(F.array_distinct(F.flatten(F.transform(pieces, one))))
+    return out if kind is None else F.when(kind == "position", F.array_sort(F.array_distinct(words))).otherwise(out)
+
+
+def _implied(rows: DataFrame) -> Column:
+    return implied_labels(F.col("span"), F.col("kind") if "kind" in rows.columns else None)
 
 
 def position_labels(words: DataFrame, column: str = "label") -> DataFrame:
@@ -107,7 +117,7 @@ def position_labels(words: DataFrame, column: str = "label") -> DataFrame:
 
 def suggested_labels(spans: DataFrame, key: str) -> DataFrame:
     """The set of labels of each caption, sorted."""
-    return spans.select(key, F.explode(implied_labels(F.col("span"))).alias("l")).groupBy(key).agg(F.array_sort(F.collect_set("l")).alias("labels"))
+    return spans.select(key, F.explode(_implied(spans)).alias("l")).groupBy(key).agg(F.array_sort(F.collect_set("l")).alias("labels"))
 
 
 def likely_label(label: Column, suggested: Column, text: Column) -> Column:
@@ -129,7 +139,7 @@ def require_a(labels: Column) -> Column:
 
 def subfigure_count(spans: DataFrame, key: str) -> DataFrame:
     """(C12)"""
-    return spans.select(key, F.explode(implied_labels(F.col("span"))).alias("l")).groupBy(key).agg(F.count_distinct("l").alias("n"))
+    return spans.select(key, F.explode(_implied(spans)).alias("l")).groupBy(key).agg(F.count_distinct("l").alias("n"))
 
 
 def subfigure_labels(spans: DataFrame, key: str) -> DataFrame:
@@ -179,20 +189,35 @@ def normalize_caption(text: Column) -> Column:
     return F.when(F.right(text, F.lit(1)) == ".", text).otherwise(F.concat(text, F.lit(" .")))
 
 
-def segments(caps: DataFrame, key: str, kind: str = "alpha", text: str = "caption") -> DataFrame:
-    """key, seq, span, segment: the text that belongs to each run of labels."""
-    pattern = span_pattern(kind)
-    guarded = F.regexp_replace(text, rf"\b({'|'.join(REFERENCES)})( in| by| to| from)? \(([^()]*)\)", "$1$2 ⟨$3⟩")
-    cut = caps.select(key, F.split(guarded, pattern, -1).alias("p"), F.regexp_extract_all(guarded, F.lit(f"({pattern})"), F.lit(1)).alias("s"))
-    trailing = (F.trim(F.get("p", F.lit(0))) != "") & (F.trim(F.translate(F.element_at("p", -1), ".", " ")) == "")
-    rows = cut.withColumn("t", trailing).select(key, "p", "t", F.posexplode("s").alias("seq", "span"))
-    seg = F.when(F.col("t"), F.get("p", F.col("seq"))).otherwise(F.get("p", F.col("seq") + 1))
-    return rows.select(key, "seq", "span", F.translate(F.trim(seg), "⟨⟩", "()").alias("segment"))
+def segments(caps: DataFrame, key: str, text: str = "caption", delimiter: str | None = None) -> DataFrame:
+    """key, seq, kind, span, segment: the text that belongs to each run of labels of the kind that delimits its caption, as
+    told by the column delimiter or else by the caption's spans (C15)."""
+    found = caps.select(key, F.col(text).alias("_t"), *([F.col(delimiter).alias("_d")] if delimiter else []), span_array(F.col(text)).alias("_s"))
+    if not delimiter:
+        found = found.withColumn("_d", delimiter_of(F.col("_s")))
+    own = found.withColumn("_s", F.filter("_s", lambda s: (s["kind"] == F.col("_d")) & ~s["refers"]))
+
+    def piece(a: Column | None, b: Column | None) -> Column:
+        """The text behind the span a (the beginning, without one) to the span b (the end)."""
+        begin = F.lit(1) if a is None else F.coalesce(a["pos"] + F.length(a["span"]), F.lit(1))
+        end = F.length("_t") + 1 if b is None else F.coalesce(b["pos"], F.length("_t") + 1)
+        return F.substring("_t", begin, end - begin)
+
+    head, tail = piece(None, F.get("_s", F.lit(0))), piece(F.try_element_at("_s", F.lit(-1)), None)
+    trailing = (F.trim(head) != "") & (F.trim(F.translate(tail, ".", " ")) == "")
+    rows = own.withColumn("_trailing", trailing).select(key, "_t", "_s", "_trailing", F.posexplode("_s").alias("seq", "_l"))
+    before, after = F.when(F.col("seq") > 0, F.get("_s", F.col("seq") - 1)), F.get("_s", F.col("seq") + 1)
+    return rows.select(key, "seq", "_l.kind", "_l.span", F.trim(F.when(F.col("_trailing"), piece(before, F.col("_l"))).otherwise(piece(F.col("_l"), after))).alias("segment"))
+
+
+def preamble(text: Column, delimiter: Column | None = None) -> Column:
+    """What stands before the first label of the kind that delimits the caption."""
 
+    def cut(found: Column) -> Column:
+        first = F.array_min(F.transform(F.filter(found, lambda s: (s["kind"] == (delimiter_of(found) if delimiter is None else delimiter)) & ~s["refers"]), lambda s: s["pos"]))
+        return F.trim(F.coalesce(F.left(text, first - 1), text))
 
-def preamble(text: Column, kind: str = "alpha") -> Column:
-    """What stands before the first label."""
-    return F.trim(F.get(F.split(text, span_pattern(kind), -1), F.lit(0)))
+    return _let(span_array(text), cut)
 
 
 def _pairs(df: DataFrame, group: str, order: str, text: str) -> DataFrame:
@@ -263,7 +288,7 @@ def tag(df: DataFrame, key: str, text: str, terms: dict[str, list[str]], skip_em
 
 def fan_out(segs: DataFrame, key: str) -> DataFrame:
     """One row a label that a span implies, each text once."""
-    return segs.select(key, F.explode(implied_labels(F.col("span"))).alias("label"), "segment").distinct()
+    return segs.select(key, F.explode(_implied(segs)).alias("label"), "segment").distinct()
 
 
 def unique_remainder(segs: DataFrame, key: str) -> DataFrame:

@@ -17,6 +17,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from figloom.functions.arrowtext import as_bytes, first_of_overlapping, slices
+
 NODES = "array<struct<pre:int,post:int,parent:int,tag:string,attrs:string,text:string,start:int,stop:int>>"
 # Elements without an end tag, elements whose text holds no tags, and what ends what.
 VOID = "area base br col embed hr img input link meta source track wbr".split()
@@ -28,23 +30,6 @@ WALLS = "html body table td th ul ol dl select button object template caption".s
 TEXT, OPEN, CLOSE, EMPTY = range(4)
 
 
-def _column(html: pa.Array):
-    if isinstance(html, pa.ChunkedArray):
-        html = html.combine_chunks()
-    html = html.cast(pa.large_string()).fill_null("")
-    offsets = np.frombuffer(html.buffers()[1], np.int64)[html.offset : html.offset + len(html) + 1] if len(html) else np.zeros(1, np.int64)
-    data = np.frombuffer(html.buffers()[2], np.uint8)[offsets[0] : offsets[-1]] if offsets[-1] > offsets[0] else np.zeros(0, np.uint8)
-    return data, offsets - offsets[0]
-
-
-def _slices(data: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> pa.Array:
-    """The pieces [start, stop) of data as strings."""
-    size = np.maximum(stops - starts, 0)
-    offsets = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(starts - offsets[:-1], size) + np.arange(offsets[-1])
-    return pa.LargeStringArray.from_buffers(len(starts), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data[at])))
-
-
 def _next(places: np.ndarray, after: np.ndarray, none: np.ndarray) -> np.ndarray:
     """The first of places (rising) at or behind each number, none where there is none or it lies behind that."""
     at = np.searchsorted(places, after)
@@ -70,7 +55,7 @@ def _tag_ends(data, starts, page_ends):
 
 
 def _lower_names(data, starts, stops):
-    names = pc.ascii_lower(_slices(data, starts, stops)).dictionary_encode()
+    names = pc.ascii_lower(slices(data, starts, stops)).dictionary_encode()
     return names.indices.to_numpy(zero_copy_only=False).astype(np.int64), names.dictionary.to_pylist()
 
 
@@ -105,16 +90,7 @@ def _tokens(data: np.ndarray, offsets: np.ndarray):
         mine = opens & ~empty & is_a([word])
         if mine.any():
             cover[mine] = _next(lt[closes & is_a([word])], stop[mine], page_end[mine])
-    after = np.searchsorted(lt, cover)
-    keep, jumps, i = np.zeros(len(lt), bool), np.flatnonzero(after != np.arange(len(lt)) + 1), 0
-    while i < len(lt):
-        j = np.searchsorted(jumps, i)
-        if j == len(jumps):
-            keep[i:] = True
-            break
-        keep[i : jumps[j] + 1] = True
-        i = after[jumps[j]]
-    kept = np.flatnonzero(keep)
+    kept = np.flatnonzero(first_of_overlapping(lt, cover))
     # Texts go from each tag's end, and each page's beginning, to the next tag or the page's end.
     pages = len(offsets) - 1
     text_at, text_page = np.concatenate([offsets[:-1], stop[kept]]), np.concatenate([np.arange(pages), page[kept]])
@@ -220,7 +196,7 @@ def _nested(kind, page, code, names):
 
 def parse(html: pa.Array) -> pa.Array:
     """The nodes of each page."""
-    data, offsets = _column(html)
+    data, offsets = as_bytes(html)
     kind, page, start, stop, code, attrs_at, attrs_end, names = _tokens(data, offsets)
     parent, close = _nested(kind, page, code, names)
     node = kind != CLOSE
@@ -234,14 +210,14 @@ def parse(html: pa.Array) -> pa.Array:
     real_end = (np.append(kind, TEXT)[ends] == CLOSE) & (np.append(code, -1)[ends] == code[rows]) & (np.append(page, -1)[ends] == own)
     end_byte = np.where(kind[rows] != OPEN, stop[rows], np.where(real_end, np.append(stop, len(data))[ends], np.minimum(edge[ends], offsets[own + 1])))
     is_text = kind[rows] == TEXT
-    text = _slices(data, np.where(is_text, start[rows], 0), np.where(is_text, stop[rows], 0))
+    text = slices(data, np.where(is_text, start[rows], 0), np.where(is_text, stop[rows], 0))
     told = np.flatnonzero(pc.match_substring(text, "&").to_numpy(zero_copy_only=False)) if len(text) else np.zeros(0, int)
     if len(told):
         mask = np.zeros(len(text), bool)
         mask[told] = True
         text = pc.replace_with_mask(text, pa.array(mask), pa.array([_references.unescape(x) for x in text.take(pa.array(told)).to_pylist()], pa.large_string()))
     text = pc.if_else(pa.array(is_text), text, pa.scalar(None, pa.large_string()))
-    attrs = pc.if_else(pa.array(~is_text), _slices(data, np.where(is_text, 0, attrs_at[rows]), np.where(is_text, 0, attrs_end[rows])), pa.scalar(None, pa.large_string()))
+    attrs = pc.if_else(pa.array(~is_text), slices(data, np.where(is_text, 0, attrs_at[rows]), np.where(is_text, 0, attrs_end[rows])), pa.scalar(None, pa.large_string()))
     tag = pa.array(np.append(np.array(names, object), None)[code[rows]] if len(rows) else [], pa.string())
     int32 = lambda x: pa.array(x.astype(np.int32))
     up = np.where(parent[rows] < 0, -1, count[np.maximum(parent[rows], 0)] - first[own]) if len(rows) else rows

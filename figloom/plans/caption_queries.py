@@ -14,25 +14,32 @@ _MORE = [("(b)", "case when figure_id % 3 = 0 then '(b, c)' when figure_id % 3 =
 _MIXED = "caption"
 for _old, _new in _MORE:
     _MIXED = f"replace({_MIXED}, '{_old}', {_new})"
-_MIXED = f"case when figure_id % 8 = 5 then upper({_MIXED}) else {_MIXED} end"
+# Some captions are delimited by capitals, digits, numerals or words of position, or end in their labels.
+for _when, _names in [("figure_id % 16 = 3", "ABCDEFG"), ("figure_id % 16 = 7", "1234567"), ("figure_id % 16 = 11", ["ii", "iii", "iv", "vi", "vii", "viii", "ix"]), ("figure_id % 16 = 15", ["upper left", "top", "Left and right", "in", "below", "out", "end"])]:
+    _plain = "caption"
+    for _letter, _name in zip("abcdefg", _names, strict=True):
+        _plain = f"replace({_plain}, '({_letter})', '({_name})')"
+    _MIXED = f"case when {_when} then {_plain} else {_MIXED} end"
+_MIXED = f"case when figure_id % 8 = 5 then upper({_MIXED}) when figure_id % 32 = 1 then concat('TEM of ', cast(figure_id as varchar(20)), ' (a) and its map (b, c).') when figure_id % 32 = 2 then 'One (ii–iv) and shown in (v) more. (vi-ix) last' else {_MIXED} end"
 MIX = f"{CAP}, mix as (select figure_id, {_MIXED} as caption from cap)"
 
 
 def _run(c: str, more: str = "") -> str:
-    """The twin's pattern of runs of a label character."""
-    r = rf"{c}(?:(?:\s*(?:,|–|-|and|,\s*and)\s*){c})*"
-    return rf"(?:\({r}\)|{more}:{r}:|\({r}\b|:{r}\b|\b{r}[):])"
+    """The twin's pattern of runs of a label."""
+    r = rf"{c}(?:(?:\s*(?:,|–|-|(?i:and)|,\s*(?i:and))\s*){c})*"
+    return rf"(?:\({r}\)|{more}:{r}:|\({r}|:{r}|{r}[):])"
 
 
-_PATTERNS = {"alpha": _run("[a-z]", r"\([a-z][0-9]\)|\. [a-z]\b(?:(?:,|–) ?[a-z]\b)?|"), "ALPHA": _run("[A-Z]", r"\([A-Z][0-9]\)|"), "digit": _run("[0-9]"), "roman": _run("(?i:i|ii|iii|iv|v|vi|vii|viii|ix|x|xi|xii|xiii|xiv|xv)"),
-  "position": _run("(?i:above|after|around|before|beginning|behind|below|beside|between|bottom|center|down|end|far|finish|front|in|inside|lower|left|middle|near|next to|off|on|out|outside|over|right|start|through|top|under|up|upper|upside down)")}
-_ALPHA = _PATTERNS["alpha"]
+_TENS = [t + u for t in ("", "x", "xx", "xxx", "xl") for u in ("", "i", "ii", "iii", "iv", "v", "vi", "vii", "viii", "ix")][1:] + ["l"]
+_ROMAN = "[" + ", ".join(f"'{x}'" for x in _TENS) + "]"
+_PATTERNS = {"alpha": _run(r"\b[a-z]\b", r"\([a-z][0-9]\)|\. [a-z]\b(?:(?:,|–) ?[a-z]\b)?|"), "ALPHA": _run(r"\b[A-Z]\b", r"\([A-Z][0-9]\)|"), "digit": _run(r"\b[0-9]\b"), "roman": _run(rf"\b(?i:{'|'.join(_TENS)})\b"),
+  "position": _run(r"\b(?i:above|after|around|before|beginning|behind|below|beside|between|bottom|center|down|end|far|finish|front|in|inside|lower|left|middle|near|next to|off|on|out|outside|over|right|start|through|top|under|up|upper|upside down)\b")}
 SPANS = f"""{MIX},
-e as ({" union all ".join(f"select figure_id, '{k}' as kind, regexp_extract_all(caption, '{p}') as s, regexp_split_to_array(caption, '{p}') as p from mix" for k, p in _PATTERNS.items())}),
-spans as (select figure_id, kind, s[i] as span, cast(coalesce(length(list_aggregate(p[1:i], 'string_agg', '')), 0) + coalesce(length(list_aggregate(s[1:i - 1], 'string_agg', '')), 0) + 1 as int) as pos from (select *, unnest(range(1, len(s) + 1)) as i from e)),
+e as materialized ({" union all ".join(f"select figure_id, '{k}' as kind, regexp_extract_all(caption, '{p}') as s, regexp_split_to_array(caption, '{p}') as p from mix" for k, p in _PATTERNS.items())}),
+spans as materialized (select figure_id, kind, s[i] as span, cast(coalesce(length(list_aggregate(p[1:i], 'string_agg', '')), 0) + coalesce(length(list_aggregate(s[1:i - 1], 'string_agg', '')), 0) + 1 as int) as pos from (select *, unnest(range(1, len(s) + 1)) as i from e)),
 dn as (select figure_id, count(*) filter (kind = 'alpha') as alpha, count(*) filter (kind = 'ALPHA') as upper, count(*) filter (kind = 'digit') as digit, count(*) filter (kind = 'roman') as roman,
   count(*) filter (kind = 'position') as position, min_by(kind, (pos, kind)) as first from spans group by figure_id),
-delims as (select figure_id, case when greatest(alpha, upper) >= 0.25 * greatest(alpha, upper, digit, roman, position) then case when 0.5 * upper > alpha then 'ALPHA' else 'alpha' end
+delims as materialized (select figure_id, case when greatest(alpha, upper) >= 0.25 * greatest(alpha, upper, digit, roman, position) then case when 0.5 * upper > alpha then 'ALPHA' else 'alpha' end
   when roman = greatest(alpha, upper, digit, roman, position) then 'roman' else first end as delimiter from dn)"""
 
 
@@ -51,6 +58,12 @@ def c1(spark, d):
 
 @query("c2_delimiter", f"{SPANS} select figure_id, delimiter from delims")
 def c2(spark, d):
+    told = mixed(spark, d).select(G, cp.delimiter_of(cp.span_array(F.col("caption"))).alias("delimiter"))
+    return told.where("delimiter is not null")
+
+
+@query("c2_delimiter_of_spans", f"{SPANS} select figure_id, delimiter from delims")
+def c2s(spark, d):
     return cp.delimiter(spans(spark, d), G)
 
 
@@ -73,13 +86,16 @@ def c5(spark, d):
     return cp.drop_molecules(spans(spark, d), spark.createDataFrame([("b, c",), ("e and",)], "name string"))
 
 
-_IMPLIED = r"""list_sort(list_distinct(flatten(list_transform(list_filter(string_split_regex(replace(regexp_replace(span, '[().:\s]', '', 'g'), 'and', ','), ',+'), lambda x: x <> ''),
-  lambda x: case when regexp_full_match(x, '[a-z][–-][a-z]') and x[1:1] <= x[-1:] then list_transform(range(ascii(x[1:1]), ascii(x[-1:]) + 1), lambda c: chr(cast(c as int))) else string_split_regex(x, '[–-]') end))))"""
+_IMPLIED = rf"""case when kind = 'position' then list_sort(list_distinct(list_filter(list_transform(string_split_regex(regexp_replace(span, '[().:]', '', 'g'), '(?i),|–|-|\band\b'), lambda x: trim(x)), lambda x: lower(x) in ('upper', 'left', 'in', 'out', 'end', 'right', 'top', 'below')))) else
+  list_sort(list_distinct(flatten(list_transform(list_filter(string_split_regex(regexp_replace(regexp_replace(span, '[().:\s]', '', 'g'), '(?i)and', ',', 'g'), ',+'), lambda x: x <> ''),
+  lambda x: case when kind = 'roman' and regexp_full_match(x, '[a-zA-Z]+[–-][a-zA-Z]+') and list_position({_ROMAN}, lower(string_split_regex(x, '[–-]')[1])) <= list_position({_ROMAN}, lower(string_split_regex(x, '[–-]')[2]))
+      then list_transform({_ROMAN}[list_position({_ROMAN}, lower(string_split_regex(x, '[–-]')[1])):list_position({_ROMAN}, lower(string_split_regex(x, '[–-]')[2]))], lambda n: case when x[1:1] = lower(x[1:1]) then n else upper(n) end)
+    when regexp_full_match(x, '[a-zA-Z0-9][–-][a-zA-Z0-9]') and ascii(x[1:1]) <= ascii(x[-1:]) then list_transform(range(ascii(x[1:1]), ascii(x[-1:]) + 1), lambda c: chr(cast(c as int))) else string_split_regex(x, '[–-]') end)))) end"""
 
 
-@query("c6_implied_labels", f"{SPANS} select figure_id, pos, list_aggregate({_IMPLIED}, 'string_agg', ',') as labels from spans where kind = 'alpha'")
+@query("c6_implied_labels", f"{SPANS} select figure_id, kind, pos, list_aggregate({_IMPLIED}, 'string_agg', ',') as labels from spans")
 def c6(spark, d):
-    return spans(spark, d).where("kind = 'alpha'").select(G, "pos", F.array_join(cp.implied_labels(F.col("span")), ",").alias("labels"))
+    return spans(spark, d).select(G, "kind", "pos", F.array_join(cp.implied_labels(F.col("span"), F.col("kind")), ",").alias("labels"))
 
 
 @query("c7_char_range", f"{CAP} select figure_id, array_to_string(list_transform(range(figure_id % 5, figure_id % 5 + figure_id % 7 + 1), lambda i: chr(cast(97 + i as int))), ',') as letters, array_to_string(['i','ii','iii','iv','v','vi','vii','viii','ix','x','xi','xii','xiii','xiv','xv'][figure_id % 5 + 1:figure_id % 5 + figure_id % 7 + 1], ',') as romans from cap")
@@ -147,16 +163,16 @@ def c14(spark, d):
     return derived(spark, d, "cap").select(G, cp.normalize_caption(odd).alias("caption"))
 
 
-_SEG = rf"""{MIX}, g as (select figure_id, regexp_replace(caption, '\b(denoted|corresponds|extracted|indicated|shown|corresponding)( in| by| to| from)? \(([^()]*)\)', '\1\2 ⟨\3⟩', 'g') as c from mix),
-z as (select figure_id, regexp_split_to_array(c, '{_ALPHA}') as p, regexp_extract_all(c, '{_ALPHA}') as s from g),
-seg as (select figure_id, cast(i as int) as seq, s[i + 1] as span, translate(trim(p[i + 2]), '⟨⟩', '()') as segment from (select *, unnest(range(0, len(s))) as i from z))"""
+_SEG = rf"""{SPANS}, g as (select figure_id, delimiter, regexp_replace(caption, '(?i)\b(denoted|corresponds|extracted|indicated|shown|corresponding)( in| by| to| from)? \(([^()]*)\)', '\1\2 ⟨\3⟩', 'g') as c from mix join delims using (figure_id)),
+z as materialized ({" union all ".join(f"select figure_id, delimiter, regexp_split_to_array(c, '{p}') as p, regexp_extract_all(c, '{p}') as s from g where delimiter = '{k}'" for k, p in _PATTERNS.items())}),
+seg as materialized (select figure_id, cast(i as int) as seq, delimiter as kind, s[i + 1] as span, translate(trim(case when trim(p[1]) <> '' and trim(translate(p[-1], '.', ' ')) = '' then p[i + 1] else p[i + 2] end), '⟨⟩', '()') as segment from (select *, unnest(range(0, len(s))) as i from z))"""
 
 
 def segs(spark, d):
     return cp.segments(mixed(spark, d), G)
 
 
-@query("c15_segments", f"{_SEG} select figure_id, seq, span, segment from seg")
+@query("c15_segments", f"{_SEG} select figure_id, seq, kind, span, segment from seg")
 def c15(spark, d):
     return segs(spark, d)
 
@@ -190,8 +206,8 @@ def c17n(spark, d):
 
 @query("c18_clean_segment", rf"{_SEG} select figure_id, seq, regexp_replace(segment, '^[\s.,;:]+|[\s.,;:]+$', '', 'g') as segment from seg")
 def c18(spark, d):
-    s = segs(spark, d)
-    return s.select(G, "seq", cp.clean_segment(F.concat("span", F.lit(" "), "segment")).alias("segment"))
+    form = F.get(F.array(*map(F.lit, ["(a)", "a)", ":b:", ". c", "(d, e)", "e, f:"])), (F.col("seq") + F.col(G) % 6).cast("int") % 6)
+    return segs(spark, d).select(G, "seq", cp.clean_segment(F.concat(form, F.lit(" "), "segment")).alias("segment"))
 
 
 @query("c19_drop_shared_text", f"""{_SEG} select figure_id, seq, segment from seg a where not exists (select 1 from seg b where b.figure_id = a.figure_id and b.seq <> a.seq and b.segment <> '' and contains(a.segment, b.segment))""")
@@ -226,7 +242,7 @@ def c23(spark, d):
 
 @query("c24_propagate_keywords", f"{_SEG}, f as (select figure_id, unnest({_IMPLIED}) as label, string_split(segment, ' ')[1] as w from seg) select figure_id, label, string_agg(distinct w, ',' order by w) as keywords from f group by all")
 def c24(spark, d):
-    rows = segs(spark, d).select(G, F.explode(cp.implied_labels(F.col("span"))).alias("label"), F.array(F.get(F.split("segment", " "), F.lit(0))).alias("keywords"))
+    rows = segs(spark, d).select(G, F.explode(cp.implied_labels(F.col("span"), F.col("kind"))).alias("label"), F.array(F.get(F.split("segment", " "), F.lit(0))).alias("keywords"))
     return cp.propagate_keywords(rows, G).select(G, "label", F.array_join("keywords", ",").alias("keywords"))
 
 

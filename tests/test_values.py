@@ -1,13 +1,15 @@
 """Queries and operators that have no twin, held against plain Python."""
 
 import random
+import re
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from figloom.operators import captions, detections, evaluation, geometry, pages
+from figloom.operators import captions, detections, evaluation, geometry, labels, pages
 from figloom.plans.registry import QUERIES
 
 D = "/root/testdata/sf0.001"
@@ -123,11 +125,62 @@ def test_similar_texts_against_plain_python(spark):
 
 @pytest.mark.parametrize("text,want", [
     ("x (a) y", [("alpha", "(a)")]), ("a) x b) y", [("alpha", "a)"), ("alpha", "b)")]), ("a: x", [("alpha", "a:")]), ("(a x", [("alpha", "(a")]), ("see :B: x", [("ALPHA", ":B:")]),
-    ("(a1) x (B2) y", [("alpha", "(a1)"), ("ALPHA", "(B2)")]), ("End. a, b so", [("alpha", ". a, b")]), ("(Upper left) x", [("position", "(Upper left")]), ("(iv) x", [("roman", "(iv)")]), ("nab) x", []),
+    ("(a1) x (B2) y", [("alpha", "(a1)"), ("ALPHA", "(B2)")]), ("End. a, b so", [("alpha", ". a, b")]), ("(Upper left) x", [("position", "(Upper"), ("position", "left)")]), ("(iv) x", [("roman", "(iv)")]), ("nab) x", []),
+    ("(i) x", [("alpha", "(i)"), ("roman", "(i)")]), ("(xlix) (l) (li)", [("alpha", "(l)"), ("roman", "(xlix)"), ("roman", "(l)")]), ("(next to) (upside  down)", [("position", "(next to)"), ("position", "down)")]),
+    ("(2, 3 and 4) of (10)", [("digit", "(2, 3 and 4)")]), ("(A AND B) x", [("ALPHA", "(A AND B)")]), ("(a, bc) (d-", [("alpha", "(a"), ("alpha", "(d")]), ("(µ) (é:", []),
 ])
 def test_label_forms(spark, text, want):
-    got = captions.label_spans(spark.createDataFrame([(1, text)], "k long, caption string"), "k").where("kind != 'roman' or span like '%v%'")
-    assert sorted((r["kind"], r["span"]) for r in got.collect()) == sorted(want) or text.startswith("(Upper") and ("position", "(Upper") in [(r["kind"], r["span"]) for r in got.collect()]
+    got = captions.label_spans(spark.createDataFrame([(1, text)], "k long, caption string"), "k")
+    assert sorted((r["kind"], r["span"]) for r in got.collect()) == sorted(want)
+
+
+def label_patterns():
+    def forms(c, more=""):
+        r = rf"{c}(?:(?:\s*(?:,|–|-|(?i:and)|,\s*(?i:and))\s*){c})*"
+        return re.compile(rf"(?:\({r}\)|{more}:{r}:|\({r}|:{r}|{r}[):])", re.ASCII)
+
+    return {
+        "alpha": forms(r"\b[a-z]\b", r"\([a-z][0-9]\)|\. [a-z]\b(?:(?:,|–) ?[a-z]\b)?|"), "ALPHA": forms(r"\b[A-Z]\b", r"\([A-Z][0-9]\)|"), "digit": forms(r"\b[0-9]\b"),
+        "roman": forms(rf"\b(?i:{'|'.join(labels.ROMAN)})\b"), "position": forms(rf"\b(?i:{'|'.join(labels.POSITIONS)})\b"),
+    }
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_automaton_against_patterns(seed):
+    rng = random.Random(seed)
+    pieces = ["(", ")", ":", ".", ",", "-", "–", " ", " ", "  ", "a", "b", "z", "A", "C", "1", "7", "a1", "B2", "iv", "II", "i", "upper", "next to", "in", "and", "AND", "gold", "shown in (a)", "x.", "\n", "(b)", "(c, d)"]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 25))) for _ in range(1500)] + [None, "", "(" * 50, "(a" + ", b" * 30_000 + ")"]
+    patterns = label_patterns()
+    for text, got in zip(texts, labels.parse(pa.array(texts)).to_pylist(), strict=True):
+        want = [(k, m.group(), m.start() + 1) for k, p in patterns.items() for m in p.finditer(text or "")]
+        assert [(s["kind"], s["span"], s["pos"]) for s in got] == want, text
+
+
+def test_captions_are_cut_at_their_own_kind(spark):
+    caps = [
+        (1, "(A) gold rods. (B) iron films."), (2, "Map. (1) one, shown in (2) too; (2) two"), (3, "(ii) two (iii–iv) more (vi) six"), (4, "(left) tip (next to) base"), (5, "Gold (a) and iron (b, c)."),
+        (6, "no labels"), (7, None), (8, "(a) x (B) y (c) z"), (9, "é (a) ü 😀 (b) ß"),
+    ]
+    df = spark.createDataFrame(caps, "k long, caption string")
+    got = {}
+    for r in captions.segments(df, "k").orderBy("k", "seq").collect():
+        got.setdefault(r["k"], []).append((r["kind"], r["span"], r["segment"]))
+    assert got == {
+        1: [("ALPHA", "(A)", "gold rods."), ("ALPHA", "(B)", "iron films.")], 2: [("digit", "(1)", "one, shown in (2) too;"), ("digit", "(2)", "two")], 3: [("roman", "(ii)", "two"), ("roman", "(iii–iv)", "more"), ("roman", "(vi)", "six")],
+        4: [("position", "(left)", "tip"), ("position", "(next to)", "base")], 5: [("alpha", "(a)", "Gold"), ("alpha", "(b, c)", "and iron")],
+        8: [("alpha", "(a)", "x (B) y"), ("alpha", "(c)", "z")], 9: [("alpha", "(a)", "ü 😀"), ("alpha", "(b)", "ß")],
+    }
+    told = captions.segments(df.withColumn("d", F.when(F.col("k") == 8, "ALPHA").otherwise("alpha")), "k", delimiter="d")
+    assert {(r["k"], r["span"]) for r in told.collect()} == {(8, "(B)"), (5, "(a)"), (5, "(b, c)"), (9, "(a)"), (9, "(b)")}
+    assert {r["k"]: r["p"] for r in df.select("k", captions.preamble(F.col("caption")).alias("p")).collect()}[2] == "Map."
+
+
+@pytest.mark.parametrize("span,kind,want", [
+    ("(i-v)", "roman", ["i", "ii", "iii", "iv", "v"]), ("(i-v)", "alpha", list("ijklmnopqrstuv")), ("(I–III)", "roman", ["I", "II", "III"]), ("(xlviii-l)", "roman", ["l", "xlix", "xlviii"]), ("(A-C and E)", "ALPHA", ["A", "B", "C", "E"]),
+    ("(2-4)", "digit", ["2", "3", "4"]), ("(Left and next to)", "position", ["Left", "next to"]), ("(c-a)", "alpha", ["a", "c"]),
+])
+def test_ranges_by_kind(spark, span, kind, want):
+    assert spark.range(1).select(captions.implied_labels(F.lit(span), F.lit(kind)).alias("l")).first()["l"] == want
 
 
 def test_elements_are_labels_where_capitals_delimit(spark):
