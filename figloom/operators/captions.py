@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from figloom.operators.labels import KINDS, POSITIONS, ROMAN
 from figloom.operators.labels import spans as span_array
+from figloom.operators.patterns import holds_none, with_held
 
 # Symbols of the chemical elements, which look like labels.
 ELEMENTS = (
@@ -72,8 +73,8 @@ def drop_chemistry(spans: DataFrame, delimiter: str = "delimiter", elements: lis
 
 
 def drop_molecules(spans: DataFrame, molecules: DataFrame) -> DataFrame:
-    """Without spans that hold a known molecule (name); Spark broadcasts the list if it is small."""
-    return spans.join(molecules.select("name"), F.contains("span", F.col("name")), "left_anti")
+    """Without spans that hold a known molecule (name); all names are looked for in one pass."""
+    return holds_none(spans, "span", molecules.select(F.col("name").alias("pattern")))
 
 
 def char_range(a: Column, b: Column, roman_first: bool = False) -> Column:
@@ -278,12 +279,17 @@ def drop_shared_text(segs: DataFrame, key: str) -> DataFrame:
     return segs.join(held, [key, "seq"], "left_anti")
 
 
-def tag(df: DataFrame, key: str, text: str, terms: dict[str, list[str]], skip_empty: bool = True) -> DataFrame:
+def tag(df: DataFrame, key: str, text: str, terms: dict[str, list[str]] | DataFrame, skip_empty: bool = True) -> DataFrame:
     """key, term of every term one of whose synonyms the text holds, case as written.
 
-    The terms are a parameter of a few hundred words at most, so they are part of the projection."""
-    hits = [F.when(F.arrays_overlap(F.array(F.lit(True)), F.array(*(F.contains(text, F.lit(s)) for s in syn if s or not skip_empty))), F.lit(t)) for t, syn in terms.items() if any(syn)]
-    return df.select(key, F.explode(F.array_compact(F.array(*hits))).alias("term"))
+    terms is a dictionary or a table (term, synonym); all synonyms are looked for in one pass. An empty synonym is held by
+    every text unless skip_empty."""
+    table = terms if isinstance(terms, DataFrame) else df.sparkSession.createDataFrame([(t, s) for t, syn in terms.items() for s in syn], "term string, synonym string")
+    found = with_held(df.select(key, F.col(text).alias("_text")), "_text", table.select(F.col("synonym").alias("pattern"), F.col("term").alias("label")), "_held")
+    if not skip_empty:
+        always = F.array(*(F.lit(r["term"]) for r in table.where("synonym = '' and term is not null").select("term").distinct().collect())).cast("array<string>")
+        found = found.withColumn("_held", F.when(F.col("_text").isNotNull(), F.array_union("_held", always)))
+    return found.select(key, F.explode("_held").alias("term"))
 
 
 def fan_out(segs: DataFrame, key: str) -> DataFrame:

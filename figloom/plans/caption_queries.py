@@ -86,6 +86,13 @@ def c5(spark, d):
     return cp.drop_molecules(spans(spark, d), spark.createDataFrame([("b, c",), ("e and",)], "name string"))
 
 
+@query("c5_molecule_table", f"""{SPANS}, m as (select distinct concat(substr('abcdefg', cast(1 + p_partkey % 7 as int), 1), ', ', substr('abcdefg', cast(1 + p_size % 7 as int), 1)) as name from part)
+  select figure_id, kind, span, pos from spans where not exists (select 1 from m where contains(span, name))""")
+def c5t(spark, d):
+    letter = lambda n: F.substring(F.lit("abcdefg"), (n % 7 + 1).cast("int"), F.lit(1))
+    return cp.drop_molecules(spans(spark, d), given(spark, d, "part").select(F.concat(letter(F.col("p_partkey")), F.lit(", "), letter(F.col("p_size"))).alias("name")).distinct())
+
+
 _IMPLIED = rf"""case when kind = 'position' then list_sort(list_distinct(list_filter(list_transform(string_split_regex(regexp_replace(span, '[().:]', '', 'g'), '(?i),|–|-|\band\b'), lambda x: trim(x)), lambda x: lower(x) in ('upper', 'left', 'in', 'out', 'end', 'right', 'top', 'below')))) else
   list_sort(list_distinct(flatten(list_transform(list_filter(string_split_regex(regexp_replace(regexp_replace(span, '[().:\s]', '', 'g'), '(?i)and', ',', 'g'), ',+'), lambda x: x <> ''),
   lambda x: case when kind = 'roman' and regexp_full_match(x, '[a-zA-Z]+[–-][a-zA-Z]+') and list_position({_ROMAN}, lower(string_split_regex(x, '[–-]')[1])) <= list_position({_ROMAN}, lower(string_split_regex(x, '[–-]')[2]))
@@ -229,6 +236,24 @@ def c21(spark, d):
     return cp.tag(derived(spark, d, "cap"), G, "caption", TERMS)
 
 
+# A taxonomy of the parts' names: the first two words are a synonym of the type's last.
+_TAXONOMY = "x as (select distinct string_split(p_type, ' ')[-1] as term, concat(string_split(p_name, ' ')[1], ' ', string_split(p_name, ' ')[2]) as synonym from part)"
+
+
+@query("c21_taxonomy", f"{CAP}, {_TAXONOMY} select distinct figure_id, term from cap join x on contains(caption, synonym)")
+def c21t(spark, d):
+    words = F.split("p_name", " ")
+    terms = given(spark, d, "part").select(F.element_at(F.split("p_type", " "), -1).alias("term"), F.concat_ws(" ", F.get(words, F.lit(0)), F.get(words, F.lit(1))).alias("synonym")).distinct()
+    return cp.tag(derived(spark, d, "cap"), G, "caption", terms)
+
+
+@query("c20_terms_of_items", """with x as (select item_id as term, unnest(list_slice(string_split(text, ' '), 1, 30)) as w from benchmark), y as (select distinct cast(term as varchar) as term, w as synonym from x where length(w) > 6)
+  select distinct doc_id, term from documents join y on contains(text, synonym)""")
+def c20t(spark, d):
+    words = given(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("term"), F.explode(F.slice(F.split("text", " "), 1, 30)).alias("synonym"))
+    return cp.tag(given(spark, d, "documents"), "doc_id", "text", words.where(F.length("synonym") > 6).distinct())
+
+
 @query("c22_fan_out", f"{_SEG} select distinct figure_id, unnest({_IMPLIED}) as label, segment from seg")
 def c22(spark, d):
     return cp.fan_out(segs(spark, d), G)
