@@ -1,7 +1,7 @@
 """Boxes as four columns x1, y1, x2, y2 (pixels, origin top left); corners only where nested records are read or written.
 
-Everything is column arithmetic; pairs of boxes are joined on their group first, so Spark hashes on it and tests the
-geometry as a residual condition."""
+Everything is column arithmetic. Pairs of boxes are joined by their group and by cells of a grid laid over it, so a crowded
+image is many tasks and only neighbours are compared; the geometry itself is tested as a residual condition."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -32,9 +32,28 @@ def inside(inner: str, outer: str, pad: float = 0) -> Column:
     return (F.col(f"{inner}_x1") > F.col(f"{outer}_x1") - pad) & (F.col(f"{inner}_y1") > F.col(f"{outer}_y1") - pad) & (F.col(f"{inner}_x2") < F.col(f"{outer}_x2") + pad) & (F.col(f"{inner}_y2") < F.col(f"{outer}_y2") + pad)
 
 
-def contained(inner: DataFrame, outer: DataFrame, group: str, pad: float = 0) -> DataFrame:
-    """Pairs of the group's boxes where the first lies in the second."""
-    return prefixed(inner, "in", (group,)).join(prefixed(outer, "out", (group,)), group).where(inside("in", "out", pad))
+#: Pixels of a grid cell's side: a cell should hold few boxes, and a box should lie in few cells.
+SIDE = 256
+
+
+def cell(x: Column | str, side: float) -> Column:
+    """The number of the cell that a coordinate lies in."""
+    return F.floor((F.col(x) if isinstance(x, str) else x) / side)
+
+
+def cells(df: DataFrame, side: float, x1: Column, y1: Column, x2: Column, y2: Column) -> DataFrame:
+    """df once for each cell that the box touches, with gx and gy; rows with null corners are left out."""
+    across = df.withColumn("gx", F.explode(F.sequence(cell(x1, side), cell(x2, side))))
+    return across.withColumn("gy", F.explode(F.sequence(cell(y1, side), cell(y2, side))))
+
+
+def contained(inner: DataFrame, outer: DataFrame, group: str, pad: float = 0, side: float = SIDE) -> DataFrame:
+    """Pairs of the group's boxes where the first lies in the second.
+
+    The outer box is dealt to all cells that it covers, the inner one to that of its first corner, so a pair meets once."""
+    o = cells(prefixed(outer, "out", (group,)), side, F.col("out_x1") - pad, F.col("out_y1") - pad, F.col("out_x2") + pad, F.col("out_y2") + pad)
+    i = prefixed(inner, "in", (group,)).withColumns({"gx": cell("in_x1", side), "gy": cell("in_y1", side)})
+    return i.join(o, [group, "gx", "gy"]).drop("gx", "gy").where(inside("in", "out", pad))
 
 
 def iou_of(a, b) -> Column:
@@ -45,12 +64,32 @@ def iou_of(a, b) -> Column:
     return F.when(both > 0, w * h / both).otherwise(F.lit(0.0))
 
 
-def iou_pairs(boxes: DataFrame, group: str, order: str) -> DataFrame:
+def overlapping(a: DataFrame, b: DataFrame, group: str, side: float = SIDE) -> DataFrame:
+    """Pairs of the group's boxes (columns a_..., b_...) that overlap, each once: both are dealt to all cells that they touch,
+    and a pair counts in the cell of the first corner that they have in common."""
+    corners = ("x1", "y1", "x2", "y2")
+    left = cells(prefixed(a, "a", (group,)), side, *(F.col(f"a_{c}") for c in corners))
+    right = cells(prefixed(b, "b", (group,)), side, *(F.col(f"b_{c}") for c in corners))
+    both = left.join(right, [group, "gx", "gy"]).where("a_x1 < b_x2 and b_x1 < a_x2 and a_y1 < b_y2 and b_y1 < a_y2")
+    return both.where((F.col("gx") == cell(F.greatest("a_x1", "b_x1"), side)) & (F.col("gy") == cell(F.greatest("a_y1", "b_y1"), side))).drop("gx", "gy")
+
+
+def iou_pairs(boxes: DataFrame, group: str, order: str, side: float = 2 * SIDE) -> DataFrame:
     """Overlapping pairs of each group's boxes, each once, with their iou."""
-    pairs = prefixed(boxes, "a", (group,)).join(prefixed(boxes, "b", (group,)), group).where(F.col(f"a_{order}") < F.col(f"b_{order}"))
+    pairs = overlapping(boxes, boxes, group, side).where(F.col(f"a_{order}") < F.col(f"b_{order}"))
     return pairs.withColumn("iou", iou_of(lambda c: F.col(f"a_{c}"), lambda c: F.col(f"b_{c}"))).where("iou > 0")
 
 
+def near(a: DataFrame, b: DataFrame, group: str, most: float) -> DataFrame:
+    """Pairs of the group's points (a: a_x, a_y; b: b_x, b_y) up to a squared distance d: a looks into the nine cells around it."""
+    side = float(most) ** 0.5 + 1
+    reach = side - 1
+    left = cells(a, side, F.col("a_x") - reach, F.col("a_y") - reach, F.col("a_x") + reach, F.col("a_y") + reach)
+    right = b.withColumns({"gx": cell("b_x", side), "gy": cell("b_y", side)})
+    far = F.pow(F.col("a_x") - F.col("b_x"), F.lit(2)) + F.pow(F.col("a_y") - F.col("b_y"), F.lit(2))
+    return left.join(right, [group, "gx", "gy"]).drop("gx", "gy").withColumn("d", far).where(F.col("d") <= most)
+
+
 def convert(boxes: DataFrame) -> DataFrame:
     """Adds w, h (corner form) and cx, cy (centre form)."""
     return boxes.select("*", (F.col("x2") - F.col("x1")).alias("w"), (F.col("y2") - F.col("y1")).alias("h"), *center())

@@ -3,7 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from figloom.operators.geometry import contained
+from figloom.operators.geometry import contained, near
 
 # Short unit forms, the units a read label may have, and nanometres of each unit.
 SHORT_UNITS = {"n": "nm", "c": "cm", "u": "um"}
@@ -80,9 +80,9 @@ def split_objects(boxes: DataFrame) -> tuple[DataFrame, DataFrame]:
 def nearest_label(lines: DataFrame, labels: DataFrame, group: str, keep_unmatched: bool = True) -> DataFrame:
     """Each line with its nearest label up to NEAR, the first of equals; distance -1 and null label without one."""
     a = lines.withColumnRenamed("idx", "line_idx")
-    b = labels.select(group, F.col("idx").alias("label_idx"), *(F.col(c).alias(f"b_{c}") for c in ("x1", "y1", "x2", "y2")))
-    far = F.pow((F.col("x1") + F.col("x2") - F.col("b_x1") - F.col("b_x2")) / 2.0, F.lit(2)) + F.pow((F.col("y1") + F.col("y2") - F.col("b_y1") - F.col("b_y2")) / 2.0, F.lit(2))
-    best = a.join(b, group).withColumn("d", far).where(F.col("d") <= NEAR).groupBy(group, "line_idx").agg(F.min(F.struct("d", "label_idx")).alias("m"))
+    x, y = (F.col("x1") + F.col("x2")) / 2.0, (F.col("y1") + F.col("y2")) / 2.0
+    pairs = near(a.select(group, "line_idx", x.alias("a_x"), y.alias("a_y")), labels.select(group, F.col("idx").alias("label_idx"), x.alias("b_x"), y.alias("b_y")), group, NEAR)
+    best = pairs.groupBy(group, "line_idx").agg(F.min(F.struct("d", "label_idx")).alias("m"))
     out = a.join(best, [group, "line_idx"], "left" if keep_unmatched else "inner")
     return out.withColumn("label_idx", F.col("m.label_idx")).withColumn("distance", F.coalesce("m.d", F.lit(-1.0))).drop("m")
 
