@@ -1,9 +1,12 @@
 """Predictions against truth, annotation sets and metric series."""
 
+import functools
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from figloom.operators.geometry import iou_of, prefixed
+from figloom.operators.geometry import iou_of
+from figloom.operators.matching import MOST_SETTINGS, matched
 
 
 def match_truth(truth: DataFrame, found: DataFrame, group: str, near: float = 100.0) -> DataFrame:
@@ -72,56 +75,56 @@ MOST = (1, 10, 100)
 RANGES = 1000
 
 
+def _flags(truth: DataFrame, found: DataFrame, group: str, settings: list[tuple[float, float, float, int]]) -> DataFrame:
+    """setting (its place in the list), confidence, n, tp: predictions that count, and those that hit.
+
+    Predictions are ranked and joined with the truth that they overlap by the figure; an image's pairs come to one row, where
+    all settings are matched at once."""
+    size = ((F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))).cast("double")
+    corners = ("x1", "y1", "x2", "y2")
+    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("confidence"), "idx"))
+    p = found.select(group, F.col("confidence").cast("double").alias("confidence"), size.alias("size"), *(F.col(c).alias(f"p_{c}") for c in corners), rank.alias("rank")).where(F.col("rank") <= max(s[3] for s in settings))
+    t = truth.select(F.col(group).alias("_g"), F.col("idx").cast("bigint").alias("truth"), size.alias("truth_size"), *(F.col(c).alias(f"t_{c}") for c in corners))
+    iou = iou_of(lambda c: F.col(f"p_{c}"), lambda c: F.col(f"t_{c}"))
+    pairs = p.join(t, (F.col(group) == F.col("_g")) & (iou >= min(s[0] for s in settings)), "left").withColumn("iou", F.when(F.col("truth").isNotNull(), iou))
+    row = F.struct("rank", (-F.col("iou")).alias("far"), "truth", "confidence", "size", "iou", "truth_size")
+    images = pairs.groupBy(group).agg(F.sort_array(F.collect_list(row)).alias("rows"))
+    told = images.select(F.explode(matched(F.col("rows"), settings)).alias("f"))
+    counts = told.select("f.*", F.explode(F.sequence(F.lit(0), F.lit(len(settings) - 1))).alias("setting")).where("(counted >> setting) & 1 = 1")
+    return counts.groupBy("setting", "confidence").agg(F.count(F.lit(1)).alias("n"), F.sum(F.expr("(hit >> setting) & 1")).alias("tp"))
+
+
+def _scores(truth: DataFrame, found: DataFrame, group: str, settings: list[tuple[float, str, int]], areas: dict[str, tuple[float, float]]) -> DataFrame:
+    """threshold, area, most, ap, recall of each setting (threshold, area, most)."""
+    flags = _flags(truth, found, group, [(t, *areas[a], m) for t, a, m in settings]).withColumn("part", F.floor(F.col("confidence") * RANGES))
+    parts = flags.groupBy("setting", "part").agg(F.sum("n").alias("n0"), F.sum("tp").alias("tp0"))
+    above = Window.partitionBy("setting").orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
+    parts = parts.select("setting", "part", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(c) for c in ("n0", "tp0")))
+    w = Window.partitionBy("setting", "part").orderBy(F.desc("confidence"))
+    curve = flags.join(parts, ["setting", "part"]).select("setting", (F.sum("tp").over(w) + F.col("tp0")).alias("tp"), (F.sum("n").over(w) + F.col("n0")).alias("n"))
+    size = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
+    totals = truth.agg(*(F.count_if((size >= lo) & (size <= hi)).alias(a) for a, (lo, hi) in areas.items()))
+    wanted = totals.select(F.explode(F.array(*(F.struct(F.lit(k).alias("setting"), F.lit(t).alias("threshold"), F.lit(a).alias("area"), F.lit(m).alias("most"), F.col(a).alias("total")) for k, (t, a, m) in enumerate(settings)))).alias("s")).select("s.*").where("total > 0")
+    curve = curve.join(F.broadcast(wanted.select("setting", "total")), "setting").select("setting", (F.col("tp") / F.col("total")).alias("recall"), (F.col("tp") / F.col("n")).alias("precision"))
+    points = curve.groupBy("setting", F.floor(F.col("recall") * 100 + 1e-9).alias("point")).agg(F.max("precision").alias("precision"), F.max("recall").alias("recall"))
+    # The best precision from a recall on holds for all points up to it that lie beyond the next lower recall met.
+    down = Window.partitionBy("setting").orderBy(F.desc("point"))
+    best = F.max("precision").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    lower = F.coalesce(F.lead("point").over(down), F.lit(-1))
+    scores = points.select("setting", "recall", (best * (F.col("point") - lower)).alias("share")).groupBy("setting").agg((F.sum("share") / 101).alias("ap"), F.max("recall").alias("recall"))
+    return wanted.join(F.broadcast(scores), "setting", "left").select("threshold", "area", "most", F.coalesce("ap", F.lit(0.0)).alias("ap"), F.coalesce("recall", F.lit(0.0)).alias("recall"))
+
+
 def precision_recall(truth: DataFrame, found: DataFrame, group: str, thresholds: list[float], areas: dict[str, tuple[float, float]] | None = None, most: int = MOST[-1]) -> DataFrame:
     """threshold, area, most, ap (interpolated at 101 points), recall, of the `most` surest predictions of each image.
 
     Each image's predictions, by falling confidence, take the free truth box of most overlap, one within the area range
     before one outside. Truth outside counts for nothing, nor do predictions that take it or that are outside themselves
-    and take none. ap and recall are null where a range holds no truth, ap is 0 where no prediction counts."""
+    and take none. A range that holds no truth has no row, ap is 0 where no prediction counts."""
     areas = areas or {"all": AREAS["all"]}
-    size = (F.col("x2") - F.col("x1")) * (F.col("y2") - F.col("y1"))
-    rank = F.row_number().over(Window.partitionBy(group).orderBy(F.desc("confidence"), "idx"))
-    p = found.select(group, F.col("idx").cast("bigint").alias("p_idx"), "confidence", size.cast("double").alias("p_size"), *(F.col(c).alias(f"p_{c}") for c in ("x1", "y1", "x2", "y2")), rank.alias("rank")).where(F.col("rank") <= most)
-    t = prefixed(truth.select(group, F.col("idx").cast("bigint").alias("idx"), size.cast("double").alias("size"), "x1", "y1", "x2", "y2"), "t", (group,))
-    pairs = p.select(group, "p_idx", *(f"p_{c}" for c in ("x1", "y1", "x2", "y2"))).join(t, group).withColumn("iou", iou_of(lambda c: F.col(f"p_{c}"), lambda c: F.col(f"t_{c}"))).where(F.col("iou") >= min(thresholds))
-    lists = pairs.groupBy(group, "p_idx").agg(F.sort_array(F.collect_list(F.struct((-F.col("iou")).alias("o"), F.col("t_idx").alias("t"), F.col("t_size").alias("size")))).alias("c"))
-    none = F.array().cast(lists.schema["c"].dataType)
-    image = p.select(group, "p_idx", "confidence", "p_size", "rank").join(lists, [group, "p_idx"], "left").groupBy(group)
-    image = image.agg(F.sort_array(F.collect_list(F.struct("rank", "confidence", F.col("p_size").alias("size"), F.coalesce("c", none).alias("c")))).alias("ps"))
-    ranges = F.array(*(F.struct(F.lit(k).alias("area"), F.lit(lo).alias("lo"), F.lit(hi).alias("hi")) for k, (lo, hi) in areas.items()))
-    image = image.withColumn("r", F.explode(ranges)).withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds))))
-    start = F.struct(F.array().cast("array<bigint>").alias("used"), F.array().cast("array<struct<confidence:double,hit:boolean>>").alias("out"))
-
-    def within(x: Column) -> Column:
-        return (x["size"] >= F.col("r.lo")) & (x["size"] <= F.col("r.hi"))
-
-    def step(acc: Column, x: Column) -> Column:
-        free = F.filter(x["c"], lambda c: (-c["o"] >= F.col("threshold")) & ~F.array_contains(acc["used"], c["t"]))
-        best = F.get(F.concat(F.filter(free, within), F.filter(free, lambda c: ~within(c))), F.lit(0))
-        used = F.when(best.isNotNull(), F.concat(acc["used"], F.array(best["t"]))).otherwise(acc["used"])
-        counts = F.coalesce(within(best), within(x))
-        flag = F.struct(x["confidence"].cast("double").alias("confidence"), best.isNotNull().alias("hit"))
-        return F.struct(used.alias("used"), F.when(counts, F.concat(acc["out"], F.array(flag))).otherwise(acc["out"]).alias("out"))
-
-    keys = ["threshold", "area"]
-    flags = image.select("threshold", F.col("r.area").alias("area"), F.explode(F.aggregate("ps", start, step)["out"]).alias("h"))
-    flags = flags.groupBy(*keys, F.col("h.confidence").alias("confidence")).agg(F.count("*").alias("n"), F.count_if("h.hit").alias("tp")).withColumn("part", F.floor(F.col("confidence") * RANGES))
-    parts = flags.groupBy(*keys, "part").agg(F.sum("n").alias("n0"), F.sum("tp").alias("tp0"))
-    above = Window.partitionBy(*keys).orderBy(F.desc("part")).rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.select(*keys, "part", *(F.coalesce(F.sum(c).over(above), F.lit(0)).alias(c) for c in ("n0", "tp0")))
-    w = Window.partitionBy(*keys, "part").orderBy(F.desc("confidence"))
-    curve = flags.join(parts, [*keys, "part"]).select(*keys, (F.sum("tp").over(w) + F.col("tp0")).alias("tp"), (F.sum("n").over(w) + F.col("n0")).alias("n"))
-    wanted = truth.select(F.explode(ranges).alias("r"), size.alias("size")).where(within(F.struct("size"))).groupBy(F.col("r.area").alias("area")).agg(F.count("*").alias("total"))
-    curve = curve.join(F.broadcast(wanted), "area").select(*keys, (F.col("tp") / F.col("total")).alias("recall"), (F.col("tp") / F.col("n")).alias("precision"))
-    points = curve.groupBy(*keys, F.floor(F.col("recall") * 100 + 1e-9).alias("point")).agg(F.max("precision").alias("precision"), F.max("recall").alias("recall"))
-    # The best precision from a recall on holds for all points up to it that lie beyond the next lower recall met.
-    down = Window.partitionBy(*keys).orderBy(F.desc("point"))
-    best = F.max("precision").over(down.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    lower = F.coalesce(F.lead("point").over(down), F.lit(-1))
-    scores = points.select(*keys, "recall", (best * (F.col("point") - lower)).alias("share")).groupBy(*keys).agg((F.sum("share") / 101).alias("ap"), F.max("recall").alias("recall"))
-    every = wanted.select("area", F.explode(F.array(*map(F.lit, thresholds))).alias("threshold"))
-    scored = every.join(F.broadcast(scores), keys, "left").select(*keys, F.lit(most).alias("most"), F.coalesce("ap", F.lit(0.0)).alias("ap"), F.coalesce("recall", F.lit(0.0)).alias("recall"))
-    return scored
+    settings = [(t, a, most) for t in thresholds for a in areas]
+    parts = [_scores(truth, found, group, settings[k : k + MOST_SETTINGS], areas) for k in range(0, len(settings), MOST_SETTINGS)]
+    return functools.reduce(DataFrame.union, parts)
 
 
 def average_precision(truth: DataFrame, found: DataFrame, group: str, thresholds: list[float]) -> DataFrame:
@@ -132,9 +135,8 @@ def average_precision(truth: DataFrame, found: DataFrame, group: str, thresholds
 def detection_summary(truth: DataFrame, found: DataFrame, group: str) -> DataFrame:
     """metric, value: the twelve numbers of a detection report, mean over overlaps .50 to .95 where none is named."""
     thresholds = [0.5 + 0.05 * k for k in range(10)]
-    rows = precision_recall(truth, found, group, thresholds, AREAS)
-    for k in MOST[:-1]:
-        rows = rows.union(precision_recall(truth, found, group, thresholds, {"all": AREAS["all"]}, k))
+    settings = [(t, a, MOST[-1]) for t in thresholds for a in AREAS] + [(t, "all", m) for t in thresholds for m in MOST[:-1]]
+    rows = _scores(truth, found, group, settings, AREAS)
     full, whole = F.col("most") == MOST[-1], F.col("area") == "all"
     told = {"AP": (full & whole, "ap"), "AP50": (full & whole & (F.col("threshold") == 0.5), "ap"), "AP75": (full & whole & (F.col("threshold") == 0.75), "ap")}
     told |= {f"AP_{a}": (full & (F.col("area") == a), "ap") for a in AREAS if a != "all"}
