@@ -146,7 +146,7 @@ def _matches(t: _Tokens, kind: str):
     at = np.flatnonzero(colon[:n] & (size[1 : n + 1] > 0))
     put(at, ends[at + 1] + colon[ends[at + 1]])
     at = np.flatnonzero(size[:n])
-    at = at[close[ends[at]] | colon[ends[at]]]
+    at = at[(close[ends[at]] | colon[ends[at]]) & ~bracket[at - 1]]  # behind a bracket that is a span already
     put(at, ends[at] + 1)
     if kind in ("alpha", "ALPHA"):
         at = np.flatnonzero(bracket[:n] & t.numbered(kind)[1 : n + 1] & close[2 : n + 2])
