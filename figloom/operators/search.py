@@ -1,10 +1,13 @@
 """Faceted search over the result tables; every facet is a filter or semi-join that Catalyst orders and pushes down."""
 
+import functools
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from figloom.operators import trigrams
+
 
 @dataclass
 class Tables:
@@ -67,15 +70,41 @@ def by_keyword(subfigures: DataFrame, figures: DataFrame, articles: DataFrame, k
     return out.where(hit).select(*subfigures.columns)
 
 
-def search(t: Tables, p: Params) -> DataFrame:
-    """All facets asked for, in order of subfigure_id (H6)."""
+def index_tables(t: Tables, path: str, buckets: int = trigrams.BUCKETS) -> dict[str, trigrams.TextIndex]:
+    """Trigram indexes of the fields that keywords are looked for in, written under path."""
+    fields = {"caption": (t.subfigure, "subfigure_id", "caption"), "full_caption": (t.figure, "figure_id", "caption"), "title": (t.article, "doi", "title")}
+    return {f: trigrams.build(df, key, text, f"{path}/{f}", buckets) for f, (df, key, text) in fields.items()}
+
+
+def by_indexed_keyword(subfigures: DataFrame, figures: DataFrame, keywords: list[str], fields: list[str], indexes: dict[str, trigrams.TextIndex]) -> DataFrame:
+    """As by_keyword, from stored trigram indexes: captions that can't hold a keyword aren't read (H5)."""
+    if not fields:
+        return subfigures
+    hits = {f: functools.reduce(DataFrame.union, [indexes[f].holding(k) for k in keywords]).distinct() for f in fields}
+    found = []
+    if "caption" in hits:
+        found.append(hits["caption"].select(F.col("id").alias("subfigure_id")))
+    own = []
+    if "full_caption" in hits:
+        own.append(hits["full_caption"].select(F.col("id").alias("figure_id")))
+    if "title" in hits:
+        own.append(figures.join(hits["title"].select(F.col("id").alias("article_id")), "article_id", "left_semi").select("figure_id"))
+    if own:
+        found.append(subfigures.join(functools.reduce(DataFrame.union, own), "figure_id", "left_semi").select("subfigure_id"))
+    return subfigures.join(functools.reduce(DataFrame.union, found), "subfigure_id", "left_semi")
+
+
+def search(t: Tables, p: Params, indexes: dict[str, trigrams.TextIndex] | None = None) -> DataFrame:
+    """All facets asked for, in order of subfigure_id; keywords by the indexes where there are any (H6)."""
     out = by_class(t.subfigure, p.classes) if p.classes else t.subfigure
     if p.min_scale is not None or p.max_scale is not None:
         out = by_scale(out, p.min_scale, p.max_scale)
         out = by_scale_confidence(out, t.scale_bar, t.scale_label, p.confidence)
     if p.open is not None:
         out = by_open(out, t.figure, t.article, p.open)
-    if p.keywords:
+    if p.keywords and indexes:
+        out = by_indexed_keyword(out, t.figure, p.keywords, p.keyword_fields, indexes)
+    elif p.keywords:
         out = by_keyword(out, t.figure, t.article, p.keywords, p.keyword_fields)
     return out.orderBy("subfigure_id")
 

@@ -1,11 +1,14 @@
 """Queries of caption joins, result tables and search over the derived figures."""
 
+import functools
+import uuid
+
 from pyspark.sql import functions as F
 
-from figloom.functions.session import materialise
-from figloom.operators import scale, search, tables
+from figloom.functions.session import materialise, shared_dir
+from figloom.operators import scale, search, tables, trigrams
 from figloom.plans.box_queries import _ASSIGN, _NEAR, assigned, box, lbl, near
-from figloom.plans.fixtures import ctes, derived
+from figloom.plans.fixtures import ctes, derived, given
 from figloom.plans.registry import query
 
 G = "figure_id"
@@ -203,6 +206,29 @@ def h6(spark, d):
     return search.search(result_tables(spark, d), p).select("subfigure_id", "classification_code", "nm_width", "caption")
 
 
+def stored_tables(spark, d):
+    """The result tables, written once: what a search reads."""
+    t = result_tables(spark, d)
+    return search.Tables(*(materialise(x) for x in (t.article, t.figure, t.subfigure, t.scale_bar, t.scale_label)))
+
+
+@query("h5_indexed_keyword", f"{_BARS} select subfigure_id from subfigure s join figure f using (figure_id) join article on doi = f.article_id where {_KEY}")
+def h5i(spark, d):
+    t = stored_tables(spark, d)
+    indexes = search.index_tables(t, f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", 16)
+    return search.by_indexed_keyword(t.subfigure, t.figure, ["Economy", "blue"], ["caption", "full_caption", "title"], indexes).select("subfigure_id")
+
+
+@query("h5_caption_pieces", f"""{_BARS}, k as (select distinct concat(substr(p_type, 2), ' image') as piece from part)
+  select distinct caption_id, piece from (select figure_id as caption_id, caption from cap) c join k on contains(lower(caption), lower(piece))""")
+def h5p(spark, d):
+    caps = derived(spark, d, "cap").select(F.col(G).alias("caption_id"), "caption")
+    index = trigrams.build(caps, "caption_id", "caption", f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", 16)
+    pieces = [r[0] for r in given(spark, d, "part").select(F.concat(F.expr("substr(p_type, 2)"), F.lit(" image"))).distinct().collect()]
+    found = [index.holding(p).select(F.col("id").alias("caption_id"), F.lit(p).alias("piece")) for p in pieces]
+    return functools.reduce(lambda a, b: a.union(b), found)
+
+
 @query("h7_page", f"{_BARS} select s.sid as subfigure_id, p.n, p.pages from (select sid from j order by sid limit 20 offset 40) s, (select count(*) as n, cast(ceil(count(*) / 20.0) as bigint) as pages from j) p")
 def h7(spark, d):
     s = result_tables(spark, d).subfigure.select("subfigure_id")
