@@ -1,11 +1,12 @@
 """Cleaning detections: confidence, non-maximum suppression, best per label, plausibility, classes, fallback, records.
 
-A group's boxes (one image) are folded inside one row; an image has tens of boxes, whatever the number of images."""
+A group's boxes (one image) come to one row; what they are compared with is found by cells of a grid, so a crowded image
+costs what its neighbours do."""
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from figloom.operators.geometry import iou_of
+from figloom.operators.suppression import stays
 
 
 def min_confidence(boxes: DataFrame, least: float, strict: bool = True) -> DataFrame:
@@ -13,31 +14,26 @@ def min_confidence(boxes: DataFrame, least: float, strict: bool = True) -> DataF
     return boxes.where(F.col("confidence") > least if strict else F.col("confidence") >= least)
 
 
-def _overlap_of_candidate(kept: Column, box: Column) -> Column:
-    """Intersection over the candidate's own area, pixels counted inclusively."""
-    w = F.greatest(F.least(kept["x2"], box["x2"]) - F.greatest(kept["x1"], box["x1"]) + 1, F.lit(0))
-    h = F.greatest(F.least(kept["y2"], box["y2"]) - F.greatest(kept["y1"], box["y1"]) + 1, F.lit(0))
-    return w * h / ((box["x2"] - box["x1"] + 1) * (box["y2"] - box["y1"] + 1))
-
-
-def _suppress(boxes: DataFrame, group: str, clash, limit: int | None) -> DataFrame:
+def _suppress(boxes: DataFrame, group: str, rule: str, most: float, limit: int | None) -> DataFrame:
     """Greedy: by falling confidence, then idx, a box stays unless it clashes with one that stayed."""
     cols = [c for c in boxes.columns if c not in (group, "confidence", "idx")]
     ranked = F.sort_array(F.collect_list(F.struct((-F.col("confidence")).alias("rank"), "idx", *cols)))
     rows = boxes.groupBy(group).agg(ranked.alias("b"))
-    kept = F.aggregate("b", F.slice("b", 1, 0), lambda acc, x: F.when(F.exists(acc, lambda k: clash(k, x)), acc).otherwise(F.concat(acc, F.array(x))))
+    corners = F.transform("b", lambda x: F.struct(*(x[c].cast("double").alias(c) for c in ("x1", "y1", "x2", "y2"))))
+    rows = rows.withColumn("keep", stays(corners, rule, most))
+    kept = F.array_compact(F.transform("b", lambda x, i: F.when(F.get("keep", i), x)))
     kept = F.slice(kept, 1, limit) if limit else kept
     return rows.select(group, F.explode(kept).alias("k")).select(group, *(F.col(f"k.{c}") for c in ("idx", *cols)), (-F.col("k.rank")).alias("confidence"))
 
 
 def nms_overlap(boxes: DataFrame, group: str, most: float) -> DataFrame:
-    """Suppression by the share of the candidate that a kept box covers, above `most`."""
-    return _suppress(boxes, group, lambda k, x: _overlap_of_candidate(k, x) > most, None)
+    """Suppression by the share of the candidate that a kept box covers, above `most`, pixels counted inclusively."""
+    return _suppress(boxes, group, "cover", most, None)
 
 
 def nms_iou(boxes: DataFrame, group: str, most: float, limit: int | None = None) -> DataFrame:
     """Suppression by intersection over union at and above `most`; the best `limit` boxes of what stays."""
-    return _suppress(boxes, group, lambda k, x: iou_of(lambda c: k[c], lambda c: x[c]) >= most, limit)
+    return _suppress(boxes, group, "iou", most, limit)
 
 
 def best_per_label(boxes: DataFrame, group: str) -> DataFrame:

@@ -5,6 +5,8 @@ import functools
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from figloom.functions.ordering import earlier, in_order
+from figloom.functions.session import materialise
 from figloom.operators.geometry import iou_of
 from figloom.operators.matching import MOST_SETTINGS, matched
 
@@ -147,12 +149,29 @@ def detection_summary(truth: DataFrame, found: DataFrame, group: str) -> DataFra
 
 
 def smooth(series: DataFrame, name: str, order: list[str], value: str, last: int = 20) -> DataFrame:
-    """Mean, maximum and lower median of the last values, the latest value, and the mean so far."""
-    w = Window.partitionBy(name).orderBy(*order)
-    recent = w.rowsBetween(-(last - 1), 0)
-    held = F.sort_array(F.collect_list(value).over(recent))
-    so_far = F.avg(value).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    return series.select(name, *order, F.avg(value).over(recent).alias("mean"), F.max(value).over(recent).alias("most"), F.get(held, F.floor((F.size(held) - 1) / 2).cast("int")).alias("median"), F.last(value).over(recent).alias("last"), so_far.alias("global_mean"))
+    """Mean, maximum and lower median of the last values, the latest value, and the mean so far.
+
+    A series is cut into ranges of its order, one a partition. Sums and counts of earlier ranges are added to those within a
+    range, and each range is given the few rows before it, so no window spans a whole series."""
+    rows = in_order(series.select(F.col(name).alias("_name"), *order, F.col(value).alias("_v")), ["_name", *order])
+    runs = rows.groupBy("_name", "_part").agg(F.min("_row").alias("first"), F.count(F.lit(1)).alias("n"), F.count("_v").alias("some"), F.sum("_v").alias("total"))
+    before = {c: F.coalesce(F.sum(c).over(earlier("_name")), F.lit(0)).alias(f"{c}_before") for c in ("n", "some", "total")}
+    runs = materialise(runs.select("_name", "_part", "first", "n", *before.values()))
+    told = runs.select(F.col("_name").alias("r_name"), F.col("_part").alias("r_part"), "first", "n", *(f"{c}_before" for c in before))
+    placed = rows.join(told, F.col("_name").eqNullSafe(F.col("r_name")) & (F.col("_part") == F.col("r_part"))).withColumn("at", F.col("n_before") + F.col("_row") - F.col("first"))
+    own = placed.select("_name", "_part", *order, "_v", "at", F.lit(False).alias("carried"), "some_before", "total_before")
+    # The last rows of a run go to every run that starts so soon behind them that its windows reach back.
+    tails = placed.where(F.col("_row") - F.col("first") >= F.col("n") - (last - 1)).select("_name", *order, "_v", "at", F.explode(F.sequence(F.col("at") + 1, F.col("at") + last - 1)).alias("start"))
+    starts = told.where("n_before > 0").select("r_name", F.col("r_part").alias("_part"), F.col("n_before").alias("start"), "some_before", "total_before")
+    tails = tails.withColumnRenamed("start", "t_start").join(starts, F.col("_name").eqNullSafe(F.col("r_name")) & (F.col("t_start") == F.col("start")))
+    carried = tails.select("_name", "_part", *order, "_v", "at", F.lit(True).alias("carried"), "some_before", "total_before")
+    w = Window.partitionBy("_name", "_part").orderBy("at")
+    recent, so_far = w.rowsBetween(-(last - 1), 0), w.rowsBetween(Window.unboundedPreceding, 0)
+    held = F.sort_array(F.collect_list("_v").over(recent))
+    mine = F.when(~F.col("carried"), F.col("_v"))
+    total, some = F.coalesce(F.sum(mine).over(so_far), F.lit(0)) + F.col("total_before"), F.count(mine).over(so_far) + F.col("some_before")
+    out = own.unionByName(carried).select(F.col("_name").alias(name), *order, "carried", F.avg("_v").over(recent).alias("mean"), F.max("_v").over(recent).alias("most"), F.get(held, F.floor((F.size(held) - 1) / 2).cast("int")).alias("median"), F.last("_v").over(recent).alias("last"), F.when(some > 0, total / some).alias("global_mean"))
+    return out.where("not carried").drop("carried")
 
 
 def reduce_metrics(metrics: DataFrame, name: str, value: str, mean: bool = True) -> DataFrame:

@@ -128,7 +128,13 @@ def c9(spark, d):
     return cp.suggested_labels(spans(spark, d).where("kind = 'alpha'"), G).select(G, F.array_join("labels", ",").alias("labels"))
 
 
-@query("c10_likely_label")
+_LIKELY = """coalesce(list_max(list_transform(o, lambda x: ascii(lower(x)))) > ascii('{l}'), false) or len(list_filter(o, lambda x: abs(ascii(lower(x)) - ascii('{l}')) = 1)) > 0
+  or (len(list_filter(g, lambda y: list_contains(y, '{l}') and list_has_any(y, o))) > 0 and len(list_filter(g, lambda y: list_contains(y, '{l}') and len(list_filter(y, lambda x: regexp_full_match(x, '[0-9]+'))) > 0)) = 0)"""
+
+
+@query("c10_likely_label", f"""{_LABELS}, s as (select figure_id, list_distinct(list(l)) as s from i group by figure_id), t as (select figure_id, s, list_transform(regexp_extract_all(caption, '\\([^)]*\\)'), lambda y: list_filter(string_split(regexp_replace(y, '[^\\w\\s]', ' ', 'g'), ' '), lambda x: x not in ('and', ''))) as g from s join mix using (figure_id)),
+  {", ".join(f"o_{x} as (select figure_id, {_LIKELY.format(l=x)} as likely_{x} from (select figure_id, g, list_filter(s, lambda x: lower(x) <> '{x}' and regexp_full_match(lower(x), '[a-z]')) as o from t))" for x in ("b", "g", "h", "q"))}
+  select figure_id, likely_b, likely_g, likely_h, likely_q from o_b join o_g using (figure_id) join o_h using (figure_id) join o_q using (figure_id)""")
 def c10(spark, d):
     s = cp.suggested_labels(spans(spark, d).where("kind = 'alpha'"), G).join(mixed(spark, d), G)
     return s.select(G, *(cp.likely_label(F.lit(x), F.col("labels"), F.col("caption")).alias(f"likely_{x}") for x in ("b", "g", "h", "q")))

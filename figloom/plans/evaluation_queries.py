@@ -168,11 +168,57 @@ def a10(spark, d):
     return files.override(b.where("kind in (1, 2)").withColumn("part", F.lit("test")), b.where("kind in (0, 1)").withColumn("part", F.lit("train")), [G, "idx"]).select(G, "idx", "part")
 
 
-@query("a11_pending", "select event_id from events where user_id not in (select user_id from events where event_type = (select min(event_type) from events))")
+@query("a10_annotation_scan", f"""{ctes("box", "lbl")}, o as (select o_orderkey as figure_id, o_orderstatus = 'F' as train from orders)
+  select concat(cast(figure_id as varchar), '.jpg') as figure_name, kind as category, cast(row_number() over (partition by figure_id, kind order by idx) - 1 as int) as pos, cast(case when train then x1 + 1 else x1 end as double) as x1, cast(y1 as double) as y1, cast(x2 as double) as x2, cast(y2 as double) as y2,
+  case when kind = 2 then text end as text from box join lbl using (figure_id, idx) join o using (figure_id) where kind <> 0""")
+def a10s(spark, d):
+    """Two sets of annotations, written as JSON with a broken line each and read back; the training set's figures override."""
+    corner = lambda x, y: F.struct(F.col(x).alias("x"), F.col(y).alias("y"))
+    b = box(spark, d).where("kind != 0").join(derived(spark, d, "lbl").select(G, "idx", "text"), [G, "idx"]).join(given(spark, d, "orders").select(F.col("o_orderkey").alias(G), (F.col("o_orderstatus") == "F").alias("train")), G)
+
+    def written(df):
+        one = F.struct("idx", F.array(corner("x1", "y1"), corner("x2", "y2")).alias("geometry"), F.when(F.col("kind") == 2, F.col("text")).alias("text"))
+        lists = {k: F.sort_array(F.collect_list(F.when(F.col("kind") == n, one))) for k, n in (("scale_bars", 1), ("scale_labels", 2))}
+        lines = df.groupBy(G).agg(*(v.alias(k) for k, v in lists.items())).select(F.to_json(F.create_map(F.concat(F.col(G).cast("string"), F.lit(".jpg")), F.struct(*lists))).alias("value"))
+        path = scratch(spark)
+        lines.union(spark.createDataFrame([('{"broken": ',)], "value string")).write.text(path)
+        return files.read_annotations(spark, path)[0]
+
+    test, train = written(b), written(b.where("train").withColumn("x1", F.col("x1") + 1))
+    return files.annotated_boxes(files.override(test, train, ["figure_name"]))
+
+
+@query("a1_read_query", "select r_name as name, 'place' as field, r_name as term from region union all select r_name, 'place', n_name from region join nation on n_regionkey = r_regionkey")
+def a1(spark, d):
+    """Search configurations, a region each, written as JSON and read back."""
+    places = given(spark, d, "region").join(given(spark, d, "nation"), F.col("n_regionkey") == F.col("r_regionkey")).groupBy("r_name").agg(F.collect_list("n_name").alias("synonyms"))
+    one = F.struct(F.col("r_name").alias("name"), F.create_map(F.lit("place"), F.struct(F.col("r_name").alias("term"), "synonyms")).alias("query"))
+    path = scratch(spark)
+    places.agg(F.to_json(F.collect_list(one)).alias("value")).write.text(path)
+    return files.read_query(spark, path)
+
+
+@query("a5_write_figures", "select doc_id, length(text) as n, lang, source from documents")
+def a5(spark, d):
+    docs, path = given(spark, d, "documents").select("doc_id", "text", F.struct("lang", "source").alias("of")), scratch(spark)
+    files.write_figures(docs, path)
+    return files.read_figures(spark, path, docs.schema).select("doc_id", F.length("text").cast("long").alias("n"), "of.lang", "of.source")
+
+
+@query("a6_read_images", "select page_id, strlen(html) + 1 as length from pages")
+def a6(spark, d):
+    """Pages as files of bytes, a folder each, and a newline at their end."""
+    path = scratch(spark)
+    given(spark, d, "pages").select("page_id", F.col("html").alias("value")).write.partitionBy("page_id").text(path)
+    found = files.read_images(spark, path, "*.txt").withColumn("path", F.input_file_name())
+    return found.select(F.regexp_extract("path", "page_id=([0-9]+)/", 1).cast("long").alias("page_id"), F.length("content").cast("long").alias("length"))
+
+
+@query("a11_pending", "select event_id from events where event_type <> (select min(event_type) from events)")
 def a11(spark, d):
     e = given(spark, d, "events")
     done = e.join(e.agg(F.min("event_type").alias("event_type")), "event_type", "left_semi")
-    return files.pending(e, done.select("user_id"), "user_id").select("event_id")
+    return files.pending(e, done.select("event_id"), "event_id").select("event_id")
 
 
 @query("j1_stream_run", "select user_id, count(*) as n, round(sum(value), 4) as total from events where value > 10 group by user_id")

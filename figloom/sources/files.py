@@ -4,6 +4,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from figloom.operators.geometry import to_box
+
 QUERY_SCHEMA = "name string, journal_family string, maximum_scraped int, sortby string, query map<string, struct<term: string, synonyms: array<string>>>, save_format array<string>, open boolean, logging array<string>"
 
 
@@ -63,6 +65,36 @@ def override(first: DataFrame, second: DataFrame, keys: list[str]) -> DataFrame:
     return both.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("_o")))).where("_r = 1").drop("_o", "_r")
 
 
+#: What an annotated object holds; other keys may come and go.
+ANNOTATED = "array<struct<geometry:array<struct<x:double,y:double>>,text:string>>"
+
+
+def read_annotations(spark: SparkSession, path: str, multi_line: bool = False) -> tuple[DataFrame, DataFrame]:
+    """(figures, rejects) of an annotation set (A10): JSON objects of figure name to {scale_bars, scale_labels}, one or more
+    figures a line, or (multi_line) a file.
+
+    Records are read as variants, so keys may differ from figure to figure: what is missing is null, what is more is passed
+    over. figures has figure_name, scale_bars, scale_labels; rejects has file, text and reason of lines that are no JSON objects
+    and of figures whose objects aren't lists of boxes."""
+    lines = spark.read.text(path, wholetext=multi_line).select(F.input_file_name().alias("file"), F.col("value").alias("text"), F.try_parse_json("value").alias("v")).where(F.trim("text") != "")
+    is_object = F.coalesce(F.schema_of_variant("v").startswith("OBJECT"), F.lit(False))
+    rows = lines.where(is_object).lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select(F.col("key").alias("figure_name"), F.col("value").alias("record")))
+    lists = {k: F.try_variant_get("record", f"$.{k}", ANNOTATED) for k in ("scale_bars", "scale_labels")}
+    odd = {k: F.coalesce(F.try_variant_get("record", f"$.{k}", "variant").isNotNull() & ~F.is_variant_null(F.try_variant_get("record", f"$.{k}", "variant")), F.lit(False)) & v.isNull() for k, v in lists.items()}
+    told = rows.select("file", "text", "figure_name", *(v.alias(k) for k, v in lists.items()), (odd["scale_bars"] | odd["scale_labels"] | ~F.coalesce(F.schema_of_variant("record").startswith("OBJECT"), F.lit(False))).alias("odd"))
+    rejects = lines.where(~is_object).select("file", "text", F.lit("no object").alias("reason")).union(told.where("odd").select("file", F.col("figure_name").alias("text"), F.lit("no list of boxes").alias("reason")))
+    return told.where("not odd").select("figure_name", "scale_bars", "scale_labels"), rejects
+
+
+def annotated_boxes(figures: DataFrame) -> DataFrame:
+    """figure_name, category (1 line, 2 label), pos, x1, y1, x2, y2, text: a row an annotated object that has a geometry."""
+    one = F.transform("scale_bars", lambda o, i: F.struct(F.lit(1).alias("category"), i.alias("pos"), o["geometry"].alias("g"), o["text"].alias("text")))
+    two = F.transform("scale_labels", lambda o, i: F.struct(F.lit(2).alias("category"), i.alias("pos"), o["geometry"].alias("g"), o["text"].alias("text")))
+    none = F.array().cast("array<struct<category:int,pos:int,g:array<struct<x:double,y:double>>,text:string>>")
+    rows = figures.select("figure_name", F.explode(F.concat(F.coalesce(one, none), F.coalesce(two, none))).alias("o")).where(F.size("o.g") > 0)
+    return rows.select("figure_name", "o.category", "o.pos", *to_box(F.col("o.g")), "o.text")
+
+
 def pending(items: DataFrame, ledger: DataFrame, key: str) -> DataFrame:
     """Items whose key isn't in the ledger yet."""
     return items.join(ledger.select(key).distinct(), key, "left_anti")
