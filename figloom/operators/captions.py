@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from figloom.operators.labels import KINDS, POSITIONS, ROMAN
 from figloom.operators.labels import spans as span_array
 from figloom.operators.patterns import holds_none, with_held
+from figloom.operators.similar import matched_rows
 
 # Symbols of the chemical elements, which look like labels.
 ELEMENTS = (
@@ -227,31 +228,9 @@ def _pairs(df: DataFrame, group: str, order: str, text: str) -> DataFrame:
     return a.join(b, group).where("i < j")
 
 
-def _common(a: Column, b: Column) -> Column:
-    """How many characters two texts have in common, wherever they stand."""
-
-    def count(t: Column, c: Column) -> Column:
-        return F.length(t) - F.length(F.replace(t, c, F.lit("")))
-
-    return F.aggregate(F.array_distinct(F.regexp_extract_all(a, F.lit("(?s)."), F.lit(0))), F.lit(0), lambda n, c: n + F.least(count(a, c), count(b, c)))
-
-
 def prune_similar(df: DataFrame, group: str, order: str, text: str, most: float) -> DataFrame:
-    """Of two texts of a group whose matching-blocks ratio is `most` or more, the shorter goes, the later of equals (C17).
-
-    The ratio can't exceed what the lengths and the characters in common allow, so only near pairs are handed to Python."""
-    import pandas as pd
-
-    @F.pandas_udf("double")
-    def ratio(a: pd.Series, b: pd.Series) -> pd.Series:
-        from difflib import SequenceMatcher
-
-        return pd.Series([SequenceMatcher(None, x, y).ratio() for x, y in zip(a, b, strict=True)])
-
-    a, b = F.col("a"), F.col("b")
-    both = F.greatest(F.length(a) + F.length(b), F.lit(1))
-    near = _pairs(df, group, order, text).where(2 * F.least(F.length(a), F.length(b)) >= most * both).where(2 * _common(a, b) >= most * both)
-    return _drop_shorter(df, near.where(ratio("a", "b") >= most), group, order)
+    """Of two texts of a group whose matching-blocks ratio is `most` or more, the shorter goes, the later of equals (C17)."""
+    return df.join(matched_rows(df, group, order, text, most), [group, order], "left_anti")
 
 
 def prune_similar_native(df: DataFrame, group: str, order: str, text: str, most: float) -> DataFrame:

@@ -3,11 +3,12 @@
 import random
 import statistics
 import time
+from difflib import SequenceMatcher
 
 import pyarrow as pa
 import pytest
 
-from figloom.operators import evaluation, suppression
+from figloom.operators import captions, evaluation, similar, suppression
 
 STRUCT = pa.list_(pa.struct([(c, pa.float64()) for c in ("x1", "y1", "x2", "y2")]))
 
@@ -86,3 +87,36 @@ def test_running_values_over_cut_series(spark, parts):
         want = naive([v for _, _, v in sorted((r for r in rows if r[0] == k), key=lambda r: r[1])])
         mine = [tuple(r)[2:] for r in sorted((r for r in got if r["name"] == k), key=lambda r: r["step"])]
         assert [tuple(None if x is None else round(x, 9) for x in r) for r in mine] == [tuple(None if x is None else round(x, 9) for x in r) for r in want]
+
+
+def ratio_brute(rows, most):
+    gone = set()
+    for a in rows:
+        for b in rows:
+            if a[0] == b[0] and a[1] < b[1] and SequenceMatcher(None, a[2], b[2]).ratio() >= most:
+                gone.add(a[:2] if len(a[2]) < len(b[2]) else b[:2])
+    return gone
+
+
+@pytest.mark.parametrize("most,block", [(0.7, 3), (0.2, 2), (0.86, 512), (1.0, 1)])
+def test_similar_texts_over_blocks(spark, monkeypatch, most, block):
+    monkeypatch.setattr(similar, "BLOCK", block)
+    rng = random.Random(block)
+    words = ["gold", "iron", "film", "rods", "on", "a", "grid", "é", "😀"]
+    rows = [(g, i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 9)))) for g in range(4) for i in range(14)]
+    df = spark.createDataFrame([*rows, (9, 0, None), (9, 1, None)], "g long, seq int, t string")
+    got = {tuple(r) for r in captions.prune_similar(df, "g", "seq", "t", most).select("g", "seq").collect()}
+    assert got == {r[:2] for r in rows} - ratio_brute(rows, most) | {(9, 0), (9, 1)}
+
+
+def test_a_group_of_ten_thousand_texts(spark):
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789"
+    strangers = ["".join(rng.choices(letters[7 * (k % 8) : 7 * (k % 8) + 9], k=10 + k // 8 * 11)) for k in range(40)]
+    near = [f"a TEM image of gold rods on a carbon film, number {i}" for i in range(10_000)]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(near + strangers)], "g long, seq int, t string")
+    began = time.time()
+    left = captions.prune_similar(df, "g", "seq", "t", 0.9)
+    stays = {r["seq"] for r in left.collect()}
+    assert time.time() - began < 120
+    assert len([s for s in stays if s < 10_000]) == 1 and stays >= {10_000 + k for k in range(40) if k % 8 == 0}
