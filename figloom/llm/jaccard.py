@@ -5,9 +5,12 @@ lower-cased); fewer words make one shingle; none make an empty set, which is lin
 100 * intersection >= percent * union.
 
 Sizes are cut into bands; a set takes part in its own band and, where a partner may be in it, the next. Linked sets of
-a band differ in at most k shingles, so if a hash cuts the domain into k + 1 + e parts, 1 + e parts at least are equal;
-each part's shingles make one signature. Parts that are empty in both sets tell nothing: a set with more than e empty
-parts is cut anew by another hash, and after the last one its empty parts are signatures, too. No link is lost.
+a band differ in at most k shingles. A hash cuts the domain into parts, and each part into n2 sub-parts: with
+floor(k / (k2 + 1)) + 1 + e parts, 1 + e of them at least hold at most k2 differences, and there n2 - k2 sub-parts are equal.
+So for each part every subset of n2 - k2 of its sub-parts makes one signature, of the shingles in them. n2 and k2 (1 and 0,
+3 and 1, or 4 and 2) are chosen for each band by a cost estimate: more subsets are more signatures, which hold more shingles
+each and so meet fewer strangers. Subsets that are empty tell nothing: a set in which more than e parts have an empty subset
+is cut anew by another hash, and after the last one its empty subsets are signatures, too. No link is lost.
 
 Equal sets are one class from the start. Classes that share a signature are candidates (the rows are counted by
 signature first; a Bloom filter of the shared ones then keeps the others from travelling). Each round compares the
@@ -30,6 +33,9 @@ Null and empty texts: n_shingles 0, component their own doc_id. Other columns ar
 may be of any length; an empty table gives an empty result.
 """
 
+from itertools import combinations
+from math import comb
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -49,26 +55,56 @@ BITS = 2048
 BROADCAST = 1_000_000
 
 
+#: (n2, k2): sub-parts of a part, and how many of them may differ.
+SHAPES = ((1, 0), (3, 1), (4, 2))
+#: What a chance meeting costs, in signatures, and how much of a stranger's set is held in common.
+MEETING, COMMON = 60, 0.5
+
+
 class Bands:
-    """Sizes of sets -> bands, and of each band the number of parts and how many may be empty."""
+    """Sizes of sets -> bands, and of each band the parts, their shape, and how many may have an empty subset."""
 
     def __init__(self, percent: int, growth: float | None = None):
         self.percent = percent
-        self.growth = growth or (100 / percent) ** 2
-        self.first, self.last, self.parts, self.spare = [1], [], [], []
+        # Narrow bands make k small, wide ones let fewer sets take part in two.
+        self.growth = growth or min(((100 / percent) ** x for x in (1, 2)), key=self._cost_of)
+        self.first, self.last, self.parts, self.shape, self.spare = [1], [], [], [], []
         self._add()
 
+    def _cost_of(self, growth: float, size: int = 500) -> float:
+        """Of a set of this size, anywhere in a band: its own band, and the next where a partner may be in it."""
+        told = 0.0
+        for x in np.linspace(0, 1, 11):
+            lo = size / growth**x
+            two = growth ** (1 - x) <= 100 / self.percent
+            told += self._plan(int(lo), int(lo * growth))[0] + two * self._plan(int(lo * growth), int(lo * growth**2))[0]
+        return told
+
+    def _plan(self, lo: int, hi: int) -> tuple[float, int, int, int]:
+        """Cost, parts, shape, spare parts for sets of lo to hi shingles."""
+        k = 2 * hi * (100 - self.percent) // (100 + self.percent)
+        plans = []
+        for shape, (n2, k2) in enumerate(SHAPES if k > 2 else SHAPES[:1]):
+            need, spare = k // (k2 + 1) + 1, 0
+            for _ in range(8 if k else 0):
+                # A part has an empty subset where n2 - k2 of its sub-parts are empty.
+                none = np.exp(-max(1, lo * self.percent / 100) / ((need + spare) * n2))
+                bad = (need + spare) * sum(comb(n2, j) * none**j * (1 - none) ** (n2 - j) for j in range(n2 - k2, n2 + 1))
+                before, spare = spare, int(np.ceil(bad + 2 * np.sqrt(bad)))
+                if spare == before or spare > 4 * need + 8:
+                    break
+            if spare <= 4 * need + 8 or not shape:
+                parts = need + spare
+                plans.append((parts * comb(n2, k2) * (1 + MEETING * COMMON ** (lo * (n2 - k2) / (parts * n2))), parts, shape, spare))
+        return min(plans)
+
     def _add(self) -> None:
         lo = self.first[-1]
         hi = max(lo, int(lo * self.growth))
-        k = 2 * hi * (100 - self.percent) // (100 + self.percent)
-        spare = 0
-        for _ in range(4):
-            m = k + 1 + spare
-            empty = m * np.exp(-max(1, lo * self.percent / 100) / m)
-            spare = int(np.ceil(empty + 2 * np.sqrt(empty))) if k else 0
+        _, parts, shape, spare = self._plan(lo, hi)
         self.last.append(hi)
-        self.parts.append(k + 1 + spare)
+        self.parts.append(parts)
+        self.shape.append(shape)
         self.spare.append(spare)
         self.first.append(hi + 1)
 
@@ -115,27 +151,43 @@ def signatures(sets: np.ndarray, at: np.ndarray, bands: Bands):
     which = np.flatnonzero(sizes > 0)
     up = which[sizes[which] * 100 // bands.percent > last[band[which]]]
     which, band = np.concatenate([which, up]), np.concatenate([band[which], band[up] + 1])
-    parts, spare = np.array(bands.parts), np.array(bands.spare)
+    shape = np.array(bands.shape)
     for seed in range(HASHES):
-        if not len(which):
-            return
-        m, n = parts[band], sizes[which]
-        base = np.concatenate([[0], np.cumsum(m)])
-        owner = np.repeat(np.arange(len(which)), n)
-        ends = np.cumsum(n)
-        values = sets[np.arange(ends[-1]) - np.repeat(ends - n - at[which], n)]
-        place = base[owner] + (((mix(values, 20 + seed) >> np.uint64(32)) * m[owner].astype(np.uint64)) >> np.uint64(32)).astype(np.int64)
-        sums = np.zeros(base[-1], np.uint64)
-        np.add.at(sums, place, mix(values, 30 + seed))
-        full = np.zeros(base[-1], bool)
-        full[place] = True
-        part = np.repeat(np.arange(len(which)), m)
-        tag = (np.arange(base[-1]) - base[part] + 1_000_003 * (band[part] * HASHES + seed)).astype(np.uint64)
-        empty = m - np.bincount(part[full], minlength=len(which))
-        go = full | (empty[part] > spare[band[part]]) if seed == HASHES - 1 else full
-        yield mix(sums[go] + mix(tag[go], 40), 41), which[part[go]]
-        again = empty > spare[band]
-        which, band = which[again], band[again]
+        again = []
+        for kind, (n2, k2) in enumerate(SHAPES):
+            mine = shape[band] == kind
+            if mine.any():
+                again.append((yield from _cut(sets, at, which[mine], band[mine], bands, seed, n2, k2)))
+        which, band = (np.concatenate(x) for x in zip(*again, strict=True)) if again else (which[:0], band[:0])
+
+
+def _cut(sets: np.ndarray, at: np.ndarray, which: np.ndarray, band: np.ndarray, bands: Bands, seed: int, n2: int, k2: int):
+    """Yields (signature, set) of the sets `which` in their bands by one hash; returns those with too many empty subsets."""
+    parts, n = np.array(bands.parts)[band], (at[1:] - at[:-1])[which]
+    base = np.concatenate([[0], np.cumsum(parts * n2)])
+    owner = np.repeat(np.arange(len(which)), n)
+    ends = np.cumsum(n)
+    values = sets[np.arange(ends[-1]) - np.repeat(ends - n - at[which], n)]
+    cells = (parts * n2)[owner].astype(np.uint64)
+    place = base[owner] + (((mix(values, 20 + seed) >> np.uint64(32)) * cells) >> np.uint64(32)).astype(np.int64)
+    sums, full = np.zeros(base[-1], np.uint64), np.zeros(base[-1], bool)
+    np.add.at(sums, place, mix(values, 30 + seed))
+    full[place] = True
+    sums, full = sums.reshape(-1, n2), full.reshape(-1, n2)
+    part = np.repeat(np.arange(len(which)), parts)
+    nth = np.arange(len(part)) - np.repeat(np.cumsum(parts) - parts, parts)
+    empty = np.bincount(part[(~full).sum(1) >= n2 - k2], minlength=len(which))
+    worse = empty > np.array(bands.spare)[band]
+    for number, subset in enumerate(combinations(range(n2), n2 - k2)):
+        content = np.zeros(len(part), np.uint64)
+        for sub in subset:
+            content = mix(content + sums[:, sub], 50)
+        tag = (nth * 8 + number + 1_000_003 * (band[part] * HASHES + seed)).astype(np.uint64)
+        go = full[:, list(subset)].any(1)
+        if seed == HASHES - 1:
+            go |= worse[part]
+        yield mix(content[go] + mix(tag[go], 40), 41), which[part[go]]
+    return which[worse], band[worse]
 
 
 def _blocks(batches, words):

@@ -82,8 +82,10 @@ def test_every_linked_pair_shares_a_signature():
     rng = np.random.default_rng(5)
     for percent in (60, 80, 90):
         bands = jaccard.Bands(percent)
-        for size in (1, 2, 5, 9, 10, 11, 19, 40, 99, 300, 1200):
-            for _ in range(6):
+        shapes = set()
+        for size in (1, 2, 5, 9, 10, 11, 19, 40, 99, 300, 1200, 3500):
+            shapes.add(bands.shape[int(bands.of(np.array([size]))[0])])
+            for _ in range(8):
                 a = rng.integers(0, 1 << 63, size, np.uint64)
                 d = rng.integers(0, max(1, size * (100 - percent) // 100) + 1)
                 b = np.concatenate([a[d:], rng.integers(0, 1 << 63, rng.integers(0, d + 1), np.uint64)])
@@ -92,6 +94,19 @@ def test_every_linked_pair_shares_a_signature():
                     continue
                 sigs = [{int(x) for sig, _ in jaccard.signatures(np.sort(s), np.array([0, len(s)]), bands) for x in sig} for s in (a, b)]
                 assert sigs[0] & sigs[1], (percent, size)
+        assert percent == 90 or len(shapes) > 1  # parts as such, and subsets of their sub-parts
+
+
+@pytest.mark.parametrize("size,most", [(150, 0.35), (300, 0.45), (1500, 0.15)])
+def test_strangers_seldom_share_a_signature(size, most):
+    """Sets that have a third of their shingles in common don't link at 80 percent; before subsets and narrow bands nine in ten met."""
+    rng = np.random.default_rng(size)
+    bands, met = jaccard.Bands(80), 0
+    for _ in range(60):
+        common, own = rng.integers(0, 1 << 63, size * 3 // 10, np.uint64), size - size * 3 // 10
+        sigs = [{int(x) for sig, _ in jaccard.signatures(np.sort(np.concatenate([common, rng.integers(0, 1 << 63, own, np.uint64)])), np.array([0, size]), bands) for x in sig} for _ in range(2)]
+        met += bool(sigs[0] & sigs[1])
+    assert met / 60 <= most
 
 
 def test_components(spark):
