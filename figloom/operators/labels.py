@@ -50,7 +50,7 @@ class _Tokens:
         dash = mark[(self.data[mark + 1] == 0x80) & (self.data[mark + 2] == 0x93)]
         for k in range(3):
             kind[dash + k] = _DASH
-        single = (kind > _BREAK) | (kind == _BREAK)
+        single = kind >= _BREAK
         begins = np.ones(len(kind), bool)
         begins[1:] = (kind[1:] != kind[:-1]) | single[1:]
         for k in (1, 2):

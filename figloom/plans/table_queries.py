@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from figloom.functions.session import materialise, shared_dir
 from figloom.operators import scale, search, tables, trigrams
-from figloom.plans.box_queries import _ASSIGN, _NEAR, assigned, box, lbl, near
+from figloom.plans.box_queries import _ASSIGN, _NEAR, assigned, lbl, near
 from figloom.plans.fixtures import ctes, derived, given
 from figloom.plans.registry import query
 
