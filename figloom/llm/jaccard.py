@@ -47,6 +47,8 @@ from figloom.llm.components import components
 from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_hashes, word_spans
 
 HASHES = 3
+#: Signatures that a task counts.
+SIGNATURES = 2_000_000
 #: Pairs a class and bucket that are compared one by one.
 SMALL_BUCKET = 8
 #: Bits of a set's bitmap.
@@ -216,9 +218,47 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs array<long>")
 
 
+def _counted(old: tuple[np.ndarray, np.ndarray], sig: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Different signatures and how often each occurs, with further ones."""
+    every, place = np.unique(np.concatenate([old[0], sig]), return_inverse=True)
+    total = np.zeros(len(every), np.int64)
+    np.add.at(total, place, np.concatenate([old[1], count]))
+    return every, total
+
+
+def _recurring(sized: DataFrame) -> DataFrame:
+    """sig: the signatures that occur on two rows or more.
+
+    They are summed up a batch of rows before they travel, so one that most rows have is few rows; a task then holds the
+    different signatures of its partition as plain numbers, some millions by the choice of partitions."""
+    none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+
+    def combined(batches):
+        for batch in batches:
+            sig, count = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            for lo in range(0, len(sig), SIGNATURES // 20):
+                part = slice(lo, lo + SIGNATURES // 20)
+                yield pa.RecordBatch.from_arrays([pa.array(sig[part]), pa.array(count[part])], ["sig", "c"])
+
+    def summed(batches):
+        held, waiting = none, []
+        for batch in batches:
+            waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            if sum(len(x) for x, _ in waiting) > max(len(held[0]) // 2, SIGNATURES // 4):
+                held, waiting = _counted(held, *(np.concatenate(x) for x in zip(*waiting, strict=True))), []
+        if waiting:
+            held = _counted(held, *(np.concatenate(x) for x in zip(*waiting, strict=True)))
+        yield pa.RecordBatch.from_arrays([pa.array(held[0][held[1] > 1])], ["sig"])
+
+    spark = sized.sparkSession
+    total = sized.agg(F.sum(F.size("sigs"))).first()[0] or 0
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SIGNATURES))
+    return sized.select("sigs").mapInArrow(combined, "sig long, c long").repartition(parts, "sig").mapInArrow(summed, "sig long")
+
+
 def shared_signatures(sized: DataFrame, filter_bytes: int) -> DataFrame:
     """sig, d1: the signatures that occur on two rows of sized or more."""
-    shared = materialise(sized.select(F.explode("sigs").alias("sig")).groupBy("sig").agg(F.count(F.lit(1)).alias("c")).where("c > 1").select("sig"))
+    shared = materialise(_recurring(sized))
     table = sized.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length()))))
 
     def run(batches):
