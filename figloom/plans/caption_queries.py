@@ -253,10 +253,10 @@ def c21t(spark, d):
     return cp.tag(derived(spark, d, "cap"), G, "caption", terms)
 
 
-@query("c20_terms_of_items", """with x as (select item_id as term, unnest(list_slice(string_split(text, ' '), 1, 30)) as w from benchmark), y as (select distinct cast(term as varchar) as term, w as synonym from x where length(w) > 6)
+@query("c20_terms_of_items", """with x as (select item_id as term, unnest(string_split(text, ' ')) as w from benchmark), y as (select distinct cast(term as varchar) as term, w as synonym from x where length(w) > 6)
   select distinct doc_id, term from documents join y on contains(text, synonym)""")
 def c20t(spark, d):
-    words = given(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("term"), F.explode(F.slice(F.split("text", " "), 1, 30)).alias("synonym"))
+    words = given(spark, d, "benchmark").select(F.col("item_id").cast("string").alias("term"), F.explode(F.split("text", " ")).alias("synonym"))
     return cp.tag(given(spark, d, "documents"), "doc_id", "text", words.where(F.length("synonym") > 6).distinct())
 
 

@@ -22,7 +22,7 @@ def normal(v):
     return float(f"{v:.9g}") if isinstance(v, float) and not math.isnan(v) else v
 
 
-SOME = "a8_insert_ignore b6_article_links b12_figure_blocks c1_label_spans c15_segments c23_unique_remainder d4_contained d7_letterbox e2_nms_overlap e6_classify f7_nearest_label f10_physical_size g1_assign_captions g6_subfigure_table h6_search i5_annotations i13_diff_results j1_stream_run j2_stream_distinct".split()
+SOME = "a8_insert_ignore a10_annotation_scan b6_article_links b9_open_links b12_figure_blocks b12_within b13_captions c2_delimiter c5_molecule_table c10_likely_label c21_taxonomy h5_indexed_keyword i10_smooth c1_label_spans c15_segments c23_unique_remainder d4_contained d7_letterbox e2_nms_overlap e6_classify f7_nearest_label f10_physical_size g1_assign_captions g6_subfigure_table h6_search i5_annotations i13_diff_results j1_stream_run j2_stream_distinct".split()
 
 
 @pytest.mark.parametrize("name", SOME)
