@@ -1,5 +1,6 @@
 """Session helpers: where tables may be cut from their lineage, and how one is written there."""
 
+import gc
 import tempfile
 import uuid
 
@@ -45,5 +46,7 @@ def discard(*tables: DataFrame | None) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Have the driver collect its garbage, upon which Spark deletes the shuffle files of steps that are over."""
+    """Have the driver collect its garbage, upon which Spark deletes the shuffle files of steps that are over: first Python's,
+    whose frames hold on to the plans of these steps."""
+    gc.collect()
     spark._jvm.System.gc()
