@@ -259,6 +259,7 @@ def _recurring(sized: DataFrame) -> DataFrame:
 def shared_signatures(sized: DataFrame, filter_bytes: int) -> DataFrame:
     """sig, d1: the signatures that occur on two rows of sized or more."""
     shared = materialise(_recurring(sized))
+    release(sized.sparkSession)
     table = sized.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length()))))
 
     def run(batches):
