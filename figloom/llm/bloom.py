@@ -5,6 +5,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from figloom.llm.textblocks import mix
+
 WORDS = 8
 
 
@@ -16,14 +18,16 @@ def bits(h: np.ndarray, blocks: int):
     return block.astype(np.int64), masks
 
 
-def build(keys: DataFrame, hashed: Column, filter_bytes: int) -> np.ndarray:
-    """Blocks of eight words over all keys; filter_bytes at most reach the driver, however many keys there are."""
+def build(keys: DataFrame, hashed: Column, filter_bytes: int, seed: int | None = None) -> np.ndarray:
+    """Blocks of eight words over all keys, scrambled first where a seed is given; filter_bytes at most reach the driver,
+    however many keys there are."""
     blocks = max(1, filter_bytes // (8 * WORDS))
     schema = "block long, " + ", ".join(f"w{k} long" for k in range(WORDS))
 
     def partial(batches):
         for batch in batches:
-            block, masks = bits(batch.column(0).to_numpy(zero_copy_only=False), blocks)
+            h = batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64)
+            block, masks = bits(h if seed is None else mix(h, seed), blocks)
             order = np.argsort(block, kind="stable")
             block, masks = block[order], masks[order]
             first = np.flatnonzero(np.diff(block, prepend=-1))

@@ -251,7 +251,7 @@ def leaks(docs: DataFrame, items: DataFrame, most_edits: float = 0.2, recall: fl
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     items = items.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text is not null")
     blocks = -(-items.count() // block_items)
-    out = spark.createDataFrame([], _PAIR)
+    out = None
     for b in range(blocks):
         some = items if blocks == 1 else items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b)
         shared = spark.sparkContext.broadcast(build_index([tuple(r) for r in some.collect()], most_edits, recall, agree))
@@ -267,5 +267,8 @@ def leaks(docs: DataFrame, items: DataFrame, most_edits: float = 0.2, recall: fl
                         ids = batch.column(0).take(pa.array([lo + x for x in t]))
                         yield pa.RecordBatch.from_arrays([ids, pa.array([index.ids[x] for x in k], pa.int64()), pa.array(d, pa.int32()), pa.array([len(index.terms[x]) for x in k], pa.int32()), pa.array(s, pa.int32())], [c.split()[0] for c in _PAIR.split(", ")])
 
-        out = out.union(texts.mapInArrow(run, _PAIR))
+        found = texts.mapInArrow(run, _PAIR)
+        out = found if out is None else out.union(found)
+    # An empty table of Python rows beside the others would hold workers of its own.
+    out = spark.createDataFrame([], _PAIR) if out is None else out
     return out.groupBy("doc_id", "item_id").agg(F.min(F.struct("edits", "item_terms", "start")).alias("b")).select("doc_id", "item_id", "b.*")

@@ -33,6 +33,7 @@ Null and empty texts: n_shingles 0, component their own doc_id. Other columns ar
 may be of any length; an empty table gives an empty result.
 """
 
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -49,6 +50,8 @@ from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_h
 HASHES = 3
 #: Signatures that a task counts.
 SIGNATURES = 2_000_000
+#: Signatures a row that are counted at a time, and turns at most: with more, their shuffle takes more disk than the texts.
+TURN, TURNS = 100, 4
 #: Pairs a class and bucket that are compared one by one.
 SMALL_BUCKET = 8
 #: Bits of a set's bitmap.
@@ -226,8 +229,8 @@ def _counted(old: tuple[np.ndarray, np.ndarray], sig: np.ndarray, count: np.ndar
     return every, total
 
 
-def _recurring(sized: DataFrame) -> DataFrame:
-    """sig: the signatures that occur on two rows or more.
+def _recurring(sized: DataFrame, partitions: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """sig: the signatures that occur on two rows or more, of those that leave the rest `turn` when divided by `turns`.
 
     They are summed up a batch of rows before they travel, so one that most rows have is few rows; a task then holds the
     different signatures of its partition as plain numbers, some millions by the choice of partitions."""
@@ -235,7 +238,8 @@ def _recurring(sized: DataFrame) -> DataFrame:
 
     def combined(batches):
         for batch in batches:
-            sig, count = np.unique(batch.column(0).flatten().to_numpy(zero_copy_only=False), return_counts=True)
+            sig = batch.column(0).flatten().to_numpy(zero_copy_only=False)
+            sig, count = np.unique(sig[sig % turns == turn] if turns > 1 else sig, return_counts=True)
             for lo in range(0, len(sig), SIGNATURES // 20):
                 part = slice(lo, lo + SIGNATURES // 20)
                 yield pa.RecordBatch.from_arrays([pa.array(sig[part]), pa.array(count[part])], ["sig", "c"])
@@ -250,16 +254,25 @@ def _recurring(sized: DataFrame) -> DataFrame:
             held = _counted(held, *(np.concatenate(x) for x in zip(*waiting, strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(held[0][held[1] > 1])], ["sig"])
 
+    return sized.select("sigs").mapInArrow(combined, "sig long, c long").repartition(partitions, "sig").mapInArrow(summed, "sig long")
+
+
+def _all_recurring(sized: DataFrame) -> list[DataFrame]:
+    """The recurring signatures in as many tables as there are turns; each turn's shuffle goes before the next."""
     spark = sized.sparkSession
-    total = sized.agg(F.sum(F.size("sigs"))).first()[0] or 0
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SIGNATURES))
-    return sized.select("sigs").mapInArrow(combined, "sig long, c long").repartition(parts, "sig").mapInArrow(summed, "sig long")
+    rows, total = sized.agg(F.count("*"), F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()
+    turns = min(TURNS, max(1, -(-total // (TURN * max(1, rows)))))
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (turns * SIGNATURES)))
+    out = []
+    for turn in range(turns):
+        out.append(materialise(_recurring(sized, partitions, turn, turns)))
+        release(spark)
+    return out
 
 
 def shared_signatures(sized: DataFrame, filter_bytes: int) -> DataFrame:
     """sig, d1: the signatures that occur on two rows of sized or more."""
-    shared = materialise(_recurring(sized))
-    release(sized.sparkSession)
+    shared = reduce(DataFrame.union, _all_recurring(sized))
     table = sized.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length()))))
 
     def run(batches):
@@ -290,12 +303,19 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int)
 
 
 def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
-    """pairs (u, v, ...; written or small) with n_u, s_u, n_v, s_v; where few nodes are asked for, only their sets travel."""
-    nodes = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    if nodes.count() <= BROADCAST:
-        sets = sets.join(F.broadcast(nodes), "node", "left_semi")
-    a, b = (sets.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col(column).alias(f"s_{k}")) for k in "uv")
-    return pairs.join(a, "u").join(b, "v")
+    """pairs (u, v, ...; written or small) with n_u, s_u, n_v, s_v; where few nodes are asked for on a side, only their sets
+    travel to it, and where all of one side's are small, they are broadcast: pairs have many u to a v, or few of both."""
+    out = pairs
+    for k in "uv":
+        nodes = pairs.select(F.col(k).alias("node")).distinct()
+        some, small = sets, False
+        if nodes.count() <= BROADCAST:
+            some = sets.join(F.broadcast(nodes), "node", "left_semi")
+            elements = F.sum("n") if column == "shingles" else F.count("*") * (BITS // 64)
+            small = k == "v" and (some.agg(elements).first()[0] or 0) <= BROADCAST
+        some = some.select(F.col("node").alias(k), F.col("n").alias(f"n_{k}"), F.col(column).alias(f"s_{k}"))
+        out = out.join(F.broadcast(some) if small else some, k)
+    return out
 
 
 def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -314,11 +334,10 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int
     sized = materialise(whole.drop("sigs"))
     classes = sized.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     nodes = classes.select("d1", "node", "n").where("node is not null")
-    members = materialise(shared_signatures(whole, filter_bytes).join(nodes, "d1").select("sig", "node", "n").distinct())
+    members = materialise(shared_signatures(whole, filter_bytes).join(_few(nodes, nodes.count()), "d1").select("sig", "node", "n").distinct())
     discard(whole)
     release(docs.sparkSession)
     comps = _component_of(docs, members, words, percent, broadcast_ids)
-    discard(members)
     out = sized.join(classes.withColumnRenamed("node", "class_id"), ["n", "d1", "d2"], "left")
     out = out.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left") if comps is not None else out.withColumn("comp", F.lit(None).cast("long"))
     own = F.when(F.col("n") == 0, F.col("doc_id"))
@@ -326,8 +345,11 @@ def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int
 
 
 def _component_of(docs, members, words, percent, broadcast_ids):
-    """node, comp of the classes that are linked to one of a lesser id; None where there are none."""
+    """node, comp of the classes that are linked to one of a lesser id; None where there are none. What is read for the last
+    time goes at once, members first."""
     buckets, comps, sets, first = materialise(_unsettled(members, None)), None, None, True
+    discard(members)
+    release(docs.sparkSession)
     while not buckets.isEmpty():
         if sets is None:
             sets = materialise(_sets_of(docs, buckets.select("node").distinct(), words, broadcast_ids))
@@ -342,9 +364,10 @@ def _component_of(docs, members, words, percent, broadcast_ids):
             buckets = large
         else:
             near = _differences(_by_hub(large, star) if first else _by_bucket(large, star), percent)
+            discard(star)
+            release(docs.sparkSession)
             comps = _joined(comps, near.where("direct and u != hub").select("u", F.col("hub").alias("v")))
             fresh = _next_buckets(near, comps, percent)
-            discard(near)
             pairs = pairs.union(_pairs_within(fresh.where("not cross"))).union(_pairs_across(fresh.where("cross"))).distinct()
             buckets = fresh.where(F.col("pairs") > 2 * SMALL_BUCKET)
         pairs = materialise(pairs.where(f"least(n_u, n_v) * 100 >= {percent} * greatest(n_u, n_v)").select("u", "v"))
@@ -448,6 +471,8 @@ def _next_buckets(near: DataFrame, comps: DataFrame | None, percent: int) -> Dat
     # Classes apart weigh at least 1 - least, as they don't link with the hub; any class weighs at least `least`.
     rows = rows.withColumn("narrow", prefix(1 - F.col("least"))).withColumn("wide", F.when(F.col("apart"), prefix(F.col("least"))).otherwise(F.col("narrow")))
     rows = materialise(rows.where("wide > 0").select("v", "u", "n", "comp", "apart", "k", "narrow", "wide", "d"))
+    discard(near)
+    release(near.sparkSession)
     elements = rows.select("v", "u", F.explode("d").alias("g"))
     counts = elements.groupBy("v", "g").agg(F.count("*").alias("c")).where("c > 1")
     # Elements of one class alone are the rarest and meet nobody, so they only move the ranks of the others.

@@ -299,8 +299,4 @@ def remove_repeats(docs: DataFrame, width: int = 35, carry: tuple[str, ...] = ()
 
 
 def _filter(repeated: DataFrame, filter_bytes: int) -> np.ndarray:
-    def scrambled(batches):
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([pa.array(mix(batch.column(0).to_numpy(zero_copy_only=False).view(np.uint64), 9).view(np.int64))], ["h"])
-
-    return bloom.build(repeated.select("mini").mapInArrow(scrambled, "h long"), F.col("h"), filter_bytes)
+    return bloom.build(repeated, F.col("mini"), filter_bytes, seed=9)

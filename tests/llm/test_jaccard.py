@@ -1,3 +1,4 @@
+import os
 import random
 import re
 
@@ -113,3 +114,37 @@ def test_components(spark):
     edges = [(i, i + 1) for i in range(20)] + [(30, 31), (31, 30), (40, 40), (None, 3), (60, 50), (70, 60), (80, 50)]
     got = {r["node"]: r["comp"] for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {**{i: 0 for i in range(1, 21)}, 31: 30, 60: 50, 70: 50, 80: 50}
+
+
+def test_signatures_counted_in_turns(spark, monkeypatch):
+    monkeypatch.setattr(jaccard, "TURN", 20)
+    kept = []
+    monkeypatch.setattr(jaccard, "_recurring", lambda *a, f=jaccard._recurring: kept.append(a[2:]) or f(*a))
+    rows = texts(11)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 5, 80) and kept == [(k, jaccard.TURNS) for k in range(jaccard.TURNS)]
+
+
+def test_tables_read_for_the_last_time_go(spark, monkeypatch):
+    """Members and the differences from the hubs aren't kept on disk while the next buckets are made."""
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", 2)
+    stored, seen = [], []
+
+    def materialise(df, f=jaccard.materialise):
+        out = f(df)
+        stored.append((tuple(out.columns), out.stored_at))
+        return out
+
+    def next_buckets(*a, f=jaccard._next_buckets):
+        gone = {("sig", "node", "n"), ("u", "v", "n_u", "n_v", "links", "d")}
+        seen.extend(os.path.exists(path.removeprefix("file:")) for columns, path in stored if columns in gone)
+        return f(*a)
+
+    monkeypatch.setattr(jaccard, "materialise", materialise)
+    monkeypatch.setattr(jaccard, "_next_buckets", next_buckets)
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(160)]
+    rows = [(i, " ".join(shared + [f"w{rng.randrange(9000)}" for _ in range(30 + i % 12)])) for i in range(80)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 5, 80)
+    assert seen and not any(seen)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from figloom.llm import decontaminate, substrings
 from tests.llm.test_jaccard import brute as groups
 from tests.llm.test_substrings import brute as repeats
 
@@ -66,3 +67,20 @@ def test_repeated_rows_clashing_ids_and_columns(spark):
 def test_empty_table(spark, name, stage):
     empty = spark.read.parquet(f"{D}/documents.parquet").limit(0)
     assert stage(spark, empty, D).count() == 0
+
+
+def test_one_python_worker_a_task(spark, monkeypatch):
+    """Idle workers stay and take turns, so a task with two of them doubles what an executor holds from then on."""
+    plans = []
+
+    def build(keys, *a, f=substrings.bloom.build, **k):
+        plans.append(keys._jdf.queryExecution().executedPlan().toString())
+        return f(keys, *a, **k)
+
+    monkeypatch.setattr(substrings.bloom, "build", build)
+    docs = spark.read.parquet(f"{D}/documents.parquet")
+    corpus_pipeline.repeated_passages(spark, docs, D).count()
+    assert len(plans) == 1 and "MapInArrow" not in plans[0]
+    found = decontaminate.leaks(docs, spark.read.parquet(f"{D}/benchmark.parquet"))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1 and "ExistingRDD" not in plan
