@@ -19,8 +19,12 @@ and are done. In buckets where a class has few others to be compared with (SMALL
 compared: bitmaps rule out most, as two sets differ in at least as many shingles as their bitmaps in bits, and the sets of
 the rest are intersected.
 
-In a larger bucket (at first, in all that have one hub), the shingles that most classes have or lack against the hub make
-the consensus, and each class is known by its difference from that. Two classes differ by the sum of their differences less
+The classes of larger buckets with one hub, up to some thousands (GROUP), are a group whose bitmaps one task compares, so that strangers
+who meet in many buckets are told apart without their sets: first each class with one partner at most that its bitmap leaves,
+then, between the components that come of it, all; a group that leaves few pairs is done, and these are intersected.
+
+In what is larger yet or leaves many pairs (at first, in all buckets that have one hub), the shingles that most classes have or
+lack against the hub make the consensus, and each class is known by its difference from that. Two classes differ by the sum of their differences less
 twice what these share. So pairs that link without sharing anything link with the class next to the consensus, too, and
 that star is all they need. What the star's component doesn't hold is apart. A pair with a class apart shares a number of
 elements that follows from the sizes, so it meets in one of the rarest elements of both (a prefix): more of the class
@@ -54,6 +58,8 @@ SIGNATURES = 2_000_000
 TURN, TURNS = 100, 4
 #: Pairs a class and bucket that are compared one by one.
 SMALL_BUCKET = 8
+#: Classes with one hub whose bitmaps are compared in one task: SMALL_BUCKET to this power, 4096.
+GROUP = 4
 #: Bits of a set's bitmap.
 BITS = 2048
 #: Rows, or elements of arrays, up to which a table of one row a hub is broadcast.
@@ -353,17 +359,27 @@ def _component_of(docs, members, words, percent, broadcast_ids):
     while not buckets.isEmpty():
         if sets is None:
             sets = materialise(_sets_of(docs, buckets.select("node").distinct(), words, broadcast_ids))
-        star = materialise(_star(buckets, sets, percent))
-        release(docs.sparkSession)
-        comps = _joined(comps, star.where("links").select("u", "v"))
+        spokes = materialise(buckets.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
+        comps = _joined(comps, linked_pairs(spokes, sets, percent))
         left = materialise(_unsettled(buckets.select("sig", "node", "n"), comps))
-        discard(buckets)
+        discard(buckets, spokes)
+        release(docs.sparkSession)
         pairs = _pairs_within(left.where(F.col("node") != F.col("hub")).withColumn("pairs", F.col("size") - 1))
-        large = left.where(F.col("size") > 2 * SMALL_BUCKET)
+        large, apart, star, found = left.where(F.col("size") > 2 * SMALL_BUCKET), None, None, None
+        if not large.isEmpty():
+            chosen = materialise(_group_pairs(large, sets, percent, one=True))
+            comps = _joined(comps, linked_pairs(chosen.select("u", "v"), sets, percent))
+            apart = materialise(_unsettled(large.select("sig", "node", "n"), comps))
+            found = materialise(_group_pairs(apart, sets, percent, one=False))
+            discard(chosen)
+            pairs = pairs.union(found.where("u is not null").drop("hub"))
+            large = apart.join(found.where("u is null").select("hub").distinct(), "hub", "left_semi")
         if large.isEmpty():
             buckets = large
         else:
-            near = _differences(_by_hub(large, star) if first else _by_bucket(large, star), percent)
+            star = materialise(_star(large, sets))
+            release(docs.sparkSession)
+            near = _differences(_by_hub(star) if first else _by_bucket(large, star), percent)
             discard(star)
             release(docs.sparkSession)
             comps = _joined(comps, near.where("direct and u != hub").select("u", F.col("hub").alias("v")))
@@ -373,7 +389,7 @@ def _component_of(docs, members, words, percent, broadcast_ids):
         pairs = materialise(pairs.where(f"least(n_u, n_v) * 100 >= {percent} * greatest(n_u, n_v)").select("u", "v"))
         comps = _joined(comps, linked_pairs(pairs, sets, percent))
         buckets, first = materialise(_unsettled(buckets.select("sig", "node", "n"), comps)), False
-        discard(left, star, pairs)
+        discard(left, apart, star, found, pairs)
         release(docs.sparkSession)
     discard(sets)
     return comps
@@ -394,16 +410,46 @@ def _unsettled(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
     return buckets.join(sizes.where("lo < hi").drop("lo", "hi"), "sig").select("sig", "node", "n", "comp", "size", "hub")
 
 
-def _star(buckets: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """u, v, n_u, n_v, links, d of classes u and hubs v that share a bucket: of all in large buckets, where d is what only
-    one of the two has; of those in small ones that link, without d."""
-    pairs = materialise(buckets.where("node != hub").groupBy(F.col("node").alias("u"), F.col("hub").alias("v")).agg(F.max("size").alias("size")))
-    both = _sides(pairs.where(F.col("size") > 2 * SMALL_BUCKET), sets, "shingles").withColumn("d", F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")))
-    links = (100 + percent) * F.size("d") <= (100 - percent) * (F.col("n_u") + F.col("n_v"))
-    large = both.select("u", "v", "n_u", "n_v", links.alias("links"), "d")
-    small = linked_pairs(pairs.where(F.col("size") <= 2 * SMALL_BUCKET).select("u", "v"), sets, percent)
-    none = F.lit(None)
-    return large.union(small.select("u", "v", none.cast("long"), none.cast("long"), F.lit(True), none.cast("array<bigint>")))
+def _group_pairs(large: DataFrame, sets: DataFrame, percent: int, one: bool) -> DataFrame:
+    """u, v, n_u, n_v, hub: the pairs between components of the classes that have one hub in large (unsettled buckets), as far as
+    sizes and bitmaps leave them; with `one`, at most one for each class. Else a hub of more classes than GROUP allows, or
+    with more pairs than SMALL_BUCKET a class, has one row without a pair instead."""
+    classes = large.select("hub", F.col("node").alias("u"), "comp").distinct()
+    count = classes.groupBy("hub").agg((F.count("*") <= SMALL_BUCKET**GROUP).alias("fits"))
+    schema = "u long, v long, n_u long, n_v long, hub long"
+    names = ["u", "v", "n_u", "n_v", "hub"]
+
+    def run(table):
+        n, u, comp, hub = (table.column(k).to_numpy() for k in ("n", "u", "comp", "hub"))
+        order = np.lexsort((u, n))
+        n, u, comp = n[order], u[order], comp[order]
+        bits = table.column("bitmap").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)[order]
+        end = np.searchsorted(n, n * 100 // percent, "right")
+        left, right, pairs = [], [], 0
+        for i in range(len(n) - 1):
+            near = i + 1 + np.flatnonzero(comp[i + 1 : end[i]] != comp[i])
+            differ = np.bitwise_count(bits[near] ^ bits[i]).sum(1, dtype=np.int64)
+            near = near[(100 + percent) * differ <= (100 - percent) * (n[near] + n[i])][: 1 if one else None]
+            left.append(np.full(len(near), i))
+            right.append(near)
+            pairs += len(near)
+            if not one and pairs > SMALL_BUCKET * len(n):
+                return pa.table([pa.nulls(1, pa.int64())] * 4 + [pa.array(hub[:1])], names)
+        i, j = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
+        return pa.table([u[i], u[j], n[i], n[j], np.resize(hub, len(i))], names)
+
+    fit = classes.join(count.where("fits"), "hub", "left_semi")
+    out = fit.join(sets.select(F.col("node").alias("u"), "n", "bitmap"), "u").groupBy("hub").applyInArrow(run, schema)
+    if one:
+        return out
+    none = F.lit(None).cast("long")
+    return out.union(count.where("not fits").select(none, none, none, none, "hub"))
+
+
+def _star(large: DataFrame, sets: DataFrame) -> DataFrame:
+    """u, v, n_u, n_v, d of classes u and hubs v that share a large bucket; d is what only one of the two has."""
+    pairs = materialise(large.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
+    return _sides(pairs, sets, "shingles").select("u", "v", "n_u", "n_v", F.concat(F.array_except("s_u", "s_v"), F.array_except("s_v", "s_u")).alias("d"))
 
 
 def _pairs_within(rows: DataFrame) -> DataFrame:
@@ -421,11 +467,10 @@ def _pairs_across(rows: DataFrame) -> DataFrame:
     return both.toDF("u", "v", "n_u", "n_v").distinct()
 
 
-def _by_hub(large: DataFrame, star: DataFrame) -> DataFrame:
-    """v, u, n, d: the classes u that meet a hub v of a large bucket anywhere, with their differences from it."""
-    rows = star.where("d is not null").join(large.select(F.col("hub").alias("v")).distinct(), "v", "left_semi")
-    own = rows.groupBy("v").agg(F.min("n_v").alias("n")).select("v", F.col("v").alias("u"), "n", F.array().cast("array<bigint>").alias("d"))
-    return rows.select("v", "u", F.col("n_u").alias("n"), "d").union(own)
+def _by_hub(star: DataFrame) -> DataFrame:
+    """v, u, n, d: the classes u that share a large bucket with its hub v, and the hubs, with their differences from them."""
+    own = star.groupBy("v").agg(F.min("n_v").alias("n")).select("v", F.col("v").alias("u"), "n", F.array().cast("array<bigint>").alias("d"))
+    return star.select("v", "u", F.col("n_u").alias("n"), "d").union(own)
 
 
 def _by_bucket(large: DataFrame, star: DataFrame) -> DataFrame:

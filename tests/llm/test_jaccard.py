@@ -148,3 +148,33 @@ def test_tables_read_for_the_last_time_go(spark, monkeypatch):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows, 5, 80)
     assert seen and not any(seen)
+
+
+def test_strangers_of_one_hub_are_told_apart_by_bitmaps(spark, monkeypatch):
+    """No differences of whole sets are made of strangers who share many buckets; the links among them are found."""
+
+    def never(*a):
+        raise AssertionError("strangers reached the next buckets")
+
+    monkeypatch.setattr(jaccard, "_next_buckets", never)
+    rng = random.Random(3)
+    shared = [f"s{i}" for i in range(160)]
+    rows = [(i, " ".join(shared + [f"w{rng.randrange(9000)}" for _ in range(30 + i % 12)])) for i in range(80)]
+    rows += [(100 + i, text + " more" * (i % 3)) for i, text in rows[5:80:9]]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 5, 80) and len({c for _, c in got.values()}) == 80
+
+
+@pytest.mark.parametrize("small", [1, 2, 3])
+def test_two_families_and_strangers_of_one_hub(spark, monkeypatch, small):
+    """Hubs of too many classes, and those of which too many pairs are left, go on to the differences: no link is lost."""
+    monkeypatch.setattr(jaccard, "SMALL_BUCKET", small)
+    rng = random.Random(small)
+    shared = [f"s{i}" for i in range(110)]
+    rows = []
+    for family in range(3):
+        own = [f"f{family}_{i}" for i in range(55)]
+        rows += [(len(rows) + i, " ".join(shared + own[: 50 + i % 6] + [f"w{rng.randrange(9000)}" for _ in range(rng.randint(0, 30))])) for i in range(14)]
+    rows += [(100 + i, " ".join(shared + [f"w{rng.randrange(9000)}" for _ in range(60)])) for i in range(25)]
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 5, 80)
