@@ -419,11 +419,9 @@ def _group_pairs(large: DataFrame, sets: DataFrame, percent: int, one: bool) ->
     schema = "u long, v long, n_u long, n_v long, hub long"
     names = ["u", "v", "n_u", "n_v", "hub"]
 
-    def run(table):
-        n, u, comp, hub = (table.column(k).to_numpy() for k in ("n", "u", "comp", "hub"))
+    def compared(hub, u, comp, n, bits):
         order = np.lexsort((u, n))
-        n, u, comp = n[order], u[order], comp[order]
-        bits = table.column("bitmap").combine_chunks().flatten().to_numpy().view(np.uint64).reshape(len(n), -1)[order]
+        n, u, comp, bits = n[order], u[order], comp[order], bits[order]
         end = np.searchsorted(n, n * 100 // percent, "right")
         left, right, pairs = [], [], 0
         for i in range(len(n) - 1):
@@ -434,12 +432,28 @@ def _group_pairs(large: DataFrame, sets: DataFrame, percent: int, one: bool) ->
             right.append(near)
             pairs += len(near)
             if not one and pairs > SMALL_BUCKET * len(n):
-                return pa.table([pa.nulls(1, pa.int64())] * 4 + [pa.array(hub[:1])], names)
+                return pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64())] * 4 + [pa.array(hub[:1])], names)
         i, j = (np.concatenate([np.zeros(0, np.int64), *x]) for x in (left, right))
-        return pa.table([u[i], u[j], n[i], n[j], np.resize(hub, len(i))], names)
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (u[i], u[j], n[i], n[j], np.resize(hub, len(i)))], names)
+
+    def run(batches):
+        """Rows come by hub; the last hub of a batch may go on in the next."""
+        held = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = [*(batch.column(k).to_numpy() for k in range(4)), batch.column(4).flatten().to_numpy().view(np.uint64).reshape(batch.num_rows, -1)]
+            rows = rows if held is None else [np.concatenate(x) for x in zip(held, rows, strict=True)]
+            cuts = [0, *(1 + np.flatnonzero(np.diff(rows[0]))).tolist()]
+            for lo, hi in zip(cuts[:-1], cuts[1:], strict=True):
+                yield compared(*(x[lo:hi] for x in rows))
+            held = [x[cuts[-1] :] for x in rows]
+        if held is not None:
+            yield compared(*held)
 
     fit = classes.join(count.where("fits"), "hub", "left_semi")
-    out = fit.join(sets.select(F.col("node").alias("u"), "n", "bitmap"), "u").groupBy("hub").applyInArrow(run, schema)
+    fit = fit.join(sets.select(F.col("node").alias("u"), "n", "bitmap"), "u").select("hub", "u", "comp", "n", "bitmap")
+    out = fit.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, schema)
     if one:
         return out
     none = F.lit(None).cast("long")
