@@ -13,7 +13,10 @@ each and so meet fewer strangers. Subsets that are empty tell nothing: a set in
 is cut anew by another hash, and after the last one its empty subsets are signatures, too. No link is lost.
 
 Equal sets are one class from the start. Classes that share a signature are candidates (the rows are counted by
-signature first; a Bloom filter of the shared ones then keeps the others from travelling). Each round compares the
+signature first; a Bloom filter of the shared ones then keeps the others from travelling). Signatures are stored and travel
+as SIG bytes each, and are dealt to turns by their remainder: a turn's are counted, filtered and put into buckets, and go
+before the next turn's shuffles, so the disk holds one turn's at a time. Shingles aren't stored for all classes, but made
+again from the texts of those whose bitmaps leave them a pair, in turns, too. Each round compares the
 classes of a bucket with one of them, its hub, and joins what links to components; most buckets then hold one component
 and are done. In buckets where a class has few others to be compared with (SMALL_BUCKET), the pairs between components are
 compared: bitmaps rule out most, as two sets differ in at least as many shingles as their bitmaps in bits, and the sets of
@@ -37,7 +40,6 @@ Null and empty texts: n_shingles 0, component their own doc_id. Other columns ar
 may be of any length; an empty table gives an empty result.
 """
 
-from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -46,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from figloom.functions.session import discard, materialise, release
+from figloom.functions.session import append, discard, discard_part, materialise, materialise_by, release
 from figloom.llm import bloom
 from figloom.llm.components import components
 from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_hashes, word_spans
@@ -54,8 +56,14 @@ from figloom.llm.textblocks import LOWER, mix, ngram_hashes, text_blocks, word_h
 HASHES = 3
 #: Signatures that a task counts.
 SIGNATURES = 2_000_000
-#: Signatures a row that are counted at a time, and turns at most: with more, their shuffle takes more disk than the texts.
+#: Bytes of a signature as it is stored and travels. Equal ones stay equal; of billions, one in some hundred meets a stranger more.
+SIG = 5
+#: Signatures a row that are counted at a time, and turns at most (a power of two).
 TURN, TURNS = 100, 4
+#: Pieces that a task's signatures travel in, for each partition: many, so that partitions get alike.
+PIECES = 8
+#: Shingles of pairs that are intersected at a time, up to TURNS times.
+ELEMENTS = 16_000_000
 #: Pairs a class and bucket that are compared one by one.
 SMALL_BUCKET = 8
 #: Classes with one hub whose bitmaps are compared in one task: SMALL_BUCKET to this power, 4096.
@@ -208,9 +216,24 @@ def _blocks(batches, words):
             yield batch.slice(lo, hi - lo), sets, at, *_digests(sets, at)
 
 
+def _pack(sig: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """Pieces of an array of signatures, [ends[i], ends[i + 1]) each, as SIG bytes a signature."""
+    data = np.ascontiguousarray(sig.view(np.uint8).reshape(-1, 8)[:, :SIG])
+    return pa.BinaryArray.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * SIG).astype(np.int32)), pa.py_buffer(data)])
+
+
+def _unpack(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All signatures of a column of _pack, and where each row's begin (one number more than rows)."""
+    ends = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64) if len(column) else np.zeros(1, np.int64)
+    sig = np.zeros(((ends[-1] - ends[0]) // SIG, 8), np.uint8)
+    if len(sig):
+        sig[:, :SIG] = np.frombuffer(column.buffers()[2], np.uint8)[ends[0] : ends[-1]].reshape(-1, SIG)
+    return sig.view(np.int64).ravel(), (ends - ends[0]) // SIG
+
+
 def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """doc_id, n, d1, d2, sigs: the size of each row's set, 128 bits that tell sets apart, and the set's signatures (those
-    of equal sets of a block once)."""
+    """doc_id, n, d1, d2, sigs, turn: the size of each row's set, 128 bits that tell sets apart, and the set's signatures (those
+    of equal sets of a block once) that leave the rest `turn` when divided by TURNS; turn 0 has all rows."""
 
     def run(batches):
         bands = Bands(percent)
@@ -220,11 +243,16 @@ def document_sets(docs: DataFrame, words: int, percent: int) -> DataFrame:
             mine[once] = True
             found = [(sig[mine[which]], which[mine[which]]) for sig, which in signatures(sets, at, bands)] or [(np.zeros(0, np.uint64), np.zeros(0, np.int64))]
             sig, which = (np.concatenate(x) for x in zip(*found, strict=True))
-            order = np.argsort(which, kind="stable")
-            sigs = pa.ListArray.from_arrays(pa.array(np.searchsorted(which[order], np.arange(len(d1) + 1)).astype(np.int32)), pa.array(sig[order].view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(d1), pa.array(d2), sigs], ["doc_id", "n", "d1", "d2", "sigs"])
+            sig >>= np.uint64(64 - 8 * SIG)
+            place = (sig % np.uint64(TURNS)).astype(np.int64) * len(d1) + which
+            order = np.argsort(place, kind="stable")
+            ends = np.searchsorted(place[order], np.arange(TURNS * len(d1) + 1))
+            go = np.flatnonzero((np.diff(ends) > 0) | (np.arange(TURNS * len(d1)) < len(d1)))
+            row, turn = pa.array(go % len(d1)), pa.array((go // len(d1)).astype(np.int32))
+            columns = [c.take(row) for c in (part.column(0), pa.array(np.diff(at).astype(np.int64)), pa.array(d1), pa.array(d2))]
+            yield pa.RecordBatch.from_arrays([*columns, _pack(sig[order], ends).take(pa.array(go)), turn], ["doc_id", "n", "d1", "d2", "sigs", "turn"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs array<long>")
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, n long, d1 long, d2 long, sigs binary, turn int")
 
 
 def _counted(old: tuple[np.ndarray, np.ndarray], sig: np.ndarray, count: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -235,77 +263,101 @@ def _counted(old: tuple[np.ndarray, np.ndarray], sig: np.ndarray, count: np.ndar
     return every, total
 
 
-def _recurring(sized: DataFrame, partitions: int, turn: int = 0, turns: int = 1) -> DataFrame:
-    """sig: the signatures that occur on two rows or more, of those that leave the rest `turn` when divided by `turns`.
+def _turn(whole: DataFrame, turn: int, turns: int) -> DataFrame:
+    """The folders whose signatures leave the rest `turn` when divided by `turns`, which divides TURNS."""
+    return whole.where(F.col("turn") % turns == turn)
 
-    They are summed up a batch of rows before they travel, so one that most rows have is few rows; a task then holds the
+
+def _recurring(whole: DataFrame, partitions: int, turn: int = 0, turns: int = 1) -> DataFrame:
+    """sig: the signatures of a turn that occur on two rows or more.
+
+    They are told once or twice a batch of rows before they travel, so one that most rows have is few; a task then holds the
     different signatures of its partition as plain numbers, some millions by the choice of partitions."""
     none = (np.zeros(0, np.int64), np.zeros(0, np.int64))
+    pieces = partitions * PIECES
+    # Where each piece of the range of signatures begins.
+    edges = np.array([(k << 8 * SIG) // pieces for k in range(pieces + 1)], np.int64)
 
     def combined(batches):
         for batch in batches:
-            sig = batch.column(0).flatten().to_numpy(zero_copy_only=False)
-            sig, count = np.unique(sig[sig % turns == turn] if turns > 1 else sig, return_counts=True)
-            for lo in range(0, len(sig), SIGNATURES // 20):
-                part = slice(lo, lo + SIGNATURES // 20)
-                yield pa.RecordBatch.from_arrays([pa.array(sig[part]), pa.array(count[part])], ["sig", "c"])
+            sig, count = np.unique(_unpack(batch.column(0))[0], return_counts=True)
+            sig = np.repeat(sig, np.minimum(count, 2))
+            ends = np.searchsorted(sig, edges)
+            go = np.flatnonzero(np.diff(ends))
+            if len(go):
+                yield pa.RecordBatch.from_arrays([pa.array(go.astype(np.int32)), _pack(sig, ends).take(pa.array(go))], ["piece", "sigs"])
 
     def summed(batches):
         held, waiting = none, []
         for batch in batches:
-            waiting.append((batch.column(0).to_numpy(), batch.column(1).to_numpy()))
+            sig = _unpack(batch.column(0))[0]
+            waiting.append((sig, np.ones(len(sig), np.int64)))
             if sum(len(x) for x, _ in waiting) > max(len(held[0]) // 2, SIGNATURES // 4):
                 held, waiting = _counted(held, *(np.concatenate(x) for x in zip(*waiting, strict=True))), []
         if waiting:
             held = _counted(held, *(np.concatenate(x) for x in zip(*waiting, strict=True)))
         yield pa.RecordBatch.from_arrays([pa.array(held[0][held[1] > 1])], ["sig"])
 
-    return sized.select("sigs").mapInArrow(combined, "sig long, c long").repartition(partitions, "sig").mapInArrow(summed, "sig long")
-
-
-def _all_recurring(sized: DataFrame) -> list[DataFrame]:
-    """The recurring signatures in as many tables as there are turns; each turn's shuffle goes before the next."""
-    spark = sized.sparkSession
-    rows, total = sized.agg(F.count("*"), F.coalesce(F.sum(F.size("sigs")), F.lit(0))).first()
-    turns = min(TURNS, max(1, -(-total // (TURN * max(1, rows)))))
-    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (turns * SIGNATURES)))
-    out = []
-    for turn in range(turns):
-        out.append(materialise(_recurring(sized, partitions, turn, turns)))
-        release(spark)
-    return out
+    told = _turn(whole, turn, turns).select("sigs").mapInArrow(combined, "piece int, sigs binary")
+    return told.repartition(partitions, "piece").select("sigs").mapInArrow(summed, "sig long")
 
 
-def shared_signatures(sized: DataFrame, filter_bytes: int) -> DataFrame:
-    """sig, d1: the signatures that occur on two rows of sized or more."""
-    shared = reduce(DataFrame.union, _all_recurring(sized))
-    table = sized.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length()))))
+def shared_signatures(whole: DataFrame, shared: DataFrame, filter_bytes: int) -> DataFrame:
+    """sig, d1: the signatures of rows of whole that are in shared (written)."""
+    table = whole.sparkSession.sparkContext.broadcast(bloom.build(shared, F.col("sig"), min(filter_bytes, max(4096, 4 << shared.count().bit_length())), seed=9))
 
     def run(batches):
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
-                sigs = batch.column(1).slice(lo, 512)
-                row, sig = sigs.value_parent_indices(), sigs.flatten()
-                keep = pa.array(bloom.may_hold(table.value, sig.to_numpy(zero_copy_only=False)))
-                yield pa.RecordBatch.from_arrays([sig.filter(keep), batch.column(0).slice(lo, 512).take(row.filter(keep))], ["sig", "d1"])
+                sig, ends = _unpack(batch.column(1).slice(lo, 512))
+                keep = bloom.may_hold(table.value, mix(sig.view(np.uint64), 9))
+                row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[keep]
+                yield pa.RecordBatch.from_arrays([pa.array(sig[keep]), batch.column(0).slice(lo, 512).take(pa.array(row))], ["sig", "d1"])
+
+    return whole.select("d1", "sigs").mapInArrow(run, "sig long, d1 long").join(shared, "sig", "left_semi").distinct()
 
-    return sized.select("d1", "sigs").mapInArrow(run, "sig long, d1 long").join(shared, "sig", "left_semi").distinct()
 
+def _buckets(whole: DataFrame, rows: int, nodes: DataFrame, filter_bytes: int) -> DataFrame:
+    """The unsettled buckets of all signatures, turn by turn; a turn's signatures go as soon as its buckets are written."""
+    spark = whole.sparkSession
+    total = whole.agg(F.coalesce(F.sum(F.octet_length("sigs")), F.lit(0))).first()[0] // SIG
+    turns = min(TURNS, 1 << (max(1, -(-total // (TURN * max(1, rows)))) - 1).bit_length())
+    partitions = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // (turns * SIGNATURES)))
+    nodes = _few(nodes, nodes.count())
+    out = None
+    for turn in range(turns):
+        shared = materialise(_recurring(whole, partitions, turn, turns))
+        release(spark)
+        members = materialise(shared_signatures(_turn(whole, turn, turns), shared, filter_bytes).join(nodes, "d1").select("sig", "node", "n").distinct())
+        for k in range(turn, TURNS, turns):
+            discard_part(whole, "turn", k)
+        discard(shared)
+        release(spark)
+        found = _unsettled(members, None)
+        out = materialise(found) if out is None else append(out, found)
+        discard(members)
+        release(spark)
+    discard(whole)
+    return out
 
-def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int) -> DataFrame:
-    """node, n, bitmap, shingles (arrays of longs) of the wanted nodes' texts; few ids are broadcast, else the texts are shuffled."""
+
+def _sets_of(docs: DataFrame, wanted: DataFrame, words: int, broadcast_ids: int, column: str) -> DataFrame:
+    """node, n, and bitmap or shingles (arrays of longs) of the wanted nodes' texts; few ids are broadcast, else the texts are shuffled."""
     wanted = F.broadcast(wanted) if wanted.count() <= broadcast_ids else wanted
 
     def run(batches):
         for part, sets, at, _, _ in _blocks(batches, words):
-            shingles = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
+            if column == "shingles":
+                shingles = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(sets.view(np.int64)))
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), shingles], ["node", "n", column])
+                continue
             bits = np.zeros((len(at) - 1, BITS), bool)
             bits[np.repeat(np.arange(len(at) - 1), np.diff(at)), (mix(sets, 13) % np.uint64(BITS)).astype(np.int64)] = True
             packed = np.packbits(bits, axis=1, bitorder="little").view(np.int64)
             bitmaps = pa.ListArray.from_arrays(pa.array(np.arange(0, packed.size + 1, BITS // 64, dtype=np.int32)), pa.array(packed.ravel()))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), bitmaps, shingles], ["node", "n", "bitmap", "shingles"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(np.diff(at).astype(np.int64)), bitmaps], ["node", "n", column])
 
-    return docs.select("doc_id", "text").join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(run, "node long, n long, bitmap array<long>, shingles array<long>")
+    return docs.select("doc_id", "text").join(wanted.select(F.col("node").alias("doc_id")), "doc_id", "left_semi").mapInArrow(run, f"node long, n long, {column} array<long>")
 
 
 def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
@@ -324,60 +376,76 @@ def _sides(pairs: DataFrame, sets: DataFrame, column: str) -> DataFrame:
     return out
 
 
-def linked_pairs(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """u, v of the pairs that link: bitmaps first, then intersections."""
+def linked_pairs(pairs: DataFrame, bitmaps: DataFrame, shingles_of, percent: int) -> DataFrame:
+    """u, v of the pairs that link: bitmaps first, then intersections of the sets that shingles_of (nodes) makes, in turns."""
     differ = F.aggregate(F.zip_with("s_u", "s_v", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
-    may = _sides(pairs, sets, "bitmap").where((100 + percent) * differ <= (100 - percent) * (F.col("n_u") + F.col("n_v"))).select("u", "v")
+    may = _sides(pairs, bitmaps, "bitmap").where((100 + percent) * differ <= (100 - percent) * (F.col("n_u") + F.col("n_v"))).select("u", "v", (F.col("n_u") + F.col("n_v")).alias("size"))
     may = materialise(may)
-    both = _sides(may, sets, "shingles").withColumn("i", F.size(F.array_intersect("s_u", "s_v")))
-    return both.where(100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))).select("u", "v")
+    elements = may.agg(F.sum("size")).first()[0] or 0
+    turns = min(TURNS, -(-elements // ELEMENTS))
+    out = None
+    for turn in range(turns):
+        # A hub's pairs fall into one turn, so that its set is made once.
+        some = may.where(F.pmod(F.xxhash64("v"), F.lit(turns)) == turn).select("u", "v")
+        release(pairs.sparkSession)
+        sets = materialise(shingles_of(some.select(F.col("u").alias("node")).union(some.select("v")).distinct()))
+        both = _sides(some, sets, "shingles").withColumn("i", F.size(F.array_intersect("s_u", "s_v")))
+        found = both.where(100 * F.col("i") >= percent * (F.col("n_u") + F.col("n_v") - F.col("i"))).select("u", "v")
+        out = materialise(found) if out is None else append(out, found)
+        discard(sets)
+    if out is None:
+        return may.select("u", "v")
+    discard(may)
+    release(pairs.sparkSession)
+    return out
 
 
 def link(docs: DataFrame, words: int = 5, percent: int = 80, broadcast_ids: int = 1_000_000, filter_bytes: int = 1 << 24) -> DataFrame:
     """doc_id, n_shingles, class_id (least doc_id with an equal set), component_id (least doc_id reachable by links)."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    whole = materialise(document_sets(docs, words, percent))
-    sized = materialise(whole.drop("sigs"))
+    whole = materialise_by(document_sets(docs, words, percent), "turn")
+    sized = materialise(whole.where("turn = 0").drop("sigs", "turn"))
     classes = sized.where("n > 0").groupBy("n", "d1", "d2").agg(F.min("doc_id").alias("node"))
     nodes = classes.select("d1", "node", "n").where("node is not null")
-    members = materialise(shared_signatures(whole, filter_bytes).join(_few(nodes, nodes.count()), "d1").select("sig", "node", "n").distinct())
-    discard(whole)
-    release(docs.sparkSession)
-    comps = _component_of(docs, members, words, percent, broadcast_ids)
+    comps = _component_of(docs, _buckets(whole, sized.count(), nodes, filter_bytes), words, percent, broadcast_ids)
     out = sized.join(classes.withColumnRenamed("node", "class_id"), ["n", "d1", "d2"], "left")
     out = out.join(comps.withColumnRenamed("node", "class_id"), "class_id", "left") if comps is not None else out.withColumn("comp", F.lit(None).cast("long"))
     own = F.when(F.col("n") == 0, F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.coalesce(own, "class_id").alias("class_id"), F.coalesce(own, "comp", "class_id").alias("component_id"))
 
 
-def _component_of(docs, members, words, percent, broadcast_ids):
+def _component_of(docs, buckets, words, percent, broadcast_ids):
     """node, comp of the classes that are linked to one of a lesser id; None where there are none. What is read for the last
-    time goes at once, members first."""
-    buckets, comps, sets, first = materialise(_unsettled(members, None)), None, None, True
-    discard(members)
-    release(docs.sparkSession)
+    time goes at once, the first buckets, too."""
+    comps, bitmaps, first = None, None, True
+
+    def shingles_of(nodes):
+        return _sets_of(docs, nodes, words, broadcast_ids, "shingles")
+
     while not buckets.isEmpty():
-        if sets is None:
-            sets = materialise(_sets_of(docs, buckets.select("node").distinct(), words, broadcast_ids))
+        if bitmaps is None:
+            bitmaps = materialise(_sets_of(docs, buckets.select("node").distinct(), words, broadcast_ids, "bitmap"))
         spokes = materialise(buckets.where("node != hub").select(F.col("node").alias("u"), F.col("hub").alias("v")).distinct())
-        comps = _joined(comps, linked_pairs(spokes, sets, percent))
+        comps = _joined(comps, linked_pairs(spokes, bitmaps, shingles_of, percent))
         left = materialise(_unsettled(buckets.select("sig", "node", "n"), comps))
         discard(buckets, spokes)
         release(docs.sparkSession)
         pairs = _pairs_within(left.where(F.col("node") != F.col("hub")).withColumn("pairs", F.col("size") - 1))
         large, apart, star, found = left.where(F.col("size") > 2 * SMALL_BUCKET), None, None, None
         if not large.isEmpty():
-            chosen = materialise(_group_pairs(large, sets, percent, one=True))
-            comps = _joined(comps, linked_pairs(chosen.select("u", "v"), sets, percent))
+            chosen = materialise(_group_pairs(large, bitmaps, percent, one=True))
+            comps = _joined(comps, linked_pairs(chosen.select("u", "v"), bitmaps, shingles_of, percent))
             apart = materialise(_unsettled(large.select("sig", "node", "n"), comps))
-            found = materialise(_group_pairs(apart, sets, percent, one=False))
+            found = materialise(_group_pairs(apart, bitmaps, percent, one=False))
             discard(chosen)
             pairs = pairs.union(found.where("u is not null").drop("hub"))
             large = apart.join(found.where("u is null").select("hub").distinct(), "hub", "left_semi")
         if large.isEmpty():
             buckets = large
         else:
+            sets = materialise(shingles_of(large.select("node").union(large.select("hub")).distinct()))
             star = materialise(_star(large, sets))
+            discard(sets)
             release(docs.sparkSession)
             near = _differences(_by_hub(star) if first else _by_bucket(large, star), percent)
             discard(star)
@@ -387,11 +455,11 @@ def _component_of(docs, members, words, percent, broadcast_ids):
             pairs = pairs.union(_pairs_within(fresh.where("not cross"))).union(_pairs_across(fresh.where("cross"))).distinct()
             buckets = fresh.where(F.col("pairs") > 2 * SMALL_BUCKET)
         pairs = materialise(pairs.where(f"least(n_u, n_v) * 100 >= {percent} * greatest(n_u, n_v)").select("u", "v"))
-        comps = _joined(comps, linked_pairs(pairs, sets, percent))
+        comps = _joined(comps, linked_pairs(pairs, bitmaps, shingles_of, percent))
         buckets, first = materialise(_unsettled(buckets.select("sig", "node", "n"), comps)), False
         discard(left, apart, star, found, pairs)
         release(docs.sparkSession)
-    discard(sets)
+    discard(bitmaps)
     return comps
 
 
@@ -410,7 +478,7 @@ def _unsettled(buckets: DataFrame, comps: DataFrame | None) -> DataFrame:
     return buckets.join(sizes.where("lo < hi").drop("lo", "hi"), "sig").select("sig", "node", "n", "comp", "size", "hub")
 
 
-def _group_pairs(large: DataFrame, sets: DataFrame, percent: int, one: bool) -> DataFrame:
+def _group_pairs(large: DataFrame, bitmaps: DataFrame, percent: int, one: bool) -> DataFrame:
     """u, v, n_u, n_v, hub: the pairs between components of the classes that have one hub in large (unsettled buckets), as far as
     sizes and bitmaps leave them; with `one`, at most one for each class. Else a hub of more classes than GROUP allows, or
     with more pairs than SMALL_BUCKET a class, has one row without a pair instead."""
@@ -452,7 +520,7 @@ def _group_pairs(large: DataFrame, sets: DataFrame, percent: int, one: bool) ->
             yield compared(*held)
 
     fit = classes.join(count.where("fits"), "hub", "left_semi")
-    fit = fit.join(sets.select(F.col("node").alias("u"), "n", "bitmap"), "u").select("hub", "u", "comp", "n", "bitmap")
+    fit = fit.join(bitmaps.select(F.col("node").alias("u"), "n", "bitmap"), "u").select("hub", "u", "comp", "n", "bitmap")
     out = fit.repartition("hub").sortWithinPartitions("hub").mapInArrow(run, schema)
     if one:
         return out

@@ -4,6 +4,7 @@ import re
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from figloom.llm import jaccard
 from figloom.llm.components import components
@@ -178,3 +179,21 @@ def test_two_families_and_strangers_of_one_hub(spark, monkeypatch, small):
     rows += [(100 + i, " ".join(shared + [f"w{rng.randrange(9000)}" for _ in range(60)])) for i in range(25)]
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == brute(rows, 5, 80)
+
+
+def test_a_turns_signatures_go_before_the_next_is_counted(spark, monkeypatch):
+    """The disk holds the signatures that are still to be counted, SIG bytes each; pairs are intersected in turns."""
+    monkeypatch.setattr(jaccard, "TURN", 20)
+    monkeypatch.setattr(jaccard, "ELEMENTS", 1)
+    seen = []
+
+    def recurring(whole, *a, f=jaccard._recurring):
+        here = [x for x in os.listdir(whole.stored_at.removeprefix("file:")) if x.startswith("turn=")]
+        seen.append((a[1], sorted(here), {r[0] % jaccard.SIG for r in whole.where(F.col("turn") == a[1]).select(F.octet_length("sigs")).collect()}))
+        return f(whole, *a)
+
+    monkeypatch.setattr(jaccard, "_recurring", recurring)
+    rows = texts(11)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard.link(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute(rows, 5, 80)
+    assert seen == [(k, [f"turn={j}" for j in range(k, jaccard.TURNS)], {0}) for k in range(jaccard.TURNS)]
