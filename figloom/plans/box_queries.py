@@ -80,7 +80,7 @@ def d8(spark, d):
 def d9(spark, d):
     """Images made from the figures' ids; crops keep the box's size within the image."""
     b = imaged(box(spark, d))
-    images = b.groupBy(G, "width", "height").agg(F.lit(1).alias("channels")).withColumn("data", F.repeat(F.char(F.lit(65) + F.col(G) % 26), F.col("width") * F.col("height")).cast("binary"))
+    images = b.groupBy(G).agg(F.min("width").alias("width"), F.min("height").alias("height"), F.lit(1).alias("channels")).withColumn("data", F.repeat(F.char(F.lit(65) + F.col(G) % 26), F.col("width") * F.col("height")).cast("binary"))
     return geo.crop(images, geo.clamp(b).select(G, F.col("idx").cast("int").alias("idx"), "x1", "y1", "x2", "y2")).select(G, "idx", "width", "height", F.sha2("data", 256).alias("sha256"))
 
 

@@ -225,3 +225,16 @@ def test_open_badge_within_three_ancestors(spark):
     html = '<ul><li><div><h3><a href="/a?page=search">x<br></a></h3><span class="text-orange">Open</span></div></li><li><div><h3><a href="/b">y</a></h3></div><span class="text-orange">Open</span></li><li><p><b><a href="/c">z</a></b></p><span class="text-orange">Closed</span></li></ul>'
     got = pages.open_links(spark.createDataFrame([(1, html), (2, None)], "page_id long, html string"))
     assert sorted(r["link"] for r in got.collect()) == ["/a", "/b"]
+
+
+def test_images_stay_where_they_are_while_boxes_are_cut(spark):
+    """Pixels of images dealt by figure_id are neither shuffled, sorted nor broadcast; unknown corners and pixels give none."""
+    images = spark.createDataFrame([(1, 4, 3, 1, bytearray(range(200, 212))), (2, 2, 2, 1, None)], "figure_id long, width int, height int, channels int, data binary")
+    b = spark.createDataFrame([(1, 0, 1, 1, 3, 3), (1, 1, None, 0, 1, 1), (2, 0, 0, 0, 1, 2), (1, 2, 3, 2, 1, 1)] + [(1, i, 0, 0, 1, 1) for i in range(3, 40)], "figure_id long, idx int, x1 int, y1 int, x2 int, y2 int")
+    out = geometry.crop(images.repartition(4, G), b)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "ShuffledHashJoin" in plan and "Broadcast" not in plan and "Python" not in plan and "MapInPandas" not in plan
+    got = {(r[G], r["idx"]): r["data"] if r["data"] is None else bytes(r["data"]) for r in out.collect()}
+    assert got == {(1, 0): bytes([205, 206, 209, 210]), (1, 1): None, (2, 0): None, (1, 2): b""} | {(1, i): bytes([200]) for i in range(3, 40)}
+    with pytest.raises(Exception, match="another size"):
+        geometry.crop(images.withColumn("height", F.lit(9)).where("figure_id = 1"), b).collect()
