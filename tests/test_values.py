@@ -238,3 +238,13 @@ def test_images_stay_where_they_are_while_boxes_are_cut(spark):
     assert got == {(1, 0): bytes([205, 206, 209, 210]), (1, 1): None, (2, 0): None, (1, 2): b""} | {(1, i): bytes([200]) for i in range(3, 40)}
     with pytest.raises(Exception, match="another size"):
         geometry.crop(images.withColumn("height", F.lit(9)).where("figure_id = 1"), b).collect()
+
+
+def test_shared_text_is_told_from_one_row_a_caption(spark):
+    rows = [(1, 0, "gold rods", "x"), (1, 1, "rods", "y"), (1, 2, "", "z"), (1, 3, None, "n"), (1, None, "rods and rods", "o"), (1, 4, "rods", "y"), (2, 0, "rods", "k"), (None, 0, "a b", "k"), (None, 1, "b", "k")]
+    segs = spark.createDataFrame(rows, "figure_id long, seq int, segment string, span string")
+    out = captions.drop_shared_text(segs, G)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    left = [r for r in rows if r[:3] not in {(1, 0, "gold rods"), (1, 1, "rods"), (1, 4, "rods")}]
+    key = lambda r: tuple(str(x) for x in r)
+    assert sorted((tuple(r) for r in out.collect()), key=key) == sorted(left, key=key)
