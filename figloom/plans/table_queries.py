@@ -207,9 +207,10 @@ def h6(spark, d):
 
 
 def stored_tables(spark, d):
-    """The result tables, written once: what a search reads."""
+    """The result tables, written once: what a search by keyword reads of them; those of scales it doesn't read stay as they are."""
     t = result_tables(spark, d)
-    return search.Tables(*(materialise(x) for x in (t.article, t.figure, t.subfigure, t.scale_bar, t.scale_label)))
+    read = (t.article.select("doi", "title"), t.figure.select("figure_id", "article_id", "caption"), t.subfigure.select("subfigure_id", "figure_id", "caption"))
+    return search.Tables(*(materialise(x) for x in read), t.scale_bar, t.scale_label)
 
 
 @query("h5_indexed_keyword", f"{_BARS} select subfigure_id from subfigure s join figure f using (figure_id) join article on doi = f.article_id where {_KEY}")

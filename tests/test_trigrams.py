@@ -44,3 +44,25 @@ def test_empty_tables(spark, tmp_path):
     df = spark.createDataFrame([(1, None)], "k long, t string")
     index = trigrams.build(df, "k", "t", str(tmp_path / "i"), 4)
     assert index.holding("abc").count() == 0 == index.holding("").count()
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_many_pieces_in_one_pass(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(trigrams, "BLOCK", 16)
+    if not few:
+        monkeypatch.setattr(trigrams, "BROADCAST_IDS", -1)
+    rows = texts(2) + [(3, "one id, zebra text"), (None, "zebra")]
+    index = trigrams.build(spark.createDataFrame(rows, "k long, t string"), "k", "t", str(tmp_path / "i"), 8)
+    for pieces in (["gold", "GOLD rods", "Gold", "é€😀", "zebra", "nothing", "x\ny", "%_\\"], ["nm", "zebra", ""], ["nothing"], []):
+        want = {(i, p) for i, t in rows for p in pieces if i is not None and t is not None and p.lower() in t.lower()}
+        assert sorted(map(tuple, index.holding_each(pieces).collect())) == sorted(want)
+
+
+def test_a_gram_of_all_texts_is_a_row_a_block(spark, tmp_path):
+    """The postings stay small where texts are alike; before, each text had a row for each of its grams."""
+    df = spark.range(20_000).select(F.col("id").alias("k"), F.lit("a TEM image of gold rods on a carbon film").alias("t"))
+    index = trigrams.build(df, "k", "t", str(tmp_path / "i"), 4)
+    blocks = index._table("texts").select("block").distinct().count()
+    assert 20_000 / trigrams.BLOCK <= blocks <= 20_000 / trigrams.BLOCK + 4
+    assert index._table("postings").groupBy("gram").count().agg(F.max("count")).first()[0] == blocks
+    assert index.holding("carbon FILM").count() == 20_000
