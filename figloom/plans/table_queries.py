@@ -1,6 +1,5 @@
 """Queries of caption joins, result tables and search over the derived figures."""
 
-import functools
 import uuid
 
 from pyspark.sql import functions as F
@@ -226,8 +225,7 @@ def h5p(spark, d):
     caps = derived(spark, d, "cap").select(F.col(G).alias("caption_id"), "caption")
     index = trigrams.build(caps, "caption_id", "caption", f"{shared_dir(spark)}/index-{uuid.uuid4().hex}", 16)
     pieces = [r[0] for r in given(spark, d, "part").select(F.concat(F.expr("substr(p_type, 2)"), F.lit(" image"))).distinct().collect()]
-    found = [index.holding(p).select(F.col("id").alias("caption_id"), F.lit(p).alias("piece")) for p in pieces]
-    return functools.reduce(lambda a, b: a.union(b), found)
+    return index.holding_each(pieces).select(F.col("id").alias("caption_id"), "piece")
 
 
 @query("h7_page", f"{_BARS} select s.sid as subfigure_id, p.n, p.pages from (select sid from j order by sid limit 20 offset 40) s, (select count(*) as n, cast(ceil(count(*) / 20.0) as bigint) as pages from j) p")
