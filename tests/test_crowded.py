@@ -120,3 +120,23 @@ def test_a_group_of_ten_thousand_texts(spark):
     stays = {r["seq"] for r in left.collect()}
     assert time.time() - began < 120
     assert len([s for s in stays if s < 10_000]) == 1 and stays >= {10_000 + k for k in range(40) if k % 8 == 0}
+
+
+@pytest.mark.parametrize("most", [0.0, 0.5, 0.7, 0.86, 1.0])
+def test_groups_of_a_batch_are_compared_together(most):
+    """The same as pair by pair with difflib: empty, unknown, equal, long texts, any order."""
+    rng = random.Random(int(most * 100))
+    rows = []
+    for _ in range(60):
+        letters, longest = rng.choice(["ab", "abc d", "abcdefghij é😀"]), rng.choice([3, 12, 60, 260])
+        texts = [(rng.randint(0, 30), rng.choice([None, *["".join(rng.choices(letters, k=rng.randint(0, longest)))] * 9])) for _ in range(rng.randint(0, 9))]
+        texts += [(40, t) for _, t in texts[:2]]
+        rows += [(texts, None), (texts[:3], texts[3:])]
+
+    def plain(before, text):
+        known = [(o, t) for o, t in before if t is not None and text[1] is not None]
+        return any(SequenceMatcher(None, *((t, text[1]) if o < text[0] else (text[1], t))).ratio() >= most for o, t in known)
+
+    want = [[plain(a[:i] if b is None else a, x) for i, x in enumerate(a if b is None else b)] for a, b in rows]
+    assert similar._matched(rows, most) == want
+    assert similar._matched([], most) == [] and similar._matched([([], None)], most) == [[]]
