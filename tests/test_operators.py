@@ -126,3 +126,17 @@ def test_crop_has_the_box_size(spark):
     b = spark.createDataFrame([(1, 0, 1, 1, 3, 3)], "figure_id long, idx int, x1 int, y1 int, x2 int, y2 int")
     r = geometry.crop(images, b).first()
     assert (r["width"], r["height"], bytes(r["data"])) == (2, 2, bytes([5, 6, 9, 10]))
+
+
+def test_many_folders_of_images_are_listed_by_few_tasks(spark, tmp_path):
+    for k in range(70):
+        (tmp_path / f"page_id={k}").mkdir()
+        (tmp_path / f"page_id={k}" / "a.png").write_bytes(b"x" * k)
+    was = spark.conf.get(files.LISTING)
+    images = files.read_images(spark, str(tmp_path))
+    sc = spark.sparkContext
+    stages = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+    last = max((stages.apply(i) for i in range(stages.size())), key=lambda x: x.stageId())
+    assert 1 < last.numTasks() <= files.LISTED * sc.defaultParallelism
+    assert spark.conf.get(files.LISTING) == was
+    assert sorted(r[0] for r in images.select("length").collect()) == list(range(70))
