@@ -131,7 +131,7 @@ def test_crop_has_the_box_size(spark):
 def test_many_folders_of_images_are_listed_by_few_tasks(spark, tmp_path):
     for k in range(70):
         (tmp_path / f"page_id={k}").mkdir()
-        (tmp_path / f"page_id={k}" / "a.png").write_bytes(b"x" * k)
+        (tmp_path / f"page_id={k}" / "a.png").write_bytes(b"x" * (k + 1))
     was = spark.conf.get(files.LISTING)
     images = files.read_images(spark, str(tmp_path))
     sc = spark.sparkContext
@@ -139,4 +139,4 @@ def test_many_folders_of_images_are_listed_by_few_tasks(spark, tmp_path):
     last = max((stages.apply(i) for i in range(stages.size())), key=lambda x: x.stageId())
     assert 1 < last.numTasks() <= files.LISTED * sc.defaultParallelism
     assert spark.conf.get(files.LISTING) == was
-    assert sorted(r[0] for r in images.select("length").collect()) == list(range(70))
+    assert sorted(r[0] for r in images.select("length").collect()) == list(range(1, 71))
